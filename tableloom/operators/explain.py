@@ -168,10 +168,10 @@ def directions(shapley: DataFrame, top: int = 10) -> DataFrame:
     )
 
 
-def _uniform(*parts: Column) -> Column:
-    """A reproducible number in [0, 1) from the given columns."""
-    digits = F.conv(F.substring(F.md5(F.concat_ws("|", *[p.cast("string") for p in parts])), 1, 13), 16, 10)
-    return digits.cast("double") / float(16**13)
+def _uniform(seed: int, use: str, j: Column) -> Column:
+    """A reproducible number in [0, 1) for feature ``j`` of sample ``s`` around an instance."""
+    stamp = F.concat_ws("|", F.lit(str(seed)), F.lit(use), j.cast("string"), F.col("instance"), F.col("s").cast("string"))
+    return F.conv(F.substring(F.md5(stamp), 1, 13), 16, 10).cast("double") / float(16**13)
 
 
 def local_surrogates(
@@ -202,15 +202,20 @@ def local_surrogates(
         _instance(keys).alias("instance"), col("prediction").cast("double").alias("prediction"),
         col(target).cast("double").alias("actual"),
     )
-    rows = chosen.select(_instance(keys).alias("instance"), *[col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)])
+    rows = materialize(chosen.select(
+        _instance(keys).alias("instance"), _vector(features).alias("x"),
+        F.array(*[bins[f] for f in features]).alias("own"),
+        F.array(*[_rule(f, col(f).cast("double"), cuts[f]) for f in features]).alias("rules"),
+    ))
+    bin_table = _bin_table(features, cuts, seen)
     drawn = rows.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))))
-    values, same = [], []
-    for i, f in enumerate(features):
-        own = _bin_of(F.col(f"x{i}"), cuts[f])
-        pick, value = _draw(f, i, cuts[f], seen, seed)
-        values.append(F.when(F.col("s") == 0, F.col(f"x{i}")).otherwise(value))
-        same.append(F.when((F.col("s") == 0) | (pick == own), 1.0).otherwise(0.0))
-    vectors = drawn.select("instance", F.array(*same).alias("same"), array_to_vector(F.array(*values)).alias(FEATURES))
+    positions = F.sequence(F.lit(0), F.lit(n - 1))
+    drawn = drawn.withColumn("pick", F.transform(positions, lambda j: _pick(bin_table, j, _uniform(seed, "bin", j))))
+    is_row = F.col("s") == 0
+    same = F.transform(positions, lambda j: F.when(is_row | (F.get("pick", j) == F.get("own", j)), 1.0).otherwise(0.0))
+    values = F.transform(positions, lambda j: F.when(is_row, F.get("x", j)).otherwise(
+        _value_in_bin(F.get(F.get(bin_table, j), F.get("pick", j)), _normal(seed, j))))
+    vectors = drawn.select("instance", same.alias("same"), array_to_vector(values).alias(FEATURES))
     scored = model.output(vectors)
 
     width = 0.75 * math.sqrt(n)
@@ -233,8 +238,7 @@ def local_surrogates(
     slopes = scored.groupBy("instance").applyInPandas(fit, "instance string, j int, contribution double")
     rank = F.row_number().over(Window.partitionBy("instance").orderBy(F.desc(F.abs("contribution")), "j"))
     names = F.array(*[F.lit(f) for f in features])
-    rules = F.array(*[_rule(f, F.col(f"x{i}"), cuts[f]) for i, f in enumerate(features)])
-    described = rows.select("instance", rules.alias("rules"))
+    described = rows.select("instance", "rules")
     return (
         slopes.withColumn("rank", rank).where(F.col("rank") <= top)
         .join(F.broadcast(predicted), "instance").join(F.broadcast(described), "instance")
@@ -249,27 +253,35 @@ def _bin_of(value: Column, cuts: Sequence[float]) -> Column:
     return sum(((value > c).cast("int") for c in cuts), F.lit(0))
 
 
-def _draw(feature: str, i: int, cuts: Sequence[float], seen, seed: int) -> tuple[Column, Column]:
-    """A bin by its share of the table, and a normal value kept inside that bin."""
-    counts = [seen[f"n_{i}_{b}"] for b in range(len(cuts) + 1)]
-    total = sum(counts) or 1
-    stamp = [F.lit(f"{seed}|{feature}"), F.col("instance"), F.col("s")]
-    u = _uniform(*stamp, F.lit("bin"))
-    spread = F.sqrt(-2 * F.log(1 - _uniform(*stamp, F.lit("r")))) * F.cos(2 * math.pi * _uniform(*stamp, F.lit("a")))
-    filled = [b for b, count in enumerate(counts) if count]
-    pick, value, reached = None, None, 0
-    for b in filled:
-        reached += counts[b]
-        mean, deviation, low, high = (seen[f"{m}_{i}_{b}"] for m in ("mean", "dev", "low", "high"))
-        inside = F.greatest(F.lit(low), F.least(F.lit(high), F.lit(mean) + F.lit(deviation) * spread))
-        if b == filled[-1]:
-            pick = F.lit(b) if pick is None else pick.otherwise(b)
-            value = inside if value is None else value.otherwise(inside)
-        else:
-            below = u < reached / total
-            pick = F.when(below, b) if pick is None else pick.when(below, b)
-            value = F.when(below, inside) if value is None else value.when(below, inside)
-    return pick, value
+def _bin_table(features: Sequence[str], cuts: Mapping[str, Sequence[float]], seen) -> Column:
+    """Per feature, its bins with their cumulative share, moments and ends (a literal of 4 bins each)."""
+    table = []
+    for i, f in enumerate(features):
+        counts = [seen[f"n_{i}_{b}"] for b in range(len(cuts[f]) + 1)]
+        reached, entries = 0, []
+        for b, count in enumerate(counts):
+            reached += count
+            measures = {m: seen[f"{m}_{i}_{b}"] for m in ("mean", "dev", "low", "high")}
+            entries.append(F.struct(
+                F.lit(reached / (sum(counts) or 1)).alias("share"),
+                *[F.lit(0.0 if v is None else float(v)).alias(m) for m, v in measures.items()],
+            ))
+        table.append(F.array(*entries))
+    return F.array(*table)
+
+
+def _pick(bin_table: Column, j: Column, u: Column) -> Column:
+    """The first bin whose cumulative share passes ``u``: bins in proportion to the table."""
+    return F.size(F.filter(F.get(bin_table, j), lambda entry: entry["share"] <= u))
+
+
+def _normal(seed: int, j: Column) -> Column:
+    angle = F.cos(2 * math.pi * _uniform(seed, "a", j))
+    return F.sqrt(-2 * F.log(1 - _uniform(seed, "r", j))) * angle
+
+
+def _value_in_bin(entry: Column, spread: Column) -> Column:
+    return F.greatest(entry["low"], F.least(entry["high"], entry["mean"] + entry["dev"] * spread))
 
 
 def _rule(feature: str, value: Column, cuts: Sequence[float]) -> Column:
