@@ -11,7 +11,7 @@ from checks.tables import (
 from checks.feature_queries import METADATA_SQL, part_plan
 from tableloom.functions.keys import hash_key
 from tableloom.operators import clean, explain, guards, metrics, models, profile, report, split, target
-from tableloom.plans.options import ModelOptions
+from tableloom.plans.options import ModelOptions, PrepareOptions
 from tableloom.plans.prepare import fit_prepare
 from tableloom.plans.study import train_models
 from tableloom.session import materialize
@@ -227,13 +227,13 @@ def shared(build):
 
 @shared
 def quality_table(spark, sf):
-    plan = fit_prepare(labelled_documents(spark, sf), "quality", ["doc_id"])
+    plan = fit_prepare(labelled_documents(spark, sf), "quality", ["doc_id"], PrepareOptions(derive_features=False))
     return materialize(plan.fitted_table())
 
 
 @shared
 def account_table(spark, sf):
-    plan = fit_prepare(customer_accounts(spark, sf), "order_total", ["c_custkey"])
+    plan = fit_prepare(customer_accounts(spark, sf), "order_total", ["c_custkey"], PrepareOptions(derive_features=False))
     return materialize(plan.fitted_table())
 
 

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableloom.functions.columns import col, column_kinds
-from tableloom.operators.levels import CodeTable, code_table, level_summary, value_counts
+from tableloom.operators.levels import (
+    LOCAL_LEVELS, CodeTable, code_table, level_summary, local_code_table, value_counts,
+)
 from tableloom.session import materialize
 
 NULL_LEVEL = "nan"
@@ -62,19 +64,23 @@ def fit_encoding(df: DataFrame, columns: Sequence[str] | None = None, threshold:
     if not columns:
         return Encoding()
     counts = materialize(value_counts(df, columns))
-    summary = {r["column"]: r for r in level_summary(counts).join(
-        counts.groupBy("column").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("levels")), "column"
-    ).collect()}
+    summary = {r["column"]: r for r in level_summary(counts).collect()}
     few = [c for c in columns if summary[c]["n_distinct"] <= threshold]
-    onehot: dict[str, list[str]] = {c: [] for c in few}
-    if few:
-        for r in counts.where(F.col("column").isin(few) & F.col("value").isNotNull()).collect():
-            onehot[r["column"]].append(r["value"])
-    label = {
-        c: code_table(counts, c, summary[c]["levels"], summary[c]["rows"], NULL_LEVEL)
-        for c in columns if c not in onehot
-    }
-    return Encoding({c: sorted(v) for c, v in onehot.items()}, label, tuple(columns))
+    local = [c for c in columns if c in few or summary[c]["n_levels"] <= LOCAL_LEVELS]
+    levels: dict[str, list[str | None]] = {c: [] for c in local}
+    if local:
+        for r in counts.where(F.col("column").isin(local)).select("column", "value").collect():
+            levels[r["column"]].append(r["value"])
+    onehot = {c: sorted((v for v in levels[c] if v is not None), key=lambda v: v.encode()) for c in few}
+    label = {}
+    for c in columns:
+        if c in onehot:
+            continue
+        if c in levels:
+            label[c] = local_code_table(df.sparkSession, c, levels[c], NULL_LEVEL)
+        else:
+            label[c] = code_table(counts, c, summary[c]["n_levels"], summary[c]["n_rows"], NULL_LEVEL)
+    return Encoding(onehot, label, tuple(columns))
 
 
 def onehot_encode(df: DataFrame, columns: Sequence[str]) -> DataFrame:

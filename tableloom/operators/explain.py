@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from tableloom.functions.keys import hash_key
 from tableloom.operators.models import FEATURES, TrainedModel
 from tableloom.operators.quantiles import quantiles
 from tableloom.operators.split import sample_rows
-from tableloom.session import materialize
+from tableloom.session import local_table, materialize, spread
 
 ALL_SUBSETS_FEATURES = 8
 
@@ -65,7 +66,7 @@ def shapley_values(
     others = materialize(background_rows(df, keys, features, background, seed))
     n_background = others.count()
     paired = sample.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(n_background - 1))))
-    paired = paired.join(F.broadcast(others), "b")
+    paired = spread(paired.join(F.broadcast(others), "b"), "instance", "b")
     if len(features) <= ALL_SUBSETS_FEATURES:
         values = _by_subsets(model, paired, len(features))
     else:
@@ -105,8 +106,10 @@ def _by_orders(model: TrainedModel, paired: DataFrame, n: int, permutations: int
         chooser.shuffle(order)
         orders += [order, order[::-1]]
     places = [[order.index(j) for j in range(n)] for order in orders]
-    table = paired.sparkSession.createDataFrame(
-        list(zip(range(len(orders)), orders, places)), "p int, feature_order array<int>, place array<int>"
+    integers = pa.list_(pa.int32())
+    table = local_table(
+        paired.sparkSession, p=pa.array(range(len(orders)), pa.int32()),
+        feature_order=pa.array(orders, integers), place=pa.array(places, integers),
     )
     steps = (
         paired.withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(len(orders) - 1))))
@@ -188,14 +191,16 @@ def local_surrogates(
     n = len(features)
     numbers = df.select(*[col(k) for k in keys], *[col(f).cast("double").alias(f) for f in features])
     cuts = {f: sorted(set(q)) for f, q in quantiles(numbers, features, [0.25, 0.5, 0.75]).items()}
-    bins = {f: _bin_of(col(f), cuts[f]) for f in features}
-    measures = []
-    for i, f in enumerate(features):
-        for b in range(len(cuts[f]) + 1):
-            value = F.when(bins[f] == b, col(f))
-            for name, measure in (("n", F.count), ("mean", F.avg), ("dev", F.stddev_pop), ("low", F.min), ("high", F.max)):
-                measures.append(measure(value).alias(f"{name}_{i}_{b}"))
-    seen = numbers.agg(*measures).first()
+    limits = F.array(*[F.array(*[F.lit(float(c)) for c in cuts[f]]) for f in features])
+    cells = numbers.select(F.posexplode(_vector(features)).alias("j", "v"))
+    cells = cells.withColumn("bin", _bin_of(F.get(limits, F.col("j")), F.col("v")))
+    seen = {
+        (r["j"], r["bin"]): r
+        for r in cells.groupBy("j", "bin").agg(
+            F.count(F.lit(1)).alias("n"), F.avg("v").alias("mean"), F.stddev_pop("v").alias("dev"),
+            F.min("v").alias("low"), F.max("v").alias("high"),
+        ).collect()
+    }
 
     chosen = materialize(sample_rows(df, keys, instances, seed))
     predicted = model.predict(chosen).select(
@@ -204,11 +209,11 @@ def local_surrogates(
     )
     rows = materialize(chosen.select(
         _instance(keys).alias("instance"), _vector(features).alias("x"),
-        F.array(*[bins[f] for f in features]).alias("own"),
+        F.transform(_vector(features), lambda v, j: _bin_of(F.get(limits, j), v)).alias("own"),
         F.array(*[_rule(f, col(f).cast("double"), cuts[f]) for f in features]).alias("rules"),
     ))
     bin_table = _bin_table(features, cuts, seen)
-    drawn = rows.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))))
+    drawn = spread(rows.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(samples - 1)))), "instance", "s")
     positions = F.sequence(F.lit(0), F.lit(n - 1))
     drawn = drawn.withColumn("pick", F.transform(positions, lambda j: _pick(bin_table, j, _uniform(seed, "bin", j))))
     is_row = F.col("s") == 0
@@ -249,23 +254,21 @@ def local_surrogates(
     )
 
 
-def _bin_of(value: Column, cuts: Sequence[float]) -> Column:
-    return sum(((value > c).cast("int") for c in cuts), F.lit(0))
+def _bin_of(limits: Column, value: Column) -> Column:
+    return F.size(F.filter(limits, lambda c: c < value))
 
 
 def _bin_table(features: Sequence[str], cuts: Mapping[str, Sequence[float]], seen) -> Column:
-    """Per feature, its bins with their cumulative share, moments and ends (a literal of 4 bins each)."""
+    """Per feature, its (at most four) bins with their cumulative share, moments and ends."""
     table = []
-    for i, f in enumerate(features):
-        counts = [seen[f"n_{i}_{b}"] for b in range(len(cuts[f]) + 1)]
+    for j, f in enumerate(features):
+        bins = [seen.get((j, b)) for b in range(len(cuts[f]) + 1)]
+        total = sum(r["n"] for r in bins if r) or 1
         reached, entries = 0, []
-        for b, count in enumerate(counts):
-            reached += count
-            measures = {m: seen[f"{m}_{i}_{b}"] for m in ("mean", "dev", "low", "high")}
-            entries.append(F.struct(
-                F.lit(reached / (sum(counts) or 1)).alias("share"),
-                *[F.lit(0.0 if v is None else float(v)).alias(m) for m, v in measures.items()],
-            ))
+        for r in bins:
+            reached += r["n"] if r else 0
+            moments = [F.lit(float(r[m]) if r else 0.0).alias(m) for m in ("mean", "dev", "low", "high")]
+            entries.append(F.struct(F.lit(reached / total).alias("share"), *moments))
         table.append(F.array(*entries))
     return F.array(*table)
 

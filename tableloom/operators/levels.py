@@ -9,11 +9,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tableloom.functions.columns import col
+from tableloom.session import local_table, materialize
 
+LOCAL_LEVELS = 10_000
 BROADCAST_LEVELS = 200_000
 ONE_TASK_LEVELS = 200_000
 RANGE_PARTS = 1_000
@@ -34,10 +37,11 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def level_summary(counts: DataFrame) -> DataFrame:
-    """Distinct count and mode (smallest on ties) per column, skipping NULL."""
+    """Distinct count and mode (smallest on ties) per column, skipping NULL; levels and rows with it."""
     ranked = F.when(F.col("value").isNotNull(), F.struct((-F.col("n")).alias("rank"), F.col("value")))
     return counts.groupBy("column").agg(
-        F.count("value").alias("n_distinct"), F.min(ranked).getField("value").alias("mode")
+        F.count("value").alias("n_distinct"), F.min(ranked).getField("value").alias("mode"),
+        F.count(F.lit(1)).alias("n_levels"), F.sum("n").alias("n_rows"),
     )
 
 
@@ -107,6 +111,13 @@ class CodeTable:
         return lookup_join(df, value, codes, "value", self.n_levels, self.hot, spread)
 
 
+def local_code_table(spark: SparkSession, column: str, values: Sequence[str | None], null_level: str) -> CodeTable:
+    """Codes of a column whose few levels are already on the driver."""
+    levels = sorted({null_level if v is None else v for v in values}, key=lambda v: v.encode())
+    codes = local_table(spark, value=pa.array(levels, pa.string()), code=pa.array(range(len(levels)), pa.int32()))
+    return CodeTable(column, codes, len(levels), ())
+
+
 def code_table(counts: DataFrame, column: str, n_levels: int, n_rows: int, null_level: str) -> CodeTable:
     """Codes for one column of a value-count table; NULL is coded like the text ``null_level``."""
     levels = (
@@ -115,4 +126,5 @@ def code_table(counts: DataFrame, column: str, n_levels: int, n_rows: int, null_
         .agg(F.sum("n").alias("n"))
     )
     hot = hot_values(levels, "value", n_rows) if n_levels > BROADCAST_LEVELS else ()
-    return CodeTable(column, sorted_codes(levels, n_levels).select("value", "code"), n_levels, hot)
+    codes = sorted_codes(levels, n_levels).select("value", F.col("code").cast("int").alias("code"))
+    return CodeTable(column, materialize(codes), n_levels, hot)

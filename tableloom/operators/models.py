@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 from typing import Any
 
+import pyarrow as pa
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import classification, regression
 from pyspark.ml.feature import VectorAssembler
@@ -18,6 +19,7 @@ from pyspark.sql import types as T
 
 from tableloom.functions.columns import col
 from tableloom.operators.metrics import evaluate, score_name
+from tableloom.session import local_table
 
 log = logging.getLogger(__name__)
 
@@ -27,6 +29,7 @@ REGRESSORS = ["RandomForest", "GradientBoosting", "Ridge", "Lasso"]
 
 FEATURES, LABEL = "_features", "_label"
 CLOSED_FORM_FEATURES = 4096
+CELLS_PER_PARTITION = 200_000
 
 
 @dataclass(frozen=True)
@@ -165,9 +168,11 @@ class TrainedModel:
         """Rank, feature and importance: split gains, else mean absolute coefficients over classes."""
         weights = importance_weights(self.model, len(self.features))
         ranked = sorted(zip(self.features, weights), key=lambda fw: (-fw[1], fw[0]))[:top]
-        schema = "model string, feature string, rank int, importance double"
-        return spark.createDataFrame(
-            [(self.name, f, i + 1, float(w)) for i, (f, w) in enumerate(ranked)], schema
+        return local_table(
+            spark, model=pa.array([self.name] * len(ranked), pa.string()),
+            feature=pa.array([f for f, _ in ranked], pa.string()),
+            rank=pa.array(range(1, len(ranked) + 1), pa.int32()),
+            importance=pa.array([float(w) for _, w in ranked], pa.float64()),
         )
 
 
@@ -215,6 +220,13 @@ def prepare_vectors(
     kept = [labels.index(target).alias(LABEL)] + ([col(fold)] if fold else [])
     rows = assembled(df, features, kept).persist(StorageLevel.MEMORY_AND_DISK)
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(LABEL).alias("deviation")).first()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    wanted = min(cores, size["n"] * len(features) // CELLS_PER_PARTITION)
+    if rows.rdd.getNumPartitions() < wanted:
+        # Fewer partitions than cores: spread the rows once for the many passes of training.
+        few, rows = rows, rows.repartition(wanted).persist(StorageLevel.MEMORY_AND_DISK)
+        rows.count()
+        few.unpersist()
     return Prepared(rows, size["n"], size["deviation"] or 0.0, target, task, list(features), labels, sizes or ModelSizes())
 
 
@@ -266,7 +278,7 @@ def _in_parallel(prepared: Prepared, run, tasks: list, parallel: int) -> list:
         return pool.map(inheritable_thread_target(spark)(run), tasks, chunksize=1)
 
 
-METRIC_SCHEMA = "ordinal int, model string, metric string, value double"
+METRIC_COLUMNS = {"ordinal": pa.int32(), "model": pa.string(), "metric": pa.string(), "value": pa.float64()}
 
 
 @dataclass(frozen=True)
@@ -334,11 +346,10 @@ def run_tournament(
                 rows.append((ordinal, name, metric, None if value is None else float(value)))
             if score is not None and score > best_score:
                 best, best_score = trained, score
-        spark = train_rows.sparkSession
-        return Tournament(
-            task, target, prepared.n_rows, n_test, list(features),
-            spark.createDataFrame(rows, METRIC_SCHEMA), best, best_score,
-        )
+        table = local_table(train_rows.sparkSession, **{
+            name: pa.array(values, kind) for (name, kind), values in zip(METRIC_COLUMNS.items(), zip(*rows))
+        })
+        return Tournament(task, target, prepared.n_rows, n_test, list(features), table, best, best_score)
     finally:
         prepared.release()
         test.unpersist()

@@ -15,12 +15,13 @@ from functools import cached_property
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableloom.functions.columns import col
 from tableloom.operators.levels import BROADCAST_LEVELS, hot_values, lookup_join
-from tableloom.session import materialize
+from tableloom.session import local_table, materialize
 
 MAX_CELLS = 4_096
 MAX_CUTS = 64
@@ -242,8 +243,9 @@ class NeighbourFill:
         """The k nearest donors of each item in each chunk of its cells."""
         donors, cells = self.indexed
         spark = donors.sparkSession
-        table = spark.createDataFrame(
-            [(name, -(-n // DONOR_CHUNK)) for name, n in zip(cells.names, cells.distinct)], "_cell string, parts int"
+        table = local_table(
+            spark, _cell=pa.array(cells.names, pa.string()),
+            parts=pa.array([-(-n // DONOR_CHUNK) for n in cells.distinct], pa.int32()),
         )
         assigned = materialize(assigned)
         loads = assigned.groupBy("_cell").agg(F.ceil(F.count(F.lit(1)) / ITEM_CHUNK).cast("int").alias("loads"))

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableloom.operators.models import Tournament, best_model
+from tableloom.session import local_table
 
 # What each task's metric table shows.
 CLASSIFICATION_METRICS = ["accuracy", "precision", "recall", "f1_score", "cv_mean"]
@@ -46,9 +48,11 @@ def outlier_summary(outliers: DataFrame, rows: int = 10) -> DataFrame:
 
 
 def training_summary(result: Tournament) -> DataFrame:
-    row = (result.task, result.target, result.train_rows, result.test_rows, result.best.name, float(result.best_score))
-    schema = "task string, target string, train_rows bigint, test_rows bigint, best_model string, best_score double"
-    return result.metrics.sparkSession.createDataFrame([row], schema)
+    return local_table(
+        result.metrics.sparkSession, task=pa.array([result.task]), target=pa.array([result.target]),
+        train_rows=pa.array([result.train_rows]), test_rows=pa.array([result.test_rows]),
+        best_model=pa.array([result.best.name]), best_score=pa.array([float(result.best_score)]),
+    )
 
 
 def metric_table(metrics: DataFrame, task: str) -> DataFrame:

@@ -11,12 +11,13 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tableloom.functions.columns import col
 from tableloom.functions.keys import hash_key
+from tableloom.session import local_table
 
 MAX_CLASSES = 1_000
 PREFIX_COUNTS = 1_000_000
@@ -88,8 +89,8 @@ def _with_prefix(rows: DataFrame, wanted: set, length: int) -> DataFrame:
     """Rows whose group and hash prefix are among the wanted pairs (at most classes times ranks)."""
     if length == 0:
         return rows
-    schema = T.StructType([T.StructField("_g", T.StringType()), T.StructField("_p", T.StringType())])
-    pairs = rows.sparkSession.createDataFrame(sorted(wanted, key=str), schema)
+    groups, prefixes = zip(*sorted(wanted, key=str))
+    pairs = local_table(rows.sparkSession, _g=pa.array(groups, pa.string()), _p=pa.array(prefixes, pa.string()))
     match = F.col("g").eqNullSafe(F.col("_g")) & (F.substring("h", 1, length) == F.col("_p"))
     return rows.join(F.broadcast(pairs), match, "left_semi")
 
@@ -108,10 +109,10 @@ class Cuts:
         hashed = hash_key(self.keys, self.seed)
         if self.target is None:
             return df.withColumn(name, sum(((hashed >= c).cast("int") for c in self.values[None]), F.lit(0)))
-        schema = T.StructType([
-            T.StructField("_class", T.StringType()), T.StructField("_cuts", T.ArrayType(T.StringType()))
-        ])
-        table = df.sparkSession.createDataFrame(list(self.values.items()), schema)
+        table = local_table(
+            df.sparkSession, _class=pa.array(list(self.values), pa.string()),
+            _cuts=pa.array(list(self.values.values()), pa.list_(pa.string())),
+        )
         keyed = df.withColumns({"_y": class_text(self.target), "_h": hashed})
         joined = keyed.join(F.broadcast(table), F.col("_y").eqNullSafe(F.col("_class")), "left")
         part = F.size(F.filter("_cuts", lambda c: c <= F.col("_h")))

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,10 +22,11 @@ from tableloom.operators.clean import (
 from tableloom.operators.encode import Encoding, fit_encoding
 from tableloom.operators.features import Scaling, derive, fit_robust, standard_from, standard_measures
 from tableloom.operators.neighbours import NeighbourFill
+from tableloom.operators.quantiles import DIRECT_ROWS
 from tableloom.plans.options import PrepareOptions
-from tableloom.session import materialize
+from tableloom.session import local_table, materialize
 
-METADATA_SCHEMA = "stage string, column string, metric string, value string"
+METADATA_COLUMNS = ("stage", "column", "metric", "value")
 
 
 @dataclass(frozen=True)
@@ -41,6 +43,7 @@ class PreparePlan:
     derived_from: tuple[str, ...]
     metadata_rows: tuple[tuple[str, str | None, str, str], ...] = ()
     deduplicated: DataFrame | None = field(default=None, compare=False)
+    fitted: DataFrame | None = field(default=None, compare=False)
 
     @property
     def carried(self) -> list[str]:
@@ -69,11 +72,17 @@ class PreparePlan:
         return self.shape(self.deduplicate(df) if deduplicate else df, unseen)
 
     def fitted_table(self) -> DataFrame:
-        """The table the plan was fitted on, transformed; starts from the kept de-duplicated rows."""
-        return self.shape(self.deduplicated)
+        """The table the plan was fitted on, transformed; it reads the kept de-duplicated rows."""
+        return self.fitted
+
+    def release(self) -> None:
+        """Free the kept rows once the fitted table is no longer read."""
+        self.deduplicated.unpersist()
 
     def metadata(self) -> DataFrame:
-        return self.deduplicated.sparkSession.createDataFrame(list(self.metadata_rows), METADATA_SCHEMA)
+        """Everything recorded at fit time: stage, column, metric, value (as text)."""
+        parts = zip(METADATA_COLUMNS, zip(*self.metadata_rows))
+        return local_table(self.deduplicated.sparkSession, **{name: pa.array(v, pa.string()) for name, v in parts})
 
 
 def fit_prepare(
@@ -90,8 +99,7 @@ def fit_prepare(
     )
     current = materialize(plan.deduplicate(plan.impute(df)))
     numeric = column_kinds(current, carried).numeric
-    sizes = count_missing(current, numeric)
-    outliers, removed = _fit_outliers(current, numeric, sizes, options)
+    outliers, removed, kept_rows = _fit_outliers(current, numeric, missing.rows, options)
 
     shaped = current
     flags = {}
@@ -116,12 +124,15 @@ def fit_prepare(
     if flags:
         removed = {c: row[f"_outlier_{i}"] for i, c in enumerate(outliers.bounds)}
 
-    plan = PreparePlan(
+    fitted = scaling.transform(encoded.drop(*flags))
+    if options.derive_features:
+        fitted = derive(fitted, scalable)
+    duplicates = missing.rows - (row["rows"] if kept_rows is None else kept_rows)
+    rows = _metadata(df, features, fitted, carried, encoding, missing, duplicates, removed, row["rows"])
+    return PreparePlan(
         options, target, tuple(keys), tuple(dropped), fill, neighbours, outliers, encoding, scaling,
-        tuple(scalable), (), current,
+        tuple(scalable), tuple(rows), current, fitted,
     )
-    rows = _metadata(plan, df, features, missing, missing.rows - sizes.rows, removed, row["rows"])
-    return PreparePlan(**{**plan.__dict__, "metadata_rows": tuple(rows)})
 
 
 def _fit_missing(
@@ -141,30 +152,35 @@ def _fit_missing(
 
 
 def _fit_outliers(
-    df: DataFrame, numeric: list[str], sizes: MissingCounts, options: PrepareOptions
-) -> tuple[Fences | ZScore | None, dict[str, int]]:
+    df: DataFrame, numeric: list[str], most_rows: int, options: PrepareOptions
+) -> tuple[Fences | ZScore | None, dict[str, int], int | None]:
+    """The fitted stage, its outlier counts where known already, and the row count if it was taken.
+
+    No value is missing any more, so a table known to be small needs no count before its quantiles,
+    and where no row is removed the rows are counted by the last aggregate anyway.
+    """
     if options.outlier_method == "iqr":
-        counts = {c: sizes.present(c) for c in numeric}
-        return fit_iqr(df, numeric, counts, options.approximate_quantiles), {}
+        rows = df.count() if most_rows > DIRECT_ROWS and not options.approximate_quantiles else None
+        counts = {c: most_rows if rows is None else rows for c in numeric}
+        return fit_iqr(df, numeric, counts, options.approximate_quantiles), {}, rows
     if options.outlier_method == "zscore":
         if options.cap_outliers:
-            return fit_zscore_sequential(df, numeric)
+            return *fit_zscore_sequential(df, numeric), df.count()
         fitted = fit_zscore(df, numeric)
-        return fitted, df.agg(*fitted.counts()).first().asDict() if numeric else {}
-    return None, {}
+        return fitted, df.agg(*fitted.counts()).first().asDict() if numeric else {}, None
+    return None, {}, None
 
 
-def _metadata(plan, df, features, missing, duplicates, outliers, final_rows) -> list[tuple]:
+def _metadata(df, features, fitted, carried, encoding, missing, duplicates, outliers, final_rows) -> list[tuple]:
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    final = plan.fitted_table()
-    kinds = column_kinds(final, plan.carried)
-    final_columns = [c for c in final.columns if c not in plan.carried]
+    kinds = column_kinds(fitted, carried)
+    final_columns = [c for c in fitted.columns if c not in carried]
     rows = [("input", None, "rows", missing.rows), ("input", None, "columns", len(features))]
     rows += [("input", c, "type", types[c]) for c in features]
     rows += [("missing", c, "count", n) for c, n in missing.missing.items() if n > 0]
     rows += [("duplicates", None, "removed", duplicates)]
     rows += [("outliers", c, "count", n) for c, n in outliers.items()]
-    rows += [("encoding", c, "encoding", kind) for c, kind in plan.encoding.map.items()]
+    rows += [("encoding", c, "encoding", kind) for c, kind in encoding.map.items()]
     rows += [("output", None, "rows", final_rows), ("output", None, "columns", len(final_columns))]
     rows += [("output", c, "kind", kinds.of(c)) for c in final_columns]
     return [(stage, column, metric, str(value)) for stage, column, metric, value in rows]

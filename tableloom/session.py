@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +20,8 @@ def build_session(app: str = "tableloom", master: str | None = None, **conf: str
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Call-site capture costs several driver round trips per column expression.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     for name, value in {**defaults, **conf}.items():
         builder = builder.config(name, value)
@@ -43,13 +46,23 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def materialize(df: DataFrame) -> DataFrame:
     """Keep an intermediate result that several later jobs read.
 
-    With a shared checkpoint folder the result is written there and its lineage is cut, so a lost
-    executor costs one re-read. Without one it is persisted, and lost blocks are recomputed.
+    With a shared folder it is written there as a table: lineage is cut, a lost executor costs a
+    re-read, and each later job reads only the columns it needs. Without one it is persisted, and
+    lost blocks are recomputed.
     """
     spark = df.sparkSession
-    base = checkpoint_dir(spark)
-    if base is None:
+    if checkpoint_dir(spark) is None:
         return df.persist(StorageLevel.MEMORY_AND_DISK)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
-    return df.checkpoint(eager=True)
+    path = scratch_path(spark, "kept")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Give a small frame whose rows are costly to compute (model scores) one partition per core."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *columns)
+
+
+def local_table(spark: SparkSession, **columns: pa.Array) -> DataFrame:
+    """A small driver-side table as a local relation: no job reads it and it broadcasts at once."""
+    return spark.createDataFrame(pa.table(columns))
