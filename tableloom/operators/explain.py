@@ -11,7 +11,6 @@ import random
 from collections.abc import Mapping, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
@@ -225,22 +224,24 @@ def local_surrogates(
 
     width = 0.75 * math.sqrt(n)
 
-    def fit(group: pd.DataFrame) -> pd.DataFrame:
-        z = np.vstack(group["same"].to_numpy())
-        y = group["output"].to_numpy()
+    def fit(group: pa.Table) -> pa.Table:
+        z = group.column("same").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, n)
+        y = group.column("output").to_numpy()
         # Distance from the row itself, for which every indicator is 1.
         squared = ((1.0 - z) ** 2).sum(axis=1)
         weight = np.sqrt(np.exp(-squared / width**2))
         center, middle = np.average(z, axis=0, weights=weight), np.average(y, weights=weight)
         scaled = (z - center) * weight[:, None]
-        left = scaled.T @ (z - center) + np.eye(z.shape[1])
+        left = scaled.T @ (z - center) + np.eye(n)
         slope = np.linalg.solve(left, scaled.T @ (y - middle))
-        return pd.DataFrame({
-            "instance": group["instance"].iloc[0], "j": np.arange(z.shape[1], dtype="int32"), "contribution": slope,
+        instance = group.column("instance")[0].as_py()
+        return pa.table({
+            "instance": pa.array([instance] * n, pa.string()), "j": pa.array(range(n), pa.int32()),
+            "contribution": pa.array(slope),
         })
 
     # Each group is the fixed number of samples of one instance.
-    slopes = scored.groupBy("instance").applyInPandas(fit, "instance string, j int, contribution double")
+    slopes = scored.groupBy("instance").applyInArrow(fit, "instance string, j int, contribution double")
     rank = F.row_number().over(Window.partitionBy("instance").orderBy(F.desc(F.abs("contribution")), "j"))
     names = F.array(*[F.lit(f) for f in features])
     described = rows.select("instance", "rules")

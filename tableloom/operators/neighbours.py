@@ -14,7 +14,6 @@ from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -210,12 +209,12 @@ class NeighbourFill:
             return bound
 
         def assign(batches):
-            for batch in batches:
-                for start in range(0, len(batch), 128):
-                    part = batch.iloc[start : start + 128]
-                    x = np.vstack(part["x"].to_numpy()).astype("float64")
-                    c = part["c"].to_numpy()
-                    radius = part["radius"].to_numpy(dtype="float64")
+            for whole in batches:
+                for start in range(0, len(whole), 128):
+                    part = whole.slice(start, 128)
+                    x = part.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, n_columns)
+                    c = part.column("c").to_numpy(zero_copy_only=False)
+                    radius = part.column("radius").to_numpy(zero_copy_only=False).astype("float64")
                     bound = bounds(x)
                     donors = present[:, c].T
                     bound[donors == 0] = np.inf
@@ -230,12 +229,11 @@ class NeighbourFill:
                         within = bound * (1 - 1e-9) <= radius[:, None]
                     chosen = reachable & np.where(first, near, within & ~near)
                     item, cell = np.nonzero(chosen)
-                    yield pd.DataFrame({
-                        "_cell": names[cell], "rid": part["rid"].to_numpy()[item], "c": c[item],
-                        "x": part["x"].to_numpy()[item],
-                    })
+                    picked = part.take(pa.array(item))
+                    columns = [pa.array(names[cell], pa.string()), *[picked.column(n) for n in ("rid", "c", "x")]]
+                    yield pa.RecordBatch.from_arrays(columns, names=["_cell", "rid", "c", "x"])
 
-        return items.select("rid", "c", "x", "radius").mapInPandas(
+        return items.select("rid", "c", "x", "radius").mapInArrow(
             assign, "_cell string, rid string, c int, x array<double>"
         )
 
@@ -265,14 +263,16 @@ class NeighbourFill:
         )
         k, n_columns = self.k, len(self.columns)
 
-        def nearest(items: pd.DataFrame, group: pd.DataFrame) -> pd.DataFrame:
-            found: dict[str, list] = {name: [] for name in ("rid", "c", "distance", "value", "n")}
+        def matrix(group: pa.Table, name: str) -> np.ndarray:
+            return group.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, n_columns)
+
+        def nearest(items: pa.Table, group: pa.Table) -> pa.Table:
+            row, distances, values, sizes = [], [], [], []
             if len(items) and len(group):
-                z = np.vstack(group["z"].to_numpy()).astype("float64")
-                counts = group["n"].to_numpy()
-                rids, cs = items["rid"].to_numpy(), items["c"].to_numpy()
+                z, counts = matrix(group, "z"), group.column("n").to_numpy()
+                rows, cs = matrix(items, "x"), items.column("c").to_numpy()
                 for start in range(0, len(items), 64):
-                    x = np.vstack(items["x"].iloc[start : start + 64].to_numpy()).astype("float64")
+                    x = rows[start : start + 64]
                     total = np.zeros((len(x), len(z)))
                     shared = np.zeros((len(x), len(z)))
                     for j in range(n_columns):
@@ -283,21 +283,28 @@ class NeighbourFill:
                     with np.errstate(divide="ignore", invalid="ignore"):
                         distance = np.where(shared > 0, total * (n_columns / shared), np.inf)
                     for i in range(len(x)):
-                        c = cs[start + i]
-                        value = z[:, c]
+                        value = z[:, cs[start + i]]
                         own = np.where(np.isnan(value), np.inf, distance[i])
                         kth = np.partition(own, k - 1)[k - 1] if len(own) > k else np.inf
                         kept = np.flatnonzero((own <= kth) & np.isfinite(own))
                         kept = kept[np.lexsort((value[kept], own[kept]))][:k]
-                        found["rid"].extend([rids[start + i]] * len(kept))
-                        found["c"].extend([c] * len(kept))
-                        found["distance"].extend(own[kept])
-                        found["value"].extend(value[kept])
-                        found["n"].extend(counts[kept])
-            return pd.DataFrame(found)
+                        row.append(np.full(len(kept), start + i))
+                        distances.append(own[kept])
+                        values.append(value[kept])
+                        sizes.append(counts[kept])
+
+            def joined(parts: list, kind) -> pa.Array:
+                return pa.array(np.concatenate(parts) if parts else [], kind)
+
+            picked = items.select(["rid", "c"]).take(joined(row, pa.int64()))
+            return (
+                picked.append_column("distance", joined(distances, pa.float64()))
+                .append_column("value", joined(values, pa.float64()))
+                .append_column("n", joined(sizes, pa.int64()))
+            )
 
         keys = ["_cell", "part", "load"]
-        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(nearest, CANDIDATE_SCHEMA)
+        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(nearest, CANDIDATE_SCHEMA)
 
 
 def fill_from_neighbours(df: DataFrame, columns: Sequence[str], k: int = 5) -> DataFrame:

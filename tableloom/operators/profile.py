@@ -98,15 +98,16 @@ def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     result = None
     for start in range(0, len(pairs), MEASURES_PER_JOB):
         part = pairs[start : start + MEASURES_PER_JOB]
-        wide = df.agg(*[
-            F.corr(col(a).cast("double"), col(b).cast("double")).alias(f"r_{i}") for i, (a, b) in enumerate(part)
-        ])
-        rows = []
+        measures, rows = [], []
         for i, (a, b) in enumerate(part):
-            r = F.when(~F.isnan(F.col(f"r_{i}")), F.col(f"r_{i}"))
-            rows.append([("a", F.lit(a)), ("b", F.lit(b)), ("r", r)])
+            x, y = col(a).cast("double"), col(b).cast("double")
+            # Spelled out so that a column that does not vary gives NULL where corr would fail.
+            spread = F.sqrt(F.var_pop(F.when(y.isNotNull(), x))) * F.sqrt(F.var_pop(F.when(x.isNotNull(), y)))
+            measures.append(F.try_divide(F.covar_pop(x, y), spread).alias(f"r_{i}"))
+            rows.append([("a", F.lit(a)), ("b", F.lit(b)), ("r", F.col(f"r_{i}"))])
             if a != b:
-                rows.append([("a", F.lit(b)), ("b", F.lit(a)), ("r", r)])
+                rows.append([("a", F.lit(b)), ("b", F.lit(a)), ("r", F.col(f"r_{i}"))])
+        wide = df.agg(*measures)
         table = long_table(wide, rows)
         result = table if result is None else result.unionByName(table)
     return result
