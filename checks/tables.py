@@ -19,9 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    floats = (T.DoubleType, T.FloatType)
+    """Doubles to the given digits (``rint`` stays in generated code, ``round`` goes by decimals)."""
+    scale = float(10**digits)
     return df.select(*[
-        F.round(col(f.name), digits).alias(f.name) if isinstance(f.dataType, floats) else col(f.name)
+        (F.rint(col(f.name) * scale) / scale).alias(f.name) if isinstance(f.dataType, T.DoubleType) else col(f.name)
         for f in df.schema.fields
     ])
 

@@ -8,43 +8,50 @@ from pyspark.sql import functions as F
 from tableloom.functions.columns import col
 
 # Marks removed, characters replaced, and line starts that drop a line.
-REMOVED_MARKS = ["###", "##", "**", "■", "▪", "•"]
+HEADING_MARKS = ["###", "##", "**"]
+BULLET_MARKS = "■▪•"
 REPLACED_CHARACTERS = {"‑": "-", "×": "x", "→": "->"}
-REMOVED_INLINE_MARKS = ["`", "*"]
-DROPPED_LINE_STARTS = ["#", "-", "*", "."]
+INLINE_MARKS = "`*"
+DROPPED_LINE_STARTS = "#-*."
 
-# The characters counted as white space.
-WHITESPACE = "[\\t\\n\\u000b\\f\\r\\u001c-\\u001f \\u0085\\u00a0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+"
-
-
-def _replace_all(text: Column, marks: list[str], by: str = "") -> Column:
-    for mark in marks:
-        text = F.replace(text, F.lit(mark), F.lit(by))
-    return text
+# The characters counted as white space, and those among them that stay within a line.
+WHITESPACE = "\\t\\n\\u000b\\f\\r\\u001c-\\u001f \\u0085\\u00a0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+IN_LINE_WHITESPACE = WHITESPACE.replace("\\n", "")
 
 
 def normalize_marks(text: Column) -> Column:
     """Remove heading, bold and bullet marks and write special characters plainly."""
-    text = _replace_all(text, REMOVED_MARKS)
+    for mark in HEADING_MARKS:
+        text = F.replace(text, F.lit(mark), F.lit(""))
+    single = {special: plain for special, plain in REPLACED_CHARACTERS.items() if len(plain) == 1}
+    # translate maps characters one by one; those without a counterpart are removed.
+    text = F.translate(text, "".join(single) + BULLET_MARKS, "".join(single.values()))
     for special, plain in REPLACED_CHARACTERS.items():
-        text = _replace_all(text, [special], plain)
+        if special not in single:
+            text = F.replace(text, F.lit(special), F.lit(plain))
     return text
 
 
 def squeeze(text: Column) -> Column:
     """One space between words, none at the ends."""
-    return F.btrim(F.regexp_replace(text, WHITESPACE, " "), F.lit(" "))
+    return F.btrim(F.regexp_replace(text, f"[{WHITESPACE}]+", " "), F.lit(" "))
 
 
 def _is_prose(line: Column) -> Column:
-    return (line != "") & ~F.substring(line, 1, 1).isin(DROPPED_LINE_STARTS)
+    return (line != "") & ~F.substring(line, 1, 1).isin(list(DROPPED_LINE_STARTS))
 
 
 def clean_prose(text: Column) -> Column:
-    """Cleaned lines joined by blank lines; empty lines and list or heading lines are dropped."""
-    marked = _replace_all(normalize_marks(text), REMOVED_INLINE_MARKS)
-    lines = F.transform(F.split(marked, "\n"), squeeze)
-    return F.array_join(F.filter(lines, _is_prose), "\n\n")
+    """Cleaned lines joined by blank lines; empty lines and list or heading lines are dropped.
+
+    All steps work on the whole text, so the expression stays in generated code.
+    """
+    marked = F.translate(normalize_marks(text), INLINE_MARKS, "")
+    squeezed = F.regexp_replace(marked, f"[{IN_LINE_WHITESPACE}]+", " ")
+    starts = "".join("\\" + c for c in DROPPED_LINE_STARTS)
+    kept = F.regexp_replace(F.concat(F.lit("\n"), squeezed), f"\n ?[{starts}][^\n]*", "\n")
+    joined = F.regexp_replace(kept, " ?\n[ \n]*", "\n\n")
+    return F.btrim(joined, F.lit(" \n"))
 
 
 def paragraphs(df: DataFrame, text: str, keys: list[str]) -> DataFrame:

@@ -144,27 +144,18 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 3
         *[F.min(col(c).cast("double")).alias(f"lo_{i}") for i, c in enumerate(columns)],
         *[F.max(col(c).cast("double")).alias(f"hi_{i}") for i, c in enumerate(columns)],
     ).first()
-    entries, frames = [], []
+    binned, frames = [], []
     for i, c in enumerate(columns):
         low, high = ends[f"lo_{i}"], ends[f"hi_{i}"]
         if low is None:
             continue
         if low == high:
             low, high = low - 0.5, high + 0.5
-        width = (high - low) / bins
-        value = col(c).cast("double")
-        raw = F.least(F.floor((value - low) / (high - low) * bins), F.lit(bins - 1))
-        shifted = (
-            raw
-            - (value < low + raw * width).cast("bigint")
-            + ((value >= low + (raw + 1) * width) & (raw != bins - 1)).cast("bigint")
-        )
-        entries.append(F.when(value.isNotNull(), F.struct(F.lit(c).alias("column"), shifted.alias("bin"))))
-        frames.append(F.struct(F.lit(c).alias("column"), F.lit(low).alias("low"), F.lit(width).alias("width")))
-    counted = (
-        df.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
-        .groupBy("e.column", "e.bin").agg(F.count(F.lit(1)).alias("n"))
-    )
+        binned.append((c, _bin_number(col(c).cast("double"), low, high, bins).alias(c)))
+        frames.append(F.struct(F.lit(c).alias("column"), F.lit(low).alias("low"), F.lit((high - low) / bins).alias("width")))
+    names = [c for c, _ in binned]
+    long = df.select(*[b for _, b in binned]).unpivot([], [col(c) for c in names], "column", "bin")
+    counted = long.where("bin IS NOT NULL").groupBy("column", "bin").agg(F.count(F.lit(1)).alias("n"))
     grid = (
         df.sparkSession.range(1).select(F.inline(F.array(*frames)))
         .withColumn("bin", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint"))))
@@ -177,6 +168,15 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 3
     )
 
 
+def _bin_number(value: Column, low: float, high: float, bins: int) -> Column:
+    """Bin by division, moved by one where the division rounds across a bin's end."""
+    width = (high - low) / bins
+    raw = F.least(F.floor((value - low) / (high - low) * bins), F.lit(bins - 1))
+    early = (value < low + raw * width).cast("bigint")
+    late = ((value >= low + (raw + 1) * width) & (raw != bins - 1)).cast("bigint")
+    return raw - early + late
+
+
 def feature_statistics(df: DataFrame, target: str | None = None, columns: Sequence[str] | None = None) -> DataFrame:
     """Location, spread, and bias-corrected skewness and excess kurtosis of the first ten numbers."""
     columns = [c for c in (columns or column_kinds(df).numeric) if c != target][:10]

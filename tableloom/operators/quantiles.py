@@ -1,9 +1,9 @@
 """Exact interpolated quantiles of whole columns at any row count.
 
-``percentile`` keeps one value-to-count map per column in a single task, which is fine up to a few
-million rows. Beyond that each quantile is bracketed by approximate percentiles, the brackets are
-checked by counting, and only rows inside a bracket are looked at again. A bracket shrinks by about
-accuracy / 4 per pass, so a trillion rows need three or four scans and no shuffle of the rows.
+``percentile`` keeps a value-to-count map per column in a single task, which is fine for few rows or
+few distinct values. Otherwise each quantile is bracketed by approximate percentiles, the brackets
+are checked by counting, and only rows inside a bracket are looked at again. A bracket shrinks by
+about accuracy / 4 per pass, so a trillion rows need three or four scans and no shuffle of the rows.
 """
 
 from __future__ import annotations
@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 
 from tableloom.functions.columns import col
 
-DIRECT_ROWS = 2_000_000
+DIRECT_ROWS = 100_000
+FEW_VALUES = 20_000
 BRACKET_VALUES = 200_000
-ACCURACY = 10_000
+ACCURACY, COARSE_ACCURACY = 10_000, 1_000
+COARSE_ROWS = 50_000_000
 COLUMNS_PER_JOB = 50
 
 
@@ -53,7 +55,8 @@ def quantiles(
     found = _one_pass(df, small, lambda c: F.percentile(c, probs)) if small else {}
     for start in range(0, len(large), COLUMNS_PER_JOB):
         part = large[start : start + COLUMNS_PER_JOB]
-        found |= narrowed_quantiles(df, part, probs, counts)
+        coarse = max(counts[c] for c in part) <= COARSE_ROWS
+        found |= narrowed_quantiles(df, part, probs, counts, COARSE_ACCURACY if coarse else ACCURACY)
     return {c: found[c] if found[c] is not None else [None] * len(probs) for c in columns}
 
 
@@ -86,25 +89,36 @@ def narrowed_quantiles(
     counts: Mapping[str, int],
     accuracy: int = ACCURACY,
     bracket_values: int = BRACKET_VALUES,
+    few_values: int = FEW_VALUES,
 ) -> dict[str, list[float]]:
-    ends = df.agg(
-        *[F.min(_as_double(c)).alias(f"lo_{i}") for i, c in enumerate(columns)],
-        *[F.max(_as_double(c)).alias(f"hi_{i}") for i, c in enumerate(columns)],
-    ).first()
+    guesses = [g for p in probs for g in _around(p, p, accuracy)]
+    measures = []
+    for i, c in enumerate(columns):
+        value = _as_double(c)
+        measures += [
+            F.percentile_approx(value, guesses, accuracy).alias(f"g_{i}"), F.approx_count_distinct(value).alias(f"d_{i}"),
+            F.min(value).alias(f"lo_{i}"), F.max(value).alias(f"hi_{i}"),
+        ]
+    seen = df.agg(*measures).first()
+    few = [c for i, c in enumerate(columns) if seen[f"d_{i}"] <= few_values]
+    result = _one_pass(df, few, lambda v: F.percentile(v, list(probs))) if few else {}
     brackets: dict[tuple[str, float], _Bracket] = {}
+    first_guess = []
     for i, c in enumerate(columns):
-        for p in probs:
+        if c in few:
+            continue
+        for j, p in enumerate(probs):
             position = (counts[c] - 1) * p
             brackets[c, p] = _Bracket(
-                c, math.floor(position), math.ceil(position),
-                ends[f"lo_{i}"], ends[f"hi_{i}"], 0, counts[c], counts[c],
+                c, math.floor(position), math.ceil(position), seen[f"lo_{i}"], seen[f"hi_{i}"], 0, counts[c], counts[c]
             )
-    pending = [b for b in brackets.values() if b.low < b.high and b.distinct > bracket_values]
-    while pending:
-        _narrow(df, pending, accuracy)
-        pending = [b for b in pending if b.low < b.high and b.distinct > bracket_values]
+            first_guess.append((seen[f"g_{i}"][2 * j], seen[f"g_{i}"][2 * j + 1]))
+    pending = list(brackets.values())
+    if pending:
+        _confirm(df, pending, first_guess)
+    while pending := [b for b in pending if b.low < b.high and b.distinct > bracket_values]:
+        _confirm(df, pending, _guess(df, pending, accuracy))
     values = _values_at_ranks(df, list(brackets.values()))
-    result: dict[str, list[float]] = {}
     for (c, p), bracket in brackets.items():
         lower, upper = values[c, bracket.first], values[c, bracket.last]
         share = (counts[c] - 1) * p - bracket.first
@@ -112,30 +126,35 @@ def narrowed_quantiles(
     return result
 
 
-def _narrow(df: DataFrame, pending: list[_Bracket], accuracy: int) -> None:
-    """Shrink every bracket by approximate percentiles and keep only the ends that counting confirms."""
-    guesses = []
+def _around(low: float, high: float, accuracy: int) -> list[float]:
+    """Percentages surely outside the wanted ones, given the error of an approximate percentile."""
+    margin = 2.0 / accuracy
+    return [max(low - margin, 0.0), min(high + margin, 1.0)]
+
+
+def _guess(df: DataFrame, pending: list[_Bracket], accuracy: int) -> list[tuple[float, float]]:
+    measures = []
     for i, b in enumerate(pending):
-        margin = 2.0 / accuracy
         span = max(b.inside - 1, 1)
-        low = max((b.first - b.below) / span - margin, 0.0)
-        high = min((b.last - b.below) / span + margin, 1.0)
+        ends = _around((b.first - b.below) / span, (b.last - b.below) / span, accuracy)
         inside = F.when(b.holds(), _as_double(b.column))
-        guesses.append(F.percentile_approx(inside, [low, high], accuracy).alias(f"g_{i}"))
-    guess = df.agg(*guesses).first()
+        measures.append(F.percentile_approx(inside, ends, accuracy).alias(f"g_{i}"))
+    row = df.agg(*measures).first()
+    return [tuple(row[f"g_{i}"]) for i in range(len(pending))]
+
+
+def _confirm(df: DataFrame, pending: list[_Bracket], guesses: list[tuple[float, float]]) -> None:
+    """Shrink every bracket to its guessed ends, keeping only the ends that counting confirms."""
     checks = []
-    for i, b in enumerate(pending):
-        low, high = guess[f"g_{i}"]
-        value = _as_double(b.column)
-        within = b.holds()
+    for i, (b, (low, high)) in enumerate(zip(pending, guesses)):
+        value, within = _as_double(b.column), b.holds()
         checks += [
             F.count_if(within & (value < low)).alias(f"below_{i}"),
             F.count_if(within & (value > high)).alias(f"above_{i}"),
             F.approx_count_distinct(F.when(value.between(low, high), value)).alias(f"distinct_{i}"),
         ]
     seen = df.agg(*checks).first()
-    for i, b in enumerate(pending):
-        low, high = guess[f"g_{i}"]
+    for i, (b, (low, high)) in enumerate(zip(pending, guesses)):
         below, above = seen[f"below_{i}"], seen[f"above_{i}"]
         low_holds = b.below + below <= b.first
         high_holds = b.below + b.inside - above > b.last

@@ -17,12 +17,12 @@ def frames(spark):
     }
 
 
-@pytest.mark.parametrize("accuracy,bracket", [(20, 5), (100, 50), (10, 1)])
-def test_narrowing_is_exact(spark, accuracy, bracket):
+@pytest.mark.parametrize("accuracy,bracket,few", [(20, 5, 0), (100, 50, 10)])
+def test_narrowing_is_exact(spark, accuracy, bracket, few):
     data = frames(spark)
     df = spark.createDataFrame(list(zip(*[v.tolist() for v in data.values()])), list(data)).repartition(5)
     counts = present_counts(df, list(data))
-    found = narrowed_quantiles(df, list(data), PROBS, counts, accuracy, bracket)
+    found = narrowed_quantiles(df, list(data), PROBS, counts, accuracy, bracket, few)
     for name, values in data.items():
         assert found[name] == pytest.approx(np.quantile(values, PROBS).tolist(), rel=1e-12), name
 
