@@ -102,12 +102,12 @@ def _(spark, sf):
 
 
 @check("c7_iqr_capping", f"""
-SELECT event_id, round(greatest(v.lo, least(v.hi, value)), 6) AS value, round(greatest(e.lo, least(e.hi, energy)), 3) AS energy, user_id
+SELECT event_id, round(greatest(v.lo, least(v.hi, value)), 6) AS value, round(greatest(e.lo, least(e.hi, energy)), 5) AS energy, user_id
 FROM {EVENTS}, {fence_sql('value', EVENTS)} v, {fence_sql('energy', EVENTS)} e""")
 def _(spark, sf):
     df = events(spark, sf)
     capped = clean.fit_iqr(df, ["value", "energy"]).transform(df)
-    return rounded(capped.withColumn("energy", F.rint(F.col("energy") * 1000) / 1000))
+    return rounded(capped.withColumn("energy", F.rint(F.col("energy") * 1e5) / 1e5))
 
 
 @check("c8_zscore_outlier_counts", stacked([f"""

@@ -19,13 +19,13 @@ WHITESPACE = "\\t\\n\\u000b\\f\\r\\u001c-\\u001f \\u0085\\u00a0\\u1680\\u2000-\\
 IN_LINE_WHITESPACE = WHITESPACE.replace("\\n", "")
 
 
-def normalize_marks(text: Column) -> Column:
+def normalize_marks(text: Column, removed: str = BULLET_MARKS) -> Column:
     """Remove heading, bold and bullet marks and write special characters plainly."""
     for mark in HEADING_MARKS:
         text = F.replace(text, F.lit(mark), F.lit(""))
     single = {special: plain for special, plain in REPLACED_CHARACTERS.items() if len(plain) == 1}
     # translate maps characters one by one; those without a counterpart are removed.
-    text = F.translate(text, "".join(single) + BULLET_MARKS, "".join(single.values()))
+    text = F.translate(text, "".join(single) + removed, "".join(single.values()))
     for special, plain in REPLACED_CHARACTERS.items():
         if special not in single:
             text = F.replace(text, F.lit(special), F.lit(plain))
@@ -46,8 +46,11 @@ def clean_prose(text: Column) -> Column:
 
     All steps work on the whole text, so the expression stays in generated code.
     """
-    marked = F.translate(normalize_marks(text), INLINE_MARKS, "")
-    squeezed = F.regexp_replace(marked, f"[{IN_LINE_WHITESPACE}]+", " ")
+    marked = normalize_marks(text, BULLET_MARKS + INLINE_MARKS)
+    # Most texts have single spaces only; finding that out is cheaper than rewriting every space.
+    uneven = f"[{IN_LINE_WHITESPACE.replace(' ', '')}]|  "
+    runs = F.regexp_replace(marked, f"[{IN_LINE_WHITESPACE}]+", " ")
+    squeezed = F.when(marked.rlike(uneven), runs).otherwise(marked)
     starts = "".join("\\" + c for c in DROPPED_LINE_STARTS)
     kept = F.regexp_replace(F.concat(F.lit("\n"), squeezed), f"\n ?[{starts}][^\n]*", "\n")
     joined = F.regexp_replace(kept, " ?\n[ \n]*", "\n\n")

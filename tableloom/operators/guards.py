@@ -60,6 +60,10 @@ class Verdict:
 
 
 def judge(train: DataFrame, target: str, task: str) -> Verdict:
+    if task != "classification":
+        # Only the rows matter here, so a continuous target is not grouped.
+        rows = train.count()
+        return Verdict(rows, 0, 0, "too_few_rows" if rows < MIN_TRAIN_ROWS else "ok")
     return Verdict(**training_verdict(train, target, task).first().asDict())
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +13,7 @@ from pyspark.sql import types as T
 from tableloom.functions.columns import col, column_kinds
 from tableloom.operators.levels import level_summary, value_counts
 from tableloom.operators.quantiles import quantiles
+from tableloom.session import local_table
 
 MEASURES_PER_JOB = 200
 
@@ -62,22 +65,29 @@ def missing_ranking(df: DataFrame) -> DataFrame:
     return table.where("missing > 0").orderBy(F.desc("missing"), "column")
 
 
+def _numbers_row(df: DataFrame, columns: Sequence[str], measures: dict):
+    """Several measures of several columns in one aggregate, by (measure, column)."""
+    row = df.agg(*[
+        measure(col(c).cast("double")).alias(f"{name}_{i}") for i, c in enumerate(columns) for name, measure in measures.items()
+    ]).first()
+    return {(name, c): row[f"{name}_{i}"] for i, c in enumerate(columns) for name in measures}
+
+
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, extremes and quartiles of the numeric columns."""
     columns = list(columns or column_kinds(df).numeric)
-    wide = df.agg(*[
-        measure(col(c).cast("double")).alias(f"{name}_{i}")
-        for i, c in enumerate(columns)
-        for name, measure in [("count", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max)]
-    ])
-    found = quantiles(df, columns, [0.25, 0.5, 0.75])
-    return long_table(wide, [
-        [("column", F.lit(c))]
-        + [(name, F.col(f"{name}_{i}")) for name in ("count", "mean", "std", "min")]
-        + [(name, F.lit(found[c][j]).cast("double")) for j, name in enumerate(("q25", "q50", "q75"))]
-        + [("max", F.col(f"max_{i}"))]
-        for i, c in enumerate(columns)
-    ])
+    seen = _numbers_row(df, columns, {
+        "count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max,
+    })
+    found = quantiles(df, columns, [0.25, 0.5, 0.75], {c: seen["count", c] for c in columns})
+    doubles = {name: [seen[name, c] for c in columns] for name in ("mean", "std", "min")}
+    doubles |= {name: [found[c][j] for c in columns] for j, name in enumerate(("q25", "q50", "q75"))}
+    doubles["max"] = [seen["max", c] for c in columns]
+    return local_table(
+        df.sparkSession, column=pa.array(columns, pa.string()),
+        count=pa.array([seen["count", c] for c in columns], pa.int64()),
+        **{name: pa.array(values, pa.float64()) for name, values in doubles.items()},
+    )
 
 
 def categorical_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -180,25 +190,30 @@ def _bin_number(value: Column, low: float, high: float, bins: int) -> Column:
 def feature_statistics(df: DataFrame, target: str | None = None, columns: Sequence[str] | None = None) -> DataFrame:
     """Location, spread, and bias-corrected skewness and excess kurtosis of the first ten numbers."""
     columns = [c for c in (columns or column_kinds(df).numeric) if c != target][:10]
-    measures = [
-        ("n", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max),
-        ("g1", F.skewness), ("g2", F.kurtosis),
-    ]
-    wide = df.agg(*[m(col(c).cast("double")).alias(f"{name}_{i}") for i, c in enumerate(columns) for name, m in measures])
-    medians = quantiles(df, columns, [0.5])
-    rows = []
-    for i, c in enumerate(columns):
-        n = F.col(f"n_{i}").cast("double")
-        g1, g2 = F.coalesce(F.col(f"g1_{i}"), F.lit(0.0)), F.col(f"g2_{i}")
-        skewness = F.when(n > 2, g1 * F.sqrt(n * (n - 1)) / (n - 2))
-        corrected = (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6)
-        kurtosis = F.when(n > 3, F.when(g2.isNull(), 0.0).otherwise(corrected))
-        rows.append([
-            ("column", F.lit(c)), ("mean", F.col(f"mean_{i}")), ("median", F.lit(medians[c][0]).cast("double")),
-            ("std", F.col(f"std_{i}")), ("min", F.col(f"min_{i}")), ("max", F.col(f"max_{i}")),
-            ("skewness", skewness), ("kurtosis", kurtosis),
-        ])
-    return long_table(wide, rows)
+    seen = _numbers_row(df, columns, {
+        "n": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max,
+        "g1": F.skewness, "g2": F.kurtosis,
+    })
+    medians = quantiles(df, columns, [0.5], {c: seen["n", c] for c in columns})
+    values = {name: [seen[name, c] for c in columns] for name in ("mean", "std", "min", "max")}
+    values["median"] = [medians[c][0] for c in columns]
+    values["skewness"] = [corrected_skewness(seen["n", c], seen["g1", c]) for c in columns]
+    values["kurtosis"] = [corrected_kurtosis(seen["n", c], seen["g2", c]) for c in columns]
+    order = ("mean", "median", "std", "min", "max", "skewness", "kurtosis")
+    return local_table(
+        df.sparkSession, column=pa.array(columns, pa.string()), **{name: pa.array(values[name], pa.float64()) for name in order}
+    )
+
+
+def corrected_skewness(n: int, g1: float | None) -> float | None:
+    """Bias-corrected; 0 for a column that does not vary, None below three values."""
+    return None if n < 3 else (g1 or 0.0) * math.sqrt(n * (n - 1)) / (n - 2)
+
+
+def corrected_kurtosis(n: int, g2: float | None) -> float | None:
+    if n < 4:
+        return None
+    return 0.0 if g2 is None else (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6)
 
 
 def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -75,10 +75,6 @@ class PreparePlan:
         """The table the plan was fitted on, transformed; it reads the kept de-duplicated rows."""
         return self.fitted
 
-    def release(self) -> None:
-        """Free the kept rows once the fitted table is no longer read."""
-        self.deduplicated.unpersist()
-
     def metadata(self) -> DataFrame:
         """Everything recorded at fit time: stage, column, metric, value (as text)."""
         parts = zip(METADATA_COLUMNS, zip(*self.metadata_rows))

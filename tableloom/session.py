@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+_kept_paths: list[str] = []
+
 
 def build_session(app: str = "tableloom", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -54,10 +56,20 @@ def materialize(df: DataFrame) -> DataFrame:
     if checkpoint_dir(spark) is None:
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     path = scratch_path(spark, "kept")
+    _kept_paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear_kept(spark: SparkSession) -> int:
+    """Delete the tables ``materialize`` wrote; call it when no result reading them is used any more."""
+    jvm, removed = spark.sparkContext._jvm, 0
+    while _kept_paths:
+        path = jvm.org.apache.hadoop.fs.Path(_kept_paths.pop())
+        removed += bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
+    return removed
+
+
 def spread(df: DataFrame, *columns: str) -> DataFrame:
     """Give a small frame whose rows are costly to compute (model scores) one partition per core."""
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *columns)

@@ -80,3 +80,22 @@ def test_kinds(spark):
 def test_infer_keeps_typed_columns(spark):
     df = spark.createDataFrame([(1, "2")], "a int, b string")
     assert infer_types(df).schema.simpleString() == "struct<a:int,b:bigint>"
+
+
+def test_kept_tables_can_be_cleared(spark, tmp_path, monkeypatch):
+    from tableloom import session
+
+    monkeypatch.setattr(session, "checkpoint_dir", lambda _: str(tmp_path))
+    monkeypatch.setattr(session, "_kept_paths", [])
+    kept = session.materialize(spark.range(5))
+    assert kept.count() == 5 and len(list(tmp_path.iterdir())) == 1
+    assert session.clear_kept(spark) == 1 and not list(tmp_path.iterdir())
+
+
+def test_without_a_shared_folder_rows_are_persisted(spark, monkeypatch):
+    from tableloom import session
+
+    monkeypatch.setattr(session, "checkpoint_dir", lambda _: None)
+    kept = session.materialize(spark.range(3))
+    assert kept.storageLevel.useDisk and kept.count() == 3
+    kept.unpersist()
