@@ -30,6 +30,7 @@ REGRESSORS = ["RandomForest", "GradientBoosting", "Ridge", "Lasso"]
 FEATURES, LABEL = "_features", "_label"
 CLOSED_FORM_FEATURES = 4096
 CELLS_PER_PARTITION = 200_000
+INLINE_FEATURES = 500
 
 
 @dataclass(frozen=True)
@@ -145,6 +146,10 @@ class TrainedModel:
 
     def predict(self, df: DataFrame, name: str = "prediction") -> DataFrame:
         """All columns of ``df`` and the predicted value (a class in its own type)."""
+        if hasattr(self.model, "coefficients") and not self.labels.values and len(self.features) <= INLINE_FEATURES:
+            # A linear prediction is a plain sum, which stays in generated code.
+            terms = [F.lit(float(w)) * col(c).cast("double") for w, c in zip(self.model.coefficients, self.features)]
+            return df.withColumn(name, sum(terms, F.lit(float(self.model.intercept))))
         vectors = assembled(df, self.features, [col(c) for c in df.columns])
         scored = self.model.transform(vectors)
         return scored.select(*[col(c) for c in df.columns], self.labels.restore(F.col("prediction")).alias(name))
@@ -214,15 +219,18 @@ class Prepared:
 
 def prepare_vectors(
     df: DataFrame, target: str, task: str, features: Sequence[str], labels: Labels | None = None,
-    sizes: ModelSizes | None = None, fold: str | None = None,
+    sizes: ModelSizes | None = None, fold: str | None = None, keep: bool = True,
 ) -> Prepared:
+    """Vectors and labels; kept in memory and disk unless the training reads them only once or twice."""
     labels = labels or fit_labels(df, target, task)
     kept = [labels.index(target).alias(LABEL)] + ([col(fold)] if fold else [])
-    rows = assembled(df, features, kept).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = assembled(df, features, kept)
+    if keep:
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(LABEL).alias("deviation")).first()
     cores = df.sparkSession.sparkContext.defaultParallelism
     wanted = min(cores, size["n"] * len(features) // CELLS_PER_PARTITION)
-    if rows.rdd.getNumPartitions() < wanted:
+    if keep and rows.rdd.getNumPartitions() < wanted:
         # Fewer partitions than cores: spread the rows once for the many passes of training.
         few, rows = rows, rows.repartition(wanted).persist(StorageLevel.MEMORY_AND_DISK)
         rows.count()
@@ -235,7 +243,8 @@ def train(
     keys: Sequence[str] = (), sizes: ModelSizes | None = None,
 ) -> TrainedModel:
     features = list(features or trainable_features(df, [target, *keys]))
-    prepared = prepare_vectors(df, target, task, features, sizes=sizes)
+    one_pass = name == "Ridge" and len(features) <= CLOSED_FORM_FEATURES
+    prepared = prepare_vectors(df, target, task, features, sizes=sizes, keep=not one_pass)
     try:
         return prepared.fit(name)
     finally:
@@ -255,18 +264,27 @@ def cross_validate(
     prepared: Prepared, names: Sequence[str], fold: str, folds: int, parallel: int = 4
 ) -> dict[str, list[float] | Exception]:
     """Scores per model and fold. The fits are independent jobs, so several run side by side."""
-    tasks = [(name, number) for name in names for number in range(folds)]
+    return _fold_scores(names, folds, _in_parallel(prepared, _fold_task(prepared, fold), _fold_tasks(names, folds), parallel))
 
-    def run(task):
+
+def _fold_tasks(names: Sequence[str], folds: int) -> list[tuple[str, int]]:
+    return [(name, number) for name in names for number in range(folds)]
+
+
+def _fold_task(prepared: Prepared, fold: str):
+    def run(task: tuple[str, int]) -> float | Exception:
         try:
             return fold_score(prepared, task[0], fold, task[1])
         except Exception as error:  # one failing fold only costs its own model the folds
             return error
 
-    scores = _in_parallel(prepared, run, tasks, parallel)
+    return run
+
+
+def _fold_scores(names: Sequence[str], folds: int, scores: list) -> dict[str, list[float] | Exception]:
     result: dict[str, list[float] | Exception] = {}
-    for name in names:
-        own = [s for (n, _), s in zip(tasks, scores) if n == name]
+    for i, name in enumerate(names):
+        own = scores[i * folds : (i + 1) * folds]
         failed = [s for s in own if isinstance(s, Exception)]
         result[name] = failed[0] if failed else own
     return result
@@ -324,7 +342,7 @@ def run_tournament(
     try:
         n_test = test.count()
 
-        def run(name):
+        def fit(name):
             try:
                 trained = prepared.fit(name)
                 return trained, evaluate(trained.model.transform(test), LABEL, "prediction", task).first().asDict()
@@ -332,11 +350,17 @@ def run_tournament(
                 log.warning("%s was not trained: %s", name, error)
                 return None
 
-        fitted = dict(zip(names, _in_parallel(prepared, run, names, parallel)))
+        # The final fits and all folds share one pool, so a slow model does not hold the others up.
+        fold_tasks = _fold_tasks(names, folds)
+        score = _fold_task(prepared, fold)
+        results = _in_parallel(
+            prepared, lambda task: fit(task) if isinstance(task, str) else score(task), [*names, *fold_tasks], parallel
+        )
+        fitted = dict(zip(names, results))
+        scores = _fold_scores(names, folds, results[len(names):]) if folds else {}
         trained_names = [n for n in names if fitted[n] is not None]
         if not trained_names:
             raise RuntimeError("no model could be trained")
-        scores = cross_validate(prepared, trained_names, fold, folds, parallel) if folds else {}
         rows, best, best_score = [], None, -math.inf
         for ordinal, name in enumerate(trained_names):
             trained, metrics = fitted[name]

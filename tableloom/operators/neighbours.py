@@ -180,9 +180,15 @@ class NeighbourFill:
         ])
 
     def _ranked(self, candidates: DataFrame) -> DataFrame:
-        """Running donor count per row and column; each task sent at most k candidates."""
-        order = Window.partitionBy("rid", "c").orderBy("distance", "value").rowsBetween(Window.unboundedPreceding, 0)
-        return candidates.withColumn("reached", F.sum("n").over(order))
+        """Running donor count per row and column over its k nearest candidates.
+
+        The row number limit is applied before the shuffle too, so a row that met many chunks does
+        not bring all their candidates to one task.
+        """
+        order = Window.partitionBy("rid", "c").orderBy("distance", "value")
+        nearest = candidates.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= self.k)
+        running = order.rowsBetween(Window.unboundedPreceding, 0)
+        return nearest.drop("_place").withColumn("reached", F.sum("n").over(running))
 
     def _assigned(self, items: DataFrame) -> DataFrame:
         """Pair each item with the cells to search: without a radius its nearest cells that hold k
