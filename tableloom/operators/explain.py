@@ -25,6 +25,9 @@ from tableloom.session import local_table, materialize, spread
 
 ALL_SUBSETS_FEATURES = 8
 
+# Fixed value: the sentence a feature's direction is reported in.
+DIRECTION_TEXT = "Feature '%s' has average SHAP importance of %.4f. On average, this feature %s predictions."
+
 
 def _vector(features: Sequence[str]) -> Column:
     return F.array(*[col(c).cast("double") for c in features])
@@ -161,10 +164,7 @@ def directions(shapley: DataFrame, top: int = 10) -> DataFrame:
         F.avg(F.abs("shapley_value")).alias("importance"), F.avg("shapley_value").alias("mean_value")
     )
     verb = F.when(F.col("mean_value") > 0, "increases").otherwise("decreases")
-    text = F.format_string(
-        "Feature '%s' has average SHAP importance of %.4f. On average, this feature %s predictions.",
-        "feature", "importance", verb,
-    )
+    text = F.format_string(DIRECTION_TEXT, "feature", "importance", verb)
     return found.orderBy(F.desc("importance"), "feature").limit(top).select(
         "feature", "importance", verb.alias("direction"), text.alias("explanation")
     )
@@ -203,8 +203,8 @@ def local_surrogates(
 
     chosen = materialize(sample_rows(df, keys, instances, seed))
     predicted = model.predict(chosen).select(
-        _instance(keys).alias("instance"), col("prediction").cast("double").alias("prediction"),
-        col(target).cast("double").alias("actual"),
+        _instance(keys).alias("instance"), model.labels.number("prediction").alias("prediction"),
+        model.labels.number(target).alias("actual"),
     )
     rows = materialize(chosen.select(
         _instance(keys).alias("instance"), _vector(features).alias("x"),

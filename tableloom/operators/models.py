@@ -31,6 +31,7 @@ FEATURES, LABEL = "_features", "_label"
 CLOSED_FORM_FEATURES = 4096
 CELLS_PER_PARTITION = 200_000
 INLINE_FEATURES = 500
+MAX_LABELS = 10_000
 
 
 @dataclass(frozen=True)
@@ -55,34 +56,41 @@ def trainable_features(df: DataFrame, exclude: Sequence[str]) -> list[str]:
 
 @dataclass(frozen=True)
 class Labels:
-    """Class values in sorted order; empty for regression."""
+    """Class values in sorted order with their texts and type; empty for regression."""
 
-    values: list[Any]
+    values: list[Any] = field(default_factory=list)
+    texts: list[str] = field(default_factory=list)
+    type: T.DataType | None = None
+
+    @property
+    def numeric(self) -> bool:
+        return not self.values or isinstance(self.type, (T.NumericType, T.BooleanType))
 
     def index(self, target: str) -> Column:
         if not self.values:
             return col(target).cast("double")
-        pairs = [F.lit(x) for i, v in enumerate(self.values) for x in (str(v), float(i))]
-        return F.try_element_at(F.create_map(*pairs), self._text(target))
-
-    def _text(self, target: str) -> Column:
-        if isinstance(self.values[0], bool):
-            return F.when(col(target), "True").otherwise("False")
-        return col(target).cast("string")
+        pairs = [F.lit(x) for i, text in enumerate(self.texts) for x in (text, float(i))]
+        return F.try_element_at(F.create_map(*pairs), col(target).cast("string"))
 
     def restore(self, index: Column) -> Column:
         if not self.values:
             return index
-        return F.element_at(F.array(*[F.lit(v) for v in self.values]), index.cast("int") + 1)
+        return F.element_at(F.array(*[F.lit(v).cast(self.type) for v in self.values]), index.cast("int") + 1)
+
+    def number(self, name: str) -> Column:
+        """The class itself as a number, or its position where it is a text."""
+        return col(name).cast("double") if self.numeric else self.index(name)
 
 
 def fit_labels(df: DataFrame, target: str, task: str) -> Labels:
     if task != "classification":
-        return Labels([])
-    rows = df.select(col(target).alias("y")).where("y is not null").distinct().limit(10_001).collect()
-    if len(rows) > 10_000:
-        raise ValueError(f"{target!r} has more than 10000 classes")
-    return Labels(sorted(r["y"] for r in rows))
+        return Labels()
+    distinct = df.select(col(target).alias("y")).where("y IS NOT NULL").distinct()
+    rows = distinct.select("y", F.col("y").cast("string").alias("text")).limit(MAX_LABELS + 1).collect()
+    if len(rows) > MAX_LABELS:
+        raise ValueError(f"{target!r} has more than {MAX_LABELS} classes")
+    rows.sort(key=lambda r: r["y"])
+    return Labels([r["y"] for r in rows], [r["text"] for r in rows], df.schema[target].dataType)
 
 
 def assembled(df: DataFrame, features: Sequence[str], keep: Sequence[Column | str]) -> DataFrame:

@@ -106,6 +106,18 @@ def test_text_and_boolean_labels_come_back_in_their_type(spark):
         assert out.where(F.col("prediction") == F.col(target)).count() > 90
 
 
+def test_large_double_labels_and_text_surrogates(spark):
+    df, *_ = frame(spark, 100, 2)
+    large = df.withColumn("label", F.when(F.col("label") == 1, 1e10).otherwise(2.5))
+    trained = models.train(large, "label", "classification", "LogisticRegression", ["f1", "f2", "f3"])
+    assert trained.labels.values == [2.5, 1e10]
+    assert trained.predict(large).where("prediction = label").count() > 75
+    named = df.withColumn("label", F.when(F.col("label") == 1, "yes").otherwise("no"))
+    trained = models.train(named, "label", "classification", "LogisticRegression", ["f1", "f2", "f3"])
+    local = explain.local_surrogates(trained, named, ["id"], "label", instances=2, samples=60).collect()
+    assert {r["actual"] for r in local} <= {0.0, 1.0}
+
+
 def test_failing_model_is_skipped_and_none_left_is_an_error(spark):
     df, *_ = frame(spark, 60)
     parts = df.randomSplit([0.8, 0.2], 1)

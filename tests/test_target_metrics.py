@@ -54,3 +54,13 @@ def test_constant_truth(spark, predicted, expected):
 def test_task(spark, expression, expected):
     df = spark.range(2000).select(F.expr(expression).alias("y"))
     assert task_of(df, "y") == expected
+
+
+def test_estimate_settles_a_clearly_continuous_target(spark, monkeypatch):
+    from tableloom.operators import target
+
+    df = spark.range(5000).select(F.col("id").cast("double").alias("wide"), (F.col("id") % 3).alias("narrow"))
+    monkeypatch.setattr(target, "SMALL_TARGET", 0)
+    assert target.task_of(df, "narrow") == "classification"
+    monkeypatch.setattr(target, "detect_task", None)
+    assert target.task_of(df, "wide") == "regression"
