@@ -275,13 +275,19 @@ def _(spark, sf):
 
 
 # Ridge with two features has a closed form: (S + I) w = s over centred sums.
-RIDGE_SQL = f"""
+LINE_HASH = "md5(concat_ws('|', '{seed}', CAST(l_orderkey AS VARCHAR), CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)))"
+RIDGE = f"""
 WITH c AS (SELECT {KEY_LIST}, l_extendedprice / 1000 AS y, l_quantity AS a, l_tax * 100 AS b,
  avg(l_extendedprice / 1000) OVER () AS my, avg(l_quantity) OVER () AS ma, avg(l_tax * 100) OVER () AS mb FROM lineitem),
 s AS (SELECT sum((a - ma) * (a - ma)) + 1 AS aa, sum((b - mb) * (b - mb)) + 1 AS bb, sum((a - ma) * (b - mb)) AS ab,
  sum((a - ma) * (y - my)) AS ya, sum((b - mb) * (y - my)) AS yb FROM c),
-w AS (SELECT (ya * bb - yb * ab) / (aa * bb - ab * ab) AS wa, (yb * aa - ya * ab) / (aa * bb - ab * ab) AS wb FROM s)
-SELECT {KEY_LIST}, round(my + wa * (a - ma) + wb * (b - mb), 4) AS prediction FROM c, w"""
+w AS (SELECT (ya * bb - yb * ab) / (aa * bb - ab * ab) AS wa, (yb * aa - ya * ab) / (aa * bb - ab * ab) AS wb FROM s),
+p AS (SELECT *, my + wa * (a - ma) + wb * (b - mb) AS prediction FROM c, w),
+background AS (SELECT avg(a) AS ga, avg(b) AS gb, avg(prediction) AS base FROM (SELECT * FROM p ORDER BY {LINE_HASH.format(seed=43)} LIMIT 50)),
+sample AS (SELECT *, concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS instance FROM p ORDER BY {LINE_HASH.format(seed=42)} LIMIT 100)
+"""
+RIDGE_SHAPLEY = f"""{RIDGE} SELECT instance, 'a' AS feature, a AS feature_value, wa * (a - ga) AS shapley_value FROM sample, background
+UNION ALL SELECT instance, 'b', b, wb * (b - gb) FROM sample, background"""
 
 
 def line_numbers(spark, sf):
@@ -289,11 +295,38 @@ def line_numbers(spark, sf):
         *LINE_KEYS, (F.col("l_extendedprice") / 1000).alias("y"), F.col("l_quantity").alias("a"), (F.col("l_tax") * 100).alias("b"))
 
 
-@check("e11_ridge", RIDGE_SQL)
+def ridge(df):
+    return models.train(df, "y", "regression", "Ridge", ["a", "b"])
+
+
+@check("e11_ridge", f"{RIDGE} SELECT {KEY_LIST}, round(prediction, 4) AS prediction FROM p")
+def _(spark, sf):
+    df = line_numbers(spark, sf)
+    return rounded(ridge(df).predict(df).select(*LINE_KEYS, "prediction"), 4)
+
+
+@check("e17_importance_ridge", f"""{RIDGE} SELECT 'Ridge' AS model, feature, CAST(row_number() OVER (ORDER BY importance DESC) AS INTEGER) AS rank,
+ round(importance, 6) AS importance FROM (SELECT 'a' AS feature, abs(wa) AS importance FROM w UNION ALL SELECT 'b', abs(wb) FROM w)""")
+def _(spark, sf):
+    return rounded(ridge(line_numbers(spark, sf)).importance(spark))
+
+
+@check("f2_shapley_ridge", f"SELECT instance, feature, round(feature_value, 6) AS feature_value, round(shapley_value, 6) AS shapley_value FROM ({RIDGE_SHAPLEY})")
 def _(spark, sf):
     df = line_numbers(spark, sf)
-    trained = models.train(df, "y", "regression", "Ridge", ["a", "b"])
-    return rounded(trained.predict(df).select(*LINE_KEYS, "prediction"), 4)
+    return rounded(explain.shapley_values(ridge(df), df, LINE_KEYS))
+
+
+@check("f3_base_value_ridge", f"{RIDGE} SELECT round(base, 4) AS base_value FROM background")
+def _(spark, sf):
+    df = line_numbers(spark, sf)
+    return rounded(explain.base_value(ridge(df), explain.background_rows(df, LINE_KEYS, ["a", "b"], 50, 42)), 4)
+
+
+@check("f4_global_importance_ridge", f"SELECT feature, round(avg(abs(shapley_value)), 6) AS importance FROM ({RIDGE_SHAPLEY}) GROUP BY feature")
+def _(spark, sf):
+    df = line_numbers(spark, sf)
+    return rounded(explain.global_importance(explain.shapley_values(ridge(df), df, LINE_KEYS)))
 
 
 # Lasso with one feature: the covariance is shrunk by the penalty.
@@ -359,10 +392,7 @@ def _(spark, sf):
 
 # --- F: explanations --------------------------------------------------------------------------------
 
-LINE_HASH = "md5(concat_ws('|', '42', CAST(l_orderkey AS VARCHAR), CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)))"
-
-
-@check("f1_row_sample", f"SELECT {KEY_LIST}, l_quantity FROM lineitem ORDER BY {LINE_HASH} LIMIT 100")
+@check("f1_row_sample", f"SELECT {KEY_LIST}, l_quantity FROM lineitem ORDER BY {LINE_HASH.format(seed=42)} LIMIT 100")
 def _(spark, sf):
     return split.sample_rows(table(spark, sf, "lineitem").select(*LINE_KEYS, "l_quantity"), LINE_KEYS)
 
@@ -370,7 +400,7 @@ def _(spark, sf):
 # A linear model with the weights of an additive score: one over each feature's deviation.
 SCORE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 LINEAR_SHAPLEY = f"""(SELECT s.instance, f.feature, f.v AS feature_value, f.w * (f.v - f.m) AS shapley_value FROM
- (SELECT concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS instance, * FROM lineitem ORDER BY {LINE_HASH} LIMIT 100) s,
+ (SELECT concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS instance, * FROM lineitem ORDER BY {LINE_HASH.format(seed=42)} LIMIT 100) s,
  (SELECT {', '.join(f'avg({c}) AS m_{c}, 1 / stddev_pop({c}) AS w_{c}' for c in SCORE_FEATURES)} FROM lineitem) t,
  LATERAL (VALUES {', '.join(f"('{c}', s.{c}, t.w_{c}, t.m_{c})" for c in SCORE_FEATURES)}) AS f(feature, v, w, m))"""
 
