@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from checks.registry import check, stacked
@@ -84,6 +85,39 @@ def _(spark, sf):
     return split.split(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), ["o_orderkey"], "o_orderstatus")
 
 
+# Without keys the hash is of all columns.
+KEYLESS_HASH = "md5(concat_ws('|', '42', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), o_orderstatus))"
+
+
+@check("e2_split_without_keys", f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, row_number() OVER (ORDER BY {KEYLESS_HASH}) <= ceil(0.2 * (SELECT count(*) FROM orders)) AS is_test FROM orders""")
+def _(spark, sf):
+    return split.split(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"))
+
+
+# Every customer with two orders or more is a class of its own.
+MANY_CLASSES = "(SELECT *, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders QUALIFY count(*) OVER (PARTITION BY o_custkey) > 1)"
+
+
+def many_classes(spark, sf):
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    several = orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    return orders.join(several, "o_custkey", "left_semi")
+
+
+@check("e3_many_classes", f"""
+SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY {ORDER_HASH})
+ <= least(greatest(floor(0.2 * n + 0.5), 1), n - 1) AS is_test FROM {MANY_CLASSES}""")
+def _(spark, sf):
+    return split.split(many_classes(spark, sf), ["o_orderkey"], "o_custkey")
+
+
+@check("e7_many_classes", f"""
+SELECT o_orderkey, o_custkey, CAST(ntile(3) OVER (PARTITION BY o_custkey ORDER BY {ORDER_HASH}) - 1 AS INTEGER) AS fold FROM {MANY_CLASSES}""")
+def _(spark, sf):
+    return split.assign_folds(many_classes(spark, sf), ["o_orderkey"], 3, "o_custkey")
+
+
 # Parts labelled by brand and type, every hundredth part being a class of its own.
 RARE_PART = """(SELECT p_partkey, CASE WHEN p_partkey % 100 = 7 THEN concat('rare ', p_partkey) ELSE concat(p_brand, ' ', p_type) END AS label,
  md5(concat_ws('|', '42', CAST(p_partkey AS VARCHAR))) < '33333333333333333333333333333333' AS is_test FROM part)"""
@@ -312,6 +346,12 @@ def _(spark, sf):
 
 
 @check("f2_shapley_ridge", f"SELECT instance, feature, round(feature_value, 6) AS feature_value, round(shapley_value, 6) AS shapley_value FROM ({RIDGE_SHAPLEY})")
+def _(spark, sf):
+    df = line_numbers(spark, sf)
+    return rounded(explain.shapley_values(ridge(df), df, LINE_KEYS, method="subsets").drop("method"))
+
+
+@check("f2_shapley_ridge_closed_form", f"SELECT instance, feature, round(feature_value, 6) AS feature_value, round(shapley_value, 6) AS shapley_value, 'linear' AS method FROM ({RIDGE_SHAPLEY})")
 def _(spark, sf):
     df = line_numbers(spark, sf)
     return rounded(explain.shapley_values(ridge(df), df, LINE_KEYS))
@@ -390,6 +430,181 @@ def _(spark, sf):
     return rounded(models.comparison(result.metrics, result.task))
 
 
+# --- Models whose result is known: the target is a step of one column ---------------------------------
+
+STEP = "(SELECT c_custkey, c_nationkey, CAST(c_nationkey >= 12 AS INTEGER) AS label, CASE WHEN c_nationkey >= 12 THEN 100.0 ELSE 20.0 END AS amount FROM customer)"
+STEP_SIZES = models.ModelSizes(trees=20, rounds=10)
+
+
+@shared
+def step_table(spark, sf):
+    key = F.col("c_nationkey")
+    return materialize(table(spark, sf, "customer").select(
+        "c_custkey", "c_nationkey", (key >= 12).cast("int").alias("label"), F.when(key >= 12, 100.0).otherwise(20.0).alias("amount")))
+
+
+def step_predictions(spark, sf, label, task, name):
+    trained = models.train(step_table(spark, sf), label, task, name, ["c_nationkey"], sizes=STEP_SIZES)
+    return rounded(trained.predict(step_table(spark, sf)).select("c_custkey", "prediction"))
+
+
+@shared
+def step_result(spark, sf):
+    options = ModelOptions(cv_folds=3, models=("RandomForest", "GradientBoosting"), sizes=STEP_SIZES)
+    return train_models(step_table(spark, sf).drop("amount"), "label", ["c_custkey"], options)
+
+
+@check("e8_random_forest_step_classes", f"SELECT c_custkey, label AS prediction FROM {STEP}")
+def _(spark, sf):
+    return step_predictions(spark, sf, "label", "classification", "RandomForest")
+
+
+@check("e8_random_forest_step_amounts", f"SELECT c_custkey, CAST(amount AS DOUBLE) AS prediction FROM {STEP}")
+def _(spark, sf):
+    return step_predictions(spark, sf, "amount", "regression", "RandomForest")
+
+
+@check("e9_gradient_boosting_step_classes", f"SELECT c_custkey, label AS prediction FROM {STEP}")
+def _(spark, sf):
+    return step_predictions(spark, sf, "label", "classification", "GradientBoosting")
+
+
+@check("e9_gradient_boosting_step_amounts", f"SELECT c_custkey, CAST(amount AS DOUBLE) AS prediction FROM {STEP}")
+def _(spark, sf):
+    return step_predictions(spark, sf, "amount", "regression", "GradientBoosting")
+
+
+def logistic_gradient(df, target, features, count):
+    """Mean gradient of the penalised loss at the fitted weights, per class and feature: 0 at the minimum."""
+    trained = models.train(df, target, "classification", "LogisticRegression", features)
+    weights = trained.model.coefficientMatrix.toArray()
+    single = len(weights) == 1
+    rows = models.assembled(trained.labels.attach(df, target, "_y"), features, [F.col("_y"), *[F.col(f) for f in features]])
+    chances = trained.model.transform(rows).withColumn("_p", vector_to_array("probability"))
+    measures = []
+    for c in ([1] if single else range(len(weights))):
+        error = F.get("_p", F.lit(c)) - (F.col("_y") == float(c)).cast("double")
+        for j, f in enumerate(features):
+            slope = F.sum(error * F.col(f)) + float(weights[0 if single else c][j])
+            measures.append(F.struct(F.lit(c).alias("position"), F.lit(f).alias("feature"), (F.rint(slope / count * 1000) / 1000 + 0.0).alias("gradient"), F.count(F.lit(1)).alias("rows")))
+    return chances.agg(F.array(*measures).alias("m")).select(F.inline("m"))
+
+
+@check("e10_logistic_optimality", "SELECT 1 AS position, feature, 0.0::DOUBLE AS gradient, (SELECT count(*) FROM orders WHERE o_orderstatus <> 'P') AS rows FROM (VALUES ('price'), ('year')) t(feature)")
+def _(spark, sf):
+    orders = status_orders(spark, sf).where("o_orderstatus <> 'P'")
+    return logistic_gradient(orders, "o_orderstatus", ["price", "year"], orders.count())
+
+
+@check("e10_logistic_optimality_multiclass", "SELECT position, feature, 0.0::DOUBLE AS gradient, (SELECT count(*) FROM orders) AS rows FROM (VALUES ('price'), ('year')) t(feature), (VALUES (0), (1), (2)) p(position)")
+def _(spark, sf):
+    orders = status_orders(spark, sf)
+    return logistic_gradient(orders, "o_orderstatus", ["price", "year"], orders.count())
+
+
+def status_orders(spark, sf):
+    return table(spark, sf, "orders").select(
+        (F.col("o_totalprice") / 100000).alias("price"), (F.year("o_orderdate") - 1995).cast("double").alias("year"), "o_orderstatus")
+
+
+STEP_FOLD = f"""(SELECT *, CAST(ntile(4) OVER (PARTITION BY label ORDER BY md5(concat_ws('|', '42', CAST(c_custkey AS VARCHAR)))) - 1 AS INTEGER) AS fold FROM {STEP})"""
+
+
+@check("e13_cross_validation_step", f"SELECT model, fold, 1.0::DOUBLE AS accuracy, count(*) AS test_rows FROM {STEP_FOLD}, (VALUES ('RandomForest'), ('GradientBoosting')) m(model) GROUP BY ALL")
+def _(spark, sf):
+    df = split.assign_folds(step_table(spark, sf), ["c_custkey"], 4, "label", name="fold")
+    prepared = models.prepare_vectors(df, "label", "classification", ["c_nationkey"], sizes=STEP_SIZES, fold="fold")
+    scores = models.cross_validate(prepared, ["RandomForest", "GradientBoosting"], "fold", 4)
+    prepared.release()
+    rows = [(name, number, float(value)) for name, own in scores.items() for number, value in enumerate(own)]
+    sizes = df.groupBy("fold").agg(F.count(F.lit(1)).alias("test_rows"))
+    return rounded(spark.createDataFrame(rows, "model string, fold int, accuracy double").join(sizes, "fold"))
+
+
+STEP_MODELS = "(VALUES (0, 'RandomForest'), (1, 'GradientBoosting')) m(ordinal, model)"
+
+
+@check("e16_tournament_step", f"""SELECT ordinal, model, metric, CASE WHEN metric = 'cv_std' THEN 0.0 ELSE 1.0 END::DOUBLE AS value
+ FROM {STEP_MODELS}, (VALUES ('accuracy'), ('precision'), ('recall'), ('f1_score'), ('cv_mean'), ('cv_std')) t(metric)""")
+def _(spark, sf):
+    return rounded(step_result(spark, sf).metrics)
+
+
+@check("e17_feature_importance_step", "SELECT 'RandomForest' AS model, 'c_nationkey' AS feature, 1 AS rank, 1.0::DOUBLE AS importance")
+def _(spark, sf):
+    return rounded(step_result(spark, sf).importance())
+
+
+@check("e18_predict_best_step", f"SELECT c_custkey, label, label AS prediction FROM {STEP}")
+def _(spark, sf):
+    return models.predict(step_result(spark, sf), step_table(spark, sf)).select("c_custkey", "label", "prediction")
+
+
+@check("e19_model_comparison_step", f"SELECT model, 1.0::DOUBLE AS accuracy, 1.0::DOUBLE AS cv_mean, 0.0::DOUBLE AS cv_std FROM {STEP_MODELS}")
+def _(spark, sf):
+    result = step_result(spark, sf)
+    return rounded(models.comparison(result.metrics, result.task))
+
+
+# Inside the first quartile the target is 1, elsewhere 0: near a row of the first quartile the output is
+# exactly "stays in its own bin", so the contribution is 1 less a small penalty.
+QUARTILE_STEP = """(SELECT c_custkey, c_nationkey, q1, CAST(c_nationkey <= q1 AS INTEGER) AS low FROM customer, (SELECT quantile_cont(c_nationkey, 0.25) AS q1 FROM customer))"""
+NEAR_SQL = f"""
+SELECT CAST(c_custkey AS VARCHAR) AS instance, 1.0::DOUBLE AS prediction, 1.0::DOUBLE AS actual, 1 AS rank, 'c_nationkey' AS feature,
+ printf('c_nationkey <= %.2f', q1) AS rule, 1.0::DOUBLE AS contribution
+FROM (SELECT * FROM {QUARTILE_STEP} ORDER BY md5(concat_ws('|', '42', CAST(c_custkey AS VARCHAR))) LIMIT 20) WHERE low = 1"""
+
+
+@shared
+def near_surrogates(spark, sf):
+    customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    first = customers.agg(F.percentile("c_nationkey", 0.25)).first()[0]
+    df = customers.withColumn("low", (F.col("c_nationkey") <= first).cast("int"))
+    trained = models.train(df, "low", "classification", "RandomForest", ["c_nationkey"], sizes=STEP_SIZES)
+    local = explain.local_surrogates(trained, df, ["c_custkey"], "low", instances=20, samples=1000)
+    return materialize(local.where("actual = 1"))
+
+
+@check("f5_local_surrogate_step", NEAR_SQL)
+def _(spark, sf):
+    return rounded(near_surrogates(spark, sf), 1)
+
+
+@check("g9_top_local_contributions_step", f"SELECT * FROM ({NEAR_SQL})")
+def _(spark, sf):
+    return rounded(explain.top_contributions(near_surrogates(spark, sf)).select(*near_surrogates(spark, sf).columns), 1)
+
+
+# The training part leaves round(share * rows) of each class out.
+STEP_SIZES_SQL = f"""(SELECT CAST(sum(n - t) AS BIGINT) AS train_rows, CAST(sum(t) AS BIGINT) AS test_rows FROM
+ (SELECT count(*) AS n, CAST(floor(0.2 * count(*) + 0.5) AS BIGINT) AS t FROM {STEP} GROUP BY label))"""
+
+
+@check("g4_training_summary_step", f"""SELECT 'classification' AS task, 'label' AS target, train_rows, test_rows, 'RandomForest' AS best_model, 1.0::DOUBLE AS best_score FROM {STEP_SIZES_SQL}""")
+def _(spark, sf):
+    return rounded(report.training_summary(step_result(spark, sf)))
+
+
+@check("g5_metric_table_step", f"SELECT model, 1.0::DOUBLE AS accuracy, 1.0::DOUBLE AS precision, 1.0::DOUBLE AS recall, 1.0::DOUBLE AS f1_score, 1.0::DOUBLE AS cv_mean FROM {STEP_MODELS}")
+def _(spark, sf):
+    result = step_result(spark, sf)
+    return rounded(report.metric_table(result.metrics, result.task))
+
+
+@check("g6_top_importance_step", "SELECT 'RandomForest' AS model, 'c_nationkey' AS feature, 1 AS rank, 1.0::DOUBLE AS importance")
+def _(spark, sf):
+    return rounded(report.top_importance(step_result(spark, sf).importance()))
+
+
+@check("g7_model_facts_step", f"""
+SELECT 'model' AS section, name, value FROM {STEP_SIZES_SQL}, LATERAL (VALUES ('task', 'classification'), ('target', 'label'), ('models', '2'),
+ ('train_rows', CAST(train_rows AS VARCHAR)), ('test_rows', CAST(test_rows AS VARCHAR)), ('RandomForest', '1.0000')) t(name, value)
+UNION ALL SELECT 'scores', concat(model, ' ', metric), '1.0000' FROM {STEP_MODELS}, (VALUES ('accuracy'), ('f1_score')) t(metric)
+UNION ALL SELECT 'importance', 'c_nationkey', '1.0000'""")
+def _(spark, sf):
+    return report.model_facts(step_result(spark, sf))
+
+
 # --- F: explanations --------------------------------------------------------------------------------
 
 @check("f1_row_sample", f"SELECT {KEY_LIST}, l_quantity FROM lineitem ORDER BY {LINE_HASH.format(seed=42)} LIMIT 100")

@@ -13,11 +13,12 @@ from collections.abc import Mapping, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableloom.functions.columns import col
-from tableloom.functions.keys import hash_key
+from tableloom.functions.keys import hash_key, row_keys, row_name
 from tableloom.operators.models import FEATURES, TrainedModel
 from tableloom.operators.quantiles import quantiles
 from tableloom.operators.split import sample_rows
@@ -33,18 +34,16 @@ def _vector(features: Sequence[str]) -> Column:
     return F.array(*[col(c).cast("double") for c in features])
 
 
-def _instance(keys: Sequence[str]) -> Column:
-    return F.concat_ws("|", *[col(k).cast("string") for k in keys])
-
-
 def explained_sample(df: DataFrame, keys: Sequence[str], features: Sequence[str], rows: int, seed: int) -> DataFrame:
-    """``instance`` (the key as text) and the feature values as an array ``x``."""
-    return sample_rows(df, keys, rows, seed).select(_instance(keys).alias("instance"), _vector(features).alias("x"))
+    """``instance`` (the key as text, or a hash without keys) and the feature values as an array ``x``."""
+    sample = sample_rows(df, keys, rows, seed)
+    return sample.select(row_name(keys, df.columns).alias("instance"), _vector(features).alias("x")).dropDuplicates(["instance"])
 
 
 def background_rows(df: DataFrame, keys: Sequence[str], features: Sequence[str], rows: int, seed: int) -> DataFrame:
     """At most ``rows`` rows numbered ``b`` with their values ``z``."""
-    sample = sample_rows(df, keys, rows, seed + 1).select(hash_key(keys, seed + 1).alias("h"), _vector(features).alias("z"))
+    named = row_keys(df, keys)
+    sample = sample_rows(df, keys, rows, seed + 1).select(hash_key(named, seed + 1).alias("h"), _vector(features).alias("z"))
     return sample.select((F.row_number().over(Window.orderBy("h")) - 1).alias("b"), "z")
 
 
@@ -54,29 +53,46 @@ def base_value(model: TrainedModel, background: DataFrame) -> DataFrame:
 
 
 def shapley_values(
-    model: TrainedModel, df: DataFrame, keys: Sequence[str], rows: int = 100, background: int = 50,
-    permutations: int = 10, seed: int = 42,
+    model: TrainedModel, df: DataFrame, keys: Sequence[str] = (), rows: int = 100, background: int = 50,
+    permutations: int = 10, seed: int = 42, method: str = "auto",
 ) -> DataFrame:
-    """Attribution of the output to each feature: instance, feature, feature_value, shapley_value.
+    """Attribution of the output to each feature: instance, feature, feature_value, shapley_value, method.
 
-    Features outside a subset take the values of every background row. All subsets are scored for a
-    few features, which is exact; else random feature orders and their reverses. Either way the
-    values of an instance sum to its output less the background mean.
+    Features outside a subset take the values of every background row. ``subsets`` scores all subsets,
+    which is exact and doubles with each feature; ``orders`` scores random feature orders and their
+    reverses; ``linear`` is the closed form of a linear regression at any width. ``auto`` takes the
+    closed form where there is one, subsets for up to ALL_SUBSETS_FEATURES features, else orders. The
+    values of an instance sum to its output less the background mean either way.
     """
     features = model.features
+    linear = isinstance(model.model, LinearRegressionModel)
+    if method == "auto":
+        method = "linear" if linear else "subsets" if len(features) <= ALL_SUBSETS_FEATURES else "orders"
+    if method not in ("linear", "subsets", "orders") or method == "linear" and not linear:
+        raise ValueError(f"method {method!r} does not fit this model; choose auto, subsets, orders, or linear for a linear regression")
     sample = materialize(explained_sample(df, keys, features, rows, seed))
     others = materialize(background_rows(df, keys, features, background, seed))
+    if method == "linear":
+        weights = F.array(*[F.lit(float(w)) for w in model.model.coefficients])
+        means = others.select(F.posexplode("z").alias("j", "v")).groupBy("j").agg(F.avg("v").alias("mean"))
+        entries = sample.select("instance", F.posexplode("x").alias("j", "v")).join(F.broadcast(means), "j")
+        values = entries.select("instance", "j", (F.get(weights, F.col("j")) * (F.col("v") - F.col("mean"))).alias("shapley_value"))
+        return _named(values, sample, features, method)
     n_background = others.count()
     paired = sample.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(n_background - 1))))
     paired = spread(paired.join(F.broadcast(others), "b"), "instance", "b")
-    if len(features) <= ALL_SUBSETS_FEATURES:
+    if method == "subsets":
         values = _by_subsets(model, paired, len(features))
     else:
         values = _by_orders(model, paired, len(features), permutations, seed)
+    return _named(values, sample, features, method)
+
+
+def _named(values: DataFrame, sample: DataFrame, features: Sequence[str], method: str) -> DataFrame:
     names = F.array(*[F.lit(f) for f in features])
     return values.join(F.broadcast(sample), "instance").select(
-        "instance", F.element_at(names, F.col("j") + 1).alias("feature"),
-        F.element_at("x", F.col("j") + 1).alias("feature_value"), "shapley_value",
+        "instance", F.get(names, F.col("j")).alias("feature"), F.get("x", F.col("j")).alias("feature_value"),
+        "shapley_value", F.lit(method).alias("method"),
     )
 
 
@@ -144,7 +160,7 @@ def linear_shapley_values(
         for f, w in coefficients.items()
     ]
     sample = sample_rows(df, keys, rows, seed)
-    return sample.select(_instance(keys).alias("instance"), F.inline(F.array(*entries)))
+    return sample.select(row_name(keys, df.columns).alias("instance"), F.inline(F.array(*entries)))
 
 
 def feature_means(df: DataFrame, features: Sequence[str]) -> dict[str, float]:
@@ -178,17 +194,20 @@ def _uniform(seed: int, use: str, j: Column) -> Column:
 
 def local_surrogates(
     model: TrainedModel, df: DataFrame, keys: Sequence[str], target: str, instances: int = 5,
-    samples: int = 5000, top: int = 10, seed: int = 42,
+    samples: int = 5000, top: int = 10, seed: int = 42, position: int | None = None,
 ) -> DataFrame:
     """For some rows, a weighted linear model of the output near the row.
 
     Around each row, feature values are drawn from the quartile bins of the table. The linear model
-    says how much it matters that a feature stays in the row's own bin; the ``top`` contributions by
-    size are kept, with the model's prediction and the actual value.
+    says how much it matters that a feature stays in the row's own bin. With more than ``top`` features the
+    heaviest of a first fit are fitted again by themselves. For classes
+    the output is the probability of the class at ``position`` in sorted order, by default the second.
     """
+    if position is None and model.labels.values:
+        position = min(1, len(model.labels.values) - 1)
     features = model.features
     n = len(features)
-    numbers = df.select(*[col(k) for k in keys], *[col(f).cast("double").alias(f) for f in features])
+    numbers = df.select(*[col(f).cast("double").alias(f) for f in features])
     cuts = {f: sorted(set(q)) for f, q in quantiles(numbers, features, [0.25, 0.5, 0.75]).items()}
     limits = F.array(*[F.array(*[F.lit(float(c)) for c in cuts[f]]) for f in features])
     cells = numbers.select(F.posexplode(_vector(features)).alias("j", "v"))
@@ -202,12 +221,13 @@ def local_surrogates(
     }
 
     chosen = materialize(sample_rows(df, keys, instances, seed))
-    predicted = model.predict(chosen).select(
-        _instance(keys).alias("instance"), model.labels.number("prediction").alias("prediction"),
-        model.labels.number(target).alias("actual"),
-    )
-    rows = materialize(chosen.select(
-        _instance(keys).alias("instance"), _vector(features).alias("x"),
+    named = chosen.withColumn("_instance", row_name(keys, df.columns))
+    scored_rows = model.labels.numbers(model.predict(named, "_predicted"), "_predicted", "_prediction")
+    predicted = model.labels.numbers(scored_rows, target, "_actual").select(
+        F.col("_instance").alias("instance"), F.col("_prediction").alias("prediction"), F.col("_actual").alias("actual"),
+    ).dropDuplicates(["instance"])
+    rows = materialize(named.dropDuplicates(["_instance"]).select(
+        F.col("_instance").alias("instance"), _vector(features).alias("x"),
         F.transform(_vector(features), lambda v, j: _bin_of(F.get(limits, j), v)).alias("own"),
         F.array(*[_rule(f, col(f).cast("double"), cuts[f]) for f in features]).alias("rules"),
     ))
@@ -220,23 +240,29 @@ def local_surrogates(
     values = F.transform(positions, lambda j: F.when(is_row, F.get("x", j)).otherwise(
         _value_in_bin(F.get(F.get(bin_table, j), F.get("pick", j)), _normal(seed, j))))
     vectors = drawn.select("instance", same.alias("same"), array_to_vector(values).alias(FEATURES))
-    scored = model.output(vectors)
+    scored = model.output(vectors, position=position)
 
     width = 0.75 * math.sqrt(n)
 
+    def slopes_of(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        center, middle = np.average(z, axis=0, weights=weight), np.average(y, weights=weight)
+        scaled = (z - center) * weight[:, None]
+        return np.linalg.solve(scaled.T @ (z - center) + np.eye(z.shape[1]), scaled.T @ (y - middle))
+
     def fit(group: pa.Table) -> pa.Table:
         z = group.column("same").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, n)
         y = group.column("output").to_numpy()
         # Distance from the row itself, for which every indicator is 1.
         squared = ((1.0 - z) ** 2).sum(axis=1)
         weight = np.sqrt(np.exp(-squared / width**2))
-        center, middle = np.average(z, axis=0, weights=weight), np.average(y, weights=weight)
-        scaled = (z - center) * weight[:, None]
-        left = scaled.T @ (z - center) + np.eye(n)
-        slope = np.linalg.solve(left, scaled.T @ (y - middle))
+        slope, chosen_features = slopes_of(z, y, weight), np.arange(n)
+        if n > top:
+            # The row itself has every indicator at 1, so a slope is its feature's contribution there.
+            chosen_features = np.sort(np.argsort(-np.abs(slope), kind="stable")[:top])
+            slope = slopes_of(z[:, chosen_features], y, weight)
         instance = group.column("instance")[0].as_py()
         return pa.table({
-            "instance": pa.array([instance] * n, pa.string()), "j": pa.array(range(n), pa.int32()),
+            "instance": pa.array([instance] * len(slope), pa.string()), "j": pa.array(chosen_features, pa.int32()),
             "contribution": pa.array(slope),
         })
 

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tableloom.functions.columns import col
 
@@ -59,6 +60,15 @@ class Verdict:
             )
 
 
+def check_target(df: DataFrame, target: str, task: str) -> None:
+    """Stop with the cause before anything is trained: missing targets, or a text as a quantity."""
+    if task != "classification" and not isinstance(df.schema[target].dataType, (T.NumericType, T.BooleanType)):
+        raise TrainingError(f"text_target: {target!r} is no number; pass task='classification' to learn its values as classes")
+    missing = df.where(col(target).isNull()).count()
+    if missing:
+        raise TrainingError(f"missing_target: {missing} rows have no {target!r}; remove or fill them before training")
+
+
 def judge(train: DataFrame, target: str, task: str) -> Verdict:
     if task != "classification":
         # Only the rows matter here, so a continuous target is not grouped.

@@ -54,7 +54,7 @@ def sorted_codes(levels: DataFrame, n_levels: int) -> DataFrame:
     if n_levels <= ONE_TASK_LEVELS:
         return levels.withColumn("code", F.row_number().over(Window.orderBy("value")) - 1)
     share = min(1.0, 20.0 * RANGE_PARTS / n_levels)
-    sample = sorted(r["value"] for r in levels.select("value").sample(share, seed=1).limit(40 * RANGE_PARTS).collect())
+    sample = sorted(r["value"] for r in levels.select("value").sample(share, seed=1).collect())
     cuts = sample[:: max(1, len(sample) // RANGE_PARTS)]
     bounds = F.array(*[F.lit(c) for c in cuts])
     part = F.size(F.filter(bounds, lambda b: b <= F.col("value")))

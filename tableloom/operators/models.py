@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import classification, regression
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,7 +32,8 @@ FEATURES, LABEL = "_features", "_label"
 CLOSED_FORM_FEATURES = 4096
 CELLS_PER_PARTITION = 200_000
 INLINE_FEATURES = 500
-MAX_LABELS = 10_000
+#: Classes matched by a literal map; more are joined as a table.
+LITERAL_LABELS = 50
 
 
 @dataclass(frozen=True)
@@ -66,29 +68,44 @@ class Labels:
     def numeric(self) -> bool:
         return not self.values or isinstance(self.type, (T.NumericType, T.BooleanType))
 
-    def index(self, target: str) -> Column:
+    def attach(self, df: DataFrame, target: str, name: str) -> DataFrame:
+        """Add the class's position (the value itself for regression); unknown classes give NULL."""
+        text = col(target).cast("string")
         if not self.values:
-            return col(target).cast("double")
-        pairs = [F.lit(x) for i, text in enumerate(self.texts) for x in (text, float(i))]
-        return F.try_element_at(F.create_map(*pairs), col(target).cast("string"))
+            return df.withColumn(name, col(target).cast("double"))
+        if len(self.values) <= LITERAL_LABELS:
+            pairs = [F.lit(x) for i, known in enumerate(self.texts) for x in (known, float(i))]
+            return df.withColumn(name, F.try_element_at(F.create_map(*pairs), text))
+        table = local_table(
+            df.sparkSession, _text=pa.array(self.texts, pa.string()), _index=pa.array([float(i) for i in range(len(self.texts))])
+        )
+        joined = df.join(table, text == F.col("_text"), "left")
+        return joined.select(*[col(c) for c in df.columns if c != name], F.col("_index").alias(name))
 
-    def restore(self, index: Column) -> Column:
+    def restore(self, df: DataFrame, index: str, name: str) -> DataFrame:
+        """Replace a class's position by the class in its own type."""
+        kept = [col(c) for c in df.columns if c not in (index, name)]
         if not self.values:
-            return index
-        return F.element_at(F.array(*[F.lit(v).cast(self.type) for v in self.values]), index.cast("int") + 1)
+            return df.select(*kept, col(index).alias(name))
+        if len(self.values) <= LITERAL_LABELS:
+            known = F.array(*[F.lit(v).cast(self.type) for v in self.values])
+            return df.select(*kept, F.element_at(known, col(index).cast("int") + 1).alias(name))
+        table = local_table(
+            df.sparkSession, _text=pa.array(self.texts, pa.string()), _index=pa.array([float(i) for i in range(len(self.texts))])
+        )
+        return df.join(table, col(index) == F.col("_index"), "left").select(*kept, F.col("_text").cast(self.type).alias(name))
 
-    def number(self, name: str) -> Column:
-        """The class itself as a number, or its position where it is a text."""
-        return col(name).cast("double") if self.numeric else self.index(name)
+    def numbers(self, df: DataFrame, source: str, name: str) -> DataFrame:
+        """Add the class itself as a number, or its position where it is a text."""
+        return df.withColumn(name, col(source).cast("double")) if self.numeric else self.attach(df, source, name)
 
 
 def fit_labels(df: DataFrame, target: str, task: str) -> Labels:
     if task != "classification":
         return Labels()
     distinct = df.select(col(target).alias("y")).where("y IS NOT NULL").distinct()
-    rows = distinct.select("y", F.col("y").cast("string").alias("text")).limit(MAX_LABELS + 1).collect()
-    if len(rows) > MAX_LABELS:
-        raise ValueError(f"{target!r} has more than {MAX_LABELS} classes")
+    # A model holds numbers for every class, so the classes of a model that fits fit here too.
+    rows = distinct.select("y", F.col("y").cast("string").alias("text")).collect()
     rows.sort(key=lambda r: r["y"])
     return Labels([r["y"] for r in rows], [r["text"] for r in rows], df.schema[target].dataType)
 
@@ -154,27 +171,27 @@ class TrainedModel:
 
     def predict(self, df: DataFrame, name: str = "prediction") -> DataFrame:
         """All columns of ``df`` and the predicted value (a class in its own type)."""
-        if hasattr(self.model, "coefficients") and not self.labels.values and len(self.features) <= INLINE_FEATURES:
+        if isinstance(self.model, regression.LinearRegressionModel) and len(self.features) <= INLINE_FEATURES:
             # A linear prediction is a plain sum, which stays in generated code.
             terms = [F.lit(float(w)) * col(c).cast("double") for w, c in zip(self.model.coefficients, self.features)]
             return df.withColumn(name, sum(terms, F.lit(float(self.model.intercept))))
         vectors = assembled(df, self.features, [col(c) for c in df.columns])
-        scored = self.model.transform(vectors)
-        return scored.select(*[col(c) for c in df.columns], self.labels.restore(F.col("prediction")).alias(name))
+        scored = self.model.transform(vectors).select(*[col(c) for c in df.columns], F.col("prediction").alias("_position"))
+        return self.labels.restore(scored, "_position", name)
 
-    def output(self, vectors: DataFrame, name: str = "output") -> DataFrame:
-        """The number that explanations split up: the last class's probability of two, else of the
-        first class; the value itself for regression."""
-        from pyspark.ml.functions import vector_to_array
+    def output(self, vectors: DataFrame, name: str = "output", position: int | None = None) -> DataFrame:
+        """The number that explanations split up: a class's probability (the last of two, else the
+        first, unless a position is given); the value itself for regression."""
+        if position is None:
+            position = 1 if len(self.labels.values) == 2 else 0
 
         scored = self.model.transform(vectors)
         if self.task != "classification":
             value = F.col("prediction")
         elif "probability" in scored.columns:
-            position = 2 if len(self.labels.values) == 2 else 1
-            value = F.get(vector_to_array("probability"), F.lit(position - 1))
+            value = F.get(vector_to_array("probability"), F.lit(position))
         else:
-            value = (F.col("prediction") == 0.0).cast("double")
+            value = (F.col("prediction") == float(position)).cast("double")
         return scored.select(*[col(c) for c in vectors.columns if c != FEATURES], value.alias(name))
 
     def importance(self, spark, top: int = 20) -> DataFrame:
@@ -231,8 +248,7 @@ def prepare_vectors(
 ) -> Prepared:
     """Vectors and labels; kept in memory and disk unless the training reads them only once or twice."""
     labels = labels or fit_labels(df, target, task)
-    kept = [labels.index(target).alias(LABEL)] + ([col(fold)] if fold else [])
-    rows = assembled(df, features, kept)
+    rows = assembled(labels.attach(df, target, LABEL), features, [col(LABEL), *([col(fold)] if fold else [])])
     if keep:
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(LABEL).alias("deviation")).first()
@@ -346,7 +362,7 @@ def run_tournament(
     # A class the training rows lack cannot be predicted but still counts against the scores.
     labels = fit_labels(train_rows.select(col(target)).unionByName(test_rows.select(col(target))), target, task)
     prepared = prepare_vectors(train_rows, target, task, features, labels, sizes, fold)
-    test = assembled(test_rows, features, [labels.index(target).alias(LABEL)]).persist(StorageLevel.MEMORY_AND_DISK)
+    test = assembled(labels.attach(test_rows, target, LABEL), features, [col(LABEL)]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n_test = test.count()
 
@@ -354,9 +370,9 @@ def run_tournament(
             try:
                 trained = prepared.fit(name)
                 return trained, evaluate(trained.model.transform(test), LABEL, "prediction", task).first().asDict()
-            except Exception as error:  # a model that cannot be fitted is skipped
+            except Exception as error:  # a model that cannot be fitted is skipped, its cause kept
                 log.warning("%s was not trained: %s", name, error)
-                return None
+                return error
 
         # The final fits and all folds share one pool, so a slow model does not hold the others up.
         fold_tasks = _fold_tasks(names, folds)
@@ -366,18 +382,27 @@ def run_tournament(
         )
         fitted = dict(zip(names, results))
         scores = _fold_scores(names, folds, results[len(names):]) if folds else {}
-        trained_names = [n for n in names if fitted[n] is not None]
+        failed = {n: f for n, f in fitted.items() if isinstance(f, Exception)}
+        trained_names = [n for n in names if n not in failed]
         if not trained_names:
-            raise RuntimeError("no model could be trained")
+            causes = "; ".join(f"{n}: {str(e).splitlines()[0] if str(e) else type(e).__name__}" for n, e in failed.items())
+            raise RuntimeError(f"no model could be trained ({causes})")
         rows, best, best_score = [], None, -math.inf
         for ordinal, name in enumerate(trained_names):
             trained, metrics = fitted[name]
             score = metrics[score_name(task)]
-            mean, deviation = _mean_and_deviation(scores.get(name), score)
-            for metric, value in {**metrics, "cv_mean": mean, "cv_std": deviation}.items():
+            folded = scores.get(name)
+            mean, deviation = _mean_and_deviation(folded, score)
+            entries = {**metrics, "cv_mean": mean, "cv_std": deviation}
+            if isinstance(folded, Exception):
+                log.warning("the folds of %s failed: %s", name, folded)
+                entries["cv_failed"] = 1.0
+            for metric, value in entries.items():
                 rows.append((ordinal, name, metric, None if value is None else float(value)))
             if score is not None and score > best_score:
                 best, best_score = trained, score
+        if best is None:
+            raise RuntimeError(f"no trained model has a {score_name(task)}: the {n_test} test rows give no score")
         table = local_table(train_rows.sparkSession, **{
             name: pa.array(values, kind) for (name, kind), values in zip(METRIC_COLUMNS.items(), zip(*rows))
         })

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableloom.operators.models import Tournament, best_model
+from tableloom.operators.models import Tournament
 from tableloom.session import local_table
 
 # What each task's metric table shows.
@@ -77,14 +77,22 @@ def preparation_facts(metadata: DataFrame, missing: DataFrame) -> DataFrame:
 
 
 def model_facts(result: Tournament) -> DataFrame:
-    """Best model and score, and the five most important features."""
-    best = best_model(result.metrics, result.task)
-    score = F.format_string("%.4f", "score")
-    return best.select(F.lit("model").alias("section"), F.col("model").alias("name"), score.alias("value")).unionByName(
-        result.importance(5).select(
-            F.lit("importance").alias("section"), F.col("feature").alias("name"), F.format_string("%.4f", "importance").alias("value")
-        )
-    )
+    """Task, target, sizes, the best model with its score, every model's two leading metrics, and the
+    five most important features, as (section, name, value)."""
+    spark = result.metrics.sparkSession
+    known = {
+        "task": result.task, "target": result.target, "models": str(result.metrics.select("model").distinct().count()),
+        "train_rows": str(result.train_rows), "test_rows": str(result.test_rows),
+        result.best.name: f"{result.best_score:.4f}",
+    }
+    head = local_table(
+        spark, section=pa.array(["model"] * len(known)), name=pa.array(list(known)), value=pa.array(list(known.values())))
+    leading = ["accuracy", "f1_score"] if result.task == "classification" else ["r2_score", "rmse"]
+    scores = result.metrics.where(F.col("metric").isin(leading)).select(
+        F.lit("scores").alias("section"), F.concat_ws(" ", "model", "metric").alias("name"), F.format_string("%.4f", "value").alias("value"))
+    weights = result.importance(5).select(
+        F.lit("importance").alias("section"), F.col("feature").alias("name"), F.format_string("%.4f", "importance").alias("value"))
+    return head.unionByName(scores).unionByName(weights)
 
 
 def summary_facts(metadata: DataFrame, missing: DataFrame, result: Tournament | None = None) -> DataFrame:

@@ -1,37 +1,47 @@
 """Reproducible train/test splits and cross-validation folds of exact size.
 
 Rows are ordered by an md5 of their key. Instead of numbering the rows (which would sort a whole
-class in one task), the hash at each wanted rank is found by counting hash prefixes, one scan per
-three hex digits. The split itself is then a comparison with a literal: no row is shuffled.
+class in one task), the hash at each wanted rank is found by counting hash prefixes. The split itself is
+then a comparison with a literal, or with the cut-offs of the row's class, which are joined: few
+classes travel as a local table and no row is shuffled; there is no limit to their number.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableloom.functions.columns import col
-from tableloom.functions.keys import hash_key
-from tableloom.session import local_table
+from tableloom.functions.keys import hash_key, row_keys
+from tableloom.operators.levels import hot_values, lookup_join
+from tableloom.session import local_table, materialize
 
-MAX_CLASSES = 1_000
 PREFIX_COUNTS = 1_000_000
 FETCH_ROWS = 2_000
+#: Cut-offs of classes kept on the driver; more stay a table, which is joined by size.
+LOCAL_CUTS = 10_000
+#: Rows of one hash prefix that are ranked in one task.
+PREFIX_ROWS = 1_000_000
+NO_CLASS = "\x00"
 
 
 def class_text(target: str) -> Column:
-    return col(target).cast("string")
+    """The class as text; NULL is a class of its own."""
+    return F.coalesce(col(target).cast("string"), F.lit(NO_CLASS))
 
 
-def class_counts(df: DataFrame, target: str, limit: int = MAX_CLASSES) -> dict[str | None, int] | None:
-    """Rows per class (as text), or None when there are more classes than the limit."""
-    rows = df.groupBy(class_text(target).alias("y")).agg(F.count(F.lit(1)).alias("n")).limit(limit + 1).collect()
-    return None if len(rows) > limit else {r["y"]: r["n"] for r in rows}
+def class_sizes(df: DataFrame, target: str) -> DataFrame:
+    return df.groupBy(class_text(target).alias("y")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def smallest_class(df: DataFrame, target: str) -> int | None:
+    """Rows of the smallest class, None for an empty table."""
+    return class_sizes(df, target).agg(F.min("n")).first()[0]
 
 
 def hashes_at_ranks(
@@ -97,53 +107,103 @@ def _with_prefix(rows: DataFrame, wanted: set, length: int) -> DataFrame:
 
 @dataclass(frozen=True)
 class Cuts:
-    """Ascending hash cut-offs, per class when ``target`` is set."""
+    """Ascending hash cut-offs over all rows."""
 
     keys: tuple[str, ...]
     seed: int
-    target: str | None
-    values: dict[str | None, list[str]]
+    values: list[str]
 
     def attach(self, df: DataFrame, name: str) -> DataFrame:
         """Add how many cut-offs are at or below the row's hash: 0 is the first part, and so on."""
         hashed = hash_key(self.keys, self.seed)
-        if self.target is None:
-            return df.withColumn(name, sum(((hashed >= c).cast("int") for c in self.values[None]), F.lit(0)))
+        return df.withColumn(name, sum(((hashed >= c).cast("int") for c in self.values), F.lit(0)))
+
+
+@dataclass(frozen=True)
+class ClassCuts:
+    """Ascending hash cut-offs per class, as a table (y, cuts, n)."""
+
+    keys: tuple[str, ...]
+    seed: int
+    target: str
+    table: DataFrame
+    n_classes: int
+    hot: tuple[str, ...]
+
+    def attach(self, df: DataFrame, name: str) -> DataFrame:
+        keyed = df.withColumn("_h", hash_key(self.keys, self.seed))
+        cuts = self.table.select("y", F.col("cuts").alias("_cuts"))
+        joined = lookup_join(keyed, class_text(self.target), cuts, "y", self.n_classes, self.hot, F.xxhash64("_h"))
+        part = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= F.col("_h"))), F.lit(0))
+        return joined.withColumn(name, part).drop("_cuts", "_h")
+
+
+def fit_class_cuts(df: DataFrame, target: str, keys: Sequence[str], ranks: Callable[[Column], Column], seed: int = 42) -> ClassCuts:
+    """The hash at each wanted rank of each class; ``ranks`` maps a class's rows to an array of 0-based ranks.
+
+    Rows are counted per class and hash prefix, the prefix that holds a rank is found by a running
+    sum over a class's prefixes, and only the rows of these prefixes are ranked. Classes are
+    rows throughout: nothing is collected that grows with them, unless they are few.
+    """
+    rows = df.select(class_text(target).alias("y"), hash_key(keys, seed).alias("h"))
+    total = rows.count()
+    digits = 3
+    while total / 16**digits > PREFIX_ROWS and digits < 8:
+        digits += 1
+    prefix = F.substring("h", 1, digits).alias("p")
+    counts = materialize(rows.groupBy("y", prefix).agg(F.count(F.lit(1)).alias("n")))
+    sizes = counts.groupBy("y").agg(F.sum("n").alias("n"))
+    wanted = sizes.select(F.col("y").alias("_y"), F.posexplode(ranks(F.col("n"))).alias("k", "rank"))
+    before = Window.partitionBy("y").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    running = counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    holds = (F.col("y") == F.col("_y")) & (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n"))
+    chosen = running.join(wanted, holds).select("_y", F.col("p").alias("_p"), "k", (F.col("rank") - F.col("before")).alias("left"))
+    # Equal hashes (repeated keys) are ranked once, with their count.
+    inside = rows.join(materialize(chosen), (F.col("y") == F.col("_y")) & (F.substring("h", 1, digits) == F.col("_p")))
+    equal = inside.groupBy("y", "k", "left", "h").agg(F.count(F.lit(1)).alias("n"))
+    reached = F.sum("n").over(Window.partitionBy("y", "k").orderBy("h").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    hits = equal.withColumn("reached", reached).where(F.col("reached") > F.col("left"))
+    found = hits.groupBy("y", "k").agg(F.min("h").alias("h"))
+    cuts = found.groupBy("y").agg(F.array_sort(F.collect_list("h")).alias("cuts"))
+    table = materialize(sizes.join(cuts, "y", "left").select("y", F.coalesce("cuts", F.array().cast("array<string>")).alias("cuts"), "n"))
+    seen = table.agg(F.count(F.lit(1)).alias("classes"), F.coalesce(F.sum(F.size("cuts")), F.lit(0)).alias("cuts")).first()
+    if seen["classes"] + seen["cuts"] <= LOCAL_CUTS:
+        local = table.collect()
         table = local_table(
-            df.sparkSession, _class=pa.array(list(self.values), pa.string()),
-            _cuts=pa.array(list(self.values.values()), pa.list_(pa.string())),
+            df.sparkSession, y=pa.array([r["y"] for r in local], pa.string()),
+            cuts=pa.array([r["cuts"] for r in local], pa.list_(pa.string())), n=pa.array([r["n"] for r in local], pa.int64()),
         )
-        keyed = df.withColumns({"_y": class_text(self.target), "_h": hashed})
-        joined = keyed.join(F.broadcast(table), F.col("_y").eqNullSafe(F.col("_class")), "left")
-        part = F.size(F.filter("_cuts", lambda c: c <= F.col("_h")))
-        return joined.withColumn(name, part).drop("_class", "_cuts", "_y", "_h")
+        return ClassCuts(tuple(keys), seed, target, table, seen["classes"], ())
+    return ClassCuts(tuple(keys), seed, target, table, seen["classes"], hot_values(table, "y", total))
 
 
 def fit_random_cut(df: DataFrame, keys: Sequence[str], share: float = 0.2, seed: int = 42) -> Cuts:
     """The test part has exactly ceil(share * rows) rows."""
     rows = df.count()
     size = math.ceil(share * rows - 1e-9)
-    ranks = [size] if 0 < size < rows else []
-    values = hashes_at_ranks(df, hash_key(keys, seed), {None: ranks})
     if size <= 0:
-        values = {None: [""]}
-    return Cuts(tuple(keys), seed, None, values)
+        return Cuts(tuple(keys), seed, [""])
+    ranks = [size] if size < rows else []
+    return Cuts(tuple(keys), seed, hashes_at_ranks(df, hash_key(keys, seed), {None: ranks})[None])
 
 
-def fit_stratified_cut(
-    df: DataFrame, target: str, keys: Sequence[str], counts: Mapping[str | None, int], share: float = 0.2, seed: int = 42
-) -> Cuts:
+def fit_stratified_cut(df: DataFrame, target: str, keys: Sequence[str], share: float = 0.2, seed: int = 42) -> ClassCuts:
     """The test part has round(share * class rows) of each class, at least one and never all of it."""
-    ranks = {y: [min(max(math.floor(share * n + 0.5), 1), n - 1)] for y, n in counts.items()}
-    values = hashes_at_ranks(df, hash_key(keys, seed), ranks, class_text(target))
-    return Cuts(tuple(keys), seed, target, values)
+    def ranks(n: Column) -> Column:
+        part = F.greatest(F.floor(F.lit(share) * n + 0.5), F.lit(1).cast("bigint"))
+        return F.array(F.least(part, n - 1))
 
+    return fit_class_cuts(df, target, keys, ranks, seed)
 
-def split(df: DataFrame, keys: Sequence[str], target: str | None = None, share: float = 0.2, seed: int = 42) -> DataFrame:
-    """Add ``is_test``. Stratified when a target is given and each of its classes has two rows or more."""
-    counts = class_counts(df, target) if target is not None else None
-    if counts and min(counts.values()) >= 2:
-        cuts = fit_stratified_cut(df, target, keys, counts, share, seed)
+
+def split(df: DataFrame, keys: Sequence[str] = (), target: str | None = None, share: float = 0.2, seed: int = 42) -> DataFrame:
+    """Add ``is_test``. Stratified when a target is given and each of its classes has two rows or more.
+
+    Without keys all columns but the target tell rows apart; equal rows then fall on the same side.
+    """
+    keys = row_keys(df, keys, [target])
+    if target is not None and (smallest_class(df, target) or 0) >= 2:
+        cuts = fit_stratified_cut(df, target, keys, share, seed)
     else:
         cuts = fit_random_cut(df, keys, share, seed)
     return cuts.attach(df, "_part").withColumn("is_test", F.col("_part") == 0).drop("_part")
@@ -182,15 +242,17 @@ def assign_folds(
     df: DataFrame, keys: Sequence[str], folds: int, target: str | None = None, seed: int = 42, name: str = "fold"
 ) -> DataFrame:
     """Add the fold number of each row: equal parts in hash order, per class when a target is given."""
-    counts = class_counts(df, target) if target is not None else None
-    if counts:
-        ranks = {y: _fold_starts(n, folds) for y, n in counts.items()}
-        values = hashes_at_ranks(df, hash_key(keys, seed), ranks, class_text(target))
-        return Cuts(tuple(keys), seed, target, values).attach(df, name)
-    ranks = {None: _fold_starts(df.count(), folds)}
-    return Cuts(tuple(keys), seed, None, hashes_at_ranks(df, hash_key(keys, seed), ranks)).attach(df, name)
+    keys = row_keys(df, keys, [target])
+    if target is not None:
+        def ranks(n: Column) -> Column:
+            starts = F.transform(F.sequence(F.lit(1), F.lit(folds - 1)), lambda i: i * F.floor(n / folds) + F.least(i, n % folds))
+            return F.filter(starts, lambda r: r < n) if folds > 1 else F.array().cast("array<bigint>")
+
+        return fit_class_cuts(df, target, keys, ranks, seed).attach(df, name)
+    starts = _fold_starts(df.count(), folds)
+    return Cuts(tuple(keys), seed, hashes_at_ranks(df, hash_key(keys, seed), {None: starts})[None]).attach(df, name)
 
 
-def sample_rows(df: DataFrame, keys: Sequence[str], rows: int = 100, seed: int = 42) -> DataFrame:
+def sample_rows(df: DataFrame, keys: Sequence[str] = (), rows: int = 100, seed: int = 42) -> DataFrame:
     """The same rows at every partitioning: the first ones in hash order, as a top-k without a full sort."""
-    return df.withColumn("_h", hash_key(keys, seed)).orderBy("_h").limit(rows).drop("_h")
+    return df.withColumn("_h", hash_key(row_keys(df, keys), seed)).orderBy("_h").limit(rows).drop("_h")

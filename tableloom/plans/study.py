@@ -7,10 +7,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from tableloom.functions.keys import row_keys
 from tableloom.operators import explain, report
-from tableloom.operators.guards import judge, remove_singletons
+from tableloom.operators.guards import check_target, judge, remove_singletons
 from tableloom.operators.models import Tournament, run_tournament, trainable_features
-from tableloom.operators.split import assign_folds, class_counts, fold_count, split
+from tableloom.operators.split import assign_folds, fold_count, smallest_class, split
 from tableloom.operators.target import task_of
 from tableloom.plans.options import ExplainOptions, ModelOptions, PrepareOptions
 from tableloom.plans.prepare import PreparePlan, fit_prepare
@@ -27,11 +28,17 @@ class Study:
 
 
 def train_models(
-    df: DataFrame, target: str, keys: Sequence[str], options: ModelOptions | None = None
+    df: DataFrame, target: str, keys: Sequence[str] = (), options: ModelOptions | None = None
 ) -> Tournament:
-    """Task, split, checks, folds and the tournament on an already prepared table."""
+    """Task, split, checks, folds and the tournament on an already prepared table.
+
+    Without keys the feature columns tell rows apart.
+    """
     options = options or ModelOptions()
+    features = trainable_features(df, [target, *keys])
+    keys = row_keys(df, keys, [target])
     task = task_of(df, target) if options.task == "auto" else options.task
+    check_target(df, target, task)
     parts = materialize(split(df, keys, target if task == "classification" else None, options.test_size, options.seed))
     train, test = parts.where("is_test = false").drop("is_test"), parts.where("is_test").drop("is_test")
     verdict = judge(train, target, task)
@@ -39,10 +46,9 @@ def train_models(
     if verdict.verdict == "remove_singletons":
         train, test = remove_singletons(train, test, target, verdict.singletons)
     stratum = target if task == "classification" else None
-    smallest = min(class_counts(train, target).values()) if stratum else None
+    smallest = smallest_class(train, target) if stratum else None
     folds = fold_count(verdict.train_rows - verdict.singletons if stratum else verdict.train_rows, smallest, options.cv_folds)
     train = assign_folds(train, keys, folds, stratum, options.seed, "_fold")
-    features = trainable_features(df, [target, *keys])
     return run_tournament(
         train, test, target, task, features, "_fold", folds, options.models or None, options.sizes, options.parallel
     )

@@ -3,7 +3,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tableloom import ExplainOptions, ModelOptions, PrepareOptions, run_study
-from tableloom.operators import explain, models, report
+from tableloom.operators import explain, models, report, split
+from tableloom.operators.guards import TrainingError
 from tableloom.operators.models import ModelSizes
 from tableloom.plans.study import train_models
 
@@ -94,6 +95,7 @@ def test_regression_tournament_and_report(spark):
     assert scored.count() == 200
     facts = report.model_facts(result).collect()
     assert facts[0]["section"] == "model" and sum(r["section"] == "importance" for r in facts) == 3
+    assert sum(r["section"] == "scores" for r in facts) == 2 * result.metrics.select("model").distinct().count()
 
 
 def test_text_and_boolean_labels_come_back_in_their_type(spark):
@@ -124,7 +126,7 @@ def test_failing_model_is_skipped_and_none_left_is_an_error(spark):
     result = models.run_tournament(*parts, "value", "regression", ["f1", "f2"], names=["Nothing", "Ridge"])
     assert result.best.name == "Ridge"
     assert {r["value"] for r in result.metrics.where("metric = 'cv_std'").collect()} == {0.0}
-    with pytest.raises(RuntimeError):
+    with pytest.raises(RuntimeError, match="unknown regression model"):
         models.run_tournament(*parts, "value", "regression", ["f1"], names=["Nothing"])
     with pytest.raises(ValueError, match="trained"):
         models.predict(None, df)
@@ -162,12 +164,17 @@ def test_linear_shapley_equals_closed_form(spark):
     df, *_ = frame(spark, 60)
     features = ["f1", "f2", "f3"]
     trained = models.train(df, "value", "regression", "Ridge", features)
-    exact = explain.shapley_values(trained, df, ["id"], rows=60, background=60)
+    exact = explain.shapley_values(trained, df, ["id"], rows=60, background=60, method="subsets")
     weights = dict(zip(features, trained.model.coefficients.toArray()))
     closed = explain.linear_shapley_values(df, ["id"], weights, explain.feature_means(df, features), rows=60)
     found = {(r["instance"], r["feature"]): r["shapley_value"] for r in exact.collect()}
     for r in closed.collect():
         assert found[r["instance"], r["feature"]] == pytest.approx(r["shapley_value"], abs=1e-9)
+    by_formula = explain.shapley_values(trained, df, ["id"], rows=60, background=60).collect()
+    assert {r["method"] for r in by_formula} == {"linear"}
+    assert all(r["shapley_value"] == pytest.approx(found[r["instance"], r["feature"]], abs=1e-9) for r in by_formula)
+    with pytest.raises(ValueError, match="does not fit"):
+        explain.shapley_values(models.train(df, "value", "regression", "RandomForest", features, sizes=SMALL_SIZES), df, ["id"], method="linear")
     top = explain.directions(exact, 2).collect()
     assert [r["feature"] for r in top] == ["f1", "f2"] and "average SHAP importance" in top[0]["explanation"]
 
@@ -188,7 +195,7 @@ def test_whole_study(spark, mixed):
     study = run_study(
         mixed, "target", ["id"], PrepareOptions(), OPTIONS, ExplainOptions(rows=5, background=4, permutations=2, instances=2, samples=50))
     assert study.tables["overview"].first()["duplicates_removed"] == 1
-    assert study.tables["summary_facts"].where("section = 'model'").count() == 1
+    assert study.tables["summary_facts"].where("section = 'model'").count() == 6
     for name in ("deltas", "missing_handled", "training_summary", "model_metrics", "top_importance", "global_importance", "directions", "local_surrogates"):
         assert study.tables[name].count() > 0, name
 
@@ -196,3 +203,55 @@ def test_whole_study(spark, mixed):
 def test_unknown_target(spark, mixed):
     with pytest.raises(ValueError, match="not found"):
         run_study(mixed, "nothing", ["id"])
+
+
+@pytest.mark.parametrize("parts", [1, 64])
+def test_study_without_keys(spark, mixed, parts):
+    """The columns themselves tell rows apart: exact sizes, balanced folds, distinct instances."""
+    keyless = mixed.drop("id").repartition(parts)
+    study = run_study(keyless, "target", model=OPTIONS, explained=ExplainOptions(rows=7, background=4, permutations=2, instances=2, samples=50))
+    rows = study.prepared.count()
+    assert study.result.train_rows + study.result.test_rows == rows == 100
+    assert abs(study.result.test_rows - 20) <= 1 and study.result.best is not None
+    assert study.tables["shapley_values"].select("instance").distinct().count() == 7
+    assert study.tables["local_surrogates"].select("instance").distinct().count() == 2
+    folds = split.assign_folds(study.prepared, [], 4).groupBy("fold").count().collect()
+    assert max(r["count"] for r in folds) - min(r["count"] for r in folds) <= 1 and len(folds) == 4
+
+
+def test_winning_multinomial_model_predicts(spark):
+    df, *_ = frame(spark, 150, 3)
+    options = ModelOptions(sizes=SMALL_SIZES, cv_folds=2, models=("LogisticRegression",))
+    result = train_models(df.drop("value"), "label", ["id"], options)
+    assert result.best.name == "LogisticRegression" and {r["prediction"] for r in result.predict(df).collect()} <= {0, 1, 2}
+    local = explain.local_surrogates(result.best, df, ["id"], "label", instances=2, samples=60)
+    other = explain.local_surrogates(result.best, df, ["id"], "label", instances=2, samples=60, position=1)
+    assert sorted(map(str, local.collect())) == sorted(map(str, other.collect()))
+
+
+def test_many_labels_are_joined(spark, monkeypatch):
+    df, *_ = frame(spark, 120, 3)
+    named = df.withColumn("label", F.concat(F.lit("c"), "label"))
+    plain = models.train(named, "label", "classification", "LogisticRegression", ["f1", "f2"]).predict(named)
+    expected = {r["id"]: r["prediction"] for r in plain.collect()}
+    monkeypatch.setattr(models, "LITERAL_LABELS", 0)
+    joined = models.train(named, "label", "classification", "LogisticRegression", ["f1", "f2"]).predict(named)
+    assert {r["id"]: r["prediction"] for r in joined.collect()} == expected
+
+
+def test_only_the_heaviest_features_are_fitted_again(spark):
+    df, *_ = frame(spark, 150)
+    wide = df.withColumns({f"n{i}": F.rand(i) for i in range(12)})
+    features = ["f1", "f2", "f3", *[f"n{i}" for i in range(12)]]
+    trained = models.train(wide, "value", "regression", "Ridge", features)
+    local = explain.local_surrogates(trained, wide, ["id"], "value", instances=2, samples=300)
+    assert local.groupBy("instance").count().where("count = 10").count() == 2
+
+
+def test_causes_are_named(spark):
+    rows = [(i, float(i), None if i % 9 == 0 else i % 2, f"t{i}") for i in range(150)]
+    df = spark.createDataFrame(rows, "id int, f1 double, y int, words string")
+    with pytest.raises(TrainingError, match="missing_target"):
+        train_models(df.drop("words"), "y", ["id"], OPTIONS)
+    with pytest.raises(TrainingError, match="text_target"):
+        train_models(df.drop("y"), "words", ["id"], OPTIONS)
