@@ -147,6 +147,7 @@ def _(spark, sf):
 # Headings, list lines, bold marks and special characters put around the given texts.
 MARKED_TEXT = """concat(CASE doc_id % 4 WHEN 0 THEN '## ' WHEN 1 THEN '- ' WHEN 2 THEN '**' ELSE '' END, text,
  chr(10), chr(10), '• 5 × 3 → 15 m² `x`', chr(10), '   ', chr(10), '* item', chr(10), chr(10), '.hidden')"""
+# The white space and the marks that the cleaning rules are defined by.
 SPACES = "[\\x09-\\x0d\\x1c-\\x20\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+"
 
 
@@ -156,6 +157,7 @@ def replaced_sql(text: str, marks: list[tuple[str, str]]) -> str:
     return text
 
 
+# Marks removed and characters replaced.
 NORMAL = [("###", ""), ("##", ""), ("**", ""), ("■", ""), ("▪", ""), ("•", ""), ("‑", "-"), ("×", "x"), ("→", "->")]
 
 

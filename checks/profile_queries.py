@@ -41,6 +41,13 @@ def _(spark, sf):
     return sources.infer_types(texts)
 
 
+@check("a3_text_round_trip", """SELECT doc_id, concat('  "', text, '", ', chr(10), 'end ') AS text, lang FROM documents""")
+def _(spark, sf):
+    framed = F.concat(F.lit('  "'), F.col("text"), F.lit('", \nend ')).alias("text")
+    path = sources.write_table(table(spark, sf, "documents").select("doc_id", framed, "lang"), scratch_path(spark, "texts") + ".csv")
+    return sources.read_table(spark, path)
+
+
 @check("a3_write_table", """
 SELECT format, count(*) AS n_rows, sum(c_custkey)::BIGINT AS key_sum, round(sum(c_acctbal), 2) AS balance
 FROM customer, (VALUES ('csv'), ('parquet')) AS f(format) GROUP BY format""")

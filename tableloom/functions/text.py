@@ -20,15 +20,13 @@ IN_LINE_WHITESPACE = WHITESPACE.replace("\\n", "")
 
 
 def normalize_marks(text: Column, removed: str = BULLET_MARKS) -> Column:
-    """Remove heading, bold and bullet marks and write special characters plainly."""
-    for mark in HEADING_MARKS:
-        text = F.replace(text, F.lit(mark), F.lit(""))
-    single = {special: plain for special, plain in REPLACED_CHARACTERS.items() if len(plain) == 1}
-    # translate maps characters one by one; those without a counterpart are removed.
-    text = F.translate(text, "".join(single) + removed, "".join(single.values()))
-    for special, plain in REPLACED_CHARACTERS.items():
-        if special not in single:
-            text = F.replace(text, F.lit(special), F.lit(plain))
+    """Remove heading, bold and bullet marks and write special characters plainly.
+
+    Plain replacements search bytes and hand a text without the mark through unchanged.
+    """
+    replaced = dict.fromkeys(HEADING_MARKS, "") | dict.fromkeys(removed, "") | REPLACED_CHARACTERS
+    for mark, plain in replaced.items():
+        text = F.replace(text, F.lit(mark), F.lit(plain))
     return text
 
 
@@ -48,12 +46,12 @@ def clean_prose(text: Column) -> Column:
     """
     marked = normalize_marks(text, BULLET_MARKS + INLINE_MARKS)
     # Most texts have single spaces only; finding that out is cheaper than rewriting every space.
-    uneven = f"[{IN_LINE_WHITESPACE.replace(' ', '')}]|  "
+    uneven = marked.contains("  ") | marked.rlike(f"[{IN_LINE_WHITESPACE.replace(' ', '')}]")
     runs = F.regexp_replace(marked, f"[{IN_LINE_WHITESPACE}]+", " ")
-    squeezed = F.when(marked.rlike(uneven), runs).otherwise(marked)
+    squeezed = F.when(uneven, runs).otherwise(marked)
     starts = "".join("\\" + c for c in DROPPED_LINE_STARTS)
     kept = F.regexp_replace(F.concat(F.lit("\n"), squeezed), f"\n ?[{starts}][^\n]*", "\n")
-    joined = F.regexp_replace(kept, " ?\n[ \n]*", "\n\n")
+    joined = F.replace(F.regexp_replace(kept, "\n[ \n]*", "\n\n"), F.lit(" \n\n"), F.lit("\n\n"))
     return F.btrim(joined, F.lit(" \n"))
 
 

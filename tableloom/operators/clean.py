@@ -200,8 +200,10 @@ def fit_zscore_sequential(
 def outlier_counts(df: DataFrame, method: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Count outliers per numeric column without changing any row."""
     columns = list(columns or column_kinds(df).numeric)
-    fitted = fit_iqr(df, columns) if method == "iqr" else fit_zscore(df, columns)
-    names = list(fitted.bounds if method == "iqr" else fitted.moments)
+    fitted = (fit_iqr(df, columns) if method == "iqr" else fit_zscore(df, columns)) if columns else Fences({})
+    names = list(fitted.moments if isinstance(fitted, ZScore) else fitted.bounds)
+    if not names:
+        return df.sparkSession.createDataFrame([], "column string, outliers bigint, position int")
     wide = df.agg(*fitted.counts())
     structs = [F.struct(F.lit(c).alias("column"), col(c).alias("outliers"), F.lit(i).alias("position")) for i, c in enumerate(names)]
     return wide.select(F.inline(F.array(*structs)))

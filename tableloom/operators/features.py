@@ -76,5 +76,5 @@ def derived_columns(numeric: Sequence[str], pairs: int = 3, singles: int = 5) ->
     return derived
 
 
-def derive(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
-    return df.select("*", *derived_columns(numeric))
+def derive(df: DataFrame, numeric: Sequence[str], pairs: int = 3, singles: int = 5) -> DataFrame:
+    return df.select("*", *derived_columns(numeric, pairs, singles))

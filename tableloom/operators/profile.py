@@ -17,6 +17,11 @@ from tableloom.session import local_table
 
 MEASURES_PER_JOB = 200
 
+DESCRIBE_SCHEMA = "column string, count bigint, mean double, std double, min double, q25 double, q50 double, q75 double, max double"
+BOX_SCHEMA = "column string, q1 double, median double, q3 double, whisker_low double, whisker_high double, fliers bigint"
+HISTOGRAM_SCHEMA = "column string, bin bigint, bin_low double, bin_high double, n bigint"
+STATISTICS_SCHEMA = "column string, mean double, median double, std double, min double, max double, skewness double, kurtosis double"
+
 # Bytes of one stored value by type; texts are measured.
 TYPE_WIDTHS = {
     T.ByteType: 1, T.BooleanType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4, T.DateType: 4,
@@ -30,6 +35,11 @@ def long_table(wide: DataFrame, rows: Sequence[Sequence[tuple[str, Column]]]) ->
     return wide.select(F.inline(F.array(*structs)))
 
 
+def no_rows(df: DataFrame, schema: str) -> DataFrame:
+    """What a profile gives for a table without columns of its kind."""
+    return df.sparkSession.createDataFrame([], schema)
+
+
 def shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows")).select("rows", F.lit(len(df.columns)).cast("bigint").alias("columns"))
 
@@ -76,6 +86,8 @@ def _numbers_row(df: DataFrame, columns: Sequence[str], measures: dict):
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, extremes and quartiles of the numeric columns."""
     columns = list(columns or column_kinds(df).numeric)
+    if not columns:
+        return no_rows(df, DESCRIBE_SCHEMA)
     seen = _numbers_row(df, columns, {
         "count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max,
     })
@@ -93,6 +105,8 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
 def categorical_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Distinct values and the most common one, ``N/A`` for an empty column."""
     columns = list(columns or column_kinds(df).categorical)
+    if not columns:
+        return no_rows(df, "column string, n_distinct bigint, most_common string")
     summary = level_summary(value_counts(df, columns))
     return summary.select("column", "n_distinct", F.coalesce("mode", F.lit("N/A")).alias("most_common"))
 
@@ -104,6 +118,8 @@ def preview(df: DataFrame, keys: Sequence[str], rows: int = 100) -> DataFrame:
 def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every column pair, rows with either missing left out pair by pair."""
     columns = list(columns or column_kinds(df).numeric)
+    if not columns:
+        return no_rows(df, "a string, b string, r double")
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     result = None
     for start in range(0, len(pairs), MEASURES_PER_JOB):
@@ -123,9 +139,14 @@ def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return result
 
 
-def box_plot(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Quartiles, whiskers at the last values inside 1.5 times the quartile range, and flier counts."""
-    columns = list(columns or column_kinds(df).numeric)[:10]
+def box_plot(df: DataFrame, columns: Sequence[str] | None = None, limit: int = 10) -> DataFrame:
+    """Quartiles, whiskers at the last values inside 1.5 times the quartile range, and flier counts.
+
+    ``limit`` bounds the default choice of columns only.
+    """
+    columns = list(columns or column_kinds(df).numeric[:limit])
+    if not columns:
+        return no_rows(df, BOX_SCHEMA)
     found = quantiles(df, columns, [0.25, 0.5, 0.75])
     measures, rows = [], []
     for i, c in enumerate(columns):
@@ -144,12 +165,14 @@ def box_plot(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
             ("column", F.lit(c)), ("q1", F.lit(q1)), ("median", F.lit(q2)), ("q3", F.lit(q3)),
             ("whisker_low", F.col(f"low_{i}")), ("whisker_high", F.col(f"high_{i}")), ("fliers", F.col(f"fliers_{i}")),
         ])
-    return long_table(df.agg(*measures), rows)
+    return long_table(df.agg(*measures), rows) if rows else no_rows(df, BOX_SCHEMA)
 
 
-def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 30) -> DataFrame:
-    """Equal-width bin counts, the last bin closed, empty bins kept."""
-    columns = list(columns or column_kinds(df).numeric)[:4]
+def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 30, limit: int = 4) -> DataFrame:
+    """Equal-width bin counts, the last bin closed, empty bins kept. ``limit`` bounds the default columns."""
+    columns = list(columns or column_kinds(df).numeric[:limit])
+    if not columns:
+        return no_rows(df, HISTOGRAM_SCHEMA)
     ends = df.agg(
         *[F.min(col(c).cast("double")).alias(f"lo_{i}") for i, c in enumerate(columns)],
         *[F.max(col(c).cast("double")).alias(f"hi_{i}") for i, c in enumerate(columns)],
@@ -163,6 +186,8 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 3
             low, high = low - 0.5, high + 0.5
         binned.append((c, _bin_number(col(c).cast("double"), low, high, bins).alias(c)))
         frames.append(F.struct(F.lit(c).alias("column"), F.lit(low).alias("low"), F.lit((high - low) / bins).alias("width")))
+    if not binned:
+        return no_rows(df, HISTOGRAM_SCHEMA)
     names = [c for c, _ in binned]
     long = df.select(*[b for _, b in binned]).unpivot([], [col(c) for c in names], "column", "bin")
     counted = long.where("bin IS NOT NULL").groupBy("column", "bin").agg(F.count(F.lit(1)).alias("n"))
@@ -187,9 +212,13 @@ def _bin_number(value: Column, low: float, high: float, bins: int) -> Column:
     return raw - early + late
 
 
-def feature_statistics(df: DataFrame, target: str | None = None, columns: Sequence[str] | None = None) -> DataFrame:
-    """Location, spread, and bias-corrected skewness and excess kurtosis of the first ten numbers."""
-    columns = [c for c in (columns or column_kinds(df).numeric) if c != target][:10]
+def feature_statistics(
+    df: DataFrame, target: str | None = None, columns: Sequence[str] | None = None, limit: int = 10
+) -> DataFrame:
+    """Location, spread, and bias-corrected skewness and excess kurtosis, by default of the first ten numbers."""
+    columns = [c for c in columns if c != target] if columns else [c for c in column_kinds(df).numeric if c != target][:limit]
+    if not columns:
+        return no_rows(df, STATISTICS_SCHEMA)
     seen = _numbers_row(df, columns, {
         "n": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max,
         "g1": F.skewness, "g2": F.kurtosis,

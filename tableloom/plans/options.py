@@ -18,6 +18,8 @@ class PrepareOptions:
     scale_features: bool = True
     scaler: str = "auto"
     derive_features: bool = True
+    derived_pairs: int = 3
+    derived_singles: int = 5
     approximate_quantiles: bool = False
 
     def __post_init__(self) -> None:

@@ -64,7 +64,9 @@ class PreparePlan:
         if self.outliers is not None and self.options.cap_outliers:
             df = self.outliers.transform(df)
         df = self.scaling.transform(self.encoding.transform(df, unseen))
-        return derive(df, self.derived_from) if self.options.derive_features else df
+        if not self.options.derive_features:
+            return df
+        return derive(df, self.derived_from, self.options.derived_pairs, self.options.derived_singles)
 
     def transform(self, df: DataFrame, deduplicate: bool = True, unseen: str = "error") -> DataFrame:
         """Apply the plan to a table or, with ``deduplicate=False``, to a stream."""
@@ -122,7 +124,7 @@ def fit_prepare(
 
     fitted = scaling.transform(encoded.drop(*flags))
     if options.derive_features:
-        fitted = derive(fitted, scalable)
+        fitted = derive(fitted, scalable, options.derived_pairs, options.derived_singles)
     duplicates = missing.rows - (row["rows"] if kept_rows is None else kept_rows)
     rows = _metadata(df, features, fitted, carried, encoding, missing, duplicates, removed, row["rows"])
     return PreparePlan(

@@ -41,16 +41,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return filesystem.exists(hadoop_path)
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True) -> DataFrame:
     """Read CSV (with header) or parquet. A missing path or another suffix is an error before the read.
 
-    Without a schema a CSV costs one extra pass that infers the column types.
+    Without a schema a CSV costs one extra pass that infers the column types. Quoted texts may hold line
+    breaks, so a file is read by one task; pass ``multi_line=False`` to split large files known to have none.
     """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"no data at {path}")
     if _format_of(path) == "parquet":
         return nan_to_null(spark.read.parquet(path))
-    raw = spark.read.csv(path, header=True, quote='"', escape='"', multiLine=False)
+    raw = spark.read.csv(
+        path, header=True, quote='"', escape='"', multiLine=multi_line, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
     if schema is None:
         return infer_types(raw)
     types = {f.name: f.dataType for f in schema.fields}
@@ -61,7 +64,8 @@ def write_table(df: DataFrame, path: str, mode: str = "error") -> str:
     """Write CSV (with header) or parquet as a folder; parent folders are created."""
     writer = df.write.mode(mode)
     if _format_of(path) == "csv":
-        writer.option("escape", '"').csv(path, header=True)
+        # Outer spaces stay, and line breaks travel inside quotes.
+        writer.csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     else:
         writer.parquet(path)
     return path

@@ -154,3 +154,14 @@ def test_duplicates_keep_lowest_key(spark):
     assert sorted(map(tuple, clean.drop_duplicates(df, ["v"], ["id"], ["id", "t"]).collect()), key=str) == [
         (1, "a", 10), (2, "b", 20), (8, None, 2)]
     assert clean.drop_duplicates(df.select("v"), ["v"]).count() == 3
+
+
+def test_neighbour_plans_do_not_stream(spark, mixed, tmp_path):
+    plan = fit_prepare(mixed, "target", ["id"], PrepareOptions(missing_strategy="knn"))
+    with pytest.raises(ValueError, match="knn"):
+        transform_stream(plan, mixed)
+
+
+def test_derived_features_can_be_chosen(spark, mixed):
+    few = fit_prepare(mixed, "target", ["id"], PrepareOptions(derived_pairs=0, derived_singles=1)).fitted_table()
+    assert sum(c.endswith("_squared") for c in few.columns) == 1 and not any("_x_" in c for c in few.columns)

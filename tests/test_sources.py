@@ -55,6 +55,16 @@ def test_round_trip_creates_parents(spark, tmp_path, suffix):
         write_table(df, path)
 
 
+def test_texts_survive_line_breaks_and_outer_spaces(spark, tmp_path):
+    texts = [" x ", "a\nb", 'quote " and, comma', "\ttab", "crlf\r\nend", "\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
+    back = read_table(spark, write_table(df, str(tmp_path / "texts.csv")))
+    assert back.schema.simpleString() == df.schema.simpleString()
+    assert dict(map(tuple, back.collect())) == dict(enumerate(texts))
+    plain = write_table(df.where("id = 0"), str(tmp_path / "plain.csv"))
+    assert read_table(spark, plain, multi_line=False).collect() == df.where("id = 0").collect()
+
+
 def test_nan_becomes_null_at_input(spark, tmp_path):
     df = spark.createDataFrame([(1.0,), (float("nan"),)], "x double")
     back = read_table(spark, write_table(df, str(tmp_path / "n.parquet")))

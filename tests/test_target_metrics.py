@@ -5,17 +5,26 @@ from tableloom.operators.metrics import classification_metrics, regression_metri
 from tableloom.operators.target import task_of
 
 
-def test_classification_fixture(spark):
-    rows = list(zip(map(int, "0110101100"), map(int, "0110001101")))
+def test_binary_metrics_follow_the_confusion_counts(spark):
+    """True and false positives and negatives chosen so that all four scores differ."""
+    hits, false_alarms, misses, rejections = 12, 4, 8, 26
+    counts = {(1, 1): hits, (0, 1): false_alarms, (1, 0): misses, (0, 0): rejections}
+    rows = [pair for pair, n in counts.items() for _ in range(n)]
     found = classification_metrics(spark.createDataFrame(rows, "y int, p int"), "y", "p").first()
-    assert [round(found[m], 12) for m in ("accuracy", "precision", "recall", "f1_score")] == [0.8] * 4
+    precision, recall = hits / (hits + false_alarms), hits / (hits + misses)
+    assert found["accuracy"] == pytest.approx((hits + rejections) / len(rows))
+    assert found["precision"] == pytest.approx(precision) and found["recall"] == pytest.approx(recall)
+    assert found["f1_score"] == pytest.approx(2 * precision * recall / (precision + recall))
 
 
-def test_regression_fixture(spark):
-    rows = list(zip([1.0, 2.0, 3.0, 4.0, 5.0], [1.1, 2.2, 2.9, 4.1, 5.2]))
+def test_regression_metrics_of_a_shifted_line(spark):
+    """Predictions off by +d and -d in turn: every error has size d, the truth is a run of even spacing."""
+    n, d = 40, 1.25
+    rows = [(3.0 * i, 3.0 * i + (d if i % 2 else -d)) for i in range(n)]
     found = regression_metrics(spark.createDataFrame(rows, "y double, p double"), "y", "p").first()
-    assert found["mse"] == pytest.approx(0.022) and found["rmse"] == pytest.approx(0.148324, abs=1e-6)
-    assert found["mae"] == pytest.approx(0.14) and found["r2_score"] == pytest.approx(0.989)
+    variance = 9.0 * (n * n - 1) / 12
+    assert found["mse"] == pytest.approx(d * d) and found["rmse"] == pytest.approx(d) and found["mae"] == pytest.approx(d)
+    assert found["r2_score"] == pytest.approx(1 - d * d / variance)
 
 
 def test_weighted_scores_for_three_classes(spark):

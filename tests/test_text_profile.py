@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tableloom.functions.columns import clip, day_of_week, is_weekend, map_values, null_every, threshold_label, weighted_score
 from tableloom.functions.text import clean_prose, paragraphs
-from tableloom.operators import features, profile
+from tableloom.operators import clean, features, profile
 
 
 def one(spark, text, build):
@@ -74,3 +74,23 @@ def test_quality_of_an_empty_table(spark):
     df = spark.createDataFrame([], "x double, c string")
     row = profile.quality_statistics(df).first()
     assert (row["total_rows"], row["missing_values_total"], row["completeness"]) == (0, 0, None)
+
+
+def test_profiles_of_columns_that_do_not_exist(spark):
+    """A table without numbers or without texts gives empty profiles with their columns."""
+    texts, numbers = spark.createDataFrame([("a",), (None,)], "s string"), spark.createDataFrame([(1.0,), (2.0,)], "x double")
+    for build in (profile.describe, profile.box_plot, profile.histogram, profile.feature_statistics, profile.correlations):
+        empty, full = build(texts), build(numbers)
+        assert empty.count() == 0 and empty.columns == full.columns, build.__name__
+    blank = spark.createDataFrame([(None,)], "x double")
+    assert profile.box_plot(blank).count() == 0 and profile.histogram(blank).count() == 0
+    assert profile.categorical_summary(numbers).columns == profile.categorical_summary(texts).columns
+    for method in ("iqr", "zscore"):
+        assert clean.outlier_counts(texts, method).count() == 0
+
+
+def test_named_columns_are_never_cut(spark):
+    df = spark.range(30).select(*[(F.col("id") * (i + 1)).cast("double").alias(f"c{i}") for i in range(12)])
+    assert profile.box_plot(df, df.columns).count() == 12 and profile.box_plot(df).count() == 10
+    assert profile.feature_statistics(df, columns=df.columns).count() == 12
+    assert profile.histogram(df, df.columns, 5).count() == 60 and profile.histogram(df, bins=5).count() == 20
