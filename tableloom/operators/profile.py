@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tableloom.functions.columns import col, column_kinds
 from tableloom.operators.levels import level_summary, value_counts
-from tableloom.operators.quantiles import quantiles
+from tableloom.operators.quantiles import quantiles, quantiles_and_measures
 from tableloom.session import local_table
 
 MEASURES_PER_JOB = 200
@@ -75,23 +75,12 @@ def missing_ranking(df: DataFrame) -> DataFrame:
     return table.where("missing > 0").orderBy(F.desc("missing"), "column")
 
 
-def _numbers_row(df: DataFrame, columns: Sequence[str], measures: dict):
-    """Several measures of several columns in one aggregate, by (measure, column)."""
-    row = df.agg(*[
-        measure(col(c).cast("double")).alias(f"{name}_{i}") for i, c in enumerate(columns) for name, measure in measures.items()
-    ]).first()
-    return {(name, c): row[f"{name}_{i}"] for i, c in enumerate(columns) for name in measures}
-
-
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, extremes and quartiles of the numeric columns."""
     columns = list(columns or column_kinds(df).numeric)
     if not columns:
         return no_rows(df, DESCRIBE_SCHEMA)
-    seen = _numbers_row(df, columns, {
-        "count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max,
-    })
-    found = quantiles(df, columns, [0.25, 0.5, 0.75], {c: seen["count", c] for c in columns})
+    found, seen = quantiles_and_measures(df, columns, [0.25, 0.5, 0.75], {"mean": F.avg, "std": F.stddev_samp})
     doubles = {name: [seen[name, c] for c in columns] for name in ("mean", "std", "min")}
     doubles |= {name: [found[c][j] for c in columns] for j, name in enumerate(("q25", "q50", "q75"))}
     doubles["max"] = [seen["max", c] for c in columns]
@@ -219,15 +208,12 @@ def feature_statistics(
     columns = [c for c in columns if c != target] if columns else [c for c in column_kinds(df).numeric if c != target][:limit]
     if not columns:
         return no_rows(df, STATISTICS_SCHEMA)
-    seen = _numbers_row(df, columns, {
-        "n": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max,
-        "g1": F.skewness, "g2": F.kurtosis,
-    })
-    medians = quantiles(df, columns, [0.5], {c: seen["n", c] for c in columns})
+    medians, seen = quantiles_and_measures(
+        df, columns, [0.5], {"mean": F.avg, "std": F.stddev_samp, "g1": F.skewness, "g2": F.kurtosis})
     values = {name: [seen[name, c] for c in columns] for name in ("mean", "std", "min", "max")}
     values["median"] = [medians[c][0] for c in columns]
-    values["skewness"] = [corrected_skewness(seen["n", c], seen["g1", c]) for c in columns]
-    values["kurtosis"] = [corrected_kurtosis(seen["n", c], seen["g2", c]) for c in columns]
+    values["skewness"] = [corrected_skewness(seen["count", c], seen["g1", c]) for c in columns]
+    values["kurtosis"] = [corrected_kurtosis(seen["count", c], seen["g2", c]) for c in columns]
     order = ("mean", "median", "std", "min", "max", "skewness", "kurtosis")
     return local_table(
         df.sparkSession, column=pa.array(columns, pa.string()), **{name: pa.array(values[name], pa.float64()) for name in order}

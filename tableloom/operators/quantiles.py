@@ -2,17 +2,18 @@
 
 ``percentile`` keeps a value-to-count map per column in a single task, which is fine for few rows or
 few distinct values. Otherwise each quantile is bracketed by approximate percentiles, the brackets
-are checked by counting, and only rows inside a bracket are looked at again. A bracket shrinks by
-about accuracy / 4 per pass, so a trillion rows need three or four scans and no shuffle of the rows.
+are checked by counting, and only rows inside a bracket are looked at again. That is one pass for guesses,
+one that confirms them and one for the values; each further narrowing by about accuracy / 4, needed from
+some hundred million distinct values on, takes two more. Rows are never shuffled whole.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tableloom.functions.columns import col
@@ -29,6 +30,9 @@ def _as_double(name: str) -> Column:
     return col(name).cast("double")
 
 
+Measures = Mapping[str, Callable[[Column], Column]]
+
+
 def present_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
     row = df.agg(*[F.count(col(c)).alias(f"n_{i}") for i, c in enumerate(columns)]).first()
     return {c: row[f"n_{i}"] for i, c in enumerate(columns)}
@@ -49,17 +53,33 @@ def quantiles(
     if approximate:
         return _one_pass(df, columns, lambda c: F.percentile_approx(c, probs, ACCURACY))
     if counts is None:
-        counts = present_counts(df, columns)
+        return quantiles_and_measures(df, columns, probs, {}, direct_rows)[0]
     small = [c for c in columns if counts[c] <= direct_rows]
     large = [c for c in columns if counts[c] > direct_rows]
     found = _one_pass(df, small, lambda c: F.percentile(c, probs)) if small else {}
     for start in range(0, len(large), COLUMNS_PER_JOB):
         part = large[start : start + COLUMNS_PER_JOB]
         coarse = max(counts[c] for c in part) <= COARSE_ROWS
-        found |= narrowed_quantiles(df, part, probs, counts, COARSE_ACCURACY if coarse else ACCURACY)
+        found |= narrowed_quantiles(df, part, probs, COARSE_ACCURACY if coarse else ACCURACY)
     return {c: found[c] if found[c] is not None else [None] * len(probs) for c in columns}
 
 
+def quantiles_and_measures(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], measures: Measures, direct_rows: int = DIRECT_ROWS
+) -> tuple[dict[str, list[float | None]], dict[tuple[str, str], float]]:
+    """Quantiles of columns whose counts are not known yet, with other aggregates from the first pass.
+
+    Besides ``measures`` the second result holds ``count``, ``min`` and ``max`` of each column.
+    """
+    found, seen = {}, {}
+    for start in range(0, len(columns), COLUMNS_PER_JOB):
+        part = list(columns[start : start + COLUMNS_PER_JOB])
+        values, first = _narrowed(df, part, list(probs), measures, COARSE_ACCURACY, BRACKET_VALUES, FEW_VALUES, direct_rows)
+        found |= values
+        seen |= first
+    return found, seen
+
+
 def _one_pass(df: DataFrame, columns: list[str], measure) -> dict[str, list[float] | None]:
     row = df.agg(*[measure(_as_double(c)).alias(f"q_{i}") for i, c in enumerate(columns)]).first()
     return {c: row[f"q_{i}"] for i, c in enumerate(columns)}
@@ -86,44 +106,54 @@ def narrowed_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probs: Sequence[float],
-    counts: Mapping[str, int],
     accuracy: int = ACCURACY,
     bracket_values: int = BRACKET_VALUES,
     few_values: int = FEW_VALUES,
 ) -> dict[str, list[float]]:
+    return _narrowed(df, list(columns), list(probs), {}, accuracy, bracket_values, few_values, 0)[0]
+
+
+def _narrowed(
+    df: DataFrame, columns: list[str], probs: list[float], measures: Measures, accuracy: int, bracket_values: int,
+    few_values: int, direct_rows: int,
+) -> tuple[dict[str, list[float | None]], dict[tuple[str, str], float]]:
+    """First pass: counts, ends, guesses and the other measures. Second: ``percentile`` of columns with
+    few rows or values, and counts that confirm the others' brackets. Then narrower brackets while a
+    bracket holds too many values, and the values at the ranks."""
     guesses = [g for p in probs for g in _around(p, p, accuracy)]
-    measures = []
+    aggregates = []
     for i, c in enumerate(columns):
         value = _as_double(c)
-        measures += [
-            F.percentile_approx(value, guesses, accuracy).alias(f"g_{i}"), F.approx_count_distinct(value).alias(f"d_{i}"),
-            F.min(value).alias(f"lo_{i}"), F.max(value).alias(f"hi_{i}"),
+        aggregates += [
+            F.percentile_approx(value, guesses, accuracy).alias(f"guess_{i}"), F.approx_count_distinct(value).alias(f"distinct_{i}"),
+            F.count(value).alias(f"count_{i}"), F.min(value).alias(f"min_{i}"), F.max(value).alias(f"max_{i}"),
+            *[measure(value).alias(f"{name}_{i}") for name, measure in measures.items()],
         ]
-    seen = df.agg(*measures).first()
-    few = [c for i, c in enumerate(columns) if seen[f"d_{i}"] <= few_values]
-    result = _one_pass(df, few, lambda v: F.percentile(v, list(probs))) if few else {}
+    row = df.agg(*aggregates).first()
+    seen = {(name, c): row[f"{name}_{i}"] for i, c in enumerate(columns) for name in ("count", "min", "max", *measures)}
     brackets: dict[tuple[str, float], _Bracket] = {}
-    first_guess = []
+    first_guess, few = [], []
     for i, c in enumerate(columns):
-        if c in few:
+        n = seen["count", c]
+        if n <= direct_rows or row[f"distinct_{i}"] <= few_values:
+            few.append(c)
             continue
         for j, p in enumerate(probs):
-            position = (counts[c] - 1) * p
-            brackets[c, p] = _Bracket(
-                c, math.floor(position), math.ceil(position), seen[f"lo_{i}"], seen[f"hi_{i}"], 0, counts[c], counts[c]
-            )
-            first_guess.append((seen[f"g_{i}"][2 * j], seen[f"g_{i}"][2 * j + 1]))
+            position = (n - 1) * p
+            brackets[c, p] = _Bracket(c, math.floor(position), math.ceil(position), seen["min", c], seen["max", c], 0, n, n)
+            first_guess.append((row[f"guess_{i}"][2 * j], row[f"guess_{i}"][2 * j + 1]))
     pending = list(brackets.values())
-    if pending:
-        _confirm(df, pending, first_guess)
+    exact = [F.percentile(_as_double(c), probs).alias(f"exact_{i}") for i, c in enumerate(few)]
+    second = _confirm(df, pending, first_guess, exact) if pending or exact else None
+    result = {c: second[f"exact_{i}"] or [None] * len(probs) for i, c in enumerate(few)}
     while pending := [b for b in pending if b.low < b.high and b.distinct > bracket_values]:
         _confirm(df, pending, _guess(df, pending, accuracy))
     values = _values_at_ranks(df, list(brackets.values()))
     for (c, p), bracket in brackets.items():
         lower, upper = values[c, bracket.first], values[c, bracket.last]
-        share = (counts[c] - 1) * p - bracket.first
+        share = (seen["count", c] - 1) * p - bracket.first
         result.setdefault(c, []).append(lower + (upper - lower) * share)
-    return result
+    return result, seen
 
 
 def _around(low: float, high: float, accuracy: int) -> list[float]:
@@ -143,9 +173,12 @@ def _guess(df: DataFrame, pending: list[_Bracket], accuracy: int) -> list[tuple[
     return [tuple(row[f"g_{i}"]) for i in range(len(pending))]
 
 
-def _confirm(df: DataFrame, pending: list[_Bracket], guesses: list[tuple[float, float]]) -> None:
-    """Shrink every bracket to its guessed ends, keeping only the ends that counting confirms."""
-    checks = []
+def _confirm(df: DataFrame, pending: list[_Bracket], guesses: list[tuple[float, float]], extra: Sequence[Column] = ()) -> Row:
+    """Shrink every bracket to its guessed ends, keeping only the ends that counting confirms.
+
+    Returns the row of the pass, with any extra aggregates.
+    """
+    checks = list(extra)
     for i, (b, (low, high)) in enumerate(zip(pending, guesses)):
         value, within = _as_double(b.column), b.holds()
         checks += [
@@ -168,6 +201,7 @@ def _confirm(df: DataFrame, pending: list[_Bracket], guesses: list[tuple[float,
         if not narrower:
             # Only repeated values are left between the ends, so few distinct ones remain.
             b.distinct = 0
+    return seen
 
 
 def _values_at_ranks(df: DataFrame, brackets: list[_Bracket]) -> dict[tuple[str, int], float]:

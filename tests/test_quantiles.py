@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tableloom.operators.quantiles import narrowed_quantiles, present_counts, quantiles
+from tableloom.operators.quantiles import narrowed_quantiles, quantiles, quantiles_and_measures
 
 PROBS = [0.0, 0.25, 0.5, 0.75, 0.99, 1.0]
 
@@ -21,8 +21,7 @@ def frames(spark):
 def test_narrowing_is_exact(spark, accuracy, bracket, few):
     data = frames(spark)
     df = spark.createDataFrame(list(zip(*[v.tolist() for v in data.values()])), list(data)).repartition(5)
-    counts = present_counts(df, list(data))
-    found = narrowed_quantiles(df, list(data), PROBS, counts, accuracy, bracket, few)
+    found = narrowed_quantiles(df, list(data), PROBS, accuracy, bracket, few)
     for name, values in data.items():
         assert found[name] == pytest.approx(np.quantile(values, PROBS).tolist(), rel=1e-12), name
 
@@ -37,3 +36,16 @@ def test_one_and_two_rows(spark):
     assert quantiles(spark.createDataFrame([(3.0,)], "x double"), ["x"], [0.25]) == {"x": [3.0]}
     df = spark.createDataFrame([(1.0,), (2.0,)], "x double")
     assert quantiles(df, ["x"], [0.25], direct_rows=1) == {"x": [1.25]}
+
+
+def test_few_jobs(spark):
+    """One pass for guesses and moments, one that confirms, one for the values."""
+    data = frames(spark)
+    df = spark.createDataFrame(list(zip(*[v.tolist() for v in data.values()])), list(data)).repartition(5)
+    spark.sparkContext.setJobGroup("quantiles", "")
+    found, seen = quantiles_and_measures(df, list(data), [0.5], {"mean": F.avg}, direct_rows=10)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("quantiles")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 12 and seen["count", "few"] == 4000
+    for name, values in data.items():
+        assert found[name][0] == pytest.approx(np.median(values)) and seen["mean", name] == pytest.approx(values.mean())
