@@ -288,16 +288,22 @@ class NeighbourFill:
                         shared += both
                     with np.errstate(divide="ignore", invalid="ignore"):
                         distance = np.where(shared > 0, total * (n_columns / shared), np.inf)
-                    for i in range(len(x)):
-                        value = z[:, cs[start + i]]
-                        own = np.where(np.isnan(value), np.inf, distance[i])
-                        kth = np.partition(own, k - 1)[k - 1] if len(own) > k else np.inf
-                        kept = np.flatnonzero((own <= kth) & np.isfinite(own))
-                        kept = kept[np.lexsort((value[kept], own[kept]))][:k]
-                        row.append(np.full(len(kept), start + i))
-                        distances.append(own[kept])
-                        values.append(value[kept])
-                        sizes.append(counts[kept])
+                    value = z[:, cs[start : start + 64]].T
+                    own = np.where(np.isnan(value), np.inf, distance)
+                    if own.shape[1] > k:
+                        limit = np.partition(own, k - 1, axis=1)[:, k - 1 : k]
+                    else:
+                        limit = np.full((len(x), 1), np.inf)
+                    item, donor = np.nonzero((own <= limit) & np.isfinite(own))
+                    order = np.lexsort((value[item, donor], own[item, donor], item))
+                    item, donor = item[order], donor[order]
+                    # Ties at the limit may be more than k: the first k of each item stay.
+                    nearest_k = np.arange(len(item)) - np.searchsorted(item, item) < k
+                    item, donor = item[nearest_k], donor[nearest_k]
+                    row.append(start + item)
+                    distances.append(own[item, donor])
+                    values.append(value[item, donor])
+                    sizes.append(counts[donor])
 
             def joined(parts: list, kind) -> pa.Array:
                 return pa.array(np.concatenate(parts) if parts else [], kind)
