@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tableloom.functions.columns import clip, col, column_kinds
 from tableloom.operators.levels import level_summary, value_counts
@@ -79,20 +80,52 @@ def drop_duplicates(
     with the lowest key.
 
     A grouped minimum combines on the map side, so a third of the rows being one copied row costs
-    nothing in the shuffle (a window would sort the whole group in one task).
+    nothing in the shuffle (a window would sort the whole group in one task). Keys are expected to be
+    unique; rows equal in key and ``columns`` give any of their carried values.
     """
-    rest = [*keys, *[c for c in carried if c not in keys]]
+    others = [c for c in carried if c not in keys]
+    rest = [*keys, *others]
     groups = df.groupBy(*[col(c) for c in columns])
     if not rest:
         return df.select(*[col(c) for c in columns]).distinct()
     if len(rest) == 1:
         kept = groups.agg(F.min(col(rest[0])).alias(rest[0]))
+    elif (packed := _packed_keys(df, keys, others)) is not None:
+        # One number per row keeps the aggregate in hash maps, which a minimum of structs would sort for.
+        number, unpacked = packed
+        found = groups.agg(F.min(number).alias("_key"), *[F.min_by(col(c), number).alias(c) for c in others])
+        kept = found.select(*[col(c) for c in columns], *[value.alias(k) for k, value in unpacked.items()], *[col(c) for c in others])
     else:
         kept = groups.agg(F.min(F.struct(*[col(c) for c in rest])).alias("_first"))
         kept = kept.select(*[col(c) for c in columns], *[F.col("_first").getField(c).alias(c) for c in rest])
     return kept.select(*[col(c) for c in df.columns if c in columns or c in rest])
 
 
+def _packed_keys(df: DataFrame, keys: Sequence[str], others: Sequence[str]) -> tuple[Column, dict[str, Column]] | None:
+    """Integer keys as one number in their order (NULL first), and the keys from that number ``_key``.
+
+    None where a key is no integer, the ranges need more than 62 bits, or a carried column has no fixed width.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    whole, fixed = (T.ByteType, T.ShortType, T.IntegerType, T.LongType), (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)
+    if not keys or not all(isinstance(types[k], whole) for k in keys) or not all(isinstance(types[c], fixed) for c in others):
+        return None
+    ends = df.agg(*[f(col(k)).alias(f"{n}_{i}") for i, k in enumerate(keys) for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    lows = [ends[f"lo_{i}"] or 0 for i in range(len(keys))]
+    bits = [((ends[f"hi_{i}"] or 0) - low + 1).bit_length() for i, low in enumerate(lows)]
+    if sum(bits) > 62:
+        return None
+    number, place = F.lit(0).cast("bigint"), sum(bits)
+    unpacked = {}
+    for k, low, width in zip(keys, lows, bits):
+        place -= width
+        part = F.coalesce(col(k).cast("bigint") - F.lit(low - 1), F.lit(0).cast("bigint"))
+        number = number.bitwiseOR(F.shiftleft(part, place))
+        own = F.shiftright("_key", place).bitwiseAND(F.lit((1 << width) - 1))
+        unpacked[k] = F.when(own > 0, own + F.lit(low - 1)).cast(types[k])
+    return number, unpacked
+
+
 @dataclass(frozen=True)
 class Fences:
     """Lower and upper bound per column; values strictly outside are outliers."""

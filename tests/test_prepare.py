@@ -165,3 +165,14 @@ def test_neighbour_plans_do_not_stream(spark, mixed, tmp_path):
 def test_derived_features_can_be_chosen(spark, mixed):
     few = fit_prepare(mixed, "target", ["id"], PrepareOptions(derived_pairs=0, derived_singles=1)).fitted_table()
     assert sum(c.endswith("_squared") for c in few.columns) == 1 and not any("_x_" in c for c in few.columns)
+
+
+def test_integer_keys_deduplicate_in_hash_maps(spark):
+    rows = [(5, 1, "a", 1.0), (-3, 9, "a", 2.0), (-3, 4, "a", 3.0), (None, 7, "b", 4.0), (2, 2, "b", 5.0), (8, 8, "c", 6.0)]
+    df = spark.createDataFrame(rows, "k1 int, k2 bigint, v string, t double")
+    out = clean.drop_duplicates(df, ["v"], ["k1", "k2"], ["k1", "k2", "t"])
+    assert sorted(map(tuple, out.collect()), key=str) == [(-3, 4, "a", 3.0), (8, 8, "c", 6.0), (None, 7, "b", 4.0)]
+    assert out.schema.simpleString() == df.schema.simpleString()
+    assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+    wide = df.withColumn("k1", F.when(F.col("k1") == 8, F.lit(2**62)).otherwise(F.col("k1").cast("bigint")))
+    assert sorted(map(tuple, clean.drop_duplicates(wide, ["v"], ["k1", "k2"], ["k1", "k2", "t"]).collect()), key=str)[0] == (-3, 4, "a", 3.0)
