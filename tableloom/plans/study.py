@@ -15,7 +15,7 @@ from tableloom.operators.split import assign_folds, fold_count, smallest_class,
 from tableloom.operators.target import task_of
 from tableloom.plans.options import ExplainOptions, ModelOptions, PrepareOptions
 from tableloom.plans.prepare import PreparePlan, fit_prepare
-from tableloom.session import materialize
+from tableloom.session import clear_kept, kept, materialize
 from tableloom.sources.tables import resolve_target
 
 
@@ -25,6 +25,11 @@ class Study:
     prepared: DataFrame
     result: Tournament
     tables: dict[str, DataFrame]
+    first_kept: int = 0
+
+    def release(self) -> int:
+        """Delete the intermediate tables kept since the study began; its tables cannot be read afterwards."""
+        return clear_kept(self.prepared.sparkSession, self.first_kept)
 
 
 def train_models(
@@ -59,10 +64,15 @@ def run_study(
     prepare: PrepareOptions | None = None, model: ModelOptions | None = None,
     explained: ExplainOptions | None = None,
 ) -> Study:
-    """Prepare, train, explain (when ``explained`` is given) and tabulate."""
+    """Prepare, train, explain (when ``explained`` is given) and tabulate.
+
+    The de-duplicated rows are kept once; the prepared table is a projection of them. ``release`` of the
+    result deletes what the study keeps.
+    """
     target = resolve_target(df, target)
+    first_kept = len(kept(df.sparkSession))
     plan = fit_prepare(df, target, keys, prepare)
-    prepared = materialize(plan.fitted_table())
+    prepared = plan.fitted_table()
     result = train_models(prepared, target, keys, model)
     metadata = plan.metadata()
     missing = report.missing_of(metadata, {c: i for i, c in enumerate(df.columns)})
@@ -85,4 +95,4 @@ def run_study(
         tables["local_surrogates"] = explain.local_surrogates(
             result.best, prepared, keys, target, explained.instances, explained.samples, seed=explained.seed
         )
-    return Study(plan, prepared, result, tables)
+    return Study(plan, prepared, result, tables, first_kept)

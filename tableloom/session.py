@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-_kept_paths: list[str] = []
+#: What each application keeps, in the order it was kept: paths of written tables, and persisted frames.
+_kept: dict[str, list[str | DataFrame]] = {}
 
 
 def build_session(app: str = "tableloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -45,6 +46,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(base, f"{label}-{uuid.uuid4().hex}")
 
 
+def kept(spark: SparkSession) -> list[str | DataFrame]:
+    return _kept.setdefault(spark.sparkContext.applicationId, [])
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Keep an intermediate result that several later jobs read.
 
@@ -54,19 +59,35 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     if checkpoint_dir(spark) is None:
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
-    path = scratch_path(spark, "kept")
-    _kept_paths.append(path)
+        held = df.persist(StorageLevel.MEMORY_AND_DISK)
+        kept(spark).append(held)
+        return held
+    return write_kept(df, "kept")
+
+
+def write_kept(df: DataFrame, label: str) -> DataFrame:
+    """Write a table below the shared folder and read it back; ``clear_kept`` deletes it."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    kept(spark).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def clear_kept(spark: SparkSession) -> int:
-    """Delete the tables ``materialize`` wrote; call it when no result reading them is used any more."""
-    jvm, removed = spark.sparkContext._jvm, 0
-    while _kept_paths:
-        path = jvm.org.apache.hadoop.fs.Path(_kept_paths.pop())
-        removed += bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
+def clear_kept(spark: SparkSession, since: int = 0) -> int:
+    """Delete or unpersist what this application has kept, or only what came after the first ``since``.
+
+    Call it when no result that reads the tables is used any more.
+    """
+    held, removed = kept(spark), 0
+    while len(held) > since:
+        entry = held.pop()
+        if isinstance(entry, str):
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(entry)
+            removed += bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
+        else:
+            entry.unpersist()
+            removed += 1
     return removed
 
 

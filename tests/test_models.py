@@ -198,6 +198,7 @@ def test_whole_study(spark, mixed):
     assert study.tables["summary_facts"].where("section = 'model'").count() == 6
     for name in ("deltas", "missing_handled", "training_summary", "model_metrics", "top_importance", "global_importance", "directions", "local_surrogates"):
         assert study.tables[name].count() > 0, name
+    assert study.release() > 0
 
 
 def test_unknown_target(spark, mixed):

@@ -96,16 +96,19 @@ def test_kept_tables_can_be_cleared(spark, tmp_path, monkeypatch):
     from tableloom import session
 
     monkeypatch.setattr(session, "checkpoint_dir", lambda _: str(tmp_path))
-    monkeypatch.setattr(session, "_kept_paths", [])
-    kept = session.materialize(spark.range(5))
-    assert kept.count() == 5 and len(list(tmp_path.iterdir())) == 1
+    monkeypatch.setattr(session, "_kept", {"another application": ["untouched"]})
+    first, second = session.materialize(spark.range(5)), session.materialize(spark.range(6))
+    assert first.count() == 5 and second.count() == 6 and len(list(tmp_path.iterdir())) == 2
+    assert session.clear_kept(spark, since=1) == 1 and first.count() == 5 and len(list(tmp_path.iterdir())) == 1
     assert session.clear_kept(spark) == 1 and not list(tmp_path.iterdir())
+    assert session._kept["another application"] == ["untouched"]
 
 
 def test_without_a_shared_folder_rows_are_persisted(spark, monkeypatch):
     from tableloom import session
 
     monkeypatch.setattr(session, "checkpoint_dir", lambda _: None)
-    kept = session.materialize(spark.range(3))
-    assert kept.storageLevel.useDisk and kept.count() == 3
-    kept.unpersist()
+    monkeypatch.setattr(session, "_kept", {})
+    held = session.materialize(spark.range(3))
+    assert held.storageLevel.useDisk and held.count() == 3
+    assert session.clear_kept(spark) == 1 and not held.storageLevel.useDisk
