@@ -165,8 +165,7 @@ SELECT p_partkey, label, is_test FROM {RARE_PART} WHERE label NOT IN
 def _(spark, sf):
     df = rare_part(spark, sf)
     train, test = df.where("NOT is_test"), df.where("is_test")
-    singletons = guards.judge(train, "label", "classification").singletons
-    train, test = guards.remove_singletons(train, test, "label", singletons)
+    train, test = guards.remove_singletons(train, test, "label")
     return train.unionByName(test)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tableloom.functions.columns import col, column_kinds
 from tableloom.operators.levels import (
-    LOCAL_LEVELS, CodeTable, code_table, level_summary, local_code_table, value_counts,
+    LOCAL_BYTES, LOCAL_LEVELS, CodeTable, code_table, level_summary, local_code_table, value_counts,
 )
 from tableloom.session import materialize
 
@@ -66,7 +66,12 @@ def fit_encoding(df: DataFrame, columns: Sequence[str] | None = None, threshold:
     counts = materialize(value_counts(df, columns))
     summary = {r["column"]: r for r in level_summary(counts).collect()}
     few = [c for c in columns if summary[c]["n_distinct"] <= threshold]
-    local = [c for c in columns if c in few or summary[c]["n_levels"] <= LOCAL_LEVELS]
+    # Columns' levels come to the driver, smallest first, while all of them together stay small.
+    local, taken = list(few), sum(summary[c]["n_bytes"] for c in few)
+    for c in sorted((c for c in columns if c not in few), key=lambda c: summary[c]["n_bytes"]):
+        if summary[c]["n_levels"] <= LOCAL_LEVELS and taken + summary[c]["n_bytes"] <= LOCAL_BYTES:
+            local.append(c)
+            taken += summary[c]["n_bytes"]
     levels: dict[str, list[str | None]] = {c: [] for c in local}
     if local:
         for r in counts.where(F.col("column").isin(local)).select("column", "value").collect():

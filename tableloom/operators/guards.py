@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from tableloom.functions.columns import col
 
 MIN_TRAIN_ROWS = 10
-BROADCAST_LABELS = 100_000
 
 
 class TrainingError(ValueError):
@@ -77,11 +76,12 @@ def judge(train: DataFrame, target: str, task: str) -> Verdict:
     return Verdict(**training_verdict(train, target, task).first().asDict())
 
 
-def remove_singletons(train: DataFrame, other: DataFrame, target: str, n_singletons: int) -> tuple[DataFrame, DataFrame]:
-    """Drop the classes that have one training row, from the training rows and from the others."""
+def remove_singletons(train: DataFrame, other: DataFrame, target: str) -> tuple[DataFrame, DataFrame]:
+    """Drop the classes that have one training row, from the training rows and from the others.
+
+    The classes are as large as they come, so the join's kind is left to adaptive execution.
+    """
     counts = train.groupBy(col(target).alias("_single")).agg(F.count(F.lit(1)).alias("n"))
     singles = counts.where((F.col("n") == 1) & F.col("_single").isNotNull()).select("_single")
-    if n_singletons <= BROADCAST_LABELS:
-        singles = F.broadcast(singles)
     match = col(target) == F.col("_single")
     return train.join(singles, match, "left_anti"), other.join(singles, match, "left_anti")

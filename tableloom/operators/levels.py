@@ -16,8 +16,13 @@ from pyspark.sql import functions as F
 from tableloom.functions.columns import col
 from tableloom.session import local_table, materialize
 
+#: Levels, and bytes of their texts, that go to the driver as literals' source.
 LOCAL_LEVELS = 10_000
+LOCAL_BYTES = 32_000_000
+#: Levels, and bytes of their texts, that a lookup broadcasts.
 BROADCAST_LEVELS = 200_000
+BROADCAST_BYTES = 64_000_000
+LARGEST_INT_CODE = 2**31 - 1
 ONE_TASK_LEVELS = 200_000
 RANGE_PARTS = 1_000
 HOT_SHARE = 0.001
@@ -42,6 +47,7 @@ def level_summary(counts: DataFrame) -> DataFrame:
     return counts.groupBy("column").agg(
         F.count("value").alias("n_distinct"), F.min(ranked).getField("value").alias("mode"),
         F.count(F.lit(1)).alias("n_levels"), F.sum("n").alias("n_rows"),
+        F.coalesce(F.sum(F.octet_length("value")), F.lit(0)).alias("n_bytes"),
     )
 
 
@@ -71,8 +77,17 @@ def sorted_codes(levels: DataFrame, n_levels: int) -> DataFrame:
     )
 
 
+def fits_broadcast(n_keys: int, n_bytes: int) -> bool:
+    """Whether a lookup table is small by its rows and by the bytes of its keys."""
+    return n_keys <= BROADCAST_LEVELS and n_bytes <= BROADCAST_BYTES
+
+
+def key_bytes(table: DataFrame, key: str) -> int:
+    return table.agg(F.sum(F.octet_length(col(key)))).first()[0] or 0
+
+
 def lookup_join(
-    df: DataFrame, value: Column, table: DataFrame, key: str, n_keys: int, hot: Sequence[str], spread: Column
+    df: DataFrame, value: Column, table: DataFrame, key: str, n_keys: int, n_bytes: int, hot: Sequence[str], spread: Column
 ) -> DataFrame:
     """Left-join a table with one row per ``key`` to ``value``, dropping the key.
 
@@ -80,7 +95,7 @@ def lookup_join(
     value spread over salts by ``spread`` (any hash that tells rows apart).
     """
     renamed = table.withColumnRenamed(key, "_key")
-    if n_keys <= BROADCAST_LEVELS:
+    if fits_broadcast(n_keys, n_bytes):
         return df.join(F.broadcast(renamed), value == F.col("_key"), "left").drop("_key")
     hot = list(hot)
     last_salt = F.when(F.col("_key").isin(hot), SALTS - 1).otherwise(0) if hot else F.lit(0)
@@ -104,18 +119,19 @@ class CodeTable:
     column: str
     codes: DataFrame
     n_levels: int
+    n_bytes: int
     hot: tuple[str, ...]
 
     def attach(self, df: DataFrame, value: Column, as_name: str, spread: Column) -> DataFrame:
         codes = self.codes.select("value", F.col("code").alias(as_name))
-        return lookup_join(df, value, codes, "value", self.n_levels, self.hot, spread)
+        return lookup_join(df, value, codes, "value", self.n_levels, self.n_bytes, self.hot, spread)
 
 
 def local_code_table(spark: SparkSession, column: str, values: Sequence[str | None], null_level: str) -> CodeTable:
     """Codes of a column whose few levels are already on the driver."""
     levels = sorted({null_level if v is None else v for v in values}, key=lambda v: v.encode())
     codes = local_table(spark, value=pa.array(levels, pa.string()), code=pa.array(range(len(levels)), pa.int32()))
-    return CodeTable(column, codes, len(levels), ())
+    return CodeTable(column, codes, len(levels), sum(len(v.encode()) for v in levels), ())
 
 
 def code_table(counts: DataFrame, column: str, n_levels: int, n_rows: int, null_level: str) -> CodeTable:
@@ -125,6 +141,9 @@ def code_table(counts: DataFrame, column: str, n_levels: int, n_rows: int, null_
         .groupBy(F.coalesce("value", F.lit(null_level)).alias("value"))
         .agg(F.sum("n").alias("n"))
     )
-    hot = hot_values(levels, "value", n_rows) if n_levels > BROADCAST_LEVELS else ()
-    codes = sorted_codes(levels, n_levels).select("value", F.col("code").cast("int").alias("code"))
-    return CodeTable(column, materialize(codes), n_levels, hot)
+    # Codes stay int as long as they fit.
+    kind = "int" if n_levels <= LARGEST_INT_CODE else "bigint"
+    codes = materialize(sorted_codes(levels, n_levels).select("value", F.col("code").cast(kind).alias("code")))
+    n_bytes = key_bytes(codes, "value")
+    hot = () if fits_broadcast(n_levels, n_bytes) else hot_values(levels, "value", n_rows)
+    return CodeTable(column, codes, n_levels, n_bytes, hot)

@@ -150,7 +150,7 @@ class NeighbourFill:
         fills = self._fills(counts.select("rid", "x"))
         hot = hot_values(counts, "rid", size["rows"]) if size["ids"] > BROADCAST_LEVELS else ()
         spread = F.xxhash64(*[col(c) for c in df.columns])
-        joined = lookup_join(gapped, F.col("_rid"), fills, "rid", size["ids"], hot, spread)
+        joined = lookup_join(gapped, F.col("_rid"), fills, "rid", size["ids"], 32 * size["ids"], hot, spread)
         filled = [
             F.coalesce(col(c), F.col(f"fill_{columns.index(c)}"), F.lit(self.means[columns.index(c)])).alias(c)
             if c in columns else col(c)

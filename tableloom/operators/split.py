@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tableloom.functions.columns import col
 from tableloom.functions.keys import hash_key, row_keys
-from tableloom.operators.levels import hot_values, lookup_join
+from tableloom.operators.levels import LOCAL_BYTES, fits_broadcast, hot_values, lookup_join
 from tableloom.session import local_table, materialize
 
 PREFIX_COUNTS = 1_000_000
@@ -128,12 +128,13 @@ class ClassCuts:
     target: str
     table: DataFrame
     n_classes: int
+    n_bytes: int
     hot: tuple[str, ...]
 
     def attach(self, df: DataFrame, name: str) -> DataFrame:
         keyed = df.withColumn("_h", hash_key(self.keys, self.seed))
         cuts = self.table.select("y", F.col("cuts").alias("_cuts"))
-        joined = lookup_join(keyed, class_text(self.target), cuts, "y", self.n_classes, self.hot, F.xxhash64("_h"))
+        joined = lookup_join(keyed, class_text(self.target), cuts, "y", self.n_classes, self.n_bytes, self.hot, F.xxhash64("_h"))
         part = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= F.col("_h"))), F.lit(0))
         return joined.withColumn(name, part).drop("_cuts", "_h")
 
@@ -166,15 +167,18 @@ def fit_class_cuts(df: DataFrame, target: str, keys: Sequence[str], ranks: Calla
     found = hits.groupBy("y", "k").agg(F.min("h").alias("h"))
     cuts = found.groupBy("y").agg(F.array_sort(F.collect_list("h")).alias("cuts"))
     table = materialize(sizes.join(cuts, "y", "left").select("y", F.coalesce("cuts", F.array().cast("array<string>")).alias("cuts"), "n"))
-    seen = table.agg(F.count(F.lit(1)).alias("classes"), F.coalesce(F.sum(F.size("cuts")), F.lit(0)).alias("cuts")).first()
-    if seen["classes"] + seen["cuts"] <= LOCAL_CUTS:
+    seen = table.agg(
+        F.count(F.lit(1)).alias("classes"), F.coalesce(F.sum(F.size("cuts")), F.lit(0)).alias("cuts"),
+        F.coalesce(F.sum(F.octet_length("y") + 32 * F.size("cuts")), F.lit(0)).alias("bytes"),
+    ).first()
+    if seen["classes"] + seen["cuts"] <= LOCAL_CUTS and seen["bytes"] <= LOCAL_BYTES:
         local = table.collect()
         table = local_table(
             df.sparkSession, y=pa.array([r["y"] for r in local], pa.string()),
             cuts=pa.array([r["cuts"] for r in local], pa.list_(pa.string())), n=pa.array([r["n"] for r in local], pa.int64()),
         )
-        return ClassCuts(tuple(keys), seed, target, table, seen["classes"], ())
-    return ClassCuts(tuple(keys), seed, target, table, seen["classes"], hot_values(table, "y", total))
+    hot = () if fits_broadcast(seen["classes"], seen["bytes"]) else hot_values(table, "y", total)
+    return ClassCuts(tuple(keys), seed, target, table, seen["classes"], seen["bytes"], hot)
 
 
 def fit_random_cut(df: DataFrame, keys: Sequence[str], share: float = 0.2, seed: int = 42) -> Cuts:

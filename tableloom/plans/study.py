@@ -49,7 +49,7 @@ def train_models(
     verdict = judge(train, target, task)
     verdict.check()
     if verdict.verdict == "remove_singletons":
-        train, test = remove_singletons(train, test, target, verdict.singletons)
+        train, test = remove_singletons(train, test, target)
     stratum = target if task == "classification" else None
     smallest = smallest_class(train, target) if stratum else None
     folds = fold_count(verdict.train_rows - verdict.singletons if stratum else verdict.train_rows, smallest, options.cv_folds)

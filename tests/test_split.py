@@ -102,7 +102,7 @@ def test_singletons_leave_both_parts(spark):
     test = spark.createDataFrame([("a",), ("e",), (None,)], "y string")
     verdict = judge(train, "y", "classification")
     assert verdict.verdict == "remove_singletons"
-    kept, other = remove_singletons(train, test, "y", verdict.singletons)
+    kept, other = remove_singletons(train, test, "y")
     assert kept.count() == 32 and {r["y"] for r in other.collect()} == {"a", None}
 
 
