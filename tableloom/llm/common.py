@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tableloom.session import scratch_path
+from tableloom.session import write_kept
 
 ASCII_SPACE = b" \t\n\x0b\x0c\r"
 
@@ -17,11 +17,9 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
     Lineage is cut, a lost executor costs a re-read, and joins on the table get both sides
     shuffled, which lets adaptive execution split a hot key or broadcast a small side.
+    ``tableloom.session.clear_kept`` deletes it.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return write_kept(df, label)
 
 
 def text_or_empty(name: str) -> Column:
