@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tableloom.llm.common import text_or_empty, written
 
 SPACE = r"[\x20\x09-\x0D]+"
+BLANKS = " \t\n\x0b\f\r"
 SYMBOLS = r"[#*$%&|<>]+"
 
 MIN_WORDS = 50
@@ -34,48 +35,105 @@ MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 def measure_texts(docs: DataFrame, text: str, *carried: Column) -> DataFrame:
     """The carried columns with the measures of each text.
 
-    Repeated three-word windows are found by sorting a text's windows: equal ones become
-    neighbours. The steps are separate projections, so each array is computed once per row.
+    Repeated three-word windows are found by sorting numbers that hold a window's hash above its
+    position: windows of equal hash become neighbours, and their words are compared. Should different
+    windows share a hash, the text's windows are sorted by their words instead. The steps are separate
+    projections, so each array is computed once per row.
     """
-    body = text_or_empty(text)
-    trimmed = F.btrim(F.col("_text"), F.lit(" \t\n\x0b\f\r"))
-    lines = F.filter(F.split("_text", "\n"), lambda x: F.btrim(x, F.lit(" \t\n\x0b\f\r")) != "")
+    trimmed = F.btrim(F.col("_text"), F.lit(BLANKS))
+    lines = F.filter(F.split("_text", "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
     names = [f"_c{i}" for i in range(len(carried))]
-    first = docs.select(*[c.alias(n) for c, n in zip(carried, names)], body.alias("_text"))
+    first = docs.select(*[c.alias(n) for c, n in zip(carried, names)], text_or_empty(text).alias("_text"))
     split = first.select(
         *names, F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE)).alias("_words"),
         (F.octet_length("_text") - F.octet_length(F.regexp_replace("_text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         lines.alias("_lines"),
     )
-    window = F.col("_words")
-    starts = F.sequence(F.lit(0), F.size("_words") - 3)
-    grams = F.transform(starts, lambda i: F.struct(
-        F.concat_ws(" ", F.get(window, i), F.get(window, i + 1), F.get(window, i + 2)).alias("g"), i.alias("p")
-    ))
-    empty = F.array().cast("array<struct<g:string,p:int>>")
+    bits = F.length(F.bin(F.size("_words")))
+    keys = F.transform(_starts("_words"), lambda i: F.call_function(
+        "shiftleft", window_hash(*_window("_words", i)), F.length(F.bin(F.size("_words")))).bitwiseOR(i))
     sized = split.select(
-        *names, "n_symbols", F.size("_words").cast("long").alias("n_words"),
+        *names, "_words", "n_symbols", F.size("_words").cast("long").alias("n_words"), bits.alias("_bits"),
         F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         F.size("_lines").cast("long").alias("n_lines"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        F.sort_array(F.when(F.size("_words") >= 3, grams).otherwise(empty)).alias("_grams"),
-    )
-    near = F.col("_grams")
-    repeated = F.filter(near, lambda x, i: (
-        (F.get(near, i - 1).getField("g") == x.getField("g")) | (F.get(near, i + 1).getField("g") == x.getField("g"))
-    ))
-    found = sized.select(
-        *names, *MEASURES[:4], "n_lines",
-        F.sort_array(F.transform(repeated, lambda x: x.getField("p"))).alias("_at"),
+        F.sort_array(keys).alias("_keys"),
     )
+    kept = [*names, *MEASURES[:4], "n_lines"]
+    found = sized.select(*kept, "_words", _alike("_keys").alias("_at"), _differing("_keys").alias("_differ"))
+    positions = F.when(F.col("_differ"), _repeated_by_words("_words")).otherwise(F.col("_at"))
+    placed = found.select(*kept, F.sort_array(positions).alias("_at"))
     covered = F.aggregate(
-        "_at", F.struct(F.lit(-3).alias("last"), F.lit(0).cast("long").alias("total")),
+        "_at", F.struct(F.lit(-3).cast("long").alias("last"), F.lit(0).cast("long").alias("total")),
         lambda a, p: F.struct(
-            p.alias("last"), (a.getField("total") + F.least(F.lit(3), p - a.getField("last"))).alias("total")
+            p.alias("last"), (a.getField("total") + F.least(F.lit(3).cast("long"), p - a.getField("last"))).alias("total")
         ),
         lambda a: a.getField("total"),
     )
-    return found.select(*names, *MEASURES[:4], "n_lines", covered.alias("n_repeat_words"))
+    return placed.select(*kept, covered.alias("n_repeat_words"))
+
+
+def window_hash(*words: Column) -> Column:
+    return F.xxhash64(*words)
+
+
+def _starts(words: str) -> Column:
+    """The windows' first words; texts of fewer than three have one incomplete window."""
+    return F.sequence(F.lit(0).cast("long"), F.greatest(F.size(words) - 3, F.lit(0)).cast("long"))
+
+
+def _window(words: str, i: Column) -> list[Column]:
+    at = i.cast("int")
+    return [F.get(F.col(words), at), F.get(F.col(words), at + 1), F.get(F.col(words), at + 2)]
+
+
+def _hash_part(key: Column) -> Column:
+    return F.call_function("shiftrightunsigned", key, F.col("_bits"))
+
+
+def _position(key: Column) -> Column:
+    return key.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_bits")) - 1)
+
+
+def _alike(keys: str) -> Column:
+    """Positions of the windows whose hash a neighbour in the sorted keys shares."""
+    def shared(x: Column, i: Column) -> Column:
+        return (_hash_part(F.get(F.col(keys), i - 1)) == _hash_part(x)) | (_hash_part(F.get(F.col(keys), i + 1)) == _hash_part(x))
+
+    return F.transform(F.filter(keys, shared), _position)
+
+
+def _differing(keys: str) -> Column:
+    """Whether neighbours of one hash are different windows."""
+    def clash(x: Column, i: Column) -> Column:
+        before = F.get(F.col(keys), i - 1)
+        pairs = zip(_window("_words", _position(x)), _window("_words", _position(before)))
+        return (_hash_part(before) == _hash_part(x)) & ~_all([a == b for a, b in pairs])
+
+    return F.size(F.filter(keys, clash)) > 0
+
+
+def _all(conditions: list[Column]) -> Column:
+    result = conditions[0]
+    for c in conditions[1:]:
+        result = result & c
+    return result
+
+
+def _repeated_by_words(words: str) -> Column:
+    """Positions of the windows that occur twice or more, by sorting the windows themselves."""
+    windows = F.sort_array(F.transform(_starts(words), lambda i: F.struct(
+        F.concat_ws(" ", *_window(words, i)).alias("g"), i.alias("p"))))
+
+    def repeated(near: Column) -> Column:
+        def twin(x: Column, i: Column) -> Column:
+            before, after = F.get(near, i - 1).getField("g"), F.get(near, i + 1).getField("g")
+            return (before == x.getField("g")) | (after == x.getField("g"))
+
+        return F.transform(F.filter(near, twin), lambda x: x.getField("p"))
+
+    # A transform over one element binds the sorted windows, which would else be sorted once per window.
+    return F.get(F.transform(F.array(windows), repeated), F.lit(0))
 
 
 def rule_failures() -> dict[str, Column]:
