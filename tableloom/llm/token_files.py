@@ -19,6 +19,7 @@ from __future__ import annotations
 import functools
 import io
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -30,10 +31,10 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from tableloom.llm.common import word_blocks, written
-from tableloom.llm.warc import opened
+from tableloom.llm.warc import dealt_by_bytes, opened
 from tableloom.session import scratch_path
 
 END_ID = 2
@@ -46,6 +47,11 @@ CHUNK_IDS = 1 << 19
 FILE_BYTES = 512 << 20
 CACHED_WORDS = 400_000
 
+#: Words that lower-case and split alike here and in the tokenizer: printable ASCII and Latin-1 letters.
+PLAIN_WORD = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+#: The tokenizer's split, on lower-cased words of that kind.
+PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+
 MAGIC = b"TLRA"
 CHUNK = "<4sQII"
 BLOCK = "<IIIII"
@@ -55,25 +61,47 @@ class WordEncoder:
     """Ids of whole texts as bytes, word by word.
 
     The tokenizer drops white space, and neither its normaliser nor its splits reach across it, so a
-    text's ids are those of its words in turn. Words seen before come from a bounded cache.
+    text's ids are those of its words in turn. Words seen before come from a bounded cache. A new word of
+    ASCII and Latin letters is lower-cased and split here as the tokenizer would, and only its unseen pieces
+    go through the library's merges; any other word goes through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.known: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {ord(c): to_bytes.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xC0, 0x100))}
+
+    def packed(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.kind).tobytes()
+
+    def piece(self, piece: str) -> bytes:
+        found = self.pieces.get(piece)
+        if found is None:
+            if len(self.pieces) >= CACHED_WORDS:
+                self.pieces.clear()
+            found = self.packed([t.id for t in self.model.tokenize(piece if piece.isascii() else piece.translate(self.letters))])
+            self.pieces[piece] = found
+        return found
+
+    def word(self, word: bytes) -> bytes:
+        text = word.decode()
+        if PLAIN_WORD.fullmatch(text) and "<|" not in text:
+            return b"".join(map(self.piece, PIECES.findall(text.lower())))
+        return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def encode(self, data: bytes) -> list[bytes]:
-        parts = []
+        parts, known = [], self.known
         for words in word_blocks(data):
-            new = list({w for w in words if w not in self.known})
-            if len(self.known) + len(new) > CACHED_WORDS:
-                self.known.clear()
-                new = list(set(words))
-            found = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-            self.known.update((w, np.array(f.ids, self.kind).tobytes()) for w, f in zip(new, found))
-            parts.append(b"".join(map(self.known.__getitem__, words)))
+            if len(known) > CACHED_WORDS:
+                known.clear()
+            for word in set(words).difference(known):
+                known[word] = self.word(word)
+            parts.append(b"".join(map(known.__getitem__, words)))
         return parts
 
 
@@ -310,7 +338,7 @@ def chunk_starts(index: DataFrame) -> DataFrame:
 
 def read_documents(index: DataFrame, folder: str, key: str, kind: str) -> DataFrame:
     """Per document, from the files: key, ``start``, ``n_tokens`` and ``ids`` (unsigned 32-bit integers)."""
-    placed = chunk_starts(index).select("file", "offset", "length", "start").repartition("file", "offset")
+    placed = dealt_by_bytes(chunk_starts(index).select("file", "offset", "length", "start"), "file")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = opened(folder)

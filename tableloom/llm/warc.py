@@ -7,7 +7,7 @@ the few columns of that table are all that pages are joined with. Every task wri
 length, URL and digest. The index is written as a table. It names only what a successful attempt wrote,
 so archives of lost executors are ignored.
 
-Reading: the index rows of the selected records are dealt by stretches of their archives and sorted by offset;
+Reading: the index rows of the selected records are dealt by ranges of archive and offset, as many as their bytes need;
 ranges with small gaps are coalesced into one read of bounded size, parsed, and checked against the digest.
 
 Files are opened through Arrow's file systems, so the shared folder may be local, HDFS or an object store.
@@ -36,7 +36,7 @@ from tableloom.llm.common import written
 from tableloom.session import scratch_path
 
 ARCHIVE_BYTES = 512 << 20
-STRETCH_BYTES = 64 << 20
+TASK_BYTES = 16 << 20
 GAP_BYTES = 64 << 10
 READ_BYTES = 8 << 20
 #: A fixed date keeps archives equal when a task runs again.
@@ -156,11 +156,19 @@ def ranges(rows: list[tuple[str, int, int]]) -> Iterator[tuple[str, int, int, li
         yield tuple(at)
 
 
+def dealt_by_bytes(index: DataFrame, file: str) -> DataFrame:
+    """Index rows in as many ranges of file and offset as the bytes behind them need tasks, sorted.
+
+    The rows themselves are small, so their own size says nothing about the reading.
+    """
+    total = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, -(-total // TASK_BYTES))
+    return index.repartitionByRange(tasks, file, "offset").sortWithinPartitions(file, "offset")
+
+
 def read_records(index: DataFrame, folder: str) -> DataFrame:
     """The records an index (or a selection of it) names, read from the archives."""
-    stretch = F.floor(F.col("offset") / STRETCH_BYTES).alias("stretch")
-    dealt = index.select("archive", "offset", "length", stretch).repartition("archive", "stretch")
-    ordered = dealt.sortWithinPartitions("archive", "offset").select("archive", "offset", "length")
+    ordered = dealt_by_bytes(index.select("archive", "offset", "length"), "archive")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = opened(folder)

@@ -50,6 +50,14 @@ def test_quality_rules_edges(spark, edge_docs, no_docs):
     assert quality_rules.judge(no_docs).count() == 0
 
 
+def test_windows_of_one_hash_are_told_apart(spark, edge_docs, monkeypatch):
+    """With a hash of three values nearly all windows collide, and the words decide."""
+    monkeypatch.setattr(quality_rules, "window_hash", lambda *words: F.pmod(F.xxhash64(*words), F.lit(3).cast("long")))
+    small = edge_docs.where("doc_id is null or doc_id <> 9")
+    wanted = sorted(((i, *brute_measures(t)) for i, t in EDGE_TEXTS if i != 9), key=repr)
+    assert rows_of(quality_rules.judge(small), "doc_id", *quality_rules.MEASURES) == wanted
+
+
 def test_bad_host_loses_its_documents_but_small_hosts_are_shrunk(spark):
     good = " ".join(f"word{i}" for i in range(60))
     rows = [(i, "too short", "bad") for i in range(40)] + [(100, good, "bad"), (200, "too short", "tiny"), (201, good, "tiny")]
@@ -283,6 +291,19 @@ def test_long_spans_are_cut_and_the_rest_stays(spark):
     assert found[1]["text"] == f"{clean} ! Ende é" and found[1]["n_chars"] == len(found[1]["text"])
 
 
+def test_words_encode_as_the_library_does():
+    encoder = token_files.WordEncoder(public_tokenizers.path(WORD_TOKENIZER))
+    draw = random.Random(4)
+    pieces = [
+        "a", "Th", "ing", "É", "ß", "ÿ", "Ö", "÷", "×", "'s", "'S", "'re", "''", "1", "42", "!?", "#", "<|endoftext|>", "<|", "|>", "é", "e\u0301",
+        "İ", "Σ", "σς", "日本", "\u00a0", "\u2003", "\x1c", "\x00", "😀", " ", "  ", "\n", "\t", "ª", "²", "½", "-", "_", "Ω", "ﬁ", "\u0338", "=",
+    ]
+    for _ in range(3_000):
+        text = "".join(draw.choice(pieces) for _ in range(draw.randint(0, 12)))
+        ids = np.frombuffer(b"".join(encoder.encode(text.encode())), encoder.kind).tolist()
+        assert ids == encoder.tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def test_token_files_edges(spark, edge_docs, no_docs):
     path = public_tokenizers.path(WORD_TOKENIZER)
     tokenizer = Tokenizer.from_file(path)
@@ -318,6 +339,22 @@ def test_pipeline_keeps_columns_and_handles_edges(spark, edge_docs, no_docs, tmp
         assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == docs.count()
 
 
+def test_one_row_of_each_group_stays(spark):
+    long, other = "the same long text of many words " * 20, "quite another text about different things " * 20
+    rows = [(5, long), (5, long), (3, long + "."), (None, other), (None, other), (9, other), (7, "alone"), (7, "alone too")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    groups = brute_components([(n, brute_fingerprint(t)) for n, (_, t) in enumerate(rows)])
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    assert len(kept) == len(set(groups)) and {r["text"] for r in kept} >= {"alone", "alone too", other}
+
+
+def test_rows_without_id_are_judged_one_by_one(spark):
+    good = " ".join(f"word{i}" for i in range(60))
+    docs = spark.createDataFrame([(None, good, "s"), (None, "short", "s"), (1, good, "s"), (1, "short", "s")], "doc_id bigint, text string, source string")
+    many = docs.unionByName(docs.where(F.col("text") == good)).unionByName(docs.where(F.col("text") == good))
+    assert sorted(r["text"] for r in corpus_pipeline.apply_quality_rules(spark, many, "").collect()) == [good] * 6
+
+
 def test_pipeline_run_against_its_parts(spark, small):
     """Stage by stage in plain Python, from the rows the language stage keeps."""
     docs = spark.read.parquet(f"{small}/documents.parquet")
