@@ -144,3 +144,20 @@ def decode(tokens: DataFrame, path: str, pattern: str, key: str = "doc_id") -> D
     narrow = tokens.select(F.col(key).alias("key"), "n_tokens", "ids")
     kind = dict(narrow.dtypes)["key"]
     return narrow.mapInArrow(run, f"key {kind}, n_tokens bigint, ids binary, decoded binary").withColumnRenamed("key", key)
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``encode`` and ``decode`` in one task: key, ``n_tokens``, ``ids`` and the bytes they stand for."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = coder(path, pattern)
+        for batch in _slices(batches):
+            found = [bpe.encode(t.as_py() or "").astype("<u4") for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), pa.array([len(f) for f in found], pa.int64()),
+                pa.array([f.tobytes() for f in found], pa.binary()),
+                pa.array([bpe.decode(f.tolist()) for f in found], pa.binary()),
+            ], ["key", "n_tokens", "ids", "decoded"])
+
+    narrow = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    kind = dict(narrow.dtypes)["key"]
+    return narrow.mapInArrow(run, f"key {kind}, n_tokens bigint, ids binary, decoded binary").withColumnRenamed("key", key)

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from itertools import repeat
 
@@ -233,21 +233,14 @@ def _scanner(automaton, first: bool):
     return run
 
 
-def _dropping_text(inner):
-    """Leave the text out of what goes back where nobody reads it."""
-    def run(batches):
-        for batch in inner(batches):
-            yield pa.RecordBatch.from_arrays(batch.columns[1:], batch.schema.names[1:])
-
-    return run
-
-
 HITS = "words bigint, spans array<struct<start:bigint,end:bigint>>, items array<string>"
 
 
-def find_hits(rows: DataFrame, benchmark: DataFrame, item: str = "item_id", item_text: str = "text",
-              window: int = WINDOW, block_bytes: int = BLOCK_BYTES, keep_text: bool = True) -> DataFrame:
-    """Add ``words``, ``spans`` (merged, in words) and ``items`` to rows whose first column is the text."""
+def _with_hits(
+    rows: DataFrame, benchmark: DataFrame, item: str, item_text: str, window: int, block_bytes: int,
+    finish: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str,
+) -> DataFrame:
+    """Scan rows whose first column is the text; ``finish`` gets them with HITS added, in the same task."""
     spark = rows.sparkSession
     items = benchmark.select(
         F.coalesce(F.col(item).cast("string"), F.lit("")).alias("name"), F.col(item_text).alias("text")
@@ -255,18 +248,17 @@ def find_hits(rows: DataFrame, benchmark: DataFrame, item: str = "item_id", item
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
     part = F.pmod(F.xxhash64("name", "text"), F.lit(blocks))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    plain = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
     for block in range(blocks):
         texts = [(r["name"], r["text"].encode()) for r in items.where(part == block).collect()]
-        automaton = spark.sparkContext.broadcast(Automaton.of(texts, window))
-        run, last = _scanner(automaton, block == 0), block == blocks - 1
-        if last and not keep_text:
-            rows = rows.mapInArrow(_dropping_text(run), f"{schema.split(', ', 1)[1]}, {HITS}")
-        else:
-            rows = rows.mapInArrow(run, f"{schema}, {HITS}")
-        if not last:
-            rows = written(rows, f"hits-{block}")
-    return rows
+        run = _scanner(spark.sparkContext.broadcast(Automaton.of(texts, window)), block == 0)
+        if block < blocks - 1:
+            rows = written(rows.mapInArrow(run, f"{plain}, {HITS}"), f"hits-{block}")
+    return rows.mapInArrow(lambda batches: map(finish, run(batches)), schema)
+
+
+def is_contaminated(n_hit: int, n_words: int, coverage: int) -> bool:
+    return n_hit > 0 and coverage * n_hit >= n_words
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
@@ -274,10 +266,19 @@ def scan(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
          block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row: key, ``n_words``, ``n_hit``, ``items`` (sorted as strings), ``spans`` and ``contaminated``."""
     rows = docs.select(F.col(text).alias("body"), F.col(key).alias("key"))
-    found = find_hits(rows, benchmark, item, item_text, window, block_bytes, keep_text=False)
-    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s.getField("end") - s.getField("start"))
-    counted = found.select(F.col("key").alias(key), F.col("words").alias("n_words"), hit.alias("n_hit"), "items", "spans")
-    return counted.withColumn("contaminated", (F.col("n_hit") > 0) & (coverage * F.col("n_hit") >= F.col("n_words")))
+
+    def finish(batch: pa.RecordBatch) -> pa.RecordBatch:
+        hits = [sum(x["end"] - x["start"] for x in s) for s in batch.column(3).to_pylist()]
+        contaminated = [is_contaminated(h, n, coverage) for h, n in zip(hits, batch.column(2).to_pylist())]
+        return pa.RecordBatch.from_arrays([
+            batch.column(1), batch.column(2), pa.array(hits, pa.int64()), batch.column(4), batch.column(3), pa.array(contaminated, pa.bool_()),
+        ], ["key", "n_words", "n_hit", "items", "spans", "contaminated"])
+
+    schema = (
+        f"key {dict(rows.dtypes)['key']}, n_words bigint, n_hit bigint, items array<string>, "
+        "spans array<struct<start:bigint,end:bigint>>, contaminated boolean"
+    )
+    return _with_hits(rows, benchmark, item, item_text, window, block_bytes, finish, schema).withColumnRenamed("key", key)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", length: str | None = "n_chars",
@@ -291,22 +292,28 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", length: str
     places = {n: f"c{i}" for i, n in enumerate(names)}
     body = places[text]
     flat = docs.toDF(*places.values())
-    found = find_hits(flat.select(body, *[c for c in flat.columns if c != body]), benchmark, item, item_text, window, block_bytes)
-    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s.getField("end") - s.getField("start"))
-    kept = found.where(~((hit > 0) & (coverage * hit >= F.col("words"))))
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [
-                t if not s else cut_spans(t.encode(), [(x["start"], x["end"]) for x in s], span_words).decode()
-                for t, s in zip(batch.column(0).to_pylist(), batch.column(batch.num_columns - 1).to_pylist())
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), *batch.columns[1:]], batch.schema.names)
-
-    slim = kept.select(*[c for c in found.columns if c not in ("words", "spans", "items")], "spans")
-    done = slim.mapInArrow(cut, slim.schema)
-    if length in places:
-        changed = F.exists("spans", lambda s: s.getField("end") - s.getField("start") >= span_words)
-        kind = dict(flat.dtypes)[places[length]]
-        done = done.withColumn(places[length], F.when(changed, F.char_length(body).cast(kind)).otherwise(F.col(places[length])))
+    rows = flat.select(body, *[c for c in flat.columns if c != body])
+    sizes = rows.columns.index(places[length]) if length in places else None
+
+    def finish(batch: pa.RecordBatch) -> pa.RecordBatch:
+        width = batch.num_columns - 3
+        spans = [[(x["start"], x["end"]) for x in s] for s in batch.column(width + 1).to_pylist()]
+        clean_rows = [
+            not is_contaminated(sum(b - a for a, b in s), n, coverage) for s, n in zip(spans, batch.column(width).to_pylist())
+        ]
+        columns = list(batch.columns[:width])
+        cut = [i for i, s in enumerate(spans) if clean_rows[i] and any(b - a >= span_words for a, b in s)]
+        if cut:
+            texts = columns[0].to_pylist()
+            for i in cut:
+                texts[i] = cut_spans(texts[i].encode(), spans[i], span_words).decode()
+            columns[0] = pa.array(texts, pa.string())
+            if sizes is not None:
+                kind, known = columns[sizes].type, columns[sizes].to_pylist()
+                for i in cut:
+                    known[i] = len(texts[i])
+                columns[sizes] = pa.array(known, kind)
+        return pa.RecordBatch.from_arrays(columns, batch.schema.names[:width]).filter(pa.array(clean_rows, pa.bool_()))
+
+    done = _with_hits(rows, benchmark, item, item_text, window, block_bytes, finish, rows.schema)
     return done.select(*[F.col(p).alias(n) for n, p in places.items()])

@@ -40,8 +40,7 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bpe_digests(docs: DataFrame) -> DataFrame:
-    path, pattern = public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN
-    decoded = byte_bpe.decode(byte_bpe.encode(docs, path, pattern), path, pattern)
+    decoded = byte_bpe.round_trip(docs, public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN)
     return decoded.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
