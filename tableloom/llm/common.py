@@ -26,15 +26,18 @@ def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
-def word_blocks(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
-    """The words of a text, in blocks cut at white space so that long texts need bounded memory."""
-    if len(data) <= size:
-        yield data.split()
-        return
+def text_blocks(data: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """A text in blocks cut at white space, so that long texts need bounded memory."""
     start = 0
-    while start < len(data):
+    while len(data) - start > size:
         end = start + size
         while end < len(data) and data[end] not in ASCII_SPACE:
             end += 1
-        yield data[start:end].split()
+        yield data[start:end]
         start = end
+    yield data[start:] if start else data
+
+
+def word_blocks(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words of a text, block by block."""
+    return map(bytes.split, text_blocks(data, size))

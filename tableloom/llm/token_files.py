@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
-from tableloom.llm.common import word_blocks, written
+from tableloom.llm.common import text_blocks, written
 from tableloom.llm.warc import dealt_by_bytes, opened
 from tableloom.session import scratch_path
 
@@ -45,12 +45,12 @@ BLOCK_IDS = 1 << 19
 CHECKPOINT_STEPS = 256
 CHUNK_IDS = 1 << 19
 FILE_BYTES = 512 << 20
-CACHED_WORDS = 400_000
+CACHED_WORDS = 800_000
 
-#: Words that lower-case and split alike here and in the tokenizer: printable ASCII and Latin-1 letters.
-PLAIN_WORD = re.compile("[!-~À-ÖØ-öø-ÿ]+")
-#: The tokenizer's split, on lower-cased words of that kind.
-PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+#: Characters that lower-case and split alike here and in the tokenizer: ASCII, Latin-1 letters, line breaks, tabs.
+PLAIN = re.compile("[ -~À-ÖØ-öø-ÿ\t-\r]*")
+#: The tokenizer's split, on lower-cased text of such characters.
+PIECES = re.compile("[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^a-z0-9ß-öø-ÿ \t-\r]+")
 
 MAGIC = b"TLRA"
 CHUNK = "<4sQII"
@@ -58,53 +58,65 @@ BLOCK = "<IIIII"
 
 
 class WordEncoder:
-    """Ids of whole texts as bytes, word by word.
+    """Ids of whole texts as bytes.
 
     The tokenizer drops white space, and neither its normaliser nor its splits reach across it, so a
-    text's ids are those of its words in turn. Words seen before come from a bounded cache. A new word of
-    ASCII and Latin letters is lower-cased and split here as the tokenizer would, and only its unseen pieces
-    go through the library's merges; any other word goes through the whole tokenizer.
+    text's ids are those of its pieces in turn. Text of ASCII and Latin letters is lower-cased and split
+    here as the tokenizer would, and unseen pieces go through the library's merges; a word of other
+    characters goes through the whole tokenizer. Pieces and words seen before come from bounded caches.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.kind, self.code = ("<u2", "H") if self.tokenizer.get_vocab_size() <= 1 << 16 else ("<u4", "I")
         self.known: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters = {ord(c): to_bytes.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xC0, 0x100))}
 
     def packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.kind).tobytes()
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
 
-    def piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            if len(self.pieces) >= CACHED_WORDS:
-                self.pieces.clear()
-            found = self.packed([t.id for t in self.model.tokenize(piece if piece.isascii() else piece.translate(self.letters))])
-            self.pieces[piece] = found
-        return found
+    def merged(self, piece: str) -> bytes:
+        return self.packed([t.id for t in self.model.tokenize(piece if piece.isascii() else piece.translate(self.letters))])
+
+    def plain(self, text: str) -> bytes:
+        """Ids of a text of plain characters."""
+        if len(self.pieces) > CACHED_WORDS:
+            self.pieces.clear()
+        pieces, known = PIECES.findall(text.lower()), self.pieces
+        for piece in set(pieces).difference(known):
+            known[piece] = self.merged(piece)
+        return b"".join(map(known.__getitem__, pieces))
 
     def word(self, word: bytes) -> bytes:
         text = word.decode()
-        if PLAIN_WORD.fullmatch(text) and "<|" not in text:
-            return b"".join(map(self.piece, PIECES.findall(text.lower())))
+        if is_plain(text):
+            return self.plain(text)
         return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def encode(self, data: bytes) -> list[bytes]:
         parts, known = [], self.known
-        for words in word_blocks(data):
+        for block in text_blocks(data):
+            text = block.decode()
+            if is_plain(text):
+                parts.append(self.plain(text))
+                continue
             if len(known) > CACHED_WORDS:
                 known.clear()
+            words = block.split()
             for word in set(words).difference(known):
                 known[word] = self.word(word)
             parts.append(b"".join(map(known.__getitem__, words)))
         return parts
 
 
+def is_plain(text: str) -> bool:
+    return PLAIN.fullmatch(text) is not None and "<|" not in text
+
+
 @functools.lru_cache(maxsize=2)
 def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
