@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableloom.llm import decontaminate, language_id, quality_rules, simhash
@@ -10,10 +10,33 @@ from tableloom.llm.common import written
 from tableloom.llm.queries import bpe_digests, fold, table
 
 
-def without(docs: DataFrame, lost: DataFrame) -> DataFrame:
-    """The rows whose doc_id is not among the lost ones. Only these ids are written and joined."""
-    gone = written(lost.select(F.col("doc_id").alias("_gone")).distinct(), "lost")
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+#: Rows of a table of keys that are counted small enough to broadcast.
+BROADCAST_KEYS = 1_000_000
+#: What tells documents apart, since ids may be missing or repeated. A row is known by its id and a hash of these.
+IDENTITY = ("doc_id", "text", "source")
+
+
+def mark() -> Column:
+    return F.xxhash64(*IDENTITY)
+
+
+def named(docs: DataFrame, *columns: str) -> DataFrame:
+    """A ``key`` (id and mark) beside some columns."""
+    return docs.select(F.struct("doc_id", mark().alias("mark")).alias("key"), *columns)
+
+
+def same_row() -> Column:
+    return F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (mark() == F.col("_mark"))
+
+
+def listed(keys: DataFrame, label: str) -> DataFrame:
+    """The distinct ``key`` values as a written table: ids and marks are all that joins move.
+
+    Up to BROADCAST_KEYS of them (16 bytes each) are broadcast, so that texts stay where they lie; beyond
+    that the join is shuffled.
+    """
+    table = written(keys.select(F.col("key.doc_id").alias("_doc_id"), F.col("key.mark").alias("_mark")).distinct(), label)
+    return F.broadcast(table) if table.count() <= BROADCAST_KEYS else table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,13 +45,25 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the documents that pass the base rules and whose host does."""
-    return without(docs, quality_rules.judge(docs).where(~F.col("kept")))
+    """Keep the documents that pass the base rules and whose host does. Equal rows have equal verdicts."""
+    judged = quality_rules.judge(named(docs, "text", "source"), "key")
+    return docs.join(listed(judged.where(~F.col("kept")), "failed"), same_row(), "left_anti")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group: the one with the smallest doc_id."""
-    return without(docs, simhash.near_duplicates(docs).where(~F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    """Keep one document of each group: the one with the smallest doc_id (no id comes first).
+
+    Where the kept document is there several times, with the same id and text, one row stays.
+    """
+    found = written(simhash.near_duplicates(named(docs, "text"), "key"), "near-duplicates")
+    first = F.col("key") == F.col("component_id")
+    single = docs.join(listed(found.where(~first), "duplicates"), same_row(), "left_anti")
+    several = found.where(first).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = listed(several, "repeated")
+    if repeated.isEmpty():
+        return single
+    copies = single.join(repeated, same_row(), "left_semi")
+    return single.join(repeated, same_row(), "left_anti").unionByName(copies.dropDuplicates(list(IDENTITY)))
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
