@@ -18,17 +18,20 @@ from __future__ import annotations
 
 import functools
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tableloom.session import local_table
 
 SAMPLE_TEXTS = 150
+#: Texts of a language to expect below its threshold.
+CANDIDATES = 8 * SAMPLE_TEXTS
 EXCERPT_CHARS = 3_000
 DICTIONARY_BYTES = 64_000
 MAX_LANGUAGES = 200
@@ -61,23 +64,18 @@ def normal_blocks(text: str) -> Iterator[bytes]:
 def fit(docs: DataFrame, lang: str = "lang", text: str = "text", where: Column | None = None) -> Profiles:
     """Learn from the rows with language and text (and ``where``).
 
-    Texts are chosen by the hash of the text, so copies count once. A first threshold on the hash
-    leaves a bounded number of candidates a language before they are ranked.
+    Texts are chosen by the hash of the text, so copies count once. A first threshold on the hash, from the
+    number of distinct texts, leaves a bounded number of candidates a language before they are ranked.
     """
     rows = docs.where(F.lit(True) if where is None else where).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counted = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    hashed = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", F.xxhash64("text").alias("h"), "text")
+    counted = (
+        hashed.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("h").alias("distinct"))
+        .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    )
     if not counted:
         return Profiles(())
-    limits = local_table(
-        docs.sparkSession, _lang=pa.array([r["lang"] for r in counted], pa.string()),
-        _limit=pa.array([min(BUCKETS, BUCKETS * 8 * SAMPLE_TEXTS // r["n"] + 1) for r in counted], pa.int64()),
-    )
-    hashed = rows.select("lang", F.xxhash64("text").alias("h"), "text")
-    match = (F.col("lang") == F.col("_lang")) & (F.pmod("h", F.lit(BUCKETS)) < F.col("_limit"))
-    few = hashed.drop("text").join(F.broadcast(limits), match).select("lang", "h").distinct()
-    ranked = few.withColumn("_rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(BUCKETS)), "h")))
-    chosen = ranked.where(F.col("_rank") <= SAMPLE_TEXTS).select(F.col("lang").alias("_l"), F.col("h").alias("_h"), "_rank").collect()
+    chosen = choose(hashed, {r["lang"]: min(BUCKETS, BUCKETS * CANDIDATES // max(1, r["distinct"]) + 1) for r in counted})
     wanted = local_table(
         docs.sparkSession, _l=pa.array([r["_l"] for r in chosen], pa.string()),
         _h=pa.array([r["_h"] for r in chosen], pa.int64()), _rank=pa.array([r["_rank"] for r in chosen], pa.int32()),
@@ -93,6 +91,26 @@ def fit(docs: DataFrame, lang: str = "lang", text: str = "text", where: Column |
     return Profiles(tuple((r["lang"], b"".join(texts.get(r["lang"], []))[:DICTIONARY_BYTES]) for r in counted))
 
 
+def choose(hashed: DataFrame, limits: dict[str, int]) -> list[Row]:
+    """The SAMPLE_TEXTS smallest distinct hashes of each language, or all where it has fewer.
+
+    A language that has fewer below its limit (the distinct count is an estimate) is read again with a higher one.
+    """
+    chosen = []
+    while limits:
+        table = local_table(
+            hashed.sparkSession, _lang=pa.array(list(limits), pa.string()), _limit=pa.array(list(limits.values()), pa.int64()))
+        match = (F.col("lang") == F.col("_lang")) & (F.pmod("h", F.lit(BUCKETS)) < F.col("_limit"))
+        few = hashed.drop("text").join(F.broadcast(table), match).select("lang", "h").distinct()
+        ranked = few.withColumn("_rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(BUCKETS)), "h")))
+        found = ranked.where(F.col("_rank") <= SAMPLE_TEXTS).select(F.col("lang").alias("_l"), F.col("h").alias("_h"), "_rank").collect()
+        numbers = Counter(r["_l"] for r in found)
+        again = {name: min(BUCKETS, 8 * limit) for name, limit in limits.items() if numbers[name] < SAMPLE_TEXTS and limit < BUCKETS}
+        chosen += [r for r in found if r["_l"] not in again]
+        limits = again
+    return chosen
+
+
 @functools.lru_cache(maxsize=2)
 def compressors(profiles: Profiles) -> list[zstandard.ZstdCompressor]:
     made = []

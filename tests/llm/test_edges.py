@@ -142,6 +142,18 @@ def test_narrow_margins_are_rejected(spark):
     assert found[99]["rejected"] and found[99]["lang_pred"] in ("aa", "bb")
 
 
+@pytest.mark.parametrize("candidates", [language_id.CANDIDATES, 1])
+def test_copies_do_not_thin_out_the_training_texts(spark, monkeypatch, candidates):
+    monkeypatch.setattr(language_id, "CANDIDATES", candidates)
+    draw = random.Random(3)
+    texts = [" ".join("".join(draw.choices("abcdefgh", k=9)) for _ in range(12)) for _ in range(300)]
+    rows = [("aa", texts[0])] * 9_000 + [("aa", t) for t in texts] + [("bb", "schnell durch wald " * 5)]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    held = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    known = language_id.predict(held, language_id.fit(docs)).where("lang_pred = 'aa' and score > 0.4").count()
+    assert known == language_id.SAMPLE_TEXTS
+
+
 def test_simhash_edges(spark, edge_docs, no_docs):
     prints = [(i, brute_fingerprint(t)) for i, t in EDGE_TEXTS]
     wanted = sorted(((i, f"{p:016x}", c) for (i, p), c in zip(prints, brute_components(prints))), key=repr)
