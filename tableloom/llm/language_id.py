@@ -6,8 +6,10 @@ dictionary leaves the fewest bytes; the score is the share by which the second n
 margin is too narrow is rejected.
 
 The dictionaries are a fitted model of bounded size: SAMPLE_TEXTS distinct texts a language, chosen by
-hash, EXCERPT_CHARS of each and DICTIONARY_BYTES in all, for the MAX_LANGUAGES most frequent languages.
-Prediction covers every row and whole texts, row by row, without a shuffle.
+hash, EXCERPT_CHARS of each and DICTIONARY_BYTES in all. Every language is learned. Dictionaries are made in
+tasks and broadcast in blocks of about BLOCK_LANGUAGES; a task holds the compressors of one block at a time and
+keeps the two smallest sizes of each text across the blocks. Prediction covers every row and whole texts, row
+by row, without a shuffle.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0 and rejected; without any
 training row every text is; with one language the score is 1; ties go to the language with more
@@ -16,25 +18,26 @@ training rows, then the smaller name; copies train once; repeated rows are predi
 
 from __future__ import annotations
 
-import functools
+import heapq
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tableloom.session import local_table
+from tableloom.llm.common import written
 
 SAMPLE_TEXTS = 150
 #: Texts of a language to expect below its threshold.
 CANDIDATES = 8 * SAMPLE_TEXTS
 EXCERPT_CHARS = 3_000
 DICTIONARY_BYTES = 64_000
-MAX_LANGUAGES = 200
+#: Languages whose compressors a task holds at once (measured: 0.8 MB each).
+BLOCK_LANGUAGES = 100
 LEVEL = 6
 BLOCK_BYTES = 8_192
 MIN_MARGIN = 0.01
@@ -48,9 +51,9 @@ TEXT_STEP = 1 << 20
 
 @dataclass(frozen=True)
 class Profiles:
-    """Dictionary of each language, the one with most training rows first."""
+    """Blocks of (language, training rows, dictionary)."""
 
-    dictionaries: tuple[tuple[str, bytes], ...]
+    blocks: tuple[Broadcast, ...]
 
 
 def normal_blocks(text: str) -> Iterator[bytes]:
@@ -69,92 +72,113 @@ def fit(docs: DataFrame, lang: str = "lang", text: str = "text", where: Column |
     """
     rows = docs.where(F.lit(True) if where is None else where).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     hashed = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", F.xxhash64("text").alias("h"), "text")
-    counted = (
-        hashed.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("h").alias("distinct"))
-        .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
-    )
-    if not counted:
+    spark, distinct = docs.sparkSession, F.greatest(F.approx_count_distinct("h"), F.lit(1))
+    limit = F.least(F.lit(BUCKETS), F.floor(F.lit(BUCKETS * CANDIDATES) / distinct) + 1)
+    counted = written(hashed.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), limit.alias("limit")), "languages")
+    n_blocks = -(-counted.count() // BLOCK_LANGUAGES)
+    if not n_blocks:
         return Profiles(())
-    chosen = choose(hashed, {r["lang"]: min(BUCKETS, BUCKETS * CANDIDATES // max(1, r["distinct"]) + 1) for r in counted})
-    wanted = local_table(
-        docs.sparkSession, _l=pa.array([r["_l"] for r in chosen], pa.string()),
-        _h=pa.array([r["_h"] for r in chosen], pa.int64()), _rank=pa.array([r["_rank"] for r in chosen], pa.int32()),
-    )
+    # Lists of one block of languages are small; the sizes of larger ones decide how they are joined.
+    listed = F.broadcast if n_blocks == 1 else lambda table: table
+    chosen = choose(hashed, counted.select("lang", "limit"), listed)
     excerpts = (
         hashed.select("lang", "h", F.substring("text", 1, EXCERPT_CHARS).alias("excerpt"))
-        .join(F.broadcast(wanted), (F.col("lang") == F.col("_l")) & (F.col("h") == F.col("_h")))
-        .groupBy("lang", "_rank").agg(F.min("excerpt").alias("excerpt")).collect()
+        .join(listed(chosen), ["lang", "h"]).groupBy("lang", "_rank").agg(F.min("excerpt").alias("excerpt"))
     )
-    texts: dict[str, list] = {}
-    for r in sorted(excerpts, key=lambda r: r["_rank"]):
-        texts.setdefault(r["lang"], []).append(b"".join(normal_blocks(r["excerpt"])))
-    return Profiles(tuple((r["lang"], b"".join(texts.get(r["lang"], []))[:DICTIONARY_BYTES]) for r in counted))
+    gathered = excerpts.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("_rank", "excerpt")))["excerpt"].alias("excerpts"))
+    made = gathered.join(counted, "lang").select("lang", "n", "excerpts").mapInArrow(train, "lang string, n bigint, data binary")
+    dictionaries = written(made.withColumn("block", F.pmod(F.xxhash64("lang"), F.lit(n_blocks))), "dictionaries")
+    blocks = []
+    for block in range(n_blocks):
+        rows = dictionaries.where(F.col("block") == block).collect()
+        blocks.append(spark.sparkContext.broadcast([(r["lang"], r["n"], bytes(r["data"])) for r in rows]))
+    return Profiles(tuple(blocks))
 
 
-def choose(hashed: DataFrame, limits: dict[str, int]) -> list[Row]:
-    """The SAMPLE_TEXTS smallest distinct hashes of each language, or all where it has fewer.
+def choose(hashed: DataFrame, limits: DataFrame, listed: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The SAMPLE_TEXTS smallest distinct hashes of each language with their rank, or all where it has fewer.
 
     A language that has fewer below its limit (the distinct count is an estimate) is read again with a higher one.
     """
-    chosen = []
-    while limits:
-        table = local_table(
-            hashed.sparkSession, _lang=pa.array(list(limits), pa.string()), _limit=pa.array(list(limits.values()), pa.int64()))
-        match = (F.col("lang") == F.col("_lang")) & (F.pmod("h", F.lit(BUCKETS)) < F.col("_limit"))
-        few = hashed.drop("text").join(F.broadcast(table), match).select("lang", "h").distinct()
-        ranked = few.withColumn("_rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(BUCKETS)), "h")))
-        found = ranked.where(F.col("_rank") <= SAMPLE_TEXTS).select(F.col("lang").alias("_l"), F.col("h").alias("_h"), "_rank").collect()
-        numbers = Counter(r["_l"] for r in found)
-        again = {name: min(BUCKETS, 8 * limit) for name, limit in limits.items() if numbers[name] < SAMPLE_TEXTS and limit < BUCKETS}
-        chosen += [r for r in found if r["_l"] not in again]
+    chosen = None
+    while True:
+        few = hashed.drop("text").join(listed(limits), "lang").where(F.pmod("h", F.lit(BUCKETS)) < F.col("limit"))
+        rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(BUCKETS)), "h"))
+        ranked = few.select("lang", "h").distinct().withColumn("_rank", rank)
+        found = written(ranked.where(F.col("_rank") <= SAMPLE_TEXTS), "training-texts")
+        numbers = found.groupBy("lang").agg(F.count(F.lit(1)).alias("found"))
+        short = (F.coalesce("found", F.lit(0)) < SAMPLE_TEXTS) & (F.col("limit") < BUCKETS)
+        raised = F.least(F.lit(BUCKETS), F.col("limit") * 8).alias("limit")
+        again = written(limits.join(listed(numbers), "lang", "left").where(short).select("lang", raised), "languages-again")
+        whole = found.join(listed(again), "lang", "left_anti")
+        chosen = whole if chosen is None else chosen.unionByName(whole)
+        if again.isEmpty():
+            return chosen
         limits = again
-    return chosen
-
-
-@functools.lru_cache(maxsize=2)
-def compressors(profiles: Profiles) -> list[zstandard.ZstdCompressor]:
-    made = []
-    for _, data in profiles.dictionaries:
-        plain = {"level": LEVEL, "write_content_size": False, "write_checksum": False, "write_dict_id": False}
-        if len(data) >= 8:
-            plain["dict_data"] = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            plain["dict_data"].precompute_compress(level=LEVEL)
-        made.append(zstandard.ZstdCompressor(**plain))
-    return made
-
-
-def classify(text: str, profiles: Profiles) -> tuple[str, float]:
-    """The language whose dictionary leaves the fewest bytes, and the margin to the second."""
-    made = compressors(profiles)
-    if not made:
-        return UNKNOWN, 0.0
-    sizes = [0] * len(made)
-    for block in normal_blocks(text):
-        for i, compressor in enumerate(made):
-            sizes[i] += len(compressor.compress(block))
-    best = min(range(len(sizes)), key=sizes.__getitem__)
-    others = sizes[:best] + sizes[best + 1:]
-    return profiles.dictionaries[best][0], 1 - sizes[best] / min(others) if others else 1.0
+
+
+def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Dictionaries from the ranked excerpts of languages."""
+    for batch in batches:
+        data = [
+            b"".join(block for excerpt in excerpts.as_py() for block in normal_blocks(excerpt))[:DICTIONARY_BYTES]
+            for excerpts in batch.column(2)
+        ]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(data, pa.binary())], ["lang", "n", "data"])
+
+
+#: The compressors of the block in use.
+_loaded: dict[Broadcast, list[tuple[tuple[int, bytes, str], zstandard.ZstdCompressor]]] = {}
+
+
+def compressors(block: Broadcast) -> list[tuple[tuple[int, bytes, str], zstandard.ZstdCompressor]]:
+    """Order among ties, and compressor, of each language of a block. One block is held at a time."""
+    if block not in _loaded:
+        _loaded.clear()
+        made = []
+        for name, n, data in block.value:
+            plain = {"level": LEVEL, "write_content_size": False, "write_checksum": False, "write_dict_id": False}
+            if len(data) >= 8:
+                plain["dict_data"] = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                plain["dict_data"].precompute_compress(level=LEVEL)
+            made.append(((-n, name.encode(), name), zstandard.ZstdCompressor(**plain)))
+        if hasattr(block, "_path"):
+            vars(block).pop("_value", None)  # it is read again from the file when needed
+        _loaded[block] = made
+    return _loaded[block]
+
+
+def classify(texts: pa.Array, profiles: Profiles) -> list[tuple[str, float]]:
+    """Of each text the language whose dictionary leaves the fewest bytes, and the margin to the second."""
+    least: list[list] = [[] for _ in texts]
+    for block in profiles.blocks:
+        made = compressors(block)
+        for i, text in enumerate(texts):
+            if not text.is_valid:
+                continue
+            sizes = [0] * len(made)
+            for data in normal_blocks(text.as_py()):
+                for k, (_, compressor) in enumerate(made):
+                    sizes[k] += len(compressor.compress(data))
+            least[i] = heapq.nsmallest(2, [*least[i], *((size, order) for size, (order, _) in zip(sizes, made))])
+    return [
+        (found[0][1][2], 1 - found[0][0] / found[1][0] if len(found) > 1 else 1.0) if found else (UNKNOWN, 0.0) for found in least
+    ]
 
 
 def predict(docs: DataFrame, profiles: Profiles, key: str = "doc_id", text: str = "text",
             min_margin: float = MIN_MARGIN) -> DataFrame:
     """Per row: key, ``lang_pred``, ``score`` and ``rejected``."""
-    shared = docs.sparkSession.sparkContext.broadcast(profiles)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
-            found = [
-                classify(t.as_py(), model) if letter.as_py() else (UNKNOWN, 0.0)
-                for t, letter in zip(batch.column(1), batch.column(2))
-            ]
+            found = classify(batch.column(1), profiles)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()),
             ], ["key", "lang_pred", "score"])
 
-    letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    narrow = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), letter.alias("letter"))
+    lettered = F.when(F.col(text).rlike(r"\p{L}"), F.col(text))
+    narrow = docs.select(F.col(key).alias("key"), lettered.alias("text"))
     found = narrow.mapInArrow(run, f"key {dict(narrow.dtypes)['key']}, lang_pred string, score double")
     rejected = (F.col("lang_pred") == UNKNOWN) | (F.col("score") < min_margin)
     return found.select(F.col("key").alias(key), "lang_pred", "score", rejected.alias("rejected"))
@@ -162,15 +186,13 @@ def predict(docs: DataFrame, profiles: Profiles, key: str = "doc_id", text: str
 
 def keep_identified(docs: DataFrame, profiles: Profiles, text: str = "text", min_margin: float = MIN_MARGIN) -> DataFrame:
     """The documents that are not rejected, with all their columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(profiles)
     names = docs.columns
     flat = docs.toDF(*[f"c{i}" for i in range(len(names))])
     body = f"c{names.index(text)}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
-            found = [classify(t.as_py(), model) for t in batch.column(body)]
+            found = classify(batch.column(body), profiles)
             yield batch.filter(pa.array([name != UNKNOWN and score >= min_margin for name, score in found], pa.bool_()))
 
     lettered = flat.where(F.col(body).rlike(r"\p{L}"))

@@ -154,6 +154,19 @@ def test_copies_do_not_thin_out_the_training_texts(spark, monkeypatch, candidate
     assert known == language_id.SAMPLE_TEXTS
 
 
+def test_every_language_is_learned_in_any_blocks(spark, monkeypatch):
+    draw = random.Random(4)
+    words = {f"l{i:03}": ["".join(draw.choices("abcdefghijklmnop", k=8)) for _ in range(6)] for i in range(230)}
+    rows = [(name, " ".join(draw.choices(known, k=30))) for name, known in words.items() for _ in range(1 + (name < "l200"))]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id int, lang string, text string")
+    found = {}
+    for size in (7, 100, 1_000):
+        monkeypatch.setattr(language_id, "BLOCK_LANGUAGES", size)
+        found[size] = rows_of(language_id.predict(docs, language_id.fit(docs)), "doc_id", "lang_pred", "score")
+    assert [name for _, name, _ in sorted(found[1_000])] == [name for name, _ in rows]
+    assert found[7] == found[100] == found[1_000]
+
+
 def test_simhash_edges(spark, edge_docs, no_docs):
     prints = [(i, brute_fingerprint(t)) for i, t in EDGE_TEXTS]
     wanted = sorted(((i, f"{p:016x}", c) for (i, p), c in zip(prints, brute_components(prints))), key=repr)
