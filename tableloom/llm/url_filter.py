@@ -5,9 +5,10 @@ other URLs are judged by a multinomial naive Bayes classifier over tokens: host
 concatenated names are split into words by unigram Viterbi, and path tokens. It learns from the URLs that
 rules decide.
 
-The word model counts the words of all page titles and keeps the VOCABULARY most frequent; other stretches
-cost more with each letter. Token counts go to BUCKETS hash buckets per class, summed per task before the
-shuffle. Both models have a fixed size and are broadcast; URLs are judged where they lie.
+The word model counts all words of all page titles, as a written table; other stretches cost more with each
+letter. Each distinct host is joined with the words it contains, split once, and its words are joined to its
+pages. Token counts go to BUCKETS hash buckets per class, summed per task before the shuffle; that model has a
+fixed size and is broadcast.
 
 Defined cases: a null URL or one without ``://`` has empty host and path, fits no rule and is judged by
 the classes' shares; without ruled URLs of both classes such shares are even and ties allow; null titles
@@ -30,11 +31,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tableloom.llm.common import written
+
 ALLOW, BLOCK = "allow", "block"
-VOCABULARY = 100_000
-LONGEST_WORD = 24
 BUCKETS = 1 << 16
-REMEMBERED_NAMES = 100_000
+#: Scores closer than this are ties.
+TIE = 1e-9
 
 CHUNKS = re.compile(r"[a-z]+|[0-9]+|[^\x00-\x7f]+")
 
@@ -77,29 +79,42 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[Rule], name: str) -
 
 @dataclass(frozen=True)
 class WordModel:
-    """Log-probabilities of known words; unknown ones cost a tenth more per letter."""
+    """Log-probabilities of known words, among ``all_words`` (by default those known); unknown ones cost a tenth more per letter."""
 
     counts: tuple[tuple[str, int], ...]
+    all_words: int | None = None
 
     @functools.cached_property
     def costs(self) -> dict[str, float]:
         return {w: math.log(n / self.total) for w, n in self.counts}
 
     @functools.cached_property
-    def total(self) -> int:
-        return max(10, sum(n for _, n in self.counts))
+    def lengths(self) -> list[int]:
+        return sorted({len(w) for w, _ in self.counts}, reverse=True)
 
-    def cost(self, word: str) -> float:
-        known = self.costs.get(word)
-        return known if known is not None else math.log(10 / self.total) - len(word) * math.log(10)
+    @functools.cached_property
+    def total(self) -> int:
+        return max(10, sum(n for _, n in self.counts) if self.all_words is None else self.all_words)
 
     def split(self, name: str) -> list[str]:
-        """The most probable words that make up the name (Viterbi); ties take the longer last word."""
-        best, last = [0.0], [0]
+        """The most probable words that make up the name (Viterbi); ties take the longer last word.
+
+        A known word never costs more than an unknown one, so the best start of an unknown last word is
+        kept along the way, and only lengths of known words are tried.
+        """
+        letter, unknown = math.log(10), math.log(10 / self.total)
+        best, last, start = [0.0], [0], 0
         for end in range(1, len(name) + 1):
-            score, start = max((best[s] + self.cost(name[s:end]), -s) for s in range(max(0, end - LONGEST_WORD), end))
+            found = [(s, best[s] + self.costs[name[s:end]]) for s in (end - n for n in self.lengths) if s >= 0 and name[s:end] in self.costs]
+            found.append((start, best[start] + unknown - (end - start) * letter))
+            at, score = min(found)[0], -math.inf
+            for s, value in sorted(found):
+                if value > score + TIE:
+                    at, score = s, value
             best.append(score)
-            last.append(-start)
+            last.append(at)
+            if score + end * letter > best[start] + start * letter + TIE:
+                start = end
         words, end = [], len(name)
         while end:
             words.append(name[last[end]:end])
@@ -107,34 +122,41 @@ class WordModel:
         return words[::-1]
 
 
-def count_words(pages: DataFrame, html: str = "html", vocabulary: int = VOCABULARY) -> WordModel:
-    """Count the words of all titles."""
+def count_words(pages: DataFrame, html: str = "html") -> DataFrame:
+    """Count the words of all titles: rows (w, n)."""
     title = F.regexp_extract(F.col(html), r"(?is)<title[^>]*>(.*?)</title>", 1)
     words = pages.select(F.explode(F.split(F.lower(title), "[^a-z]+")).alias("w"))
-    counted = words.where((F.col("w") != "") & (F.length("w") <= LONGEST_WORD)).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    return WordModel(tuple((r["w"], r["n"]) for r in counted.orderBy(F.desc("n"), "w").limit(vocabulary).collect()))
+    return written(words.where(F.col("w") != "").groupBy("w").agg(F.count(F.lit(1)).alias("n")), "words")
+
 
+def split_hosts(hosts: DataFrame, counts: DataFrame) -> DataFrame:
+    """Distinct hosts with their words. Each brings the counts of the words it contains to the split."""
+    summed = counts.agg(F.sum("n").alias("n"), F.collect_set(F.length("w")).alias("lengths")).first()
+    total, lengths = summed["n"] or 0, summed["lengths"] or [1]
+    names = hosts.select("host", F.explode(F.array_distinct(F.regexp_extract_all("host", F.lit("[a-z]+"), F.lit(0)))).alias("name"))
+    fitting = F.filter(F.array(*[F.lit(n) for n in sorted(lengths)]), lambda n: n <= F.length("name"))
+    sized = names.select("host", "name", F.explode(fitting).alias("size"))
+    starts = F.sequence(F.lit(1), F.length("name") - F.col("size") + 1)
+    parts = sized.select("host", F.explode(F.transform(starts, lambda s: F.col("name").substr(s, F.col("size")))).alias("w"))
+    known = parts.join(counts, "w").groupBy("host").agg(F.collect_set(F.struct("w", "n")).alias("known"))
 
-class Tokens:
-    """Hash buckets of the tokens of a host and path; splits of names are remembered."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for host, own in zip(batch.column(0), batch.column(1)):
+                model = WordModel(tuple((k["w"], k["n"]) for k in own.as_py() or ()), total)
+                chunks = CHUNKS.findall(host.as_py())
+                found.append([w for c in chunks for w in (model.split(c) if c.isalpha() and c.isascii() else [c])])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.string()))], ["host", "host_words"])
 
-    def __init__(self, words: WordModel):
-        self.words, self.known = words, {}
+    return written(hosts.join(known, "host", "left").mapInArrow(run, "host string, host_words array<string>"), "hosts")
 
-    def host_words(self, host: str) -> list[str]:
-        found = []
-        for name in CHUNKS.findall(host):
-            if name not in self.known:
-                if len(self.known) >= REMEMBERED_NAMES:
-                    self.known.clear()
-                self.known[name] = self.words.split(name) if name.isalpha() and name.isascii() else [name]
-            found += self.known[name]
-        return found
 
-    def buckets(self, host: str, path: str) -> list[int]:
-        tokens = [f"h:{w}" for w in self.host_words(host)]
-        tokens += [f"p:{'0' if t[0].isdigit() else t}" for t in CHUNKS.findall(path.lower())]
-        return [zlib.crc32(t.encode()) % BUCKETS for t in tokens]
+def buckets_of(host_words: list[str], path: str) -> list[int]:
+    """Hash buckets of the words of a host and the tokens of a path."""
+    tokens = [f"h:{w}" for w in host_words]
+    tokens += [f"p:{'0' if t[0].isdigit() else t}" for t in CHUNKS.findall(path.lower())]
+    return [zlib.crc32(t.encode()) % BUCKETS for t in tokens]
 
 
 @dataclass(frozen=True)
@@ -148,17 +170,16 @@ class Bayes:
         return self.prior + float(self.weights[buckets].sum()) if buckets else self.prior
 
 
-def learn(urls: DataFrame, words: WordModel) -> Bayes:
-    """Learn from rows (host, path, verdict); counts are summed per task and bucket."""
-    shared = urls.sparkSession.sparkContext.broadcast(words)
+def learn(urls: DataFrame) -> Bayes:
+    """Learn from rows (host_words, path, verdict); counts are summed per task and bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, counts, rows = Tokens(shared.value), np.zeros((2, BUCKETS), np.int64), Counter()
+        counts, rows = np.zeros((2, BUCKETS), np.int64), Counter()
         for batch in batches:
-            for host, path, verdict in zip(*[c.to_pylist() for c in batch.columns]):
+            for words, path, verdict in zip(*[c.to_pylist() for c in batch.columns]):
                 side = int(verdict == BLOCK)
                 rows[side] += 1
-                np.add.at(counts[side], tokens.buckets(host, path), 1)
+                np.add.at(counts[side], buckets_of(words, path), 1)
         side, bucket = np.nonzero(counts)
         sides, buckets = [*side.tolist(), 0, 1], [*bucket.tolist(), -1, -1]
         numbers = [*counts[side, bucket].tolist(), rows[0], rows[1]]
@@ -178,7 +199,6 @@ def learn(urls: DataFrame, words: WordModel) -> Bayes:
 
 def judge(pages: DataFrame, rules: Sequence[Rule], page: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Per row: page, ``host``, ``path``, ``rule``, ``verdict`` and ``host_words``."""
-    words = count_words(pages, html)
     narrow = pages.select(F.col(page).alias("page"), F.coalesce(F.col(url), F.lit("")).alias("url"))
     parted = narrow.select("page", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     host, path = F.col("host"), F.col("path")
@@ -186,20 +206,20 @@ def judge(pages: DataFrame, rules: Sequence[Rule], page: str = "page_id", url: s
         "page", "host", "path", fitting_rule(host, path, rules, "text").alias("rule"),
         fitting_rule(host, path, rules, "verdict").alias("decided"),
     )
-    model = learn(ruled.where(F.col("decided").isNotNull()).select("host", "path", "decided"), words)
-    shared = pages.sparkSession.sparkContext.broadcast((words, model))
+    hosts = written(parted.select("host").distinct(), "distinct-hosts")
+    worded = ruled.join(split_hosts(hosts, count_words(pages, html)), "host").select(*ruled.columns, "host_words")
+    model = learn(worded.where(F.col("decided").isNotNull()).select("host_words", "path", "decided"))
+    shared = pages.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, bayes = Tokens(shared.value[0]), shared.value[1]
+        bayes = shared.value
         for batch in batches:
-            hosts, paths, decided = (batch.column(i).to_pylist() for i in (1, 2, 4))
-            verdicts = [
-                d or (BLOCK if bayes.score(tokens.buckets(h, p)) > 0 else ALLOW) for h, p, d in zip(hosts, paths, decided)
-            ]
-            yield pa.RecordBatch.from_arrays([
-                *batch.columns[:4], pa.array(verdicts, pa.string()), pa.array([tokens.host_words(h) for h in hosts], pa.list_(pa.string())),
-            ], ["page", "host", "path", "rule", "verdict", "host_words"])
+            paths, decided, words = (batch.column(i).to_pylist() for i in (2, 4, 5))
+            verdicts = [d or (BLOCK if bayes.score(buckets_of(w, p)) > 0 else ALLOW) for p, d, w in zip(paths, decided, words)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:4], pa.array(verdicts, pa.string()), batch.column(5)],
+                ["page", "host", "path", "rule", "verdict", "host_words"])
 
     kind = dict(ruled.dtypes)["page"]
-    judged = ruled.mapInArrow(run, f"page {kind}, host string, path string, rule string, verdict string, host_words array<string>")
+    judged = worded.mapInArrow(run, f"page {kind}, host string, path string, rule string, verdict string, host_words array<string>")
     return judged.withColumnRenamed("page", page)

@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, repeats, empty tables and clashing columns, against brute force."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -213,6 +214,30 @@ def test_classes_are_told_by_words(spark):
     assert found[100]["verdict"] == "block" and found[101]["verdict"] == "allow" and found[100]["host_words"][:2] == ["farm", "spam"]
 
 
+def brute_split(name, costs, total):
+    """The best words over all starts; of ties the longer last word."""
+    best = [(0.0, [])]
+    for end in range(1, len(name) + 1):
+        found = [(round(best[s][0] + costs.get(name[s:end], math.log(10 / total) - (end - s) * math.log(10)), 9), s) for s in range(end)]
+        score, at = max(found, key=lambda f: (f[0], -f[1]))
+        best.append((score, best[at][1] + [name[at:end]]))
+    return best[-1][1]
+
+
+def test_all_title_words_split_hosts_at_any_length(spark):
+    draw = random.Random(6)
+    frequent = sorted({"".join(draw.choices("abcdefgh", k=7)) for _ in range(101_000)})
+    rare = ["qu" + "".join(draw.choices("rstuvw", k=n)) for n in (5, 9, 40)]
+    titles = [" ".join(frequent[at:at + 1_000]) for at in range(0, len(frequent), 1_000)] * 2 + [" ".join(rare)]
+    hosts = ["".join(rare), rare[2] + frequent[0], frequent[1] + frequent[2] + rare[0], "z" * 30 + rare[1], "xyzxyz"]
+    pages = [(i, None, f"<title>{t}</title>") for i, t in enumerate(titles)] + [(-i, f"http://{h}/", None) for i, h in enumerate(hosts, 1)]
+    found = {r["page_id"]: r["host_words"] for r in url_filter.judge(spark.createDataFrame(pages, "page_id int, url string, html string"), []).collect()}
+    total = 2 * len(frequent) + len(rare)
+    costs = {w: math.log((1 if w in rare else 2) / total) for w in frequent + rare}
+    assert {-i: brute_split(h, costs, total) for i, h in enumerate(hosts, 1)} == {i: w for i, w in found.items() if i < 0}
+    assert found[-1] == rare and found[0] == []
+
+
 def test_sharding_edges(spark, edge_docs, no_docs):
     hot = spark.createDataFrame([(7, "same")] * 35_000 + [(i, f"t{i}") for i in range(5_000)] + [(None, None)], "doc_id int, text string")
     for docs, shards in ((edge_docs, 24), (hot, 24), (hot, 1)):
