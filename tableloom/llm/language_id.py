@@ -6,7 +6,8 @@ dictionary leaves the fewest bytes; the score is the share by which the second n
 margin is too narrow is rejected.
 
 The dictionaries are a fitted model of bounded size: SAMPLE_TEXTS distinct texts a language, chosen by
-hash, EXCERPT_CHARS of each and DICTIONARY_BYTES in all. Every language is learned. Dictionaries are made in
+hash, and DICTIONARY_BYTES in all, shared evenly over these texts (so 426 bytes of each of 150 long texts). Of a text up
+to EXCERPT_CHARS are read, at a place chosen by hash in each of PIECES equal stretches of it. Every language is learned. Dictionaries are made in
 tasks and broadcast in blocks of about BLOCK_LANGUAGES; a task holds the compressors of one block at a time and
 keeps the two smallest sizes of each text across the blocks. Prediction covers every row and whole texts, row
 by row, without a shuffle.
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -35,6 +37,7 @@ SAMPLE_TEXTS = 150
 #: Texts of a language to expect below its threshold.
 CANDIDATES = 8 * SAMPLE_TEXTS
 EXCERPT_CHARS = 3_000
+PIECES = 4
 DICTIONARY_BYTES = 64_000
 #: Languages whose compressors a task holds at once (measured: 0.8 MB each).
 BLOCK_LANGUAGES = 100
@@ -82,7 +85,7 @@ def fit(docs: DataFrame, lang: str = "lang", text: str = "text", where: Column |
     listed = F.broadcast if n_blocks == 1 else lambda table: table
     chosen = choose(hashed, counted.select("lang", "limit"), listed)
     excerpts = (
-        hashed.select("lang", "h", F.substring("text", 1, EXCERPT_CHARS).alias("excerpt"))
+        hashed.select("lang", "h", pieces(F.col("text"), F.col("h")).alias("excerpt"))
         .join(listed(chosen), ["lang", "h"]).groupBy("lang", "_rank").agg(F.min("excerpt").alias("excerpt"))
     )
     gathered = excerpts.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("_rank", "excerpt")))["excerpt"].alias("excerpts"))
@@ -117,13 +120,41 @@ def choose(hashed: DataFrame, limits: DataFrame, listed: Callable[[DataFrame], D
         limits = again
 
 
+def pieces(text: Column, h: Column) -> Column:
+    """A piece of each of PIECES equal stretches of a text, at a place chosen by hash."""
+    chars, found = F.length(text).cast("bigint"), []
+    for k in range(PIECES):
+        start, end = F.floor(chars * k / PIECES), F.floor(chars * (k + 1) / PIECES)
+        width = F.least(end - start, F.lit(EXCERPT_CHARS // PIECES))
+        at = start + F.pmod(F.xxhash64(h, F.lit(k)), end - start - width + 1)
+        found.append(F.substring(text, (at + 1).cast("int"), width.cast("int")))
+    return F.array(*found)
+
+
+def shares(sizes: list[int], total: int) -> list[int]:
+    """Parts of a total: even ones, and what a small size leaves goes to the others."""
+    given = [0] * len(sizes)
+    for done, i in enumerate(sorted(range(len(sizes)), key=sizes.__getitem__)):
+        given[i] = min(sizes[i], total // (len(sizes) - done))
+        total -= given[i]
+    return given
+
+
+def dictionary(texts: list[list[str]]) -> bytes:
+    """Even parts of the texts, of each even parts of its pieces, cut from places chosen by hash."""
+    data = [[b"".join(normal_blocks(piece)) for piece in text] for text in texts]
+    made = []
+    for text, size in zip(data, shares([sum(map(len, text)) for text in data], DICTIONARY_BYTES)):
+        for piece, part in zip(text, shares([len(piece) for piece in text], size)):
+            start = zlib.crc32(piece) % (len(piece) - part + 1)
+            made.append(piece[start:start + part])
+    return b"".join(made)
+
+
 def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Dictionaries from the ranked excerpts of languages."""
     for batch in batches:
-        data = [
-            b"".join(block for excerpt in excerpts.as_py() for block in normal_blocks(excerpt))[:DICTIONARY_BYTES]
-            for excerpts in batch.column(2)
-        ]
+        data = [dictionary(excerpts.as_py()) for excerpts in batch.column(2)]
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(data, pa.binary())], ["lang", "n", "data"])
 
 

@@ -168,6 +168,23 @@ def test_every_language_is_learned_in_any_blocks(spark, monkeypatch):
     assert found[7] == found[100] == found[1_000]
 
 
+def test_texts_are_learned_from_all_their_parts(spark):
+    draw = random.Random(8)
+    header = "shared licence passage of every text " * 100
+    words = {name: ["".join(draw.choices("abcdefghijklmnop", k=8)) for _ in range(40)] for name in ("aa", "bb")}
+    own = ["".join(draw.choices("qrstuvwxyz", k=8)) for _ in range(2 * language_id.SAMPLE_TEXTS)]
+    rows = [(name, header + f"{own[2 * i + (name == 'bb')]} " * 60 + " ".join(draw.choices(known, k=1_000)))
+            for i in range(language_id.SAMPLE_TEXTS) for name, known in words.items()]
+    profiles = language_id.fit(spark.createDataFrame(rows, "lang string, text string"))
+    held = spark.createDataFrame([(name, " ".join(draw.choices(known, k=30))) for name, known in words.items()], "doc_id string, text string")
+    for r in language_id.predict(held, profiles).collect():
+        assert r["lang_pred"] == r["doc_id"] and r["score"] > 0.2
+    data = [d for block in profiles.blocks for _, _, d in block.value]
+    assert all(language_id.DICTIONARY_BYTES - 600 < len(d) <= language_id.DICTIONARY_BYTES for d in data)
+    one = language_id.dictionary([[f"a{c} " * 300, f"{c}b " * 300, "", c * 10] for c in own])
+    assert all(c.encode() in one for c in own)
+
+
 def test_simhash_edges(spark, edge_docs, no_docs):
     prints = [(i, brute_fingerprint(t)) for i, t in EDGE_TEXTS]
     wanted = sorted(((i, f"{p:016x}", c) for (i, p), c in zip(prints, brute_components(prints))), key=repr)
