@@ -10,8 +10,6 @@ from tableloom.llm.common import written
 from tableloom.llm.queries import bpe_digests, fold, table
 
 
-#: Rows of a table of keys that are counted small enough to broadcast.
-BROADCAST_KEYS = 1_000_000
 #: What tells documents apart, since ids may be missing or repeated. A row is known by its id and a hash of these.
 IDENTITY = ("doc_id", "text", "source")
 
@@ -30,13 +28,12 @@ def same_row() -> Column:
 
 
 def listed(keys: DataFrame, label: str) -> DataFrame:
-    """The distinct ``key`` values as a written table: ids and marks are all that joins move.
+    """The distinct ``key`` values as a written table: ids and marks, joined by the same shuffle of the rows at every size.
 
-    Up to BROADCAST_KEYS of them (16 bytes each) are broadcast, so that texts stay where they lie; beyond
-    that the join is shuffled.
+    The keys of a partition are hashed, so the texts are not sorted.
     """
     table = written(keys.select(F.col("key.doc_id").alias("_doc_id"), F.col("key.mark").alias("_mark")).distinct(), label)
-    return F.broadcast(table) if table.count() <= BROADCAST_KEYS else table
+    return table.hint("shuffle_hash")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -406,6 +406,17 @@ def test_pipeline_keeps_columns_and_handles_edges(spark, edge_docs, no_docs, tmp
         assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == docs.count()
 
 
+def test_rows_meet_key_tables_by_one_plan(spark, small, edge_docs):
+    for docs in (edge_docs, spark.read.parquet(f"{small}/documents.parquet")):
+        keys = corpus_pipeline.listed(corpus_pipeline.named(docs), "keys")
+        joined = docs.join(keys, corpus_pipeline.same_row(), "left_anti")
+        assert joined.count() == 0
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan
+    judged = corpus_pipeline.apply_quality_rules(spark, edge_docs, "")._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in judged and "Broadcast" not in judged
+
+
 def test_one_row_of_each_group_stays(spark):
     long, other = "the same long text of many words " * 20, "quite another text about different things " * 20
     rows = [(5, long), (5, long), (3, long + "."), (None, other), (None, other), (9, other), (7, "alone"), (7, "alone too")]
