@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableloom.llm import (
-    byte_bpe, decontaminate, language_id, quality_classifier, quality_rules, sharding, simhash, token_files, url_filter, warc,
+    byte_bpe, decontaminate, language_id, line_dedup, quality_classifier, quality_rules, sharding, simhash, token_files, url_filter, warc,
 )
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
@@ -97,6 +97,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 OP1_SQL = r"""
 WITH texts AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
 split AS (
@@ -176,6 +181,22 @@ SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coa
 FROM norm_docs d LEFT JOIN hit_words w ON w.doc_id = d.doc_id LEFT JOIN hit_items i ON i.doc_id = d.doc_id
 """
 
+OP12_SQL = r"""
+WITH split AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+placed AS (
+  SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM split),
+keyed AS (
+  SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM placed),
+repeated AS (
+  SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 20 GROUP BY 1 HAVING count(DISTINCT doc_id) >= 3)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (doc_id <> last) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (last IS NULL OR doc_id = last), '')) AS kept_sha256
+FROM keyed LEFT JOIN repeated USING (key)
+GROUP BY 1
+"""
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_byte_bpe": op2_byte_bpe,
@@ -187,5 +208,6 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_decontamination": op9_decontamination,
     "op10_token_files": op10_token_files,
+    "op12_line_dedup": op12_line_dedup,
 }
-ORACLES = {"op1_quality_rules": OP1_SQL, "op3_warc": OP3_SQL, "op9_decontamination": OP9_SQL}
+ORACLES = {"op1_quality_rules": OP1_SQL, "op3_warc": OP3_SQL, "op9_decontamination": OP9_SQL, "op12_line_dedup": OP12_SQL}
