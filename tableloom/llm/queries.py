@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableloom.llm import (
-    byte_bpe, decontaminate, language_id, line_dedup, quality_classifier, quality_rules, sharding, simhash, token_files, url_filter, warc,
+    byte_bpe, decontaminate, language_id, lexical_search, line_dedup, quality_classifier, quality_rules, sharding, simhash,
+    token_files, url_filter, warc,
 )
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
@@ -97,6 +98,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -181,6 +186,28 @@ SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coa
 FROM norm_docs d LEFT JOIN hit_words w ON w.doc_id = d.doc_id LEFT JOIN hit_items i ON i.doc_id = d.doc_id
 """
 
+OP11_SQL = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+counts AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY 1, 2),
+sizes AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM counts GROUP BY 1),
+totals AS (SELECT count(*) AS all_docs, sum(n)::BIGINT AS all_terms FROM sizes),
+items AS (
+  SELECT DISTINCT item_id, term FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(all_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM counts, totals WHERE term IN (SELECT term FROM items) GROUP BY 1),
+scores AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * all_docs) // all_terms))))::BIGINT AS score
+  FROM items JOIN weights USING (term) JOIN counts USING (term) JOIN sizes USING (doc_id), totals GROUP BY 1, 2),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 OP12_SQL = r"""
 WITH split AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
@@ -208,6 +235,10 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_decontamination": op9_decontamination,
     "op10_token_files": op10_token_files,
+    "op11_lexical_search": op11_lexical_search,
     "op12_line_dedup": op12_line_dedup,
 }
-ORACLES = {"op1_quality_rules": OP1_SQL, "op3_warc": OP3_SQL, "op9_decontamination": OP9_SQL, "op12_line_dedup": OP12_SQL}
+ORACLES = {
+    "op1_quality_rules": OP1_SQL, "op3_warc": OP3_SQL, "op9_decontamination": OP9_SQL,
+    "op11_lexical_search": OP11_SQL, "op12_line_dedup": OP12_SQL,
+}
