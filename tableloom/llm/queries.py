@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableloom.llm import (
-    byte_bpe, decontaminate, language_id, lexical_search, line_dedup, quality_classifier, quality_rules, sharding, simhash,
-    token_files, url_filter, warc,
+    byte_bpe, decontaminate, language_id, lexical_search, line_dedup, prefix_trie, quality_classifier, quality_rules, sharding,
+    simhash, token_files, url_filter, warc,
 )
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
@@ -107,6 +107,12 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = prefix_trie.placed_turns(table(spark, sf_dir, "conversations"))
+    nodes = prefix_trie.trie(*prefix_trie.share_heads(placed))
+    return nodes.withColumnRenamed("saved", "saved_tokens")
+
+
 OP1_SQL = r"""
 WITH texts AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
 split AS (
@@ -224,6 +230,37 @@ FROM keyed LEFT JOIN repeated USING (key)
 GROUP BY 1
 """
 
+OP13_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS i,
+    coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY i) AS turns FROM turns GROUP BY 1),
+hashed AS (
+  SELECT conv_id, turns, conv_id - conv_id % 100 AS base,
+    xor(list_reduce(list_concat([4294967295::BIGINT], range(8 * length(conv_id::VARCHAR))), lambda x, k:
+      CASE WHEN xor(x, CASE WHEN k % 8 = 0 THEN ascii(substr(conv_id::VARCHAR, (1 + k // 8)::INT, 1)) ELSE 0 END) & 1 = 1
+        THEN xor(xor(x, CASE WHEN k % 8 = 0 THEN ascii(substr(conv_id::VARCHAR, (1 + k // 8)::INT, 1)) ELSE 0 END) >> 1, 3988292384)
+        ELSE xor(x, CASE WHEN k % 8 = 0 THEN ascii(substr(conv_id::VARCHAR, (1 + k // 8)::INT, 1)) ELSE 0 END) >> 1 END), 4294967295) % 6 AS h
+  FROM own),
+rebuilt AS (
+  SELECT a.conv_id, list_concat(coalesce(b.turns[1:a.h], []), a.turns[a.h + 1:]) AS turns
+  FROM hashed a LEFT JOIN own b ON b.conv_id = a.base),
+prefixes AS (SELECT conv_id, len(turns) AS length, unnest(range(len(turns) + 1)) AS depth, turns FROM rebuilt),
+keyed AS (SELECT conv_id, length, depth, turns[1:depth] AS path FROM prefixes),
+nodes AS (
+  SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (length = depth), '')) AS ends_sha256,
+    (count(*) - 1) * CASE WHEN depth > 0 THEN length(any_value(path[depth]).text) ELSE 0 END AS saved
+  FROM keyed GROUP BY depth, path),
+children AS (SELECT path[1:depth - 1] AS above, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+counted AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children c ON c.above = n.path),
+spread AS (SELECT path[1:k] AS path, n_children, saved FROM (SELECT path, n_children, saved, unnest(range(depth + 1)) AS k FROM counted)),
+sums AS (SELECT path, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM spread GROUP BY 1)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM counted n JOIN sums s ON s.path = n.path LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[1:n.depth - 1]
+"""
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_byte_bpe": op2_byte_bpe,
@@ -237,8 +274,10 @@ QUERIES = {
     "op10_token_files": op10_token_files,
     "op11_lexical_search": op11_lexical_search,
     "op12_line_dedup": op12_line_dedup,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 ORACLES = {
     "op1_quality_rules": OP1_SQL, "op3_warc": OP3_SQL, "op9_decontamination": OP9_SQL,
     "op11_lexical_search": OP11_SQL, "op12_line_dedup": OP12_SQL,
+    "op13_conversation_trie": OP13_SQL,
 }

@@ -153,5 +153,5 @@ def test_every_query_is_registered():
     import __spark_entry__ as entry_module
 
     numbers = Counter(n.split("_")[0] for n in entry_module.queries() if n.startswith("op"))
-    assert numbers == Counter(f"op{n}" for n in range(1, 11)) and "pipeline" in entry_module.queries()
+    assert numbers == Counter(f"op{n}" for n in range(1, 14)) and "pipeline" in entry_module.queries()
     assert plain(1.0) == 1.0
