@@ -178,9 +178,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, where: Column, key: str
     if n > sample_rows:
         marked = marked.where(F.pmod("order", F.lit(HASHES)) < HASHES * sample_rows // n)
     chosen = written(marked, "labelled")
-    rows = docs.join(F.broadcast(chosen), F.col(key) == F.col("_key")).select(
-        "order", "label", F.col(text).alias("text"), F.col(length).cast("bigint").alias("n")
-    )
+    # The documents' other columns may be named like the ones here.
+    narrow = docs.select(F.col(key).alias("owner"), F.col(text).alias("text"), F.col(length).cast("bigint").alias("n"))
+    rows = narrow.join(F.broadcast(chosen), F.col("owner") == F.col("_key")).select("order", "label", "text", "n")
     extracted = rows.mapInArrow(_extract, "order bigint, label int, numbers array<bigint>, values array<double>")
     # Several documents of one key would all be training rows: one is enough.
     rows = extracted.groupBy("order", "label").agg(F.min(F.struct("numbers", "values")).alias("x"))
