@@ -12,7 +12,8 @@ fixed size and is broadcast.
 
 Defined cases: a null URL or one without ``://`` has empty host and path, fits no rule and is judged by
 the classes' shares; without ruled URLs of both classes such shares are even and ties allow; null titles
-have no words; repeated rows count and are judged one by one; an empty table gives an empty table.
+have no words; a very long host is cut into windows for its pieces, and its text is held by one row; repeated rows
+count and are judged one by one; an empty table gives an empty table; other columns, whatever their names, pass unread.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ from tableloom.llm.common import written
 
 ALLOW, BLOCK = "allow", "block"
 BUCKETS = 1 << 16
+#: Letters in which pieces of a name may start together.
+WINDOW = 1_024
 #: Scores closer than this are ties.
 TIE = 1e-9
 
@@ -129,16 +132,31 @@ def count_words(pages: DataFrame, html: str = "html") -> DataFrame:
     return written(words.where(F.col("w") != "").groupBy("w").agg(F.count(F.lit(1)).alias("n")), "words")
 
 
+def host_parts(names: DataFrame, sizes: list[int]) -> DataFrame:
+    """The distinct pieces of the given sizes in each ``name``, beside its ``number`` and nothing else.
+
+    Long names go through windows that overlap by the largest size, so no row holds more than a window's pieces.
+    """
+    windows = names.select("number", "name", F.explode(F.sequence(F.lit(0), F.floor((F.length("name") - 1) / WINDOW))).alias("at"))
+    window = F.col("name").substr(F.col("at") * WINDOW + 1, F.lit(WINDOW + max(sizes) - 1))
+    fitting = F.filter(F.array(*[F.lit(n) for n in sorted(sizes)]), lambda n: n <= F.length("window"))
+    sized = windows.select("number", window.alias("window")).select("number", "window", F.explode(fitting).alias("size"))
+    starts = F.sequence(F.lit(1), F.least(F.lit(WINDOW), F.length("window") - F.col("size") + 1))
+    parts = F.explode(F.transform(starts, lambda s: F.col("window").substr(s, F.col("size"))))
+    return sized.select("number", parts.alias("w")).distinct()
+
+
 def split_hosts(hosts: DataFrame, counts: DataFrame) -> DataFrame:
-    """Distinct hosts with their words. Each brings the counts of the words it contains to the split."""
+    """Distinct hosts with their words. Each brings the counts of the words it contains to the split.
+
+    Hosts travel once; their pieces carry a hash of them. Hosts of one hash would share their known words, which
+    changes nothing, as a word that is not in a name cannot split it.
+    """
     summed = counts.agg(F.sum("n").alias("n"), F.collect_set(F.length("w")).alias("lengths")).first()
     total, lengths = summed["n"] or 0, summed["lengths"] or [1]
-    names = hosts.select("host", F.explode(F.array_distinct(F.regexp_extract_all("host", F.lit("[a-z]+"), F.lit(0)))).alias("name"))
-    fitting = F.filter(F.array(*[F.lit(n) for n in sorted(lengths)]), lambda n: n <= F.length("name"))
-    sized = names.select("host", "name", F.explode(fitting).alias("size"))
-    starts = F.sequence(F.lit(1), F.length("name") - F.col("size") + 1)
-    parts = sized.select("host", F.explode(F.transform(starts, lambda s: F.col("name").substr(s, F.col("size")))).alias("w"))
-    known = parts.join(counts, "w").groupBy("host").agg(F.collect_set(F.struct("w", "n")).alias("known"))
+    numbered = hosts.select("host", F.xxhash64("host").alias("number"))
+    names = numbered.select("number", F.explode(F.array_distinct(F.regexp_extract_all("host", F.lit("[a-z]+"), F.lit(0)))).alias("name"))
+    known = host_parts(names, lengths).join(counts, "w").groupBy("number").agg(F.collect_set(F.struct("w", "n")).alias("known"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,7 +167,8 @@ def split_hosts(hosts: DataFrame, counts: DataFrame) -> DataFrame:
                 found.append([w for c in chunks for w in (model.split(c) if c.isalpha() and c.isascii() else [c])])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.string()))], ["host", "host_words"])
 
-    return written(hosts.join(known, "host", "left").mapInArrow(run, "host string, host_words array<string>"), "hosts")
+    met = numbered.join(known, "number", "left").select("host", "known")
+    return written(met.mapInArrow(run, "host string, host_words array<string>"), "hosts")
 
 
 def buckets_of(host_words: list[str], path: str) -> list[int]:

@@ -255,6 +255,16 @@ def test_all_title_words_split_hosts_at_any_length(spark):
     assert found[-1] == rare and found[0] == []
 
 
+def test_very_long_hosts_are_split(spark):
+    draw = random.Random(9)
+    words = sorted({"".join(draw.choices("abcdefgh", k=n)) for n in range(1, 61) for _ in range(3)})
+    long = "".join(draw.choices(words, k=3_000))
+    pages = [(1, None, f"<title>{' '.join(words)}</title>"), (2, f"http://{long}/", None), (3, f"http://{long[:5_000]}.net/" + "p" * 1_000_000, None)]
+    found = {r["page_id"]: r["host_words"] for r in url_filter.judge(spark.createDataFrame(pages, "page_id int, url string, html string"), []).collect()}
+    model = url_filter.WordModel(tuple((w, 1) for w in words), len(words))
+    assert len(long) > 50_000 and found[2] == model.split(long) and found[3] == [*model.split(long[:5_000]), *model.split("net")]
+
+
 def test_sharding_edges(spark, edge_docs, no_docs):
     hot = spark.createDataFrame([(7, "same")] * 35_000 + [(i, f"t{i}") for i in range(5_000)] + [(None, None)], "doc_id int, text string")
     for docs, shards in ((edge_docs, 24), (hot, 24), (hot, 1)):
@@ -290,6 +300,16 @@ def test_quality_classifier_edges(spark, edge_docs, no_docs):
     assert quality_classifier.predict(no_docs, model).count() == 0
 
 
+def test_labels_meet_documents_with_clashing_columns(spark, edge_docs):
+    labels = spark.createDataFrame([(5, 1), (4, 0), (9, 1)], "doc_id bigint, quality int")
+    plain = quality_classifier.fit(edge_docs, labels, "quality", F.lit(True))
+    names = ["label", "order", "_key", "owner", "numbers", "values", "x", "n", "key", "score", "model"]
+    clashing = edge_docs.select("doc_id", "text", "n_chars", *[F.lit(n).alias(n) for n in names])
+    model = quality_classifier.fit(clashing, labels.withColumns({n: F.lit(n) for n in ("label", "_key", "order")}), "quality", F.lit(True))
+    assert model.to_bytes() == plain.to_bytes()
+    assert rows_of(quality_classifier.predict(clashing, model), "doc_id", "score") == rows_of(quality_classifier.predict(edge_docs, plain), "doc_id", "score")
+
+
 def test_machine_sums_all_pairs():
     draw = np.random.default_rng(3)
     machine = quality_classifier.Machine(0.1, draw.normal(size=20), draw.normal(size=(20, 4)) * 0.3)
