@@ -1,4 +1,14 @@
-"""The corpus pipeline: documents in, token digests of the kept documents out."""
+"""The corpus pipeline: documents in, token digests of the kept documents out.
+
+Scale: every stage reads the documents its predecessor has written. Verdicts are found on ids and hashes of rows;
+the documents meet the distinct keys of a stage by one shuffle.
+
+Defined cases: a null or empty text, or one without letters, goes in the first stage, as its language is not known;
+rows without doc_id are told apart by their texts and sources; a null source has no host verdict; equal rows
+share every verdict, and of equal rows that stay as a group's first one is kept; ties in a group go to the
+smallest doc_id, no id before all; very long texts pass whole; empty tables pass empty through every stage; other columns, whatever
+their names, stay as they are in all stages but the last.
+"""
 
 from __future__ import annotations
 
@@ -23,8 +33,15 @@ def named(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(F.struct("doc_id", mark().alias("mark")).alias("key"), *columns)
 
 
-def same_row() -> Column:
-    return F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (mark() == F.col("_mark"))
+def same_row(doc_id: str = "doc_id", text: str = "text", source: str = "source") -> Column:
+    return F.col(doc_id).eqNullSafe(F.col("_doc_id")) & (F.xxhash64(doc_id, text, source) == F.col("_mark"))
+
+
+def with_keys(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """The documents in (semi) or not in (anti) a key table; around the join their columns are named by position."""
+    places = {name: f"c{at}" for at, name in enumerate(docs.columns)}
+    found = docs.toDF(*places.values()).join(keys, same_row(*[places[n] for n in IDENTITY]), how)
+    return found.toDF(*places)
 
 
 def listed(keys: DataFrame, label: str) -> DataFrame:
@@ -44,7 +61,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that pass the base rules and whose host does. Equal rows have equal verdicts."""
     judged = quality_rules.judge(named(docs, "text", "source"), "key")
-    return docs.join(listed(judged.where(~F.col("kept")), "failed"), same_row(), "left_anti")
+    return with_keys(docs, listed(judged.where(~F.col("kept")), "failed"), "left_anti")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,13 +71,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     found = written(simhash.near_duplicates(named(docs, "text"), "key"), "near-duplicates")
     first = F.col("key") == F.col("component_id")
-    single = docs.join(listed(found.where(~first), "duplicates"), same_row(), "left_anti")
+    single = with_keys(docs, listed(found.where(~first), "duplicates"), "left_anti")
     several = found.where(first).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     repeated = listed(several, "repeated")
     if repeated.isEmpty():
         return single
-    copies = single.join(repeated, same_row(), "left_semi")
-    return single.join(repeated, same_row(), "left_anti").unionByName(copies.dropDuplicates(list(IDENTITY)))
+    copies = with_keys(single, repeated, "left_semi")
+    return with_keys(single, repeated, "left_anti").unionByName(copies.dropDuplicates(list(IDENTITY)))
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
