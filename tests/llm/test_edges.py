@@ -426,6 +426,21 @@ def test_pipeline_keeps_columns_and_handles_edges(spark, edge_docs, no_docs, tmp
         assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == docs.count()
 
 
+def test_stages_take_columns_of_any_name(spark, edge_docs, tmp_path):
+    """Every name used inside the stages, as an extra column: the same documents stay, with all their columns."""
+    spark.createDataFrame([(1, "the cat sat on the mat the cat sat on the mat the cat")], "item_id int, text string").write.parquet(
+        str(tmp_path / "benchmark.parquet"))
+    names = ["_doc_id", "_mark", "key", "mark", "print", "body", "words", "spans", "items", "at", "arc", "c0", "c1", "n", "row", "kept", "order",
+             "label", "owner", "held_out", "component_id", "fingerprint", "n_words", "host", "ids", "decoded", "h", "part", "block"]
+    plain = edge_docs.select("doc_id", "text", "lang", "source", "n_chars")
+    clashing = plain.select(*[F.lit(n).alias(n) for n in names], *plain.columns)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, clashing, str(tmp_path))
+        assert out.columns == clashing.columns and all(r[n] == n for r in out.collect() for n in names)
+        assert rows_of(out, *plain.columns) == rows_of(stage(spark, plain, str(tmp_path)), *plain.columns)
+    assert rows_of(corpus_pipeline.STAGES[-1][1](spark, clashing, ""), "*") == rows_of(corpus_pipeline.STAGES[-1][1](spark, plain, ""), "*")
+
+
 def test_rows_meet_key_tables_by_one_plan(spark, small, edge_docs):
     for docs in (edge_docs, spark.read.parquet(f"{small}/documents.parquet")):
         keys = corpus_pipeline.listed(corpus_pipeline.named(docs), "keys")
