@@ -356,6 +356,12 @@ def _(spark, sf):
     return rounded(explain.shapley_values(ridge(df), df, LINE_KEYS))
 
 
+@check("f2_shapley_kernel", f"SELECT instance, feature, round(feature_value, 6) AS feature_value, round(shapley_value, 6) AS shapley_value, 'kernel' AS method FROM ({RIDGE_SHAPLEY})")
+def _(spark, sf):
+    df = line_numbers(spark, sf)
+    return rounded(explain.shapley_values(ridge(df), df, LINE_KEYS, background=50, method="kernel"))
+
+
 @check("f3_base_value_ridge", f"{RIDGE} SELECT round(base, 4) AS base_value FROM background")
 def _(spark, sf):
     df = line_numbers(spark, sf)
@@ -545,6 +551,64 @@ def _(spark, sf):
     return rounded(models.comparison(result.metrics, result.task))
 
 
+# One tree of two levels: nations come first, as they tell more, then the customer's number in each branch. A subset
+# without a feature weighs both sides of its split by their shares of the rows that come there.
+TWO_STEPS = """(SELECT c_custkey, c_nationkey, c_custkey % 7 AS day, CASE WHEN c_nationkey >= 12 THEN 100.0 ELSE 20.0 END
+ + CASE WHEN c_custkey % 7 >= 3 THEN 5.0 ELSE 0.0 END + CASE WHEN c_nationkey >= 12 AND c_custkey % 7 >= 3 THEN 4.0 ELSE 0.0 END AS amount FROM customer)"""
+TREE_SHAPLEY = f"""
+WITH t AS (SELECT *, c_nationkey >= 12 AS far, day >= 3 AS late FROM {TWO_STEPS}),
+sides AS (SELECT far, count(*) / (SELECT count(*) FROM t) AS share, avg(amount) AS mean FROM t GROUP BY 1),
+cells AS (SELECT DISTINCT far, late, amount FROM t),
+by_day AS (SELECT late, sum(share * amount) AS mean FROM cells JOIN sides USING (far) GROUP BY 1),
+worths AS (SELECT t.c_custkey, t.c_nationkey, t.day, (SELECT avg(amount) FROM t) AS v, s.mean AS vn, d.mean AS vd, t.amount AS vnd
+ FROM (SELECT * FROM t ORDER BY md5(concat_ws('|', '42', CAST(c_custkey AS VARCHAR))) LIMIT 100) t JOIN sides s USING (far) JOIN by_day d USING (late))
+SELECT CAST(c_custkey AS VARCHAR) AS instance, 'c_nationkey' AS feature, c_nationkey::DOUBLE AS feature_value, (vn - v + vnd - vd) / 2 AS shapley_value FROM worths
+UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'day', day::DOUBLE, (vd - v + vnd - vn) / 2 FROM worths"""
+
+
+@shared
+def two_steps(spark, sf):
+    nation, day = F.col("c_nationkey"), F.col("c_custkey") % 7
+    amount = F.when(nation >= 12, 100.0).otherwise(20.0) + F.when(day >= 3, 5.0).otherwise(0.0) + F.when((nation >= 12) & (day >= 3), 4.0).otherwise(0.0)
+    return materialize(table(spark, sf, "customer").select("c_custkey", "c_nationkey", day.alias("day"), amount.alias("amount")))
+
+
+@check("f2_shapley_tree", f"SELECT instance, feature, feature_value, round(shapley_value, 6) AS shapley_value, 'tree' AS method FROM ({TREE_SHAPLEY})")
+def _(spark, sf):
+    df = two_steps(spark, sf)
+    sizes = models.ModelSizes(rounds=1, round_depth=2)
+    trained = models.train(df, "amount", "regression", "GradientBoosting", ["c_nationkey", "day"], sizes=sizes)
+    return rounded(explain.shapley_values(trained, df, ["c_custkey"], method="tree"))
+
+
+@check("f4_global_importance_tree", f"SELECT feature, round(avg(abs(shapley_value)), 6) AS importance FROM ({TREE_SHAPLEY}) GROUP BY feature")
+def _(spark, sf):
+    df = two_steps(spark, sf)
+    trained = models.train(df, "amount", "regression", "GradientBoosting", ["c_nationkey", "day"], sizes=models.ModelSizes(rounds=1, round_depth=2))
+    return rounded(explain.global_importance(explain.shapley_values(trained, df, ["c_custkey"], method="tree")))
+
+
+# Every stump of the forest splits the classes cleanly, whatever rows it drew, so its values and the base sum to the class.
+@check("f2_shapley_forest_of_stumps", f"""SELECT CAST(c_custkey AS VARCHAR) AS instance, 'c_nationkey' AS feature, label::DOUBLE AS explained
+ FROM (SELECT * FROM {STEP} ORDER BY md5(concat_ws('|', '42', CAST(c_custkey AS VARCHAR))) LIMIT 100)""")
+def _(spark, sf):
+    df = step_table(spark, sf)
+    trained = models.train(df, "label", "classification", "RandomForest", ["c_nationkey"], sizes=models.ModelSizes(trees=20, tree_depth=1))
+    base = explain.tree_base_value(trained, spark).first()["base_value"]
+    values = explain.shapley_values(trained, df, ["c_custkey"], method="tree")
+    return rounded(values.select("instance", "feature", (F.col("shapley_value") + base).alias("explained")))
+
+
+# Against background rows the stump's value is the class less the background's mean.
+@check("f2_shapley_tree_background", f"""SELECT CAST(c_custkey AS VARCHAR) AS instance, 'c_nationkey' AS feature, round(label - base, 6) AS shapley_value
+ FROM (SELECT * FROM {STEP} ORDER BY md5(concat_ws('|', '42', CAST(c_custkey AS VARCHAR))) LIMIT 100),
+ (SELECT avg(label) AS base FROM (SELECT * FROM {STEP} ORDER BY md5(concat_ws('|', '43', CAST(c_custkey AS VARCHAR))) LIMIT 50))""")
+def _(spark, sf):
+    df = step_table(spark, sf)
+    trained = models.train(df, "label", "classification", "RandomForest", ["c_nationkey"], sizes=STEP_SIZES)
+    return rounded(explain.shapley_values(trained, df, ["c_custkey"], method="tree_background").select("instance", "feature", "shapley_value"))
+
+
 # Inside the first quartile the target is 1, elsewhere 0: near a row of the first quartile the output is
 # exactly "stays in its own bin", so the contribution is 1 less a small penalty.
 QUARTILE_STEP = """(SELECT c_custkey, c_nationkey, q1, CAST(c_nationkey <= q1 AS INTEGER) AS low FROM customer, (SELECT quantile_cont(c_nationkey, 0.25) AS q1 FROM customer))"""

@@ -6,6 +6,7 @@ the table; the table is read for the samples, the means and the quartiles.
 
 from __future__ import annotations
 
+import itertools
 import math
 import random
 from collections.abc import Mapping, Sequence
@@ -22,9 +23,13 @@ from tableloom.functions.keys import hash_key, row_keys, row_name
 from tableloom.operators.models import FEATURES, TrainedModel
 from tableloom.operators.quantiles import quantiles
 from tableloom.operators.split import sample_rows
+from tableloom.operators.trees import expected_output, is_tree_model, sums_leaves, tree_attributions, tree_paths
 from tableloom.session import local_table, materialize, spread
 
 ALL_SUBSETS_FEATURES = 8
+METHODS = ("linear", "tree", "tree_background", "subsets", "kernel", "orders")
+#: Coalitions of the kernel method beside two a feature.
+COALITIONS = 2_048
 
 # Fixed value: the sentence a feature's direction is reported in.
 DIRECTION_TEXT = "Feature '%s' has average SHAP importance of %.4f. On average, this feature %s predictions."
@@ -54,24 +59,35 @@ def base_value(model: TrainedModel, background: DataFrame) -> DataFrame:
 
 def shapley_values(
     model: TrainedModel, df: DataFrame, keys: Sequence[str] = (), rows: int = 100, background: int = 50,
-    permutations: int = 10, seed: int = 42, method: str = "auto",
+    permutations: int = 10, seed: int = 42, method: str = "auto", coalitions: int | None = None,
 ) -> DataFrame:
     """Attribution of the output to each feature: instance, feature, feature_value, shapley_value, method.
 
-    Features outside a subset take the values of every background row. ``subsets`` scores all subsets,
-    which is exact and doubles with each feature; ``orders`` scores random feature orders and their
-    reverses; ``linear`` is the closed form of a linear regression at any width. ``auto`` takes the
-    closed form where there is one, subsets for up to ALL_SUBSETS_FEATURES features, else orders. The
-    values of an instance sum to its output less the background mean either way.
+    ``tree`` is exact for forests and boosting: features outside a subset follow each split by the shares of the
+    training rows, and boosted classes are explained by their log-odds. With every other method features outside a
+    subset take the values of every background row: ``tree_background`` is the exact sum for trees, ``linear`` the closed form of a
+    linear regression, both at any width; ``subsets`` scores all subsets, which is exact and doubles with each feature;
+    ``kernel`` fits a weighted linear model to at most ``coalitions`` subsets (all, where there are no more); ``orders`` scores random feature orders and their
+    reverses. ``auto`` takes the closed form for a linear regression and the exact sum for trees whose output is the sum of their
+    leaves; else subsets for up to ALL_SUBSETS_FEATURES features, and beyond them the kernel (orders for boosted classes,
+    whose probability is slow to score). The values of an instance sum to its output less the base value.
     """
     features = model.features
-    linear = isinstance(model.model, LinearRegressionModel)
+    linear, trees = isinstance(model.model, LinearRegressionModel), is_tree_model(model.model)
     if method == "auto":
-        method = "linear" if linear else "subsets" if len(features) <= ALL_SUBSETS_FEATURES else "orders"
-    if method not in ("linear", "subsets", "orders") or method == "linear" and not linear:
-        raise ValueError(f"method {method!r} does not fit this model; choose auto, subsets, orders, or linear for a linear regression")
+        few = len(features) <= ALL_SUBSETS_FEATURES
+        if linear or trees and sums_leaves(model.model):
+            method = "linear" if linear else "tree_background"
+        else:
+            method = "subsets" if few else "orders" if trees else "kernel"
+    if method not in METHODS or method == "linear" and not linear or method.startswith("tree") and not trees:
+        raise ValueError(f"method {method!r} does not fit this model; choose auto, subsets, kernel, orders, linear for a linear regression, or tree or tree_background for trees")
     sample = materialize(explained_sample(df, keys, features, rows, seed))
+    if method == "tree":
+        return _by_trees(model, sample, features, None, method)
     others = materialize(background_rows(df, keys, features, background, seed))
+    if method == "tree_background":
+        return _by_trees(model, sample, features, others, method)
     if method == "linear":
         weights = F.array(*[F.lit(float(w)) for w in model.model.coefficients])
         means = others.select(F.posexplode("z").alias("j", "v")).groupBy("j").agg(F.avg("v").alias("mean"))
@@ -83,6 +99,8 @@ def shapley_values(
     paired = spread(paired.join(F.broadcast(others), "b"), "instance", "b")
     if method == "subsets":
         values = _by_subsets(model, paired, len(features))
+    elif method == "kernel":
+        values = _by_kernel(model, paired, len(features), coalitions or 2 * len(features) + COALITIONS, seed)
     else:
         values = _by_orders(model, paired, len(features), permutations, seed)
     return _named(values, sample, features, method)
@@ -96,6 +114,30 @@ def _named(values: DataFrame, sample: DataFrame, features: Sequence[str], method
     )
 
 
+def explained_position(model: TrainedModel) -> int:
+    """The class that is explained: the last of two, else the first."""
+    return 1 if len(model.labels.values) == 2 else 0
+
+
+def _by_trees(model: TrainedModel, sample: DataFrame, features: Sequence[str], others: DataFrame | None, method: str) -> DataFrame:
+    """The rows asked for are as many as the caller wanted, and the paths as many as the model's leaves."""
+    rows = sample.orderBy("instance").collect()
+    paths = tree_paths(sample.sparkSession, model.model, explained_position(model))
+    x = np.array([r["x"] for r in rows], float).reshape(-1, len(features))
+    z = None if others is None else np.array([r["z"] for r in others.orderBy("b").collect()], float).reshape(-1, len(features))
+    # A feature that no path asks about has no part in the sums.
+    found = tree_attributions(paths, x, z).select(F.col("i"), "j", F.col("shapley_value").alias("value"))
+    instances = local_table(sample.sparkSession, i=pa.array(range(len(rows)), pa.int32()), instance=pa.array([r["instance"] for r in rows], pa.string()))
+    cells = instances.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(len(features) - 1))))
+    values = cells.join(found, ["i", "j"], "left").select("instance", "j", F.coalesce("value", F.lit(0.0)).alias("shapley_value"))
+    return _named(values, sample, features, method)
+
+
+def tree_base_value(model: TrainedModel, spark) -> DataFrame:
+    """What the values of the ``tree`` method start from: the output when every split goes by its shares."""
+    return expected_output(tree_paths(spark, model.model, explained_position(model)))
+
+
 def _mixed(n: int, takes_x) -> Column:
     """Feature j from ``x`` where ``takes_x(j)`` holds, else from the background row."""
     positions = F.sequence(F.lit(0), F.lit(n - 1))
@@ -116,6 +158,75 @@ def _by_subsets(model: TrainedModel, paired: DataFrame, n: int) -> DataFrame:
     return per_feature.groupBy("instance", "j").agg(F.sum(signed).alias("shapley_value"))
 
 
+def coalition_table(n: int, budget: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Subsets of features (rows of 0 and 1) and their kernel weights, neither empty nor whole.
+
+    Sizes are taken from the outside in, each with its complement: whole while the budget lasts, the rest drawn in
+    proportion to their weight, which the drawn ones share.
+    """
+    left = list(range(1, n // 2 + 1))
+    masks, weights = [], []
+    mass = {s: (n - 1) / (s * (n - s)) * (1 if 2 * s == n else 2) for s in left}
+    whole = lambda s: math.comb(n, s) * (1 if 2 * s == n else 2)
+    while left and whole(left[0]) <= budget - len(masks):
+        s = left.pop(0)
+        for members in itertools.combinations(range(n), s):
+            mask = np.zeros(n)
+            mask[list(members)] = 1
+            masks += [mask] if 2 * s == n else [mask, 1 - mask]
+        weights += [mass[s] / whole(s)] * whole(s)
+    if left and len(masks) < budget:
+        draw, counted = np.random.default_rng(seed), {}
+        chances = np.array([mass[s] for s in left]) / sum(mass[s] for s in left)
+        for _ in range((budget - len(masks)) // 2):
+            mask = np.zeros(n)
+            mask[draw.permutation(n)[:draw.choice(left, p=chances)]] = 1
+            for m in (mask, 1 - mask):
+                counted[tuple(m)] = counted.get(tuple(m), 0) + 1
+        shared = sum(mass[s] for s in left) / max(1, sum(counted.values()))
+        masks += [np.array(m) for m in counted]
+        weights += [shared * times for times in counted.values()]
+    return np.array(masks).reshape(-1, n), np.array(weights)
+
+
+def _by_kernel(model: TrainedModel, paired: DataFrame, n: int, budget: int, seed: int) -> DataFrame:
+    """Shapley values as the weighted least squares of the coalitions' worths, with their sum held fixed.
+
+    The last feature takes what the others leave. The matrix of the normal equations is the same for all
+    instances; Spark sums their right sides.
+    """
+    spark = paired.sparkSession
+    masks, weights = coalition_table(n, budget, seed)
+    both = np.vstack([np.zeros(n), np.ones(n), masks])
+    table = local_table(
+        spark, c=pa.array(range(len(both)), pa.int32()), mask=pa.array(both.tolist(), pa.list_(pa.float64())),
+        weight=pa.array([0.0, 0.0, *weights.tolist()]))
+    mixed = paired.withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(len(both) - 1)))).join(F.broadcast(table), "c")
+    vectors = mixed.select("instance", "c", _mixed(n, lambda j: F.get("mask", j) == 1).alias(FEATURES))
+    worth = materialize(model.output(vectors).groupBy("instance", "c").agg(F.avg("output").alias("worth")))
+    ends = worth.where("c < 2").groupBy("instance").agg(
+        F.sum(F.when(F.col("c") == 0, F.col("worth"))).alias("base"), F.sum(F.when(F.col("c") == 1, F.col("worth"))).alias("whole"))
+    if n == 1:
+        return ends.select("instance", F.lit(0).alias("j"), (F.col("whole") - F.col("base")).alias("shapley_value"))
+    reduced = masks[:, :-1] - masks[:, -1:]
+    inverse = np.linalg.pinv(reduced.T @ (reduced * weights[:, None]))
+    solution = local_table(spark, k=pa.array(range(n - 1), pa.int32()), column=pa.array(inverse.T.tolist(), pa.list_(pa.float64())))
+    last = F.element_at("mask", n)
+    target = F.col("worth") - F.col("base") - last * (F.col("whole") - F.col("base"))
+    sides = (
+        worth.where("c > 1").join(F.broadcast(ends), "instance").join(F.broadcast(table), "c")
+        .select("instance", (F.col("weight") * target).alias("y"), last.alias("last"), F.posexplode(F.slice("mask", 1, n - 1)).alias("k", "own"))
+        .groupBy("instance", "k").agg(F.sum(F.col("y") * (F.col("own") - F.col("last"))).alias("side"))
+    )
+    first = (
+        sides.join(F.broadcast(solution), "k").select("instance", "side", F.posexplode("column").alias("j", "a"))
+        .groupBy("instance", "j").agg(F.sum(F.col("side") * F.col("a")).alias("shapley_value"))
+    )
+    rest = first.groupBy("instance").agg(F.sum("shapley_value").alias("sum")).join(F.broadcast(ends), "instance")
+    remaining = rest.select("instance", F.lit(n - 1).alias("j"), (F.col("whole") - F.col("base") - F.col("sum")).alias("shapley_value"))
+    return first.unionByName(remaining)
+
+
 def _by_orders(model: TrainedModel, paired: DataFrame, n: int, permutations: int, seed: int) -> DataFrame:
     chooser = random.Random(seed)
     orders = []
