@@ -479,6 +479,57 @@ def _(spark, sf):
     return step_predictions(spark, sf, "amount", "regression", "GradientBoosting")
 
 
+# Three classes that need both columns.
+TWO_COLUMNS = """(SELECT c_custkey, c_nationkey, c_custkey % 7 AS day,
+ CASE WHEN c_nationkey < 12 THEN 0 WHEN c_custkey % 7 < 3 THEN 1 ELSE 2 END AS kind FROM customer)"""
+
+
+@shared
+def two_column_classes(spark, sf):
+    nation, day = F.col("c_nationkey"), F.col("c_custkey") % 7
+    kind = F.when(nation < 12, 0).when(day < 3, 1).otherwise(2)
+    return materialize(table(spark, sf, "customer").select("c_custkey", "c_nationkey", day.alias("day"), kind.alias("kind")))
+
+
+def two_column_model(spark, sf, name, sizes):
+    return models.train(two_column_classes(spark, sf), "kind", "classification", name, ["c_nationkey", "day"], sizes=sizes)
+
+
+@check("e9_boosting_softmax", f"SELECT c_custkey, kind AS prediction, 1.0::DOUBLE AS probability_sum, true AS loss_falls FROM {TWO_COLUMNS}")
+def _(spark, sf):
+    trained = two_column_model(spark, sf, "GradientBoosting", models.ModelSizes(rounds=15, round_depth=3))
+    losses = trained.model.losses
+    vectors = models.assembled(two_column_classes(spark, sf), trained.features, ["c_custkey"])
+    scored = trained.model.transform(vectors)
+    total = F.aggregate(vector_to_array("probability"), F.lit(0.0), lambda a, b: a + b)
+    falls = len(losses) > 1 and all(b < a for a, b in zip(losses, losses[1:]))
+    return rounded(scored.select("c_custkey", F.col("prediction").cast("int"), total.alias("probability_sum"), F.lit(falls).alias("loss_falls")))
+
+
+@check("e8_random_forest_two_columns", f"SELECT c_custkey, kind AS prediction FROM {TWO_COLUMNS}")
+def _(spark, sf):
+    trained = two_column_model(spark, sf, "RandomForest", models.ModelSizes(trees=40, tree_depth=8))
+    return trained.predict(two_column_classes(spark, sf)).select("c_custkey", "prediction")
+
+
+@shared
+def two_column_result(spark, sf):
+    options = ModelOptions(cv_folds=3, models=("RandomForest", "GradientBoosting"), sizes=models.ModelSizes(trees=40, tree_depth=8, rounds=10, round_depth=3))
+    return train_models(two_column_classes(spark, sf), "kind", ["c_custkey"], options)
+
+
+@check("e16_tournament_two_columns", """SELECT ordinal, model, metric, CASE WHEN metric = 'cv_std' THEN 0.0 ELSE 1.0 END::DOUBLE AS value
+ FROM (VALUES (0, 'RandomForest'), (1, 'GradientBoosting')) m(ordinal, model),
+ (VALUES ('accuracy'), ('precision'), ('recall'), ('f1_score'), ('cv_mean'), ('cv_std')) t(metric)""")
+def _(spark, sf):
+    return rounded(two_column_result(spark, sf).metrics)
+
+
+@check("e18_predict_best_two_columns", f"SELECT c_custkey, kind, kind AS prediction FROM {TWO_COLUMNS}")
+def _(spark, sf):
+    return models.predict(two_column_result(spark, sf), two_column_classes(spark, sf)).select("c_custkey", "kind", "prediction")
+
+
 def logistic_gradient(df, target, features, count):
     """Mean gradient of the penalised loss at the fitted weights, per class and feature: 0 at the minimum."""
     trained = models.train(df, target, "classification", "LogisticRegression", features)

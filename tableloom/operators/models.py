@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableloom.functions.columns import col
+from tableloom.operators.boosting import SoftmaxBoosting
 from tableloom.operators.metrics import evaluate, score_name
 from tableloom.session import local_table
 
@@ -134,7 +135,7 @@ def estimator(name: str, task: str, n_classes: int, n_rows: int, label_deviation
             binary = classification.GBTClassifier(**boosting)
             if n_classes <= 2:
                 return binary
-            return classification.OneVsRest(classifier=binary, parallelism=min(n_classes, 4), **common)
+            return SoftmaxBoosting(**common, classes=n_classes, rounds=sizes.rounds, depth=sizes.round_depth, min_leaf=sizes.min_leaf)
         if name == "LogisticRegression":
             return classification.LogisticRegression(
                 **common, family="auto", maxIter=1000, regParam=1.0 / n_rows, standardization=False

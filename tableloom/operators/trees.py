@@ -17,6 +17,7 @@ from pyspark.ml import classification
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tableloom.operators.boosting import SoftmaxBoostingModel
 from tableloom.session import kept, local_table, scratch_path, spread
 
 #: Paths whose intervals are held against all sampled rows at once.
@@ -29,12 +30,12 @@ PATHS = {
 
 
 def is_tree_model(model) -> bool:
-    return hasattr(model, "treeWeights") or isinstance(model, classification.OneVsRestModel) and all(map(is_tree_model, model.models))
+    return hasattr(model, "treeWeights") or isinstance(model, SoftmaxBoostingModel)
 
 
 def sums_leaves(model) -> bool:
     """Is the model's output itself the sum of its trees' leaves, and not a function of it?"""
-    return not isinstance(model, (classification.OneVsRestModel, classification.GBTClassificationModel))
+    return not isinstance(model, (SoftmaxBoostingModel, classification.GBTClassificationModel))
 
 
 def saved_nodes(spark: SparkSession, model) -> DataFrame:
@@ -53,12 +54,12 @@ def saved_nodes(spark: SparkSession, model) -> DataFrame:
 def tree_paths(spark: SparkSession, model, position: int = 0) -> DataFrame:
     """The paths of an MLlib forest or boosting model; the values of all paths that hold for a row sum to its output.
 
-    The output is the prediction, the probability of the class at ``position`` for a forest of classes, and the log-odds for
-    boosted classes (of the class at ``position`` against the others, for one model a class). The paths
-    are as many as the model's leaves, which the driver holds anyway.
+    The output is the prediction, the probability of the class at ``position`` for a forest of classes, the log-odds of two
+    boosted classes, and the score of the class at ``position`` for three or more. The paths are as many as
+    the model's leaves, which the driver holds anyway.
     """
-    if isinstance(model, classification.OneVsRestModel):
-        return tree_paths(spark, model.models[position], 1)
+    if isinstance(model, SoftmaxBoostingModel):
+        return path_table(spark, _softmax_rows(model, position))
     forest = isinstance(model, classification.RandomForestClassificationModel)
     boosted = isinstance(model, classification.GBTClassificationModel)
     count = model.getNumTrees if hasattr(model, "getNumTrees") else len(model.treeWeights)
@@ -77,6 +78,18 @@ def tree_paths(spark: SparkSession, model, position: int = 0) -> DataFrame:
     return path_table(spark, rows)
 
 
+def _softmax_rows(model: SoftmaxBoostingModel, position: int) -> list[tuple]:
+    rows: list[tuple] = [(float(model.start[position]), [], [], [], [])]
+    for trees in model.rounds:
+        tree = trees[position]
+        nodes = {
+            i: {"left": 2 * i + 1 if f >= 0 else -1, "right": 2 * i + 2, "feature": int(f), "threshold": float(t)}
+            for i, (f, t) in enumerate(zip(tree.feature, tree.threshold))
+        }
+        rows += [(float(tree.value[i]), *held) for i, held in _walk(nodes, tree.cover)]
+    return rows
+
+
 def path_table(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
     """Rows of value, features, lower ends (not held), upper ends (held) and shares as a table."""
     columns = list(zip(*rows)) if rows else [[]] * len(PATHS)
