@@ -1,7 +1,9 @@
 """Exact nearest-neighbour imputation without comparing every row with every donor.
 
 Equal rows are collapsed first, on both sides. Donors are put into cells by value ranges and by which
-columns they lack; a cell's box bounds the distance to any of its donors from below. A row with gaps
+columns they lack, or, where that would make too many cells (many columns, or many patterns of gaps), with the nearest of
+some chosen donors. A cell's box bounds the distance to any of its donors from below, and where they lack
+different columns, the bound leaves out as many of the widest gaps as any of them can lack. A row with gaps
 first searches its nearest cells, which gives a distance the k-th neighbour cannot exceed, and then
 only the cells whose bound is within that distance. Cells are cut into chunks of bounded size, so
 one task holds one chunk of donors and one chunk of rows however the data is skewed.
@@ -25,6 +27,10 @@ from tableloom.session import local_table, materialize
 MAX_CELLS = 4_096
 MAX_CUTS = 64
 CELL_DONORS = 2_000
+#: Donors a chosen one stands for, where cells are made around chosen donors.
+PIVOT_DONORS = 500
+#: Cells of the matrix of bounds that a task holds at once.
+BOUND_CELLS = 4_000_000
 DONOR_CHUNK = 20_000
 ITEM_CHUNK = 5_000
 
@@ -40,12 +46,12 @@ def _row_id(columns: Sequence[str]) -> Column:
     return F.md5(F.concat_ws(",", *[F.coalesce(col(c).cast("double").cast("string"), F.lit("-")) for c in columns]))
 
 
-def _cell_of(columns: Sequence[str], cuts: dict[str, list[float]], by_pattern: bool) -> Column:
+def _cell_of(columns: Sequence[str], cuts: dict[str, list[float]]) -> Column:
     parts = []
     for c in columns:
         bounds = F.array(*[F.lit(x) for x in cuts[c]]).cast("array<double>")
         place = F.size(F.filter(bounds, lambda b: b < col(c).cast("double"))).cast("string")
-        parts.append(F.when(col(c).isNull(), "-").otherwise(place) if by_pattern else F.lit("*"))
+        parts.append(F.when(col(c).isNull(), "-").otherwise(place))
     return F.concat_ws(",", *parts)
 
 
@@ -59,6 +65,8 @@ class Cells:
     present: np.ndarray
     rows: np.ndarray
     distinct: list[int]
+    #: How many columns at most a donor of the cell lacks.
+    lacking: np.ndarray
 
 
 @dataclass(frozen=True)
@@ -93,25 +101,18 @@ class NeighbourFill:
 
     @cached_property
     def indexed(self) -> tuple[DataFrame, Cells]:
-        """Donors with their cell, and the cells. Ranges get coarser until the cells are few enough."""
+        """Donors with their cell, and the cells: by ranges and gaps if these are few enough, else around chosen donors."""
         columns, n = self.columns, self.donors.count()
         wanted = min(MAX_CELLS, max(1, n // CELL_DONORS))
         per_column = min(MAX_CUTS, max(1, round(wanted ** (1 / len(columns)))))
         if wanted > 1:
             per_column = max(per_column, 2)
-        while True:
-            cuts = self._cuts(per_column)
-            named = self.donors.withColumn("_cell", _cell_of(columns, cuts, by_pattern=per_column > 0))
-            table = named.groupBy("_cell").agg(
-                F.count(F.lit(1)).alias("distinct"), F.sum("_n").alias("rows"),
-                *[F.min(col(c)).alias(f"lo_{j}") for j, c in enumerate(columns)],
-                *[F.max(col(c)).alias(f"hi_{j}") for j, c in enumerate(columns)],
-                *[F.sum(F.when(col(c).isNotNull(), F.col("_n")).otherwise(0)).alias(f"n_{j}") for j, c in enumerate(columns)],
-            )
-            found = table.limit(MAX_CELLS + 1).collect()
-            if len(found) <= MAX_CELLS:
-                break
-            per_column //= 2
+        cuts = self._cuts(per_column)
+        named = self.donors.withColumn("_cell", _cell_of(columns, cuts))
+        found = self._described(named).limit(MAX_CELLS + 1).collect()
+        if len(found) > MAX_CELLS:
+            named = materialize(self._around_pivots(min(MAX_CELLS, -(-n // PIVOT_DONORS))))
+            found = self._described(named).collect()
         found.sort(key=lambda r: r["_cell"])
         places = range(len(columns))
 
@@ -122,9 +123,46 @@ class NeighbourFill:
         cells = Cells(
             [r["_cell"] for r in found], matrix("lo"), matrix("hi"), matrix("n"),
             np.array([r["rows"] for r in found], dtype="float64"), [r["distinct"] for r in found],
+            np.array([r["lacking"] for r in found], dtype="int64"),
         )
         return named.select("_cell", _vector(columns).alias("z"), F.col("_n").alias("n")), cells
 
+    def _described(self, named: DataFrame) -> DataFrame:
+        """Per cell: its box, and how many donors and values it has."""
+        columns = self.columns
+        return named.groupBy("_cell").agg(
+            F.count(F.lit(1)).alias("distinct"), F.sum("_n").alias("rows"),
+            F.max(sum((col(c).isNull().cast("int") for c in columns), F.lit(0))).alias("lacking"),
+            *[F.min(col(c)).alias(f"lo_{j}") for j, c in enumerate(columns)],
+            *[F.max(col(c)).alias(f"hi_{j}") for j, c in enumerate(columns)],
+            *[F.sum(F.when(col(c).isNotNull(), F.col("_n")).otherwise(0)).alias(f"n_{j}") for j, c in enumerate(columns)],
+        )
+
+    def _around_pivots(self, pivots: int) -> DataFrame:
+        """Every donor with the nearest of some donors, drawn by hash among those with the fewest gaps.
+
+        Only the size of the cells depends on the choice, not the result. The chosen rows are at most MAX_CELLS.
+        """
+        columns = self.columns
+        gaps = sum((col(c).isNull().cast("int") for c in columns), F.lit(0))
+        drawn = self.donors.select(_vector(columns).alias("z"), gaps.alias("gaps")).orderBy("gaps", F.xxhash64("z")).limit(pivots)
+        chosen = np.array([r["z"] for r in drawn.collect()], dtype="float64").reshape(-1, len(columns))
+        held, values = (~np.isnan(chosen)).astype("float64"), np.nan_to_num(chosen)
+
+        def nearest(batches):
+            for batch in batches:
+                x = np.stack([c.to_numpy(zero_copy_only=False).astype("float64") for c in batch.columns[:len(columns)]], axis=1)
+                own, known = (~np.isnan(x)).astype("float64"), np.nan_to_num(x)
+                # Mean squared gap over the shared columns, from products of values, squares and masks.
+                total = (known**2) @ held.T - 2 * known @ values.T + own @ (values**2).T
+                shared = own @ held.T
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    cell = np.argmin(np.where(shared > 0, total / shared, np.inf), axis=1)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(str), pa.string())], [*batch.schema.names, "_cell"])
+
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.donors.schema.fields)
+        return self.donors.mapInArrow(nearest, f"{schema}, _cell string")
+
     def _cuts(self, per_column: int) -> dict[str, list[float]]:
         if per_column < 2:
             return {c: [] for c in self.columns}
@@ -158,18 +196,22 @@ class NeighbourFill:
         ]
         return whole.unionByName(joined.select(*filled))
 
-    def _fills(self, receivers: DataFrame) -> DataFrame:
-        """One row per distinct row with gaps: its id and a fill for each column it lacks."""
+    def _rounds(self, receivers: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Candidates in running order, and the pairs of item and cell searched first and then."""
         missing = F.filter(F.sequence(F.lit(0), F.lit(len(self.columns) - 1)), lambda j: F.isnan(F.get("x", j)))
         items = receivers.withColumn("c", F.explode(missing))
-        near = self._search(self._assigned(items.withColumn("radius", F.lit(None).cast("double"))))
-        near = materialize(near)
+        first = materialize(self._assigned(items.withColumn("radius", F.lit(None).cast("double"))))
+        near = materialize(self._search(first))
         reach = F.min(F.when(F.col("reached") >= self.k, F.col("distance"))).alias("radius")
         radius = self._ranked(near).groupBy("rid", "c").agg(reach)
         # No k donors found yet: every cell is in reach.
         bounded = items.join(radius, ["rid", "c"], "left").withColumn("radius", F.coalesce("radius", F.lit(float("inf"))))
-        far = self._search(self._assigned(bounded))
-        ranked = self._ranked(near.unionByName(far))
+        rest = materialize(self._assigned(bounded))
+        return self._ranked(near.unionByName(self._search(rest))), first, rest
+
+    def _fills(self, receivers: DataFrame) -> DataFrame:
+        """One row per distinct row with gaps: its id and a fill for each column it lacks."""
+        ranked, _, _ = self._rounds(receivers)
         taken = F.least(F.col("n"), F.lit(self.k) - (F.col("reached") - F.col("n")))
         means = (
             ranked.withColumn("taken", taken).where("taken > 0").groupBy("rid", "c")
@@ -197,27 +239,36 @@ class NeighbourFill:
         low, high, present, rows, k = cells.low, cells.high, cells.present, cells.rows, self.k
         names = np.array(cells.names, dtype=object)
         n_columns = len(self.columns)
-        mixed = ((present > 0) & (present < rows[:, None])).any(axis=1)
+        partly = (present > 0) & (present < rows[:, None])
         held = present > 0
+        # Of the columns that only some donors of a cell hold, one donor lacks at most these.
+        lost = np.minimum(cells.lacking - (~held).sum(axis=1), partly.sum(axis=1))
+        rows_at_once = max(1, min(128, BOUND_CELLS // (len(names) * n_columns)))
 
         def bounds(x: np.ndarray) -> np.ndarray:
             total = np.zeros((len(x), len(names)))
             shared = np.zeros_like(total)
+            unsure = np.zeros((*total.shape, n_columns)) if lost.any() else None
             for j in range(n_columns):
                 gap = np.maximum(np.maximum(low[None, :, j] - x[:, None, j], x[:, None, j] - high[None, :, j]), 0.0)
                 both = ~np.isnan(x[:, None, j]) & held[None, :, j]
-                total += np.where(both, gap, 0.0) ** 2
+                square = np.where(both, gap, 0.0) ** 2
+                total += square
                 shared += both
+                if unsure is not None:
+                    unsure[:, :, j] = np.where(partly[None, :, j], square, 0.0)
+            if unsure is not None:
+                # The widest gaps that a donor may not share are left out of the sum; fewer shared columns only scale it up.
+                unsure.sort(axis=2)
+                widest = np.concatenate([np.zeros((*total.shape, 1)), np.cumsum(unsure[:, :, ::-1], axis=2)], axis=2)
+                total = np.maximum(total - np.take_along_axis(widest, lost[None, :, None].repeat(len(x), axis=0), axis=2)[:, :, 0], 0.0)
             with np.errstate(divide="ignore", invalid="ignore"):
-                bound = np.where(shared > 0, total * (n_columns / shared), np.inf)
-            # A cell whose donors lack different columns has no box to trust.
-            bound[:, mixed] = np.where(shared[:, mixed] > 0, 0.0, np.inf)
-            return bound
+                return np.where(shared > 0, total * (n_columns / shared), np.inf)
 
         def assign(batches):
             for whole in batches:
-                for start in range(0, len(whole), 128):
-                    part = whole.slice(start, 128)
+                for start in range(0, len(whole), rows_at_once):
+                    part = whole.slice(start, rows_at_once)
                     x = part.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, n_columns)
                     c = part.column("c").to_numpy(zero_copy_only=False)
                     radius = part.column("radius").to_numpy(zero_copy_only=False).astype("float64")
@@ -251,7 +302,6 @@ class NeighbourFill:
             spark, _cell=pa.array(cells.names, pa.string()),
             parts=pa.array([-(-n // DONOR_CHUNK) for n in cells.distinct], pa.int32()),
         )
-        assigned = materialize(assigned)
         loads = assigned.groupBy("_cell").agg(F.ceil(F.count(F.lit(1)) / ITEM_CHUNK).cast("int").alias("loads"))
         sizes = F.broadcast(table.join(loads, "_cell"))
         last_part, last_load = F.col("parts") - 1, F.col("loads") - 1

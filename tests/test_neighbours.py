@@ -60,6 +60,37 @@ def test_cells_that_mix_missing_columns(spark, monkeypatch):
     check(spark, gappy(120, 4, 0.3, 3))
 
 
+def clustered(n: int, d: int, share: float, seed: int) -> np.ndarray:
+    draw = np.random.default_rng(seed)
+    centers = draw.normal(size=(25, d)) * 10
+    rows = centers[draw.integers(0, 25, n)] + draw.normal(size=(n, d))
+    rows[draw.random((n, d)) < share] = np.nan
+    return rows
+
+
+def test_thirty_columns_with_gaps_meet_few_donors(spark, monkeypatch):
+    """Nearly every row has its own pattern of gaps: cells around chosen donors, and under a tenth of all pairs."""
+    monkeypatch.setattr(neighbours, "MAX_CELLS", 100)
+    monkeypatch.setattr(neighbours, "PIVOT_DONORS", 10)
+    rows = clustered(900, 30, 0.1, 8)
+    check(spark, rows)
+    names = [f"c{j}" for j in range(30)]
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in rows], ", ".join(f"{c} double" for c in names))
+    fill = NeighbourFill(df, tuple(names))
+    receivers = df.select(neighbours._row_id(names).alias("rid"), neighbours._vector(names).alias("x")).where("exists(x, v -> isnan(v))")
+    _, first, rest = fill._rounds(receivers)
+    _, cells = fill.indexed
+    size = dict(zip(cells.names, cells.distinct))
+    compared = sum(size[r["_cell"]] * r["count"] for part in (first, rest) for r in part.groupBy("_cell").count().collect())
+    assert len(cells.names) > 50 and 0 < compared < 0.1 * np.isnan(rows).sum() * len(rows)
+
+
+def test_unclustered_columns_stay_exact(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "MAX_CELLS", 20)
+    monkeypatch.setattr(neighbours, "PIVOT_DONORS", 10)
+    check(spark, gappy(150, 12, 0.3, 9))
+
+
 def test_hot_copies_count_as_many_donors(spark):
     rows = gappy(90, 2, 0.0, 4)
     rows[:40] = [1.0, 2.0]
