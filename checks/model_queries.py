@@ -385,6 +385,37 @@ def _(spark, sf):
     return rounded(trained.predict(df).select(*LINE_KEYS, "prediction"), 2)
 
 
+# Folds of linear models: the normal equations of the rows outside each fold, scored on the rows inside.
+LINE_FOLDS = f"""
+WITH c AS (SELECT l_extendedprice / 1000 AS y, l_quantity AS a, l_tax * 100 AS b,
+ CAST(ntile(5) OVER (ORDER BY {LINE_HASH.format(seed=42)}) - 1 AS INTEGER) AS fold FROM lineitem),
+k AS (SELECT DISTINCT fold AS k FROM c),
+m AS (SELECT k, count(*) AS n, avg(y) AS my, avg(a) AS ma, avg(b) AS mb FROM c, k WHERE fold <> k GROUP BY k),
+s AS (SELECT k, any_value(n) AS n, any_value(my) AS my, any_value(ma) AS ma, any_value(mb) AS mb, sum((a - ma) * (a - ma)) AS aa, sum((b - mb) * (b - mb)) AS bb,
+ sum((a - ma) * (b - mb)) AS ab, sum((a - ma) * (y - my)) AS ya, sum((b - mb) * (y - my)) AS yb FROM c JOIN m ON c.fold <> m.k GROUP BY k)"""
+RIDGE_WEIGHTS = "SELECT k, my, ma, mb, (ya * (bb + 1) - yb * ab) / ((aa + 1) * (bb + 1) - ab * ab) AS wa, (yb * (aa + 1) - ya * ab) / ((aa + 1) * (bb + 1) - ab * ab) AS wb FROM s"
+LASSO_WEIGHTS = "SELECT k, my, ma, mb, sign(ya) * greatest(abs(ya / n) - 1, 0) / (aa / n) AS wa, 0 AS wb FROM s"
+FOLD_SCORES = "SELECT '{model}' AS model, k AS fold, round(1 - avg((y - my - wa * (a - ma) - wb * (b - mb)) ** 2) / var_pop(y), 6) AS r2_score FROM c JOIN ({weights}) w ON c.fold = w.k GROUP BY k"
+
+
+def linear_folds(spark, sf, name, features):
+    df = split.assign_folds(line_numbers(spark, sf), LINE_KEYS, 5, name="fold")
+    prepared = models.prepare_vectors(df, "y", "regression", features, fold="fold")
+    scores = models.cross_validate(prepared, [name], "fold", 5)
+    prepared.release()
+    return rounded(spark.createDataFrame([(name, k, float(v)) for k, v in enumerate(scores[name])], "model string, fold int, r2_score double"))
+
+
+@check("e13_ridge_folds", f"{LINE_FOLDS} {FOLD_SCORES.format(model='Ridge', weights=RIDGE_WEIGHTS)}")
+def _(spark, sf):
+    return linear_folds(spark, sf, "Ridge", ["a", "b"])
+
+
+@check("e13_lasso_folds", f"{LINE_FOLDS} {FOLD_SCORES.format(model='Lasso', weights=LASSO_WEIGHTS)}")
+def _(spark, sf):
+    return linear_folds(spark, sf, "Lasso", ["a"])
+
+
 @shared
 def quality_result(spark, sf):
     """One tournament on the labelled documents serves the queries that read its tables."""

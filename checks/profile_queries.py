@@ -145,6 +145,22 @@ def _(spark, sf):
     return rounded(profile.correlations(gapped_lineitem(spark, sf).select(*LINE_NUMBERS)))
 
 
+# Too many pairs for one aggregate: four gapped numbers in five forms each, and a key.
+WIDE_BASES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+WIDE = {
+    **{f"{c}_{i}": form.format(f"CAST({c} AS DOUBLE)") for c in WIDE_BASES for i, form in enumerate(["{0}", "{0} * {0}", "sqrt({0})", "{0} % 7", "ln(1 + {0})"])},
+    "key": "CAST(l_suppkey AS DOUBLE)",
+}
+WIDE_VALUES = ", ".join(f"('{n}', {e})" for n, e in WIDE.items())
+
+
+@check("b8_wide_correlations", f"""
+SELECT a, b, round(corr(x, y), 6) AS r FROM {GAPPED_LINEITEM}, LATERAL (VALUES {WIDE_VALUES}) p(a, x), LATERAL (VALUES {WIDE_VALUES}) q(b, y) GROUP BY a, b""")
+def _(spark, sf):
+    wide = gapped_lineitem(spark, sf).select(*[F.expr(e).alias(n) for n, e in WIDE.items()])
+    return rounded(profile.correlations(wide))
+
+
 def box_sql(column: str, source: str) -> str:
     return f"""
 SELECT '{column}' AS "column", round(any_value(q1), 6) AS q1, round(any_value(q2), 6) AS median, round(any_value(q3), 6) AS q3,

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from tableloom.functions.columns import col
 from tableloom.operators.boosting import SoftmaxBoosting
 from tableloom.operators.metrics import evaluate, score_name
+from tableloom.operators.moments import FoldSums, fold_sums, solve_linear
 from tableloom.session import local_table
 
 log = logging.getLogger(__name__)
@@ -276,8 +277,22 @@ def train(
         prepared.release()
 
 
-def fold_score(prepared: Prepared, name: str, fold: str, number: int) -> float:
-    """Score on one fold of the model trained on the others."""
+#: Linear models, whose folds are solved from sums of products; the last says whether absolute weights are penalised.
+FROM_SUMS = {"Ridge": False, "Lasso": True}
+SUMMED_FEATURES = 1_000
+
+
+def summed_folds(prepared: Prepared, names: Sequence[str], fold: str) -> FoldSums | None:
+    """The sums of products of every fold, where a model can be fitted from them."""
+    if prepared.task == "classification" or not set(names) & set(FROM_SUMS) or len(prepared.features) > SUMMED_FEATURES:
+        return None
+    return fold_sums(prepared.rows, vector_to_array(FEATURES), len(prepared.features), F.col(LABEL), col(fold))
+
+
+def fold_score(prepared: Prepared, name: str, fold: str, number: int, sums: FoldSums | None = None) -> float:
+    """Score on one fold of the model trained on the others; a linear model needs no rows but the folds' sums."""
+    if sums is not None and name in FROM_SUMS:
+        return sums.r2(number, *solve_linear(sums.training(number), 1.0, FROM_SUMS[name]))
     others = prepared.rows.where(col(fold) != number)
     size = others.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(LABEL).alias("deviation")).first()
     trained = prepared.fit(name, others, size["n"], size["deviation"] or 0.0)
@@ -289,17 +304,18 @@ def cross_validate(
     prepared: Prepared, names: Sequence[str], fold: str, folds: int, parallel: int = 4
 ) -> dict[str, list[float] | Exception]:
     """Scores per model and fold. The fits are independent jobs, so several run side by side."""
-    return _fold_scores(names, folds, _in_parallel(prepared, _fold_task(prepared, fold), _fold_tasks(names, folds), parallel))
+    run = _fold_task(prepared, fold, summed_folds(prepared, names, fold))
+    return _fold_scores(names, folds, _in_parallel(prepared, run, _fold_tasks(names, folds), parallel))
 
 
 def _fold_tasks(names: Sequence[str], folds: int) -> list[tuple[str, int]]:
     return [(name, number) for name in names for number in range(folds)]
 
 
-def _fold_task(prepared: Prepared, fold: str):
+def _fold_task(prepared: Prepared, fold: str, sums: FoldSums | None = None):
     def run(task: tuple[str, int]) -> float | Exception:
         try:
-            return fold_score(prepared, task[0], fold, task[1])
+            return fold_score(prepared, task[0], fold, task[1], sums)
         except Exception as error:  # one failing fold only costs its own model the folds
             return error
 
@@ -377,7 +393,7 @@ def run_tournament(
 
         # The final fits and all folds share one pool, so a slow model does not hold the others up.
         fold_tasks = _fold_tasks(names, folds)
-        score = _fold_task(prepared, fold)
+        score = _fold_task(prepared, fold, summed_folds(prepared, names, fold) if folds else None)
         results = _in_parallel(
             prepared, lambda task: fit(task) if isinstance(task, str) else score(task), [*names, *fold_tasks], parallel
         )

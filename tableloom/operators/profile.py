@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tableloom.functions.columns import col, column_kinds
 from tableloom.operators.levels import level_summary, value_counts
+from tableloom.operators.moments import correlation_matrix
 from tableloom.operators.quantiles import quantiles, quantiles_and_measures
 from tableloom.session import local_table
 
@@ -105,27 +106,30 @@ def preview(df: DataFrame, keys: Sequence[str], rows: int = 100) -> DataFrame:
 
 
 def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Pearson correlation of every column pair, rows with either missing left out pair by pair."""
+    """Pearson correlation of every column pair, rows with either missing left out pair by pair.
+
+    The pairs of few columns are measures of one aggregate; more are sums of matrix products, in one pass as well.
+    """
     columns = list(columns or column_kinds(df).numeric)
     if not columns:
         return no_rows(df, "a string, b string, r double")
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    result = None
-    for start in range(0, len(pairs), MEASURES_PER_JOB):
-        part = pairs[start : start + MEASURES_PER_JOB]
-        measures, rows = [], []
-        for i, (a, b) in enumerate(part):
-            x, y = col(a).cast("double"), col(b).cast("double")
-            # Spelled out so that a column that does not vary gives NULL where corr would fail.
-            spread = F.sqrt(F.var_pop(F.when(y.isNotNull(), x))) * F.sqrt(F.var_pop(F.when(x.isNotNull(), y)))
-            measures.append(F.try_divide(F.covar_pop(x, y), spread).alias(f"r_{i}"))
-            rows.append([("a", F.lit(a)), ("b", F.lit(b)), ("r", F.col(f"r_{i}"))])
-            if a != b:
-                rows.append([("a", F.lit(b)), ("b", F.lit(a)), ("r", F.col(f"r_{i}"))])
-        wide = df.agg(*measures)
-        table = long_table(wide, rows)
-        result = table if result is None else result.unionByName(table)
-    return result
+    if len(pairs) > MEASURES_PER_JOB:
+        found = correlation_matrix(df, [col(c) for c in columns])
+        n = len(columns)
+        return local_table(
+            df.sparkSession, a=pa.array([c for c in columns for _ in range(n)], pa.string()), b=pa.array(columns * n, pa.string()),
+            r=pa.array(found.ravel(), pa.float64(), from_pandas=True))
+    measures, rows = [], []
+    for i, (a, b) in enumerate(pairs):
+        x, y = col(a).cast("double"), col(b).cast("double")
+        # Spelled out so that a column that does not vary gives NULL where corr would fail.
+        spread = F.sqrt(F.var_pop(F.when(y.isNotNull(), x))) * F.sqrt(F.var_pop(F.when(x.isNotNull(), y)))
+        measures.append(F.try_divide(F.covar_pop(x, y), spread).alias(f"r_{i}"))
+        rows.append([("a", F.lit(a)), ("b", F.lit(b)), ("r", F.col(f"r_{i}"))])
+        if a != b:
+            rows.append([("a", F.lit(b)), ("b", F.lit(a)), ("r", F.col(f"r_{i}"))])
+    return long_table(df.agg(*measures), rows)
 
 
 def box_plot(df: DataFrame, columns: Sequence[str] | None = None, limit: int = 10) -> DataFrame:
