@@ -48,6 +48,14 @@ def _(spark, sf):
     return sources.read_table(spark, path)
 
 
+# Breaks, quotes, commas and outer spaces in every text; the file is cut into many ranges.
+@check("a1_read_csv_parallel", """SELECT doc_id, concat(' "', replace(text, ' ', chr(10)), '", ', chr(10), '""end" ') AS text, n_chars FROM documents""")
+def _(spark, sf):
+    framed = F.concat(F.lit(' "'), F.replace("text", F.lit(" "), F.lit("\n")), F.lit('", \n""end" ')).alias("text")
+    path = sources.write_table(table(spark, sf, "documents").select("doc_id", framed, "n_chars").coalesce(1), scratch_path(spark, "breaks") + ".csv")
+    return sources.read_table(spark, path)
+
+
 @check("a3_write_table", """
 SELECT format, count(*) AS n_rows, sum(c_custkey)::BIGINT AS key_sum, round(sum(c_acctbal), 2) AS balance
 FROM customer, (VALUES ('csv'), ('parquet')) AS f(format) GROUP BY format""")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableloom.functions.columns import col, nan_to_null
+from tableloom.sources.csv_ranges import read_csv_ranges
 
 # The texts a delimited file uses for a missing value.
 NA_TOKENS = [
@@ -45,15 +46,17 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     """Read CSV (with header) or parquet. A missing path or another suffix is an error before the read.
 
     Without a schema a CSV costs one extra pass that infers the column types. Quoted texts may hold line
-    breaks, so a file is read by one task; pass ``multi_line=False`` to split large files known to have none.
+    breaks: a pass over the files finds which ranges begin inside quotes. ``multi_line=False`` saves that pass for
+    files known to have none.
     """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"no data at {path}")
     if _format_of(path) == "parquet":
         return nan_to_null(spark.read.parquet(path))
-    raw = spark.read.csv(
-        path, header=True, quote='"', escape='"', multiLine=multi_line, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
-    )
+    if multi_line:
+        raw = read_csv_ranges(spark, path)
+    else:
+        raw = spark.read.csv(path, header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     if schema is None:
         return infer_types(raw)
     types = {f.name: f.dataType for f in schema.fields}
