@@ -1,12 +1,17 @@
 """Byte-level BPE by monoid tree reduction.
 
-A text is halved until its parts are short, the parts are encoded, and neighbours are joined up the
+Every text is halved until its parts are a few words, the parts are encoded, and neighbours are joined up the
 tree. A join re-encodes only a window around the seam. The window grows on either side to the next
 place where a character that is no white space is followed by an ASCII space, tab or line break: no
 alternative of the splitting pattern matches across such a place and none looks back, so it is a
-match boundary in every context, merges do not cross it, and the tokens outside the window stay.
+match boundary in every context, merges do not cross it, and the tokens outside the window stay. This is proven
+for the one pattern in use, and any other is refused. A text without such a place has nothing to gain from halves and is one window.
 Decoding joins the bytes of halves up the same kind of tree.
 
+Inside a window each match of the pattern is merged by itself: its bytes, pair by pair, the pair of the lowest rank first and
+of equal ones the first. Words are merged by the library and remembered; a long match is merged from a heap, in time proportional
+to its length times its logarithm.
+
 Every row is encoded where it lies: no shuffle, and memory bounded by one text. Token ids are kept
 as little-endian unsigned 32-bit integers in a binary column.
 
@@ -19,67 +24,114 @@ from __future__ import annotations
 
 import base64
 import functools
+import heapq
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
+from public_tokenizers import PATTERN
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LEAF_CHARS = 16_384
-LEAF_TOKENS = 16_384
-#: Longer windows are split by a matcher without recursion before merging.
-LONG_WINDOW = 100_000
-FIRST_LOOK = 256
+LEAF_CHARS = 512
+LEAF_TOKENS = 512
+#: Matches of at most that many characters are remembered, so many of them.
+SHORT_MATCH, REMEMBERED = 32, 1 << 16
+#: Bytes of a match up to which the library merges it.
+FEW_BYTES = 64
+FIRST_LOOK = 64
 ROWS_AT_ONCE = 256
 
 SEAM = re.compile(r"\S(?=[ \t\n\r])")
+LAST_SEAM = re.compile(r"(?s:.*)\S(?=[ \t\n\r])")
 
 
 class ByteBpe:
     """Encoder and decoder of one rank file."""
 
     def __init__(self, path: str, pattern: str):
+        if pattern != PATTERN:
+            raise ValueError("the seams between parts are proven for public_tokenizers.PATTERN only")
         with open(path, "rb") as lines:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self.merger = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.pattern = regex.compile(pattern)
-        self.bytes_of = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
+            self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        self.merger = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=self.ranks, special_tokens={})
+        self.matches = regex.compile(pattern).findall
+        self.bytes_of = [b""] * (max(self.ranks.values()) + 1)
+        for token, rank in self.ranks.items():
             self.bytes_of[rank] = token
-        self.sizes = np.fromiter(map(len, self.bytes_of), np.int64, len(self.bytes_of))
-
-    def window(self, text: str) -> np.ndarray:
+        self.sizes = list(map(len, self.bytes_of))
+        self.known = functools.lru_cache(maxsize=REMEMBERED)(self.merge)
+
+    def merge(self, match: str) -> list[int]:
+        """The tokens of one match of the pattern."""
+        data = match.encode()
+        whole = self.ranks.get(data)
+        if whole is not None:
+            return [whole]
+        # A match of this pattern is one match by itself too.
+        return self.merger.encode_ordinary(match) if len(data) <= FEW_BYTES else self._merge_many(data)
+
+    def _merge_many(self, data: bytes) -> list[int]:
+        """The merges of a long match, from a heap of pairs by rank and place."""
+        ranks, n = self.ranks, len(data)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(rank, i, i + 2) for i in range(n - 1) if (rank := ranks.get(data[i:i + 2])) is not None]
+        heapq.heapify(heap)
+        while heap:
+            _, start, end = heapq.heappop(heap)
+            middle = after[start]
+            if middle >= end or after[middle] != end:
+                continue  # one of the two has been merged with another since
+            after[start], after[middle] = end, n + 1
+            if end < n:
+                before[end] = start
+                if (rank := ranks.get(data[start:after[end]])) is not None:
+                    heapq.heappush(heap, (rank, start, after[end]))
+            first = before[start]
+            if first >= 0 and (rank := ranks.get(data[first:end])) is not None:
+                heapq.heappush(heap, (rank, first, end))
+        ids, at = [], 0
+        while at < n:
+            ids.append(ranks[data[at:after[at]]])
+            at = after[at]
+        return ids
+
+    def window(self, text: str) -> list[int]:
         """The tokens of a text seen at once."""
-        if len(text) <= LONG_WINDOW:
-            return np.array(self.merger.encode_ordinary(text), np.uint32)
         ids: list[int] = []
-        for match in self.pattern.finditer(text):
-            ids.extend(self.merger._encode_single_piece(match.group().encode()))
-        return np.array(ids, np.uint32)
+        for match in self.matches(text):
+            ids += self.known(match) if len(match) <= SHORT_MATCH else self.merge(match)
+        return ids
 
     def encode(self, text: str, leaf: int = LEAF_CHARS) -> np.ndarray:
-        if len(text) <= leaf:
+        return np.array(self.tokens(text, leaf), np.uint32)
+
+    def tokens(self, text: str, leaf: int) -> list[int]:
+        if len(text) <= leaf or not SEAM.search(text):
             return self.window(text)
         middle = len(text) // 2
-        return self.join(text[:middle], self.encode(text[:middle], leaf), text[middle:], self.encode(text[middle:], leaf))
+        left, right = text[:middle], text[middle:]
+        return self.join(left, self.tokens(left, leaf), right, self.tokens(right, leaf))
 
-    def join(self, left: str, left_ids: np.ndarray, right: str, right_ids: np.ndarray) -> np.ndarray:
+    def join(self, left: str, left_ids: list[int], right: str, right_ids: list[int]) -> list[int]:
         """The tokens of ``left + right`` from the tokens of both."""
         start, end = last_seam(left), first_seam(right)
-        before = self.count_within(left_ids[::-1], len(left[start:].encode()))
+        before = self.count_within(reversed(left_ids), len(left[start:].encode()))
         after = self.count_within(right_ids, len(right[:end].encode()))
-        seam = self.window(left[start:] + right[:end])
-        return np.concatenate([left_ids[: len(left_ids) - before], seam, right_ids[after:]])
+        return left_ids[:len(left_ids) - before] + self.window(left[start:] + right[:end]) + right_ids[after:]
 
-    def count_within(self, ids: np.ndarray, size: int) -> int:
+    def count_within(self, ids: Iterable[int], size: int) -> int:
         """How many of the first tokens make up that many bytes."""
-        reached = np.cumsum(self.sizes[ids[:size]])
-        count = int(np.searchsorted(reached, size)) + 1 if size else 0
-        if size and (count > len(reached) or reached[count - 1] != size):
+        count = 0
+        for token in ids if size else ():
+            count += 1
+            size -= self.sizes[token]
+            if size <= 0:
+                break
+        if size:
             raise ValueError("a seam is not a token boundary")
         return count
 
@@ -95,9 +147,9 @@ def last_seam(text: str) -> int:
     look = FIRST_LOOK
     while True:
         at = max(0, len(text) - look)
-        found = [m.end() for m in SEAM.finditer(text, at)]
+        found = LAST_SEAM.match(text, at)
         if found or at == 0:
-            return found[-1] if found else 0
+            return found.end() if found else 0
         look *= 4
 
 

@@ -1,5 +1,6 @@
 """Nulls, empty and very long texts, repeats, empty tables and clashing columns, against brute force."""
 
+import base64
 import hashlib
 import math
 import random
@@ -10,6 +11,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -25,6 +27,13 @@ from tests.llm.test_queries import brute_components, brute_fingerprint
 RANKS, PATTERN = public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN
 
 
+def library():
+    """The reference encoder of the same ranks."""
+    with open(RANKS, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    return tiktoken.Encoding("t", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 def rows_of(df, *columns):
     return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
 
@@ -68,12 +77,12 @@ def test_bad_host_loses_its_documents_but_small_hosts_are_shrunk(spark):
 
 
 def test_byte_bpe_edges(spark, edge_docs, no_docs):
-    library = byte_bpe.coder(RANKS, PATTERN)
+    plain = library()
     tokens = byte_bpe.encode(edge_docs, RANKS, PATTERN)
     found = rows_of(byte_bpe.decode(tokens, RANKS, PATTERN), "doc_id", "n_tokens", "ids", "decoded")
     wanted = []
     for i, t in EDGE_TEXTS:
-        ids = np.array(library.merger.encode_ordinary(t or ""), "<u4")
+        ids = np.array(plain.encode_ordinary(t or ""), "<u4")
         wanted.append((i, len(ids), bytearray(ids.tobytes()), bytearray((t or "").encode())))
     assert found == sorted(wanted, key=repr)
     assert byte_bpe.decode(byte_bpe.encode(no_docs, RANKS, PATTERN), RANKS, PATTERN).count() == 0
@@ -81,15 +90,29 @@ def test_byte_bpe_edges(spark, edge_docs, no_docs):
 
 @pytest.mark.parametrize("leaf", [1, 2, 3, 8])
 def test_joined_halves_are_the_whole(leaf):
-    draw, coder = random.Random(leaf), byte_bpe.coder(RANKS, PATTERN)
+    draw, coder, plain = random.Random(leaf), byte_bpe.coder(RANKS, PATTERN), library()
     pieces = ["a", "B", " ", "  ", "\n", "'s", "'", "'re", "12", "é", "...", "　", "\x1c", "the ", "日本", "\u0301"]
     for _ in range(300):
         text = "".join(draw.choice(pieces) for _ in range(draw.randint(0, 50)))
         ids = coder.encode(text, leaf)
-        assert ids.tolist() == coder.merger.encode_ordinary(text)
+        assert ids.tolist() == plain.encode_ordinary(text)
         assert coder.decode(ids.tolist(), leaf) == text.encode()
 
 
+def test_another_pattern_is_refused():
+    with pytest.raises(ValueError, match="proven"):
+        byte_bpe.ByteBpe(RANKS, r"\S+|\s+")
+
+
+def test_merges_of_one_match_are_the_librarys():
+    draw, coder, plain = random.Random(12), byte_bpe.coder(RANKS, PATTERN), library()
+    for size in [1, 2, 3, 5, 9, 30, 200, 3_000]:
+        for letters in ("ab", "etaoinshrdlu", "éèа日本x"):
+            for _ in range(20 if size < 1_000 else 2):
+                word = "".join(draw.choice(letters) for _ in range(size))
+                assert [i for m in coder.matches(word) for i in coder.merge(m)] == plain.encode_ordinary(word)
+
+
 def test_very_long_runs_are_encoded(spark):
     coder = byte_bpe.coder(RANKS, PATTERN)
     assert coder.decode(coder.encode(" " * 1_200_000 + "x").tolist()) == b" " * 1_200_000 + b"x"
@@ -477,7 +500,7 @@ def test_pipeline_run_against_its_parts(spark, small):
     single = [r for r, c in zip(good, components_of) if r["doc_id"] == c]
     bench = [(str(r["item_id"]), r["text"].encode()) for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()]
     automaton = decontaminate.Automaton.of(bench)
-    coder, wanted = byte_bpe.coder(RANKS, PATTERN), {}
+    plain, wanted = library(), {}
     for r in single:
         data = r["text"].encode()
         numbers = automaton.numbers(data)
@@ -486,7 +509,7 @@ def test_pipeline_run_against_its_parts(spark, small):
         if hit and 20 * hit >= len(numbers):
             continue
         text = decontaminate.cut_spans(data, spans, 13).decode()
-        ids = np.array(coder.merger.encode_ordinary(text), "<u4").tobytes()
+        ids = np.array(plain.encode_ordinary(text), "<u4").tobytes()
         wanted[r["doc_id"]] = (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
     found = corpus_pipeline.run(spark, small).collect()
     assert {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in found} == wanted and len(found) == len(wanted)
