@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tableloom.llm.common import written
 
-BLOCK = 10_000
+BLOCK = 256
 NODE = ["owner", "depth"]
 TOP = ["top_owner", "top_depth"]
 
