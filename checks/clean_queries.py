@@ -10,6 +10,9 @@ from tableloom.functions.columns import null_every
 from tableloom.functions.text import clean_prose, paragraphs
 from tableloom.operators import clean, profile
 from tableloom.operators.neighbours import fill_from_neighbours
+from tableloom.session import scratch_path, spread_few
+from tableloom.streaming.apply import write_stream
+from tableloom.streaming.duplicates import first_rows
 
 KEY_LIST = ", ".join(LINE_KEYS)
 LINE_FEATURES = ["l_quantity", "l_discount", "l_returnflag", "l_linestatus"]
@@ -77,6 +80,19 @@ def _(spark, sf):
     return profile.duplicate_count(table(spark, sf, "lineitem").select(*LINE_FEATURES))
 
 
+# Three deliveries of files; the query starts anew on its checkpoint after each. The first delivery of a key stays.
+@check("c5_stream_duplicates", "SELECT user_id, event_type, CAST(min(event_id % 3) AS BIGINT) AS delivery FROM events GROUP BY 1, 2")
+def _(spark, sf):
+    events = table(spark, sf, "events").select("user_id", "event_type", (F.col("event_id") % 3).alias("delivery"))
+    base = scratch_path(spark, "stream")
+    for number in range(3):
+        events.where(F.col("delivery") == number).repartition(2).write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+        kept = first_rows(stream, ["user_id", "event_type"])
+        write_stream(kept, f"{base}/out", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(events.schema).parquet(f"{base}/out")
+
+
 def fence_sql(column: str, source: str) -> str:
     return f"""(SELECT q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM
  (SELECT quantile_cont({column}, 0.25) AS q1, quantile_cont({column}, 0.75) AS q3 FROM {source}))"""
@@ -179,7 +195,7 @@ LINES = f"list_transform(string_split({replaced_sql(MARKED_TEXT, [*NORMAL, ('`',
 @check("c11_clean_prose", f"""
 SELECT doc_id, array_to_string(list_filter({LINES}, lambda x: x <> '' AND left(x, 1) NOT IN ('#', '-', '*', '.')), concat(chr(10), chr(10))) AS cleaned FROM documents""")
 def _(spark, sf):
-    return marked_documents(spark, sf).select("doc_id", clean_prose(F.col("text")).alias("cleaned"))
+    return spread_few(marked_documents(spark, sf)).select("doc_id", clean_prose(F.col("text")).alias("cleaned"))
 
 
 @check("c12_paragraphs", f"""
@@ -188,4 +204,4 @@ SELECT doc_id, position, paragraph FROM (SELECT doc_id, CAST(position AS INTEGER
   SELECT doc_id, string_split({replaced_sql(MARKED_TEXT, NORMAL)}, concat(chr(10), chr(10))) AS parts FROM documents)))
 WHERE paragraph <> '' AND left(paragraph, 1) NOT IN ('#', '-', '*', '.')""")
 def _(spark, sf):
-    return paragraphs(marked_documents(spark, sf), "text", ["doc_id"])
+    return paragraphs(spread_few(marked_documents(spark, sf)), "text", ["doc_id"])

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from checks.registry import check, mode_sql, stacked
 from checks.tables import GAPPED_LINEITEM, GAPPED_PART, LINE_KEYS, gapped_lineitem, gapped_part, rounded, table
-from tableloom.operators import profile
-from tableloom.session import scratch_path
+from tableloom.operators import profile, sketches
+from tableloom.session import materialize, scratch_path
 from tableloom.sources import tables as sources
 
 LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -140,6 +140,50 @@ def _(spark, sf):
     return profile.categorical_summary(gapped_part(spark, sf))
 
 
+# Sketches of seven batches, merged: the exact count lies within the stated bound.
+SKETCHED = ["l_orderkey", "l_partkey", "l_quantity", "l_returnflag"]
+
+
+def merged_sketches(spark, sf):
+    batched = gapped_lineitem(spark, sf).withColumn("batch", F.col("l_orderkey") % 7)
+    return sketches.merge_sketches(materialize(sketches.sketch_columns(batched, SKETCHED, ["batch"])))
+
+
+@check("b6_approximate_summary", stacked([
+    f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS exact, count(*) - count({c}) AS n_missing, true AS within FROM {GAPPED_LINEITEM}" for c in SKETCHED]))
+def _(spark, sf):
+    exact = gapped_lineitem(spark, sf).agg(*[F.countDistinct(c).alias(c) for c in SKETCHED])
+    counts = exact.select(F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("exact")) for c in SKETCHED])))
+    found = sketches.approximate_summary(merged_sketches(spark, sf)).join(counts, F.col("column") == F.col("name"))
+    return found.select("column", "exact", "n_missing", F.col("exact").between(F.col("at_least"), F.col("at_most")).alias("within"))
+
+
+@check("b6_approximate_categories", stacked([
+    f"SELECT '{c}' AS \"column\", true AS within, {mode_sql(c, GAPPED_LINEITEM)} AS most_common FROM {GAPPED_LINEITEM} GROUP BY ALL" for c in ["l_returnflag", "l_linestatus"]]))
+def _(spark, sf):
+    df = gapped_lineitem(spark, sf).select("l_returnflag", "l_linestatus")
+    counts = profile.categorical_summary(df).select(F.col("column").alias("name"), F.col("n_distinct").alias("exact"))
+    found = profile.categorical_summary(df, approximate=True).join(counts, F.col("column") == F.col("name"))
+    return found.select("column", (F.abs(F.col("n_distinct") - F.col("exact")) <= sketches.DISTINCT_ERROR * F.col("exact")).alias("within"), "most_common")
+
+
+@check("b5_merged_quantiles", stacked([
+    f"SELECT '{c}' AS \"column\", share::DOUBLE AS share, (SELECT count({c}) FROM {GAPPED_LINEITEM}) AS n_present, true AS within FROM (VALUES (0.25), (0.5), (0.75)) s(share)"
+    for c in SKETCHED[:3]]))
+def _(spark, sf):
+    """The rows below and up to an approximate quantile enclose its share, within the rank error."""
+    shares = [0.25, 0.5, 0.75]
+    found = sketches.sketch_quantiles(merged_sketches(spark, sf), shares)
+    df, rows, measures = gapped_lineitem(spark, sf), [], []
+    for c in SKETCHED[:3]:
+        for i, value in enumerate(found[c]):
+            below, upto = F.count_if(F.col(c) < value) / F.count(c), F.count_if(F.col(c) <= value) / F.count(c)
+            within = (below - sketches.RANK_ERROR <= shares[i]) & (shares[i] <= upto + sketches.RANK_ERROR)
+            measures += [within.alias(f"w_{c}_{i}"), F.count(c).alias(f"n_{c}_{i}")]
+            rows.append([("column", F.lit(c)), ("share", F.lit(shares[i])), ("n_present", F.col(f"n_{c}_{i}")), ("within", F.col(f"w_{c}_{i}"))])
+    return profile.long_table(df.agg(*measures), rows)
+
+
 @check("b7_preview", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 100")
 def _(spark, sf):
     return profile.preview(table(spark, sf, "orders"), ["o_orderkey"])

@@ -31,12 +31,15 @@ def normalize_marks(text: Column, removed: str = BULLET_MARKS) -> Column:
 
 
 def squeeze(text: Column) -> Column:
-    """One space between words, none at the ends."""
-    return F.btrim(F.regexp_replace(text, f"[{WHITESPACE}]+", " "), F.lit(" "))
+    """One space between words, none at the ends. Texts that have single spaces only are not rewritten."""
+    uneven = text.contains("  ") | text.rlike(f"[{WHITESPACE.replace(' ', '')}]")
+    return F.btrim(F.when(uneven, F.regexp_replace(text, f"[{WHITESPACE}]+", " ")).otherwise(text), F.lit(" "))
 
 
-def _is_prose(line: Column) -> Column:
-    return (line != "") & ~F.substring(line, 1, 1).isin(list(DROPPED_LINE_STARTS))
+def _is_prose(part: Column) -> Column:
+    """Does the part have a first character besides white space, and one that does not drop it?"""
+    starts = "".join("\\" + c for c in DROPPED_LINE_STARTS)
+    return part.rlike(f"^[{WHITESPACE}]*+[^{WHITESPACE}{starts}]")
 
 
 def clean_prose(text: Column) -> Column:
@@ -61,5 +64,5 @@ def paragraphs(df: DataFrame, text: str, keys: list[str]) -> DataFrame:
         *[col(k) for k in keys],
         F.posexplode(F.split(normalize_marks(col(text)), "\n\n")).alias("position", "part"),
     )
-    squeezed = parts.select(*keys, "position", squeeze(F.col("part")).alias("paragraph"))
-    return squeezed.where(_is_prose(F.col("paragraph")))
+    # The first character decides before anything is rewritten.
+    return parts.where(_is_prose(F.col("part"))).select(*[col(k) for k in keys], "position", squeeze(F.col("part")).alias("paragraph"))

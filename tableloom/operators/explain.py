@@ -116,7 +116,7 @@ def _named(values: DataFrame, sample: DataFrame, features: Sequence[str], method
 
 def explained_position(model: TrainedModel) -> int:
     """The class that is explained: the last of two, else the first."""
-    return 1 if len(model.labels.values) == 2 else 0
+    return 1 if model.labels.count == 2 else 0
 
 
 def _by_trees(model: TrainedModel, sample: DataFrame, features: Sequence[str], others: DataFrame | None, method: str) -> DataFrame:
@@ -314,8 +314,8 @@ def local_surrogates(
     heaviest of a first fit are fitted again by themselves. For classes
     the output is the probability of the class at ``position`` in sorted order, by default the second.
     """
-    if position is None and model.labels.values:
-        position = min(1, len(model.labels.values) - 1)
+    if position is None and model.labels.count:
+        position = min(1, model.labels.count - 1)
     features = model.features
     n = len(features)
     numbers = df.select(*[col(f).cast("double").alias(f) for f in features])

@@ -20,9 +20,10 @@ from pyspark.sql import types as T
 
 from tableloom.functions.columns import col
 from tableloom.operators.boosting import SoftmaxBoosting
+from tableloom.operators.levels import fits_broadcast, hot_values, lookup_join, sorted_codes
 from tableloom.operators.metrics import evaluate, score_name
 from tableloom.operators.moments import FoldSums, fold_sums, solve_linear
-from tableloom.session import local_table
+from tableloom.session import local_table, materialize
 
 log = logging.getLogger(__name__)
 
@@ -60,42 +61,47 @@ def trainable_features(df: DataFrame, exclude: Sequence[str]) -> list[str]:
 
 @dataclass(frozen=True)
 class Labels:
-    """Class values in sorted order with their texts and type; empty for regression."""
+    """The classes in sorted order; none for regression.
 
+    Few classes are literals. More are a kept table of ``_text`` and ``_index``, of which the driver
+    knows the number and the size; it is broadcast only below the bounds of every lookup.
+    """
+
+    count: int = 0
     values: list[Any] = field(default_factory=list)
     texts: list[str] = field(default_factory=list)
     type: T.DataType | None = None
+    table: DataFrame | None = None
+    n_bytes: int = 0
+    hot: tuple[str, ...] = ()
 
     @property
     def numeric(self) -> bool:
-        return not self.values or isinstance(self.type, (T.NumericType, T.BooleanType))
+        return not self.count or isinstance(self.type, (T.NumericType, T.BooleanType))
 
     def attach(self, df: DataFrame, target: str, name: str) -> DataFrame:
         """Add the class's position (the value itself for regression); unknown classes give NULL."""
         text = col(target).cast("string")
-        if not self.values:
+        if not self.count:
             return df.withColumn(name, col(target).cast("double"))
-        if len(self.values) <= LITERAL_LABELS:
+        if self.table is None:
             pairs = [F.lit(x) for i, known in enumerate(self.texts) for x in (known, float(i))]
             return df.withColumn(name, F.try_element_at(F.create_map(*pairs), text))
-        table = local_table(
-            df.sparkSession, _text=pa.array(self.texts, pa.string()), _index=pa.array([float(i) for i in range(len(self.texts))])
-        )
-        joined = df.join(table, text == F.col("_text"), "left")
-        return joined.select(*[col(c) for c in df.columns if c != name], F.col("_index").alias(name))
+        spread = F.xxhash64(*[col(c) for c in df.columns])
+        kept = [col(c) for c in df.columns if c != name]
+        joined = lookup_join(df, text, self.table, "_text", self.count, self.n_bytes, self.hot, spread)
+        return joined.select(*kept, F.col("_index").alias(name))
 
     def restore(self, df: DataFrame, index: str, name: str) -> DataFrame:
         """Replace a class's position by the class in its own type."""
         kept = [col(c) for c in df.columns if c not in (index, name)]
-        if not self.values:
+        if not self.count:
             return df.select(*kept, col(index).alias(name))
-        if len(self.values) <= LITERAL_LABELS:
+        if self.table is None:
             known = F.array(*[F.lit(v).cast(self.type) for v in self.values])
             return df.select(*kept, F.element_at(known, col(index).cast("int") + 1).alias(name))
-        table = local_table(
-            df.sparkSession, _text=pa.array(self.texts, pa.string()), _index=pa.array([float(i) for i in range(len(self.texts))])
-        )
-        return df.join(table, col(index) == F.col("_index"), "left").select(*kept, F.col("_text").cast(self.type).alias(name))
+        known = F.broadcast(self.table) if fits_broadcast(self.count, self.n_bytes) else self.table
+        return df.join(known, col(index) == F.col("_index"), "left").select(*kept, F.col("_text").cast(self.type).alias(name))
 
     def numbers(self, df: DataFrame, source: str, name: str) -> DataFrame:
         """Add the class itself as a number, or its position where it is a text."""
@@ -103,13 +109,20 @@ class Labels:
 
 
 def fit_labels(df: DataFrame, target: str, task: str) -> Labels:
+    """Number the classes in sorted order. The driver sees how many there are, and the classes themselves only if they are few."""
     if task != "classification":
         return Labels()
-    distinct = df.select(col(target).alias("y")).where("y IS NOT NULL").distinct()
-    # A model holds numbers for every class, so the classes of a model that fits fit here too.
-    rows = distinct.select("y", F.col("y").cast("string").alias("text")).collect()
-    rows.sort(key=lambda r: r["y"])
-    return Labels([r["y"] for r in rows], [r["text"] for r in rows], df.schema[target].dataType)
+    kind = df.schema[target].dataType
+    counts = df.select(col(target).alias("value")).where("value IS NOT NULL").groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    levels = materialize(counts.select("value", F.col("value").cast("string").alias("text"), "n"))
+    size = levels.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes"), F.sum("n").alias("rows")).first()
+    if size["n"] <= LITERAL_LABELS:
+        rows = sorted(levels.collect(), key=lambda r: r["value"])
+        return Labels(len(rows), [r["value"] for r in rows], [r["text"] for r in rows], kind)
+    coded = sorted_codes(levels.select("value", "text"), size["n"])
+    table = materialize(coded.select(F.col("text").alias("_text"), F.col("code").cast("double").alias("_index")))
+    hot = () if fits_broadcast(size["n"], size["bytes"]) else hot_values(levels, "text", size["rows"])
+    return Labels(size["n"], type=kind, table=table, n_bytes=size["bytes"], hot=hot)
 
 
 def assembled(df: DataFrame, features: Sequence[str], keep: Sequence[Column | str]) -> DataFrame:
@@ -185,7 +198,7 @@ class TrainedModel:
         """The number that explanations split up: a class's probability (the last of two, else the
         first, unless a position is given); the value itself for regression."""
         if position is None:
-            position = 1 if len(self.labels.values) == 2 else 0
+            position = 1 if self.labels.count == 2 else 0
 
         scored = self.model.transform(vectors)
         if self.task != "classification":
@@ -234,7 +247,7 @@ class Prepared:
 
     def fit(self, name: str, rows: DataFrame | None = None, n_rows: int | None = None, deviation: float | None = None) -> TrainedModel:
         chosen = estimator(
-            name, self.task, len(self.labels.values), n_rows or self.n_rows,
+            name, self.task, self.labels.count, n_rows or self.n_rows,
             self.deviation if deviation is None else deviation, len(self.features), self.sizes,
         )
         model = chosen.fit(self.rows if rows is None else rows)

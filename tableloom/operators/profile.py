@@ -14,9 +14,13 @@ from tableloom.functions.columns import col, column_kinds
 from tableloom.operators.levels import level_summary, value_counts
 from tableloom.operators.moments import correlation_matrix
 from tableloom.operators.quantiles import quantiles, quantiles_and_measures
+from tableloom.operators.sketches import BUCKETS_LOG
 from tableloom.session import local_table
 
 MEASURES_PER_JOB = 200
+#: The most common value and NULL, among so many counted items.
+FREQUENT_ITEMS = 2
+FREQUENT_COUNTERS = 10_000
 
 DESCRIBE_SCHEMA = "column string, count bigint, mean double, std double, min double, q25 double, q50 double, q75 double, max double"
 BOX_SCHEMA = "column string, q1 double, median double, q3 double, whisker_low double, whisker_high double, fliers bigint"
@@ -92,15 +96,34 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     )
 
 
-def categorical_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Distinct values and the most common one, ``N/A`` for an empty column."""
+def categorical_summary(df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
+    """Distinct values and the most common one, ``N/A`` for an empty column.
+
+    ``approximate`` counts distinct values by sketches, which shuffles a row a task instead of every value, and finds
+    the most common value among frequent items only.
+    """
     columns = list(columns or column_kinds(df).categorical)
     if not columns:
         return no_rows(df, "column string, n_distinct bigint, most_common string")
+    if approximate:
+        return _approximate_categories(df, columns)
     summary = level_summary(value_counts(df, columns))
     return summary.select("column", "n_distinct", F.coalesce("mode", F.lit("N/A")).alias("most_common"))
 
 
+def _approximate_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    measures, rows = [], []
+    for i, c in enumerate(columns):
+        text = col(c).cast("string")
+        present = F.count(text).alias(f"present_{i}")
+        measures += [present, F.hll_sketch_estimate(F.hll_sketch_agg(text, F.lit(BUCKETS_LOG))).alias(f"n_{i}")]
+        measures.append(F.call_function("approx_top_k", text, F.lit(FREQUENT_ITEMS), F.lit(FREQUENT_COUNTERS)).alias(f"top_{i}"))
+        known = F.filter(f"top_{i}", lambda t: t["item"].isNotNull())
+        rows.append([("column", F.lit(c)), ("n_distinct", F.col(f"n_{i}")), ("most_common", F.when(
+            F.col(f"present_{i}") > 0, F.get(known, F.lit(0))["item"].cast("string")).otherwise("N/A"))])
+    return long_table(df.agg(*measures), rows)
+
+
 def preview(df: DataFrame, keys: Sequence[str], rows: int = 100) -> DataFrame:
     return df.orderBy(*[col(k) for k in keys]).limit(rows)
 

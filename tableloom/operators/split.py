@@ -25,6 +25,9 @@ PREFIX_COUNTS = 1_000_000
 FETCH_ROWS = 2_000
 #: Cut-offs of classes kept on the driver; more stay a table, which is joined by size.
 LOCAL_CUTS = 10_000
+#: Pairs of class and hash prefix, and rows in one such pair, from which the cut-offs are found on the driver.
+FEW_CELLS = 50_000
+FEW_DIGITS = 3
 #: Rows of one hash prefix that are ranked in one task.
 PREFIX_ROWS = 1_000_000
 NO_CLASS = "\x00"
@@ -147,6 +150,9 @@ def fit_class_cuts(df: DataFrame, target: str, keys: Sequence[str], ranks: Calla
     rows throughout: nothing is collected that grows with them, unless they are few.
     """
     rows = df.select(class_text(target).alias("y"), hash_key(keys, seed).alias("h"))
+    few = _few_class_cuts(rows, ranks)
+    if few is not None:
+        return ClassCuts(tuple(keys), seed, target, *few, ())
     total = rows.count()
     digits = 3
     while total / 16**digits > PREFIX_ROWS and digits < 8:
@@ -181,6 +187,53 @@ def fit_class_cuts(df: DataFrame, target: str, keys: Sequence[str], ranks: Calla
     return ClassCuts(tuple(keys), seed, target, table, seen["classes"], seen["bytes"], hot)
 
 
+def _few_class_cuts(rows: DataFrame, ranks: Callable[[Column], Column]) -> tuple[DataFrame, int, int] | None:
+    """The cut-offs of few classes in two passes, as a local table with its classes and bytes; None where they are many.
+
+    One pass counts rows by class and hash prefix, the other fetches the hashes under the prefixes that hold a wanted rank.
+    """
+    spark = rows.sparkSession
+    prefix = F.substring("h", 1, FEW_DIGITS).alias("p")
+    counted = rows.groupBy("y", prefix).agg(F.count(F.lit(1)).alias("n")).limit(FEW_CELLS + 1).collect()
+    if not counted or len(counted) > FEW_CELLS:
+        return None
+    cells: dict[str, list[tuple[str, int]]] = {}
+    for r in sorted(counted, key=lambda r: r["p"]):
+        cells.setdefault(r["y"], []).append((r["p"], r["n"]))
+    classes = sorted(cells)
+    numbers = pa.array([sum(n for _, n in cells[y]) for y in classes], pa.int64())
+    sizes = local_table(spark, y=pa.array(classes, pa.string()), n=numbers)
+    places: dict[str, list[tuple[str, int]]] = {y: [] for y in classes}
+    for r in sizes.select("y", ranks(F.col("n")).alias("ranks")).collect():
+        for rank in r["ranks"]:
+            for p, n in cells[r["y"]]:
+                if rank < n:
+                    break
+                rank -= n
+            if n > FETCH_ROWS:
+                return None
+            places[r["y"]].append((p, rank))
+    wanted = {(y, p) for y, own in places.items() for p, _ in own}
+    hashes: dict[tuple[str, str], list[tuple[str, int]]] = {}
+    if wanted:
+        named = rows.select(F.col("y").alias("g"), "h")
+        inside = _with_prefix(named, wanted, FEW_DIGITS).groupBy("g", "h").agg(F.count(F.lit(1)).alias("n")).collect()
+        for r in sorted(inside, key=lambda r: r["h"]):
+            hashes.setdefault((r["g"], r["h"][:FEW_DIGITS]), []).append((r["h"], r["n"]))
+    cuts: list[list[str]] = []
+    for y in classes:
+        own = []
+        for p, rank in places[y]:
+            for h, n in hashes[y, p]:
+                if rank < n:
+                    break
+                rank -= n
+            own.append(h)
+        cuts.append(sorted(own))
+    local = local_table(spark, y=pa.array(classes, pa.string()), cuts=pa.array(cuts, pa.list_(pa.string())), n=numbers)
+    return local, len(classes), sum(len(y.encode()) + 32 * len(c) for y, c in zip(classes, cuts))
+
+
 def fit_random_cut(df: DataFrame, keys: Sequence[str], share: float = 0.2, seed: int = 42) -> Cuts:
     """The test part has exactly ceil(share * rows) rows."""
     rows = df.count()

@@ -96,6 +96,15 @@ def spread(df: DataFrame, *columns: str) -> DataFrame:
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *columns)
 
 
+def spread_few(df: DataFrame) -> DataFrame:
+    """Spread rows that are costly to compute on and come in fewer partitions than cores, as from a file of one row group.
+
+    For scans and what follows them in one stage: counting the partitions of a frame with shuffles would run these.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def local_table(spark: SparkSession, **columns: pa.Array) -> DataFrame:
     """A small driver-side table as a local relation: no job reads it and it broadcasts at once."""
     return spark.createDataFrame(pa.table(columns))

@@ -110,3 +110,20 @@ def test_sample_is_reproducible(spark):
     df = spark.range(300)
     one = {r["id"] for r in split.sample_rows(df.coalesce(1), ["id"], 20).collect()}
     assert one == {r["id"] for r in split.sample_rows(df.repartition(9), ["id"], 20).collect()} and len(one) == 20
+
+
+@pytest.mark.parametrize("classes", [2, 9])
+def test_few_and_many_classes_are_cut_alike(spark, monkeypatch, classes):
+    """The short way for few classes and the joined one give the same rows, repeated keys included."""
+    df = spark.range(700).selectExpr("id % 650 AS id", f"IF(id % 31 = 0, NULL, id % {classes}) AS y").withColumn("row", F.monotonically_increasing_id())
+    found = {}
+    for cells in (split.FEW_CELLS, 0):
+        monkeypatch.setattr(split, "FEW_CELLS", cells)
+        parts = split.split(df, ["id"], "y")
+        folds = split.assign_folds(df, ["id"], 5, "y")
+        found[cells] = (sorted((r["row"], r["is_test"]) for r in parts.collect()), sorted((r["row"], r["fold"]) for r in folds.collect()))
+    short, joined = found.values()
+    assert short == joined and len(short[0]) == 700
+    monkeypatch.setattr(split, "FETCH_ROWS", 0)
+    monkeypatch.setattr(split, "FEW_CELLS", 50_000)
+    assert sorted((r["row"], r["fold"]) for r in split.assign_folds(df, ["id"], 5, "y").collect()) == joined[1]
