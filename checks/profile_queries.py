@@ -11,6 +11,8 @@ from tableloom.session import materialize, scratch_path
 from tableloom.sources import tables as sources
 
 LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+#: Ranges of the input that one task writes to one file.
+RANGES_A_FILE = 4
 
 
 # --- A: sources and sinks -------------------------------------------------------------------------
@@ -48,11 +50,16 @@ def _(spark, sf):
     return sources.read_table(spark, path)
 
 
-# Breaks, quotes, commas and outer spaces in every text; the file is cut into many ranges.
+def joined_files(df):
+    """Fewer files than the table has ranges, so each is cut again when it is read; a task writes ``RANGES_A_FILE`` ranges, whatever the table's size."""
+    return df.coalesce(max(1, df.rdd.getNumPartitions() // RANGES_A_FILE))
+
+
+# Breaks, quotes, commas and outer spaces in every text; a file is cut into many ranges.
 @check("a1_read_csv_parallel", """SELECT doc_id, concat(' "', replace(text, ' ', chr(10)), '", ', chr(10), '""end" ') AS text, n_chars FROM documents""")
 def _(spark, sf):
     framed = F.concat(F.lit(' "'), F.replace("text", F.lit(" "), F.lit("\n")), F.lit('", \n""end" ')).alias("text")
-    path = sources.write_table(table(spark, sf, "documents").select("doc_id", framed, "n_chars").coalesce(1), scratch_path(spark, "breaks") + ".csv")
+    path = sources.write_table(joined_files(table(spark, sf, "documents").select("doc_id", framed, "n_chars")), scratch_path(spark, "breaks") + ".csv")
     return sources.read_table(spark, path)
 
 

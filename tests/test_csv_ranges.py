@@ -89,3 +89,19 @@ def test_header_only_and_written_folders(spark, tmp_path):
 def test_states_of_lines():
     for line, outside, inside in (("a,b", False, True), ('"a', True, False), ('a"b', False, False), ('x,"y""', True, False), ('""', False, True), ('","', False, True), ('a,"b",c', False, False)):
         assert (csv_ranges.ends_inside(line, False), csv_ranges.ends_inside(line, True)) == (outside, inside), line
+
+
+def test_the_query_writes_files_of_bounded_ranges(spark, small_ranges, tmp_path):
+    """One task must not write the whole table: its files grow in number with it, and each is still cut into ranges."""
+    from checks.catalog import QUERIES
+    from checks.profile_queries import RANGES_A_FILE
+
+    texts = spark.range(0, 600, 1, 24).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("a"), F.lit('"b",'), "id").alias("text"), F.lit(7).alias("n_chars"))
+    texts.write.parquet(f"{tmp_path}/documents.parquet")
+    small_ranges(1_500)
+    ranges = spark.read.parquet(f"{tmp_path}/documents.parquet").rdd.getNumPartitions()
+    found = QUERIES["a1_read_csv_parallel"](spark, str(tmp_path))
+    files = [f for f in found.inputFiles() if "/breaks-" in f]
+    assert ranges >= 24 and len(files) >= ranges // RANGES_A_FILE
+    assert csv_ranges.file_lines(spark, files).select("file", "range").distinct().count() > len(files)
+    assert rows_of(found) == sorted(((i, f' "a\n"b",\n{i}", \n""end" ', 7) for i in range(600)), key=repr)
