@@ -266,3 +266,23 @@ def test_causes_are_named(spark):
         train_models(df.drop("words"), "y", ["id"], OPTIONS)
     with pytest.raises(TrainingError, match="text_target"):
         train_models(df.drop("y"), "words", ["id"], OPTIONS)
+
+
+@pytest.mark.parametrize("task", ["classification", "regression"])
+def test_forests_of_many_rows_use_bounded_node_groups_and_grow_the_same_trees(spark, monkeypatch, task):
+    rows = spark.range(0, 3000, 1, 3).select(
+        (F.col("id") * 7919 % 1000 / 10).alias("a"), (F.col("id") * 104729 % 997).cast("double").alias("b"), (F.col("id") % 13).cast("double").alias("c"))
+    value = F.col("a") * 3 + F.pmod("b", F.lit(50.0)) - F.col("c")
+    rows = rows.withColumn("y", F.when(value > 150, 1).otherwise(0) if task == "classification" else value)
+    sizes = models.ModelSizes(trees=12, tree_depth=9)
+    prepared = models.prepare_vectors(rows, "y", task, ["a", "b", "c"], sizes=sizes)
+    few = prepared.fit("RandomForest").model
+    monkeypatch.setattr(models, "MANY_ROWS", 3000)
+    monkeypatch.setattr(models, "NODES_MB", 1)
+    many = prepared.fit("RandomForest").model
+    prepared.release()
+    if task == "classification":
+        assert not few.getCacheNodeIds() and many.getCacheNodeIds()
+    else:
+        assert few.getMaxMemoryInMB() == 256 and many.getMaxMemoryInMB() == 1
+    assert few.totalNumNodes > 1000 and many.toDebugString.split("\n")[1:] == few.toDebugString.split("\n")[1:]
