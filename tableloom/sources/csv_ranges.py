@@ -1,21 +1,27 @@
 """Delimited files whose quoted texts hold line breaks, read by many tasks.
 
-Spark's text reader cuts a file into byte ranges and gives each range its lines in order. Whether a line begins inside
-quotes depends on all that comes before it, but a range only maps one of two states (outside, inside) to one of two: a
+Spark's text reader cuts a file into byte ranges and gives each range its chunks, the text between separators, in order. Whether a chunk
+begins inside quotes depends on all that comes before it, but a range only maps one of two states (outside, inside) to one of two: a
 first pass finds that map for every range, and composing the maps along a file gives the state each range starts in. With it a
-range cuts its lines into records. Only a record that goes over the end of a range, at most one a range, is put
+range cuts its text into records. Only a record that goes over the end of a range, at most one a range, is put
 together from pieces elsewhere.
 
 A quote opens a text only where a field begins; elsewhere in a bare field it is a character like others, and a
 doubled one inside quotes stands for itself.
+
+Scale: rows are what costs, and a text may break after every word. Fields begin after a comma as after a line break, so either can separate the
+chunks; commas do where they are the rarer ones and no range is without one. The records do not depend on that. Python sees the bytes of an Arrow batch at once;
+the first pass hands it only chunks with quotes, as the others change no state.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
+from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +32,8 @@ OPTIONS = {
 }
 #: Where a piece of text stands: a record by itself, or its end, middle or start with the rest in other ranges.
 WHOLE, END, MIDDLE, START = range(4)
+#: Commas separate the chunks from so many line breaks a comma on, as seen in the first lines.
+BREAKS_A_COMMA, HEAD_LINES = 4, 10_000
 
 
 def ends_inside(line: str, inside: bool) -> bool:
@@ -48,106 +56,177 @@ def ends_inside(line: str, inside: bool) -> bool:
             return False
 
 
-def file_lines(spark: SparkSession, path: str) -> DataFrame:
-    """The lines of the files, in order within each range, with the range's file and start."""
-    return spark.read.option("lineSep", "\n").text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("range"))
+def file_lines(spark: SparkSession, path: str, separator: str = "\n") -> DataFrame:
+    """The lines of the files, or chunks between other separators, in order within each range, with the range's file (a hash of its path) and start."""
+    return spark.read.option("lineSep", separator).text(path).select(
+        "value", F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("range"))
+
+
+def best_separator(lines: DataFrame, columns: int) -> str:
+    """Commas, where they make fewer chunks than line breaks. A range without one would be a part of a very long chunk."""
+    commas = F.length("value") - F.length(F.replace("value", F.lit(","), F.lit("")))
+    head = lines.limit(HEAD_LINES).agg(F.count(F.lit(1)).alias("lines"), F.sum(commas).alias("commas")).first()
+    if columns < 2 or not head["commas"] or head["lines"] < BREAKS_A_COMMA * head["commas"]:
+        return "\n"
+    without = lines.groupBy("file", "range").agg(F.bool_or(F.contains("value", F.lit(","))).alias("any")).where("NOT any")
+    return "," if without.isEmpty() else "\n"
+
+
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[int, int, pa.Array]]:
+    """The chunks of a batch that lie in one range each."""
+    files, ranges = batch.column("file").to_numpy(), batch.column("range").to_numpy()
+    if len(files):
+        cuts = np.flatnonzero((files[1:] != files[:-1]) | (ranges[1:] != ranges[:-1])) + 1
+        for start, end in pairwise([0, *cuts.tolist(), len(files)]):
+            yield int(files[start]), int(ranges[start]), batch.column("value").slice(start, end - start)
+
 
+def _bytes(chunks: pa.Array) -> np.ndarray:
+    """The text of chunks that end in their separator."""
+    _, offsets, data = chunks.buffers()
+    size = 8 if pa.types.is_large_string(chunks.type) else 4
+    bounds = np.frombuffer(offsets, np.int64 if size == 8 else np.int32)[chunks.offset:chunks.offset + len(chunks) + 1]
+    return np.frombuffer(data, np.uint8)[bounds[0]:bounds[-1]]
 
-def _runs(batch: pa.RecordBatch) -> Iterator[tuple[str, int, pa.RecordBatch]]:
-    """The parts of a batch that lie in one range each."""
-    files, ranges = batch.column("file").to_pylist(), batch.column("range").to_pylist()
-    start = 0
-    for at in range(1, len(files) + 1):
-        if at == len(files) or ranges[at] != ranges[start] or files[at] != files[start]:
-            yield files[start], ranges[start], batch.slice(start, at - start)
-            start = at
+
+def _state_after_lines(text: bytes, inside: bool) -> list[bool]:
+    """For every line of a text that begins like a field or inside quotes: is the reader inside quotes after it?"""
+    after = []
+    for line in text.decode("latin-1").split("\n"):  # one character a byte, which finds the same quotes and commas in any text
+        if '"' in line:
+            inside = ends_inside(line, inside)
+        after.append(inside)
+    return after
 
 
 def _maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per range: the state after it when it starts outside and when it starts inside quotes."""
-    held: dict[tuple[str, int], tuple[bool, bool]] = {}
+    """Per range with quotes: the state after it when it starts outside and when it starts inside."""
+    held: dict[tuple[int, int], tuple[bool, bool]] = {}
     for batch in batches:
-        for file, start, part in _runs(batch):
+        for file, start, chunks in _runs(batch):
             outside, inside = held.get((file, start), (False, True))
-            lines = part.column("value")
-            for line in lines.filter(pc.match_substring(lines, '"')).to_pylist():
-                outside, inside = ends_inside(line, outside), ends_inside(line, inside)
+            for chunk in chunks.cast(pa.binary()).to_pylist():
+                same = outside == inside
+                outside = _state_after_lines(chunk, outside)[-1]
+                inside = outside if same else _state_after_lines(chunk, inside)[-1]
             held[file, start] = (outside, inside)
     if held:
         yield pa.RecordBatch.from_arrays([
-            pa.array([f for f, _ in held]), pa.array([r for _, r in held], pa.int64()), *map(pa.array, zip(*held.values())),
+            pa.array([f for f, _ in held], pa.int64()), pa.array([r for _, r in held], pa.int64()), *map(pa.array, zip(*held.values())),
         ], ["file", "range", "outside", "inside"])
 
 
-def _states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The ranges that start inside quotes; the ranges of a file come in order."""
+def _turns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ranges that end in another state than they start in; the ranges of a file come in order."""
     current, state = None, False
     for batch in batches:
         found = []
         for file, start, outside, inside in zip(*(c.to_pylist() for c in batch.columns)):
             if file != current:
                 current, state = file, False
-            if state:
+            before, state = state, inside if state else outside
+            if state != before:
                 found.append((file, start))
-            state = inside if state else outside
-        yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in found], pa.string()), pa.array([r for _, r in found], pa.int64())], ["file", "range"])
+        yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in found], pa.int64()), pa.array([r for _, r in found], pa.int64())], ["file", "range"])
+
+
+def turns(chunks: DataFrame) -> dict[int, list[int]]:
+    """Per file the starts of the ranges that turn the state, in order; a range is as long as spark.sql.files.maxPartitionBytes."""
+    maps = chunks.where(F.contains("value", F.lit('"'))).mapInArrow(_maps, "file bigint, range bigint, outside boolean, inside boolean")
+    found: dict[int, list[int]] = {}
+    for file, start in maps.repartition("file").sortWithinPartitions("file", "range").mapInArrow(_turns, "file bigint, range bigint").collect():
+        found.setdefault(file, []).append(start)
+    return {file: sorted(starts) for file, starts in found.items()}
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Records and parts of records; ``first`` marks the one that begins a file."""
-    current, open_lines, begun, inside, first = None, [], False, False, False
+def _record_ends(data: np.ndarray, inside: bool) -> tuple[np.ndarray, bool]:
+    """The line breaks that end a record, and the state after the text, which begins like a field or inside quotes."""
+    breaks, quotes = np.flatnonzero(data == ord("\n")), np.flatnonzero(data == ord('"'))
+    opening = quotes[int(inside)::2]
+    before = data[opening[opening > 0] - 1]
+    if not ((before == ord(",")) | (before == ord("\n")) | (before == ord('"'))).all():  # a quote in a bare field
+        after = _state_after_lines(data.tobytes(), inside)
+        return breaks[~np.array(after[:-1], bool)], after[-1]
+    return breaks[(np.searchsorted(quotes, breaks) + inside) % 2 == 0], bool((len(quotes) + inside) % 2)
 
-    def left_over() -> list[tuple]:
-        return [(*current, START if begun else MIDDLE, first and begun, "\n".join(open_lines))] if open_lines else []
+
+def _cut(
+    batches: Iterator[pa.RecordBatch], turned: dict[int, list[int]], separator: str
+) -> Iterator[tuple[tuple[int, int], int, bool, np.ndarray, np.ndarray]]:
+    """Texts and the bytes after their records, with the kind of the first record, all others being whole, and whether it begins a file."""
+    current, held, begun, inside, first = None, [], False, False, False
+
+    def left_over() -> Iterator:
+        if held:
+            data = np.concatenate(held)
+            yield current, START if begun else MIDDLE, first and begun, data, np.array([len(data) - 1])
 
     for batch in batches:
-        out: list[tuple] = []
-        for file, start, part in _runs(batch):
+        for file, start, chunks in _runs(batch):
             if (file, start) != current:
-                out += left_over()
-                current, open_lines, first = (file, start), [], start == 0
-                inside = part.column("started_inside")[0].as_py()
-                begun = not inside
-            lines = part.column("value")
-            quoted = pc.match_substring(lines, '"').to_pylist()
-            for line, has_quote in zip(lines.to_pylist(), quoted):
-                open_lines.append(line)
-                if has_quote:
-                    inside = ends_inside(line, inside)
-                if not inside:
-                    out.append((file, start, WHOLE if begun else END, first and begun, "\n".join(open_lines)))
-                    first, open_lines, begun = first and not begun, [], True
-        if out:
-            yield _piece_batch(out)
-    if current is not None and (rest := left_over()):
-        yield _piece_batch(rest)
-
-
-def _piece_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.string()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["file", "range", "kind", "first", "record"])
-
-
-def records(spark: SparkSession, path: str) -> DataFrame:
+                yield from left_over()
+                current, held, first = (file, start), [], start == 0
+                inside = bisect_left(turned.get(file, []), start) % 2 == 1
+                begun = first or separator == "\n" and not inside
+            data = _bytes(chunks)
+            ends, inside = _record_ends(data, inside)
+            if not len(ends):
+                held.append(data)
+                continue
+            rest = data[ends[-1] + 1:]
+            if held:
+                ends = ends + sum(map(len, held))
+                data = np.concatenate([*held, data])
+            yield current, WHOLE if begun else END, first and begun, data, ends
+            held, begun, first = [rest] if len(rest) else [], True, False
+    yield from left_over()
+
+
+def _texts(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The text up to each end as one value, without the byte there."""
+    bounds = np.concatenate([[0], ends - np.arange(len(ends))]).astype(np.int32)
+    return pa.StringArray.from_buffers(len(ends), pa.py_buffer(bounds), pa.py_buffer(np.delete(data[:ends[-1]], ends[:-1])))
+
+
+def _whole(turned: dict[int, list[int]], separator: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The records that lie in one range, without the one that begins a file."""
+
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, kind, first, data, ends in _cut(batches, turned, separator):
+            if kind in (WHOLE, END):
+                yield pa.RecordBatch.from_arrays([_texts(data, ends).slice(int(first or kind == END))], ["record"])
+
+    return records
+
+
+def _broken(turned: dict[int, list[int]], separator: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The parts of records that go over the end of a range; ``first`` marks the start of one that begins a file."""
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (file, start), kind, first, data, ends in _cut(batches, turned, separator):
+            if kind != WHOLE:
+                columns = [pa.array([file], pa.int64()), pa.array([start], pa.int64()), pa.array([kind], pa.int32()), pa.array([bool(first)])]
+                yield pa.RecordBatch.from_arrays([*columns, _texts(data, ends[:1])], ["file", "range", "kind", "first", "record"])
+
+    return parts
+
+
+def records(spark: SparkSession, path: str, columns: int) -> DataFrame:
     """The records of the files as texts, without each file's first one, the header, and without empty ones."""
-    lines = file_lines(spark, path)
-    maps = lines.mapInArrow(_maps, "file string, range bigint, outside boolean, inside boolean")
-    states = materialize(maps.repartition("file").sortWithinPartitions("file", "range").mapInArrow(_states, "file string, range bigint"))
-    # One row for a range that starts inside quotes; a range is as long as spark.sql.files.maxPartitionBytes.
-    marked = F.broadcast(states.select(F.col("file").alias("_file"), F.col("range").alias("_range")))
-    known = lines.join(marked, (F.col("file") == F.col("_file")) & (F.col("range") == F.col("_range")), "left")
-    pieces = known.select("value", "file", "range", F.col("_file").isNotNull().alias("started_inside")).mapInArrow(
-        _pieces, "file string, range bigint, kind int, first boolean, record string")
-    broken = materialize(pieces.where(F.col("kind") != WHOLE))
+    separator = best_separator(file_lines(spark, path), columns)
+    chunks = file_lines(spark, path, separator)
+    turned = turns(chunks)
+    ended = chunks.withColumn("value", F.concat("value", F.lit(separator)))
+    broken = materialize(ended.mapInArrow(_broken(turned, separator), "file bigint, range bigint, kind int, first boolean, record string"))
     order = [F.col("range"), F.col("kind")]
     chain = F.sum((F.col("kind") == START).cast("int")).over(Window.partitionBy("file").orderBy(*order))
     # The end of a record begun before comes ahead of the start of the next one in the same range.
     mended = broken.withColumn("chain", chain).groupBy("file", "chain").agg(
         F.max("first").alias("first"), F.sort_array(F.collect_list(F.struct("range", "kind", "record"))).alias("parts"))
-    joined = mended.select("first", F.array_join(F.col("parts.record"), "\n").alias("record"))
-    whole = pieces.where(F.col("kind") == WHOLE).select("first", "record").unionByName(joined)
-    return whole.where(~F.col("first")).select(F.regexp_replace("record", r"\r\z", "").alias("record")).where("record <> ''")
+    joined = mended.where(~F.col("first")).select(F.array_join(F.col("parts.record"), separator).alias("record"))
+    found = ended.mapInArrow(_whole(turned, separator), "record string").unionByName(joined)
+    without_return = F.left("record", F.char_length("record") - 1)
+    return found.select(F.when(F.endswith("record", F.lit("\r")), without_return).otherwise(F.col("record")).alias("record")).where("record <> ''")
 
 
 def read_csv_ranges(spark: SparkSession, path: str) -> DataFrame:
@@ -157,4 +236,4 @@ def read_csv_ranges(spark: SparkSession, path: str) -> DataFrame:
         return named
     places = [f"c{i}" for i in range(len(named.columns))]
     fields = F.from_csv("record", ", ".join(f"{p} string" for p in places), OPTIONS)
-    return records(spark, path).select(fields.alias("fields")).select(*[F.col(f"fields.{p}").alias(n) for p, n in zip(places, named.columns)])
+    return records(spark, path, len(places)).select(fields.alias("fields")).select(*[F.col(f"fields.{p}").alias(n) for p, n in zip(places, named.columns)])

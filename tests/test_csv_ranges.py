@@ -105,3 +105,64 @@ def test_the_query_writes_files_of_bounded_ranges(spark, small_ranges, tmp_path)
     assert ranges >= 24 and len(files) >= ranges // RANGES_A_FILE
     assert csv_ranges.file_lines(spark, files).select("file", "range").distinct().count() > len(files)
     assert rows_of(found) == sorted(((i, f' "a\n"b",\n{i}", \n""end" ', 7) for i in range(600)), key=repr)
+
+
+@pytest.fixture
+def small_batches(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "3")
+    yield
+    spark.conf.set(name, before)
+
+
+@pytest.mark.parametrize("size, end", [(30, "\n"), (120, "\r\n")])
+def test_any_separator_gives_the_same_records(spark, tmp_path, small_ranges, small_batches, monkeypatch, size, end):
+    """Records and fields go over ranges and Arrow batches at every place, with empty first and last fields among them."""
+    draw = random.Random(size)
+    rows = [(draw.choice(["", "7", "a, b"]), draw.choice(TEXTS), draw.choice(["", *TEXTS])) for _ in range(20)]
+    rows = [r for r in rows if any(r)]
+    write(tmp_path / "t.csv", rows, end)
+    small_ranges(size)
+    for separator in ("\n", ","):
+        monkeypatch.setattr(csv_ranges, "best_separator", lambda lines, columns, chosen=separator: chosen)
+        df = csv_ranges.read_csv_ranges(spark, str(tmp_path / "t.csv"))
+        assert rows_of(df.na.fill("")) == sorted(rows, key=repr), separator
+
+
+def test_commas_as_separators_equal_the_reader_of_whole_files(spark, tmp_path, small_ranges, small_batches, monkeypatch):
+    odd = 'id,text,other\n1,5" pipe,x\n2,"a""b\n",y"z\n\n3\n4,"open, and\nclosed",tail\n,,\n5,a,b\n6,"x"y,z\n7,"x"y"z,"\n",\n,8," ""q"", "'
+    (tmp_path / "f.csv").mkdir()
+    (tmp_path / "f.csv" / "1.csv").write_text(odd)
+    (tmp_path / "f.csv" / "2.csv").write_text(odd + "\n")
+    path = str(tmp_path / "f.csv")
+    whole = rows_of(spark.read.csv(path, header=True, **csv_ranges.OPTIONS))
+    for separator in ("\n", ","):
+        monkeypatch.setattr(csv_ranges, "best_separator", lambda lines, columns, chosen=separator: chosen)
+        for size in (9, 64):
+            small_ranges(size)
+            assert rows_of(csv_ranges.read_csv_ranges(spark, path)) == whole, (separator, size)
+
+
+def test_commas_separate_where_they_make_fewer_chunks(spark, tmp_path, small_ranges):
+    """A text that breaks after every word must not cost a row a word; a range without a comma would be part of a very long chunk."""
+    words = [(str(i), "\n".join(["word"] * 50), "x") for i in range(20)]
+    write(tmp_path / "words.csv", words)
+    write(tmp_path / "gap.csv", [*words, ("y", "\n".join(["word"] * 400), "z")])
+    write(tmp_path / "numbers.csv", [(i, i, i) for i in range(20)])
+    small_ranges(1_000)
+
+    def separator(name, columns=3):
+        return csv_ranges.best_separator(csv_ranges.file_lines(spark, str(tmp_path / name)), columns)
+
+    assert [separator("words.csv"), separator("words.csv", 1), separator("gap.csv"), separator("numbers.csv")] == [",", "\n", "\n", "\n"]
+    assert csv_ranges.file_lines(spark, str(tmp_path / "words.csv"), ",").count() < csv_ranges.file_lines(spark, str(tmp_path / "words.csv")).count() / 10
+    assert rows_of(csv_ranges.read_csv_ranges(spark, str(tmp_path / "words.csv"))) == sorted(words)
+
+
+def test_record_ends_with_and_without_quotes_in_bare_fields():
+    import numpy as np
+
+    for text, inside, ends, after in (("a,b\nc,", False, [3], False), ('"a\n",', True, [2], True), ('a\n",\n', True, [4], False), ('5" x\n"y\n",z\n', False, [4, 11], False), ('""\n"', False, [2], True)):
+        found, state = csv_ranges._record_ends(np.frombuffer(text.encode(), np.uint8), inside)
+        assert (found.tolist(), state) == (ends, after), text
