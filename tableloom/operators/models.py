@@ -11,6 +11,7 @@ from typing import Any
 
 import pyarrow as pa
 from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.errors import IllegalArgumentException
 from pyspark.ml import classification, regression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -41,6 +42,8 @@ LITERAL_LABELS = 50
 MANY_ROWS = 50_000
 #: Statistics of the nodes that a task of such a forest grows at once: they stay in a core's cache.
 NODES_MB = 4
+#: How a model says that it does not exist or cannot be fitted to the data. All else, such as a job that ended, is a failure of the run.
+REFUSALS = (ValueError, IllegalArgumentException)
 
 
 @dataclass(frozen=True)
@@ -324,9 +327,10 @@ def fold_score(prepared: Prepared, name: str, fold: str, number: int, sums: Fold
 def cross_validate(
     prepared: Prepared, names: Sequence[str], fold: str, folds: int, parallel: int = 4
 ) -> dict[str, list[float] | Exception]:
-    """Scores per model and fold. The fits are independent jobs, so several run side by side."""
+    """Scores per model and fold, or a model's refusal. The fits are independent jobs, so several run side by side."""
     run = _fold_task(prepared, fold, summed_folds(prepared, names, fold))
-    return _fold_scores(names, folds, _in_parallel(prepared, run, _fold_tasks(names, folds), parallel))
+    tasks = _fold_tasks(names, folds)
+    return _fold_scores(names, folds, _unbroken(tasks, _in_parallel(prepared, run, tasks, parallel)))
 
 
 def _fold_tasks(names: Sequence[str], folds: int) -> list[tuple[str, int]]:
@@ -337,7 +341,7 @@ def _fold_task(prepared: Prepared, fold: str, sums: FoldSums | None = None):
     def run(task: tuple[str, int]) -> float | Exception:
         try:
             return fold_score(prepared, task[0], fold, task[1], sums)
-        except Exception as error:  # one failing fold only costs its own model the folds
+        except Exception as error:  # a fold that its model refuses only costs that model the folds
             return error
 
     return run
@@ -358,12 +362,29 @@ def _in_parallel(prepared: Prepared, run, tasks: list, parallel: int) -> list:
         return pool.map(inheritable_thread_target(spark)(run), tasks, chunksize=1)
 
 
+def _unbroken(tasks: list, results: list) -> list:
+    """The results, if all errors among them are refusals; what a broken run has left out must not look like one."""
+    for task, result in zip(tasks, results):
+        if isinstance(result, Exception) and not isinstance(result, REFUSALS):
+            what = task if isinstance(task, str) else f"fold {task[1]} of {task[0]}"
+            raise RuntimeError(f"the run failed at {what}: {_cause(result)}") from result
+    return results
+
+
+def _cause(error: Exception) -> str:
+    return str(error).splitlines()[0] if str(error) else type(error).__name__
+
+
 METRIC_COLUMNS = {"ordinal": pa.int32(), "model": pa.string(), "metric": pa.string(), "value": pa.float64()}
 
 
 @dataclass(frozen=True)
 class Tournament:
-    """All models' metrics as a long table, and the best one by test score."""
+    """All models' metrics as a long table, and the best one by test score.
+
+    A refused model has the one metric ``failed``; one that refuses a fold has NULL for ``cv_mean`` and ``cv_std``, and ``cv_failed``.
+    ``failures`` says why.
+    """
 
     task: str
     target: str
@@ -373,6 +394,7 @@ class Tournament:
     metrics: DataFrame
     best: TrainedModel
     best_score: float
+    failures: dict[str, str] = field(default_factory=dict)
 
     def importance(self, top: int = 20) -> DataFrame:
         return self.best.importance(self.metrics.sparkSession, top)
@@ -394,7 +416,8 @@ def run_tournament(
 ) -> Tournament:
     """Fit every model on the training rows, score it on the test rows and by its folds.
 
-    A model that fails is left out; the first of equal scores wins; none left is an error.
+    A model that refuses the data stays in the table without scores; the first of equal scores wins; none left is an error, and so is
+    any other failure, as of a job, in the fit, the scores or the folds of a model.
     """
     names = list(names or model_names(task))
     # A class the training rows lack cannot be predicted but still counts against the scores.
@@ -408,25 +431,29 @@ def run_tournament(
             try:
                 trained = prepared.fit(name)
                 return trained, evaluate(trained.model.transform(test), LABEL, "prediction", task).first().asDict()
-            except Exception as error:  # a model that cannot be fitted is skipped, its cause kept
+            except Exception as error:  # a model that cannot be fitted has no scores, its cause kept
                 log.warning("%s was not trained: %s", name, error)
                 return error
 
         # The final fits and all folds share one pool, so a slow model does not hold the others up.
         fold_tasks = _fold_tasks(names, folds)
         score = _fold_task(prepared, fold, summed_folds(prepared, names, fold) if folds else None)
-        results = _in_parallel(
-            prepared, lambda task: fit(task) if isinstance(task, str) else score(task), [*names, *fold_tasks], parallel
-        )
+        tasks = [*names, *fold_tasks]
+        results = _unbroken(tasks, _in_parallel(
+            prepared, lambda task: fit(task) if isinstance(task, str) else score(task), tasks, parallel
+        ))
         fitted = dict(zip(names, results))
         scores = _fold_scores(names, folds, results[len(names):]) if folds else {}
         failed = {n: f for n, f in fitted.items() if isinstance(f, Exception)}
-        trained_names = [n for n in names if n not in failed]
-        if not trained_names:
-            causes = "; ".join(f"{n}: {str(e).splitlines()[0] if str(e) else type(e).__name__}" for n, e in failed.items())
+        failures = {n: f"not trained: {_cause(e)}" for n, e in failed.items()}
+        if len(failed) == len(fitted):
+            causes = "; ".join(f"{n}: {_cause(e)}" for n, e in failed.items())
             raise RuntimeError(f"no model could be trained ({causes})")
         rows, best, best_score = [], None, -math.inf
-        for ordinal, name in enumerate(trained_names):
+        for ordinal, name in enumerate(names):
+            if name in failed:
+                rows.append((ordinal, name, "failed", 1.0))
+                continue
             trained, metrics = fitted[name]
             score = metrics[score_name(task)]
             folded = scores.get(name)
@@ -434,6 +461,7 @@ def run_tournament(
             entries = {**metrics, "cv_mean": mean, "cv_std": deviation}
             if isinstance(folded, Exception):
                 log.warning("the folds of %s failed: %s", name, folded)
+                failures[name] = f"folds failed: {_cause(folded)}"
                 entries["cv_failed"] = 1.0
             for metric, value in entries.items():
                 rows.append((ordinal, name, metric, None if value is None else float(value)))
@@ -444,15 +472,17 @@ def run_tournament(
         table = local_table(train_rows.sparkSession, **{
             name: pa.array(values, kind) for (name, kind), values in zip(METRIC_COLUMNS.items(), zip(*rows))
         })
-        return Tournament(task, target, prepared.n_rows, n_test, list(features), table, best, best_score)
+        return Tournament(task, target, prepared.n_rows, n_test, list(features), table, best, best_score, failures)
     finally:
         prepared.release()
         test.unpersist()
 
 
-def _mean_and_deviation(scores: list[float] | Exception | None, fallback: float) -> tuple[float, float]:
-    """Mean and population deviation over the folds; the test score and 0 where folds failed."""
-    if not isinstance(scores, list) or not scores:
+def _mean_and_deviation(scores: list[float] | Exception | None, fallback: float) -> tuple[float | None, float | None]:
+    """Mean and population deviation over the folds; none where a fold failed, the test score and 0 where no folds were asked for."""
+    if isinstance(scores, Exception):
+        return None, None
+    if not scores:
         return fallback, 0.0
     mean = sum(scores) / len(scores)
     return mean, math.sqrt(sum((s - mean) ** 2 for s in scores) / len(scores))
@@ -466,6 +496,6 @@ def best_model(metrics: DataFrame, task: str) -> DataFrame:
 
 
 def comparison(metrics: DataFrame, task: str) -> DataFrame:
-    """One row per model: test score, mean and deviation over the folds."""
+    """One row per model: test score, mean and deviation over the folds, each NULL where it failed."""
     names = [score_name(task), "cv_mean", "cv_std"]
     return metrics.groupBy("ordinal", "model").pivot("metric", names).agg(F.first("value")).select("model", *names)

@@ -77,16 +77,18 @@ def preparation_facts(metadata: DataFrame, missing: DataFrame) -> DataFrame:
 
 
 def model_facts(result: Tournament) -> DataFrame:
-    """Task, target, sizes, the best model with its score, every model's two leading metrics, and the
-    five most important features, as (section, name, value)."""
+    """Task, target, sizes, the best model with its score, every model's two leading metrics, the
+    five most important features, and what failed, as (section, name, value)."""
     spark = result.metrics.sparkSession
+    trained = result.metrics.where("metric <> 'failed'").select("model").distinct().count()
     known = {
-        "task": result.task, "target": result.target, "models": str(result.metrics.select("model").distinct().count()),
+        "task": result.task, "target": result.target, "models": str(trained),
         "train_rows": str(result.train_rows), "test_rows": str(result.test_rows),
         result.best.name: f"{result.best_score:.4f}",
     }
     head = local_table(
-        spark, section=pa.array(["model"] * len(known)), name=pa.array(list(known)), value=pa.array(list(known.values())))
+        spark, section=pa.array(["model"] * len(known) + ["failed"] * len(result.failures)),
+        name=pa.array([*known, *result.failures]), value=pa.array([*known.values(), *result.failures.values()]))
     leading = ["accuracy", "f1_score"] if result.task == "classification" else ["r2_score", "rmse"]
     scores = result.metrics.where(F.col("metric").isin(leading)).select(
         F.lit("scores").alias("section"), F.concat_ws(" ", "model", "metric").alias("name"), F.format_string("%.4f", "value").alias("value"))

@@ -132,6 +132,62 @@ def test_failing_model_is_skipped_and_none_left_is_an_error(spark):
         models.predict(None, df)
 
 
+class Refusing:
+    """A model that says no, or whose job ends, once it is fitted to some rows."""
+
+    def __init__(self, ended=False):
+        self.ended = ended
+
+    def fit(self, rows):
+        if self.ended:
+            rows.select(F.raise_error(F.lit("executor lost"))).collect()
+        raise ValueError("too few rows")
+
+
+def failing(monkeypatch, model, ended=False, from_rows=0):
+    """From its fit number ``from_rows`` on the model fails; the folds of the linear models come from sums, so these fail in the first fit only."""
+    real, fits = models.estimator, []
+
+    def chosen(name, *args):
+        fits.append(name)
+        return Refusing(ended) if name == model and fits.count(name) > from_rows else real(name, *args)
+
+    monkeypatch.setattr(models, "estimator", chosen)
+
+
+def folded_tournament(spark, names):
+    df, *_ = frame(spark, 80)
+    parts = df.withColumn("fold", (F.col("id") % 2).cast("int"))
+    train, test = parts.where("id % 5 > 0"), parts.where("id % 5 = 0")
+    return models.run_tournament(train, test, "value", "regression", ["f1", "f2"], "fold", 2, names, SMALL_SIZES, parallel=1)
+
+
+def test_a_refused_model_stays_in_the_comparison(spark, monkeypatch):
+    failing(monkeypatch, "Lasso")
+    result = folded_tournament(spark, ["Lasso", "Ridge"])
+    rows = {r["model"]: r for r in models.comparison(result.metrics, "regression").collect()}
+    assert tuple(rows["Lasso"])[1:] == (None, None, None) and None not in tuple(rows["Ridge"])
+    assert result.best.name == "Ridge" and result.failures == {"Lasso": "not trained: too few rows"}
+    facts = {(r["section"], r["name"]): r["value"] for r in report.model_facts(result).collect()}
+    assert facts["failed", "Lasso"] == "not trained: too few rows" and facts["model", "models"] == "1"
+
+
+def test_refused_folds_have_no_mean(spark, monkeypatch):
+    """The test score in place of the folds' mean would look like one."""
+    failing(monkeypatch, "RandomForest", from_rows=1)
+    result = folded_tournament(spark, ["RandomForest", "Ridge"])
+    rows = {r["model"]: r for r in models.comparison(result.metrics, "regression").collect()}
+    assert rows["RandomForest"]["r2_score"] is not None and tuple(rows["RandomForest"])[2:] == (None, None)
+    assert result.failures == {"RandomForest": "folds failed: too few rows"} and None not in tuple(rows["Ridge"])
+
+
+@pytest.mark.parametrize("from_rows, where", [(0, "RandomForest"), (1, "fold 0 of RandomForest")])
+def test_a_job_that_ends_is_no_result(spark, monkeypatch, from_rows, where):
+    failing(monkeypatch, "RandomForest", ended=True, from_rows=from_rows)
+    with pytest.raises(RuntimeError, match=f"the run failed at {where}: .*executor lost"):
+        folded_tournament(spark, ["RandomForest", "Ridge"])
+
+
 def test_first_of_equal_scores_wins(spark):
     df = spark.createDataFrame(
         [(0, "A", "accuracy", 0.5), (1, "B", "accuracy", 0.9), (2, "C", "accuracy", 0.9)],
